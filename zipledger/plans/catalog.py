@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import build_url, parse_location
+from ..functions import build_url, cap_bytes, format_size, parse_location, portal_link, slot_count
+from ..operators import attempts as AT
 from ..operators import ledger as L
 from ..sources import adapters as A
 from ..sources.manifest import conform_ledger
@@ -64,6 +65,83 @@ def q_claim_first_batch(spark, sf_dir):
     return L.claim_first_batch(_current(spark, sf_dir), P.BATCH_SIZE)
 
 
+def _claimed(spark, sf_dir):
+    return L.claim_batches(_current(spark, sf_dir), P.BATCH_SIZE)
+
+
+def _fold(spark, sf_dir):
+    return AT.fold_attempts(A.attempts_from_manifest(_manifest(spark, sf_dir)))
+
+
+def q_parse_rejects(spark, sf_dir):
+    _, rejects = L.split_valid(L.eligible(_current(spark, sf_dir)))
+    return rejects
+
+
+def q_fold_attempts(spark, sf_dir):
+    return _fold(spark, sf_dir)
+
+
+def q_failure_reasons(spark, sf_dir):
+    return AT.outcome_reason(_fold(spark, sf_dir)).where(~F.col("fetch_ok")).select("archive_id", "error_log")
+
+
+def q_backoff_seconds(spark, sf_dir):
+    return AT.with_backoff(_fold(spark, sf_dir)).select("archive_id", "attempts_used", "backoff_seconds")
+
+
+def q_format_size(spark, sf_dir):
+    m = _manifest(spark, sf_dir)
+    scale = F.pow(F.lit(1024), F.col("archive_id").cast("long") % 5).cast("long")
+    sized = m.select("archive_id", (F.col("raw_eml_size") * scale).alias("nbytes"))
+    return sized.select("archive_id", "nbytes", format_size("nbytes").alias("size_text"))
+
+
+def q_portal_link(spark, sf_dir):
+    m = _manifest(spark, sf_dir).withColumn("loc", parse_location("archive_location")).where("loc.valid")
+    base = F.concat(F.lit("https://"), F.col("loc.server_ip"), F.lit("/portal"),
+                    F.repeat(F.lit("/"), (F.col("archive_id").cast("long") % 4).cast("int")))
+    job = F.concat(F.lit("job-"), F.col("loc.org_id"))
+    return m.select("archive_id", base.alias("base_url"), portal_link(base, job).alias("link"))
+
+
+def q_slot_sizing(spark, sf_dir):
+    o = A.load_table(spark, sf_dir, "orders")
+    cfg = o.select(F.col("o_orderkey").cast("string").alias("archive_id"),
+                   (F.col("o_custkey") % 300).alias("workers"),
+                   (F.col("o_orderkey") % 9 - 3).alias("zip_slots"),
+                   (F.col("o_orderkey") % 5 - 1).alias("max_zip_mb"))
+    return cfg.select("*", slot_count("workers", "zip_slots").alias("slots"),
+                      cap_bytes("max_zip_mb").alias("cap_bytes"))
+
+
+def q_mark_completed(spark, sf_dir):
+    done = A.completions_from_events(A.load_table(spark, sf_dir, "events"))
+    return L.apply_updates(_current(spark, sf_dir), L.completion_updates(done), now=P.NOW)
+
+
+def q_mark_failed(spark, sf_dir):
+    _, rejects = L.split_valid(L.eligible(_current(spark, sf_dir)))
+    return L.apply_updates(_current(spark, sf_dir), L.failure_updates(rejects), now=P.NOW)
+
+
+def _run_updates(spark, sf_dir):
+    """Updates a run would write: parse rejects, fetch outcomes, then completion events."""
+    cur = _current(spark, sf_dir)
+    valid, rejects = L.split_valid(L.eligible(cur))
+    outcomes = AT.outcome_reason(_fold(spark, sf_dir)).join(valid.select("archive_id"), "archive_id", "left_semi")
+    fetched = L.failure_updates(outcomes, seq=F.lit(2),
+                                status=F.when(F.col("fetch_ok"), F.lit("COMPLETED")).otherwise(F.lit("FAILED")))
+    events = A.completions_from_events(A.load_table(spark, sf_dir, "events"))
+    done = L.completion_updates(events, seq=F.lit(3))
+    return cur, L.failure_updates(rejects, seq=F.lit(1)).unionByName(fetched).unionByName(done)
+
+
+def q_apply_updates(spark, sf_dir):
+    cur, ups = _run_updates(spark, sf_dir)
+    return L.apply_updates(cur, ups, now=P.NOW)
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 FLAGSHIP = "claim_batches"

@@ -59,6 +59,73 @@ from cur where {ELIGIBLE}
 """
 
 
+ATTEMPTS = """
+select archive_id, attempt,
+ case when (cast(archive_id as bigint)*7 + attempt*3) % 5 < 1 then 200
+      when (cast(archive_id as bigint)*7 + attempt*3) % 5 < 3 then 503
+      when (cast(archive_id as bigint) + attempt) % 5 = 4 then 204
+      else cast(null as int) end as http_status
+from m, (select unnest([1, 2, 3]) as attempt) t
+"""
+
+ATTEMPTS_E = "select *, case when http_status is null then 'timeout' end as error from att0"
+
+FOLD = """
+select f.archive_id, f.first_ok is not null as fetch_ok,
+  cast(coalesce(f.first_ok, f.last_attempt) as int) as attempts_used,
+  cast(case when f.first_ok is not null then 200 else l.http_status end as int) as http_status,
+  case when f.first_ok is not null then null else l.error end as fetch_error
+from (select archive_id, min(case when http_status = 200 then attempt end) as first_ok,
+             max(attempt) as last_attempt from att where attempt between 1 and 3 group by archive_id) f
+join (select archive_id, http_status, error from
+        (select *, row_number() over (partition by archive_id order by attempt desc) as rn
+         from att where attempt between 1 and 3) where rn = 1) l using (archive_id)
+"""
+
+REASON = """case when fetch_ok then null
+  when http_status is not null then printf('API returned status %d after %d attempts', http_status, 3)
+  else printf('Network error after %d attempts: %s', 3, fetch_error) end"""
+
+REJECTS = f"""
+select archive_id, 'FAILED' as export_status, 'Parse error: invalid archive location format' as error_log
+from (select *, coalesce(length(archive_location) - length(replace(archive_location, ':', '')) = 4, false) as valid
+      from cur where {ELIGIBLE}) where not valid
+"""
+
+EVENTS_DONE = "select cast(event_id as string) as archive_id, ts from events"
+
+
+def _fmt2(x: str) -> str:
+    return f"printf('%.2f', {x})"
+
+
+def format_size_sql(b: str) -> str:
+    parts = [f"case when {b} < 1024 then cast({b} as varchar) || ' B'"]
+    for i, p in enumerate("KMGTPE"):
+        div = 1024 ** (i + 1)
+        text = f"{_fmt2(f'cast({b} as double) / {div}.0::double')} || ' {p}B'"
+        if p == "E":
+            parts.append(f"else {text} end")
+        else:
+            parts.append(f"when {b} < {1024 ** (i + 2)} then {text}")
+    return "\n ".join(parts)
+
+
+def _apply(updates_cte: str) -> str:
+    return f"""
+select c.archive_id, c.archive_time, c.archive_location, c.raw_eml_size,
+  case when u.archive_id is not null then u.export_status else c.export_status end as export_status,
+  case when u.archive_id is not null then {NOW} else c.updated_at end as updated_at,
+  case when u.archive_id is not null then u.error_log else c.error_log end as error_log,
+  c.retries
+from cur c left join (
+  select archive_id, export_status, error_log from (
+    select *, row_number() over (partition by archive_id
+      order by seq desc, export_status desc nulls last, error_log desc nulls last) as rn
+    from {updates_cte}) where rn = 1) u using (archive_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["manifest_scan"] = _with() + "select * from m"
@@ -79,4 +146,42 @@ select count_if(export_status = 'COMPLETED') as completed, count_if(export_statu
 select *, cast(floor((claim_seq - 1) / {P.BATCH_SIZE}) as bigint) as batch_id from c"""
     q["claim_first_batch"] = _with(("c", CLAIMED)) + f"""
 select archive_id, archive_time, archive_location, raw_eml_size from c where claim_seq <= {P.BATCH_SIZE}"""
+    att = [("att0", ATTEMPTS), ("att", ATTEMPTS_E), ("fold", FOLD)]
+    q["parse_rejects"] = _with(("r", REJECTS)) + "select * from r"
+    q["fold_attempts"] = _with(*att) + "select * from fold"
+    q["failure_reasons"] = _with(*att) + f"select archive_id, {REASON} as error_log from fold where not fetch_ok"
+    q["backoff_seconds"] = _with(*att) + """
+select archive_id, attempts_used,
+  cast(case when attempts_used <= 1 then 0
+       else (attempts_used - 1) * attempts_used * (2 * attempts_used - 1) / 6 end as bigint) as backoff_seconds
+from fold"""
+    q["format_size"] = _with(("s", """select archive_id,
+  raw_eml_size * cast(pow(1024, cast(archive_id as bigint) % 5) as bigint) as nbytes from m""")) + f"""
+select archive_id, nbytes, {format_size_sql('nbytes')} as size_text from s"""
+    q["portal_link"] = _with(("p", PARSED.format(src="m"))) + """
+select archive_id, base_url, rtrim(base_url, '/') || '/' || job as link from (
+  select archive_id, 'https://' || split_part(archive_location, ':', 1) || '/portal'
+    || repeat('/', cast(cast(archive_id as bigint) % 4 as int)) as base_url,
+    'job-' || split_part(archive_location, ':', 2) as job
+  from p where valid)"""
+    q["slot_sizing"] = """
+select archive_id, workers, zip_slots, max_zip_mb,
+  greatest(case when zip_slots <= 0 then greatest(workers // 5, 5) else zip_slots end, 1) as slots,
+  case when max_zip_mb > 0 then max_zip_mb * 1048576 else 9223372036854775807 end as cap_bytes
+from (select cast(o_orderkey as string) as archive_id, o_custkey % 300 as workers,
+        o_orderkey % 9 - 3 as zip_slots, o_orderkey % 5 - 1 as max_zip_mb from orders)"""
+    q["mark_completed"] = _with(("d", EVENTS_DONE), ("u", """
+select archive_id, 'COMPLETED' as export_status, cast(null as varchar) as error_log, 0 as seq from d""")) \
+        + _apply("u")
+    q["mark_failed"] = _with(("r", REJECTS), ("u", "select *, 0 as seq from r")) + _apply("u")
+    q["apply_updates"] = _with(("r", REJECTS), *att, ("v", f"""
+select archive_id from cur where {ELIGIBLE}
+  and coalesce(length(archive_location) - length(replace(archive_location, ':', '')) = 4, false)"""),
+        ("d", EVENTS_DONE), ("u", f"""
+select archive_id, export_status, error_log, 1 as seq from r
+union all
+select archive_id, case when fetch_ok then 'COMPLETED' else 'FAILED' end, {REASON}, 2
+from fold where archive_id in (select archive_id from v)
+union all
+select archive_id, 'COMPLETED', null, 3 from d""")) + _apply("u")
     return q
