@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import build_url, cap_bytes, format_size, parse_location, portal_link, slot_count
 from ..operators import attempts as AT
 from ..operators import ledger as L
+from ..operators import packing as PK
+from ..operators import progress as PR
 from ..sources import adapters as A
 from ..sources.manifest import conform_ledger
 from . import params as P
@@ -142,6 +144,75 @@ def q_apply_updates(spark, sf_dir):
     return L.apply_updates(cur, ups, now=P.NOW)
 
 
+def _pack_input(spark, sf_dir):
+    """Valid claimed rows with slot, org, declared size and the size actually stored."""
+    slotted = PK.assign_slots(_claimed(spark, sf_dir), P.SLOTS)
+    valid, _ = L.split_valid(slotted)
+    docs = A.load_table(spark, sf_dir, "documents")
+    sizes = docs.select(F.col("doc_id").cast("string").alias("archive_id"),
+                        F.octet_length("text").cast("long").alias("_stored"))
+    return valid.join(sizes, "archive_id", "left").select(
+        "archive_id", "slot", "claim_seq", F.col("loc.org_id").alias("org_id"),
+        F.col("raw_eml_size").alias("declared"),
+        F.coalesce(F.col("_stored"), F.col("raw_eml_size")).alias("actual"))
+
+
+_CAP = P.PACK_CAP_MB * 1024 * 1024
+
+
+def q_slot_assignment(spark, sf_dir):
+    return PK.assign_slots(_claimed(spark, sf_dir), P.SLOTS).select("archive_id", "claim_seq", "slot")
+
+
+def q_pack_next_fit(spark, sf_dir):
+    return PK.pack_next_fit(_pack_input(spark, sf_dir), _CAP, mode="slot")
+
+
+def q_pack_by_org(spark, sf_dir):
+    return PK.pack_next_fit(_pack_input(spark, sf_dir), _CAP, mode="partition", group_col="org_id")
+
+
+def q_pack_rotate_on_change(spark, sf_dir):
+    return PK.pack_next_fit(_pack_input(spark, sf_dir), _CAP, mode="rotate", group_col="org_id")
+
+
+def _numbered(spark, sf_dir):
+    packed = PK.pack_next_fit(_pack_input(spark, sf_dir), _CAP, mode="slot")
+    return PK.number_archives(packed, ["slot"], start=P.RESUME_START)
+
+
+def q_number_archives(spark, sf_dir):
+    return _numbered(spark, sf_dir).select("archive_id", "slot", "k", "zip_idx")
+
+
+def q_archive_names(spark, sf_dir):
+    from ..functions import archive_name
+    return _numbered(spark, sf_dir).select("zip_idx").distinct() \
+        .select("zip_idx", archive_name("zip_idx").alias("archive_name"))
+
+
+def q_archive_entries(spark, sf_dir):
+    return PK.archive_entries(_numbered(spark, sf_dir), F.lit(P.JOB_ID))
+
+
+def q_resume_index(spark, sf_dir):
+    names = A.archive_names_from_events(A.load_table(spark, sf_dir, "events"))
+    return PK.resume_index(names, ["job"])
+
+
+def _completions(spark, sf_dir):
+    return A.completions_from_events(A.load_table(spark, sf_dir, "events"))
+
+
+def q_running_progress(spark, sf_dir):
+    stats = L.progress_stats(_current(spark, sf_dir)).first()
+    return PR.running_progress(_completions(spark, sf_dir), stats["completed"], stats["total"])
+
+
+def q_flush_batches(spark, sf_dir):
+    return PR.flush_batches(_completions(spark, sf_dir), P.FLUSH_START, P.FLUSH_BATCH, P.FLUSH_INTERVAL_SECONDS)
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 FLAGSHIP = "claim_batches"

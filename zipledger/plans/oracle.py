@@ -47,9 +47,9 @@ def _fields(alias: str = "") -> str:
                      for i, n in enumerate(names))
 
 
-def _with(*ctes: tuple[str, str]) -> str:
+def _with(*ctes: tuple[str, str], recursive: bool = False) -> str:
     base = [("m", MANIFEST), ("cur", CURRENT)]
-    return "with " + ",\n".join(f"{n} as ({sql})" for n, sql in base + list(ctes)) + "\n"
+    return ("with recursive " if recursive else "with ") + ",\n".join(f"{n} as ({sql})" for n, sql in base + list(ctes)) + "\n"
 
 
 CLAIMED = f"""
@@ -126,6 +126,66 @@ from cur c left join (
 """
 
 
+VALID = "coalesce(length(archive_location) - length(replace(archive_location, ':', '')) = 4, false)"
+
+PACKIN = f"""
+select c.archive_id, cast((c.claim_seq - 1) % {P.SLOTS} as int) as slot, c.claim_seq,
+  split_part(c.archive_location, ':', 2) as org_id, c.raw_eml_size as declared,
+  coalesce(d.stored, c.raw_eml_size) as actual
+from c left join (select cast(doc_id as string) as archive_id, cast(strlen(text) as bigint) as stored
+                  from documents) d using (archive_id)
+where {VALID.replace('archive_location', 'c.archive_location')}
+"""
+
+CAP = P.PACK_CAP_MB * 1024 * 1024
+
+
+def _pack_ctes(keys: list[str], rotate: bool) -> list[tuple[str, str]]:
+    kc = ", ".join(keys)
+    bk = ", ".join(f"b.{k}" for k in keys)
+    on = " and ".join(f"b.{k} = w.{k}" for k in keys)
+    new = (f"b.org_id <> w.cur_grp or " if rotate else "") + f"w.fill + b.declared > {CAP}"
+    base = f"select *, row_number() over (partition by {kc} order by claim_seq) as i from packin"
+    walk = f"""
+select {kc}, i, archive_id, cast(1 as bigint) as k, actual as fill, org_id as cur_grp from base where i = 1
+union all
+select {bk}, b.i, b.archive_id, case when {new} then w.k + 1 else w.k end,
+  case when {new} then b.actual else w.fill + b.actual end, b.org_id
+from walk w join base b on {on} and b.i = w.i + 1
+"""
+    return [("c", CLAIMED), ("packin", PACKIN), ("base", base), ("walk", walk)]
+
+
+PACKED_SELECT = """
+select p.archive_id, p.slot, p.claim_seq, p.declared, p.actual{extra}, w.k
+from packin p join walk w using (archive_id)
+"""
+
+NUMBERED = f"""
+select w.archive_id, w.slot, w.k, o.off0
+from walk w join (
+  select slot, cast({P.RESUME_START} + coalesce(sum(kmax) over (order by slot
+         rows between unbounded preceding and 1 preceding), 0) as bigint) as off0
+  from (select slot, max(k) as kmax from walk group by slot)) o using (slot)
+"""
+
+ARCHIVE_NAMES = f"""
+select 'job' || cast(event_id % 3000 as string) as job,
+  case when event_id % 3000 % 13 = 0 then 1 else 0 end as depth,
+  case event_id % 9
+    when 0 then 'emails_' || lpad(cast(event_id as string), 4, '0') || '.zip'
+    when 1 then 'emails_' || cast(event_id as string) || '.zip.tmp'
+    when 2 then 'emails_' || cast(event_id as string) || '.ZIP'
+    when 3 then 'emails_' || cast(event_id as string) || '.tar'
+    when 4 then 'emails_' || cast(event_id as string) || '00000000.zip'
+    when 5 then 'emails_x.zip'
+    when 6 then 'emails_-' || cast(event_id as string) || '.zip'
+    when 7 then 'f' || cast(event_id as string) || '.zip'
+    else 'emails_' || cast(event_id as string) || '.zip' end as name
+from events
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["manifest_scan"] = _with() + "select * from m"
@@ -184,4 +244,41 @@ select archive_id, case when fetch_ok then 'COMPLETED' else 'FAILED' end, {REASO
 from fold where archive_id in (select archive_id from v)
 union all
 select archive_id, 'COMPLETED', null, 3 from d""")) + _apply("u")
+    q["slot_assignment"] = _with(("c", CLAIMED)) + f"""
+select archive_id, claim_seq, cast((claim_seq - 1) % {P.SLOTS} as int) as slot from c"""
+    q["pack_next_fit"] = _with(*_pack_ctes(["slot"], False), recursive=True) + PACKED_SELECT.format(extra="")
+    q["pack_by_org"] = _with(*_pack_ctes(["org_id", "slot"], False), recursive=True) \
+        + PACKED_SELECT.format(extra=", p.org_id")
+    q["pack_rotate_on_change"] = _with(*_pack_ctes(["slot"], True), recursive=True) \
+        + PACKED_SELECT.format(extra=", p.org_id")
+    numbered = _with(*_pack_ctes(["slot"], False), ("nb0", NUMBERED), recursive=True)
+    q["number_archives"] = numbered + """
+select n.archive_id, n.slot, n.k, cast(n.off0 + n.k as bigint) as zip_idx from nb0 n"""
+    q["archive_names"] = numbered + """
+select distinct cast(off0 + k as bigint) as zip_idx, printf('emails_%04d.zip', cast(off0 + k as bigint)) as archive_name
+from nb0"""
+    q["archive_entries"] = numbered + f"""
+select archive_id, cast(off0 + k as bigint) as zip_idx, archive_id || '.eml' as entry_name,
+  printf('emails_%04d.zip', cast(off0 + k as bigint)) as archive_name,
+  '{P.JOB_ID}/' || printf('emails_%04d.zip', cast(off0 + k as bigint)) as archive_path
+from nb0"""
+    q["resume_index"] = f"""
+with n as ({ARCHIVE_NAMES})
+select job, cast(coalesce(greatest(max(case when depth = 0 then try_cast(nullif(
+  regexp_extract(name, '^emails_[ \t]*([+-]?[0-9]+)[.]zip', 1), '') as int) end), 0), 0) as int) as resume_index
+from n group by job"""
+    q["running_progress"] = _with(("d", EVENTS_DONE), ("s", """
+select count_if(export_status = 'COMPLETED') as done, count(*) as total from cur""")) + """
+select archive_id, ts, cast(s.done + row_number() over (order by ts nulls first, archive_id) as bigint) as progress_n,
+  cast(s.done + row_number() over (order by ts nulls first, archive_id) as varchar) || '/' || cast(s.total as varchar)
+    as progress
+from d, s"""
+    q["flush_batches"] = f"""
+with d as ({EVENTS_DONE}),
+t as (select *, cast(floor(epoch_us(ts - timestamp '{P.FLUSH_START}') / {P.FLUSH_INTERVAL_SECONDS * 1_000_000})
+      as bigint) as tick from d)
+select archive_id, ts, tick,
+  cast(floor((row_number() over (partition by tick order by ts nulls first, archive_id) - 1) / {P.FLUSH_BATCH})
+       as bigint) as flush_batch
+from t"""
     return q

@@ -11,6 +11,6 @@ BASE_URL = "https://portal.example///"
 RETENTION_NOW = "2024-01-31 00:00:00"
 MAX_AGE_DAYS = 7      # cutoff 2024-01-24 00:00:00
 FLUSH_BATCH = 200
-FLUSH_INTERVAL_SECONDS = 10
+FLUSH_INTERVAL_SECONDS = 86400  # events are sparse (days apart), so tick daily
 FLUSH_START = "2024-01-01 00:00:00"
 REPORT_JOB = "job7"
