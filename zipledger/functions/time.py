@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def as_timestamp(value) -> Column:
     """A zone-less timestamp literal (TIMESTAMP_NTZ) from a str/datetime, or a Column as is.
 
-    ``None`` means "now" in the session time zone, as a wall-clock value.
+    Convention: zone-less timestamps hold UTC wall-clock time. ``None`` means now.
     """
     if value is None:
-        return F.localtimestamp()
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     if isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):

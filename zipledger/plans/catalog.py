@@ -213,6 +213,173 @@ def q_flush_batches(spark, sf_dir):
     return PR.flush_batches(_completions(spark, sf_dir), P.FLUSH_START, P.FLUSH_BATCH, P.FLUSH_INTERVAL_SECONDS)
 
 
+# ---- sources, sinks and the export job -------------------------------------------------
+
+def _valid_claimed(spark, sf_dir):
+    valid, _ = L.split_valid(_claimed(spark, sf_dir))
+    return valid.withColumn("url", build_url("loc"))
+
+
+def _content(spark, sf_dir):
+    return A.content_from_documents(A.load_table(spark, sf_dir, "documents"))
+
+
+def q_fetch_content(spark, sf_dir):
+    from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content
+    out = fetch_content(_valid_claimed(spark, sf_dir), attempt_rule_fetcher_factory(), sleep=lambda s: None)
+    return out.drop("content")
+
+
+def q_resolve_content(spark, sf_dir):
+    from ..sources.fetch import resolve_content
+    out = resolve_content(_valid_claimed(spark, sf_dir), _content(spark, sf_dir))
+    return out.select("archive_id", "fetch_ok", "attempts_used", "http_status",
+                      F.octet_length("content").cast("long").alias("content_bytes"),
+                      F.md5("content").alias("content_md5"))
+
+
+SINK_CAP_MB = 1
+
+
+def q_archive_sink(spark, sf_dir):
+    """Resolved bodies packed (1 MB cap, 10 slots) and written as ZIP files under staging."""
+    from ..session import staging_path
+    from ..sinks.archive import write_archives
+    from ..sources.fetch import resolve_content
+    valid = _valid_claimed(spark, sf_dir)
+    fetched = resolve_content(valid, _content(spark, sf_dir)).where("fetch_ok")
+    meta = valid.select("archive_id", "claim_seq", F.col("raw_eml_size").alias("declared")).join(
+        fetched.select("archive_id", F.octet_length("content").cast("long").alias("actual")), "archive_id")
+    packed = PK.pack_next_fit(PK.assign_slots(meta, P.SLOTS), SINK_CAP_MB * 1024 * 1024, mode="slot")
+    numbered = PK.number_archives(packed, ["slot"], start=0).withColumn("grp", F.lit(P.JOB_ID))
+    bodies = numbered.select("archive_id", "zip_idx", "grp", "claim_seq").join(
+        fetched.select("archive_id", "content"), "archive_id")
+    out = staging_path(spark, "archive_sink")
+    written = write_archives(bodies, out, group_col="grp")
+    written.write.parquet(out + "/_rows")
+    return spark.read.parquet(out + "/_rows").select("zip_idx", "archive_path", "entries", "bytes")
+
+
+def _export_cfg():
+    from ..schema import ExportConfig
+    return ExportConfig(job_id=P.JOB_ID, workers=P.WORKERS, max_zip_mb=SINK_CAP_MB, batch_size=P.BATCH_SIZE,
+                        archive_base_url=P.BASE_URL)
+
+
+def q_export_job(spark, sf_dir):
+    from ..session import staging_path
+    from .export import run_export
+    res = run_export(spark, _manifest(spark, sf_dir), _export_cfg(), staging_path(spark, "export"),
+                     content=_content(spark, sf_dir), now=P.NOW)
+    return res.ledger
+
+
+def q_resume_run(spark, sf_dir):
+    """Interrupted after three claim batches (the fourth left PROCESSING), then rerun."""
+    from ..session import staging_path
+    from .export import run_export
+    out = staging_path(spark, "resume")
+    first = run_export(spark, _manifest(spark, sf_dir), _export_cfg(), out, content=_content(spark, sf_dir),
+                       now=P.NOW, max_batches=3)
+    second = run_export(spark, first.ledger, _export_cfg(), out, content=_content(spark, sf_dir), now=P.NOW)
+    return second.ledger
+
+
+def q_ledger_snapshot(spark, sf_dir):
+    from ..session import staging_path
+    from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
+    root = staging_path(spark, "ledger")
+    v = write_ledger_snapshot(q_apply_updates(spark, sf_dir), root)
+    return read_ledger_snapshot(spark, root, v)
+
+
+# ---- inventory, retention and report ---------------------------------------------------
+
+def _inventory(spark, sf_dir):
+    return A.inventory_from_events(A.load_table(spark, sf_dir, "events"))
+
+
+def _tree(spark, sf_dir):
+    """The inventory written out as a real (sparse) file tree; returns its root."""
+    from ..session import staging_path
+    from .retention import materialize_tree
+    root = staging_path(spark, "tree")
+    materialize_tree(_inventory(spark, sf_dir), root).write.parquet(root + "-created")
+    return root
+
+
+def _relative(df, root):
+    return df.withColumn("path", F.substring(F.col("path"), len(root.rstrip("/")) + 1, 1 << 30))
+
+
+def q_file_inventory(spark, sf_dir):
+    from ..sources.inventory import list_files
+    root = _tree(spark, sf_dir)
+    return _relative(list_files(spark, root), root).select("path", "length", "modificationTime")
+
+
+def q_retention_plan(spark, sf_dir):
+    from ..operators.retention import retention_plan
+    return retention_plan(_inventory(spark, sf_dir), now=P.RETENTION_NOW, max_age_days=P.MAX_AGE_DAYS) \
+        .select("path", "length", "mtime", "age_days")
+
+
+def q_retention_summary(spark, sf_dir):
+    from ..operators.retention import retention_summary
+    return retention_summary(q_retention_plan(spark, sf_dir))
+
+
+def q_empty_job_dirs(spark, sf_dir):
+    from ..operators.retention import empty_job_dirs
+    return empty_job_dirs(_inventory(spark, sf_dir), q_retention_plan(spark, sf_dir), "/storage")
+
+
+def q_retention_apply(spark, sf_dir):
+    from ..operators.retention import apply_retention, retention_plan
+    from ..session import staging_path
+    from ..sources.inventory import list_files, snapshot
+    root = _tree(spark, sf_dir)
+    files = snapshot(list_files(spark, root), staging_path(spark, "inventory"))
+    plan = retention_plan(files, now=P.RETENTION_NOW, max_age_days=P.MAX_AGE_DAYS,
+                          mtime_col="modificationTime")
+    out = staging_path(spark, "deleted")
+    apply_retention(plan).write.parquet(out)
+    return _relative(spark.read.parquet(out), root)
+
+
+def q_retention_job(spark, sf_dir):
+    from ..schema import RetentionConfig
+    from .retention import run_retention
+    root = _tree(spark, sf_dir)
+    res = run_retention(spark, root + "/storage", RetentionConfig(max_age_days=P.MAX_AGE_DAYS), now=P.RETENTION_NOW)
+    removed = res.removed_dirs.agg(F.count_if("removed").alias("dirs_removed"))
+    # both inputs are single rows: attach the count as a literal
+    return res.summary.withColumn("dirs_removed", F.lit(removed.first()["dirs_removed"]).cast("long"))
+
+
+def q_total_archive_size(spark, sf_dir):
+    from ..operators.report import total_archive_size
+    return total_archive_size(_inventory(spark, sf_dir), ["job"])
+
+
+def q_job_report(spark, sf_dir):
+    from ..operators.report import job_report
+    return job_report(_manifest(spark, sf_dir), _inventory(spark, sf_dir), P.REPORT_JOB,
+                      "/storage/" + P.REPORT_JOB, P.BASE_URL)
+
+
+def q_audit_log(spark, sf_dir):
+    from ..operators.report import audit_events
+    cur = _current(spark, sf_dir)
+    _, rejects = L.split_valid(L.eligible(cur))
+    valid, _ = L.split_valid(L.eligible(cur))
+    outcomes = AT.outcome_reason(_fold(spark, sf_dir)).join(valid.select("archive_id"), "archive_id", "left_semi")
+    failures = L.failure_updates(rejects).unionByName(
+        L.failure_updates(outcomes.where(~F.col("fetch_ok"))))
+    archived = PK.archive_entries(_numbered(spark, sf_dir), F.lit(P.JOB_ID))
+    return audit_events(failures=failures, archived=archived)
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
-FLAGSHIP = "claim_batches"
+FLAGSHIP = "export_job"

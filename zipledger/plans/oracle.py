@@ -186,6 +186,65 @@ from events
 """
 
 
+INVENTORY = """
+select 'job' || cast(event_id % 3000 as string) as job,
+ case when event_id % 3000 % 13 = 0 then 1 else 0 end as depth,
+ '/storage/job' || cast(event_id % 3000 as string)
+   || case when event_id % 3000 % 13 = 0 then '/sub' else '' end || '/f' || cast(event_id as string)
+   || case event_id % 3000 % 6 when 0 then '.zip' when 1 then '.db' when 2 then '.ZIP'
+      when 3 then '.log' when 4 then '' else '.zip' end as path,
+ cast(ts as timestamp) as mtime, cast(floor(abs(value) * 1000000) as bigint) as length
+from events
+"""
+
+RET_NOW = f"timestamp '{P.RETENTION_NOW}'"
+
+PLAN = f"""
+select path, length, mtime,
+  cast(floor(epoch_us({RET_NOW} - mtime) / 86400000000) as bigint) as age_days
+from inv
+where regexp_extract(path, '([.][^./]*)$', 1) in ('.zip', '.db')
+  and mtime < {RET_NOW} - interval {P.MAX_AGE_DAYS * 24} hours
+"""
+
+SUMMARY = """
+select count(*) as files, cast(coalesce(sum(length), 0) as bigint) as bytes,
+  printf('%.2f', cast(coalesce(sum(length), 0) as double) / 1073741824.0::double) as gb_freed,
+  cast(0 as bigint) as errors
+from plan
+"""
+
+EMPTY_DIRS = """
+select '/storage/' || job as path from inv group by job
+having bool_and(depth = 0 and path in (select path from plan))
+"""
+
+CONTENT = "select cast(doc_id as string) as archive_id, text from documents"
+
+EXPORT_LEDGER = f"""
+select c.archive_id, c.archive_time, c.archive_location, c.raw_eml_size,
+  case when e.archive_id is null then c.export_status
+       when not e.valid then 'FAILED'
+       when d.archive_id is not null then 'COMPLETED' else 'FAILED' end as export_status,
+  case when e.archive_id is null then c.updated_at else {NOW} end as updated_at,
+  case when e.archive_id is null then c.error_log
+       when not e.valid then 'Parse error: invalid archive location format'
+       when d.archive_id is not null then null else 'API returned status 404 after 3 attempts' end as error_log,
+  c.retries
+from cur c
+left join (select archive_id, {VALID} as valid from cur where {ELIGIBLE}) e using (archive_id)
+left join (select cast(doc_id as string) as archive_id from documents) d using (archive_id)
+"""
+
+SINK_PACKIN = f"""
+select c.archive_id, cast((c.claim_seq - 1) % {P.SLOTS} as int) as slot, c.claim_seq,
+  split_part(c.archive_location, ':', 2) as org_id, c.raw_eml_size as declared,
+  cast(strlen(d.text) as bigint) as actual
+from c join ({CONTENT}) d using (archive_id)
+where {VALID.replace('archive_location', 'c.archive_location')}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["manifest_scan"] = _with() + "select * from m"
@@ -281,4 +340,55 @@ select archive_id, ts, tick,
   cast(floor((row_number() over (partition by tick order by ts nulls first, archive_id) - 1) / {P.FLUSH_BATCH})
        as bigint) as flush_batch
 from t"""
+    q["fetch_content"] = _with(*att, ("c", CLAIMED)) + f"""
+select * from fold where archive_id in (select archive_id from c where {VALID})"""
+    q["resolve_content"] = _with(("c", CLAIMED)) + f"""
+select c.archive_id, d.archive_id is not null as fetch_ok,
+  cast(case when d.archive_id is not null then 1 else 3 end as int) as attempts_used,
+  cast(case when d.archive_id is not null then 200 else 404 end as int) as http_status,
+  cast(strlen(d.text) as bigint) as content_bytes, md5(d.text) as content_md5
+from c left join ({CONTENT}) d using (archive_id) where {VALID.replace('archive_location', 'c.archive_location')}"""
+    sink = _pack_ctes(["slot"], False)
+    sink[1] = ("packin", SINK_PACKIN)
+    sink = [(n, sql.replace(str(CAP), str(1024 * 1024))) for n, sql in sink]
+    q["archive_sink"] = _with(*sink, ("nb0", NUMBERED.replace(str(P.RESUME_START), "0")), recursive=True) + f"""
+select cast(n.off0 + n.k as bigint) as zip_idx,
+  '{P.JOB_ID}/' || printf('emails_%04d.zip', cast(n.off0 + n.k as bigint)) as archive_path,
+  count(*) as entries, cast(sum(p.actual) as bigint) as bytes
+from nb0 n join packin p using (archive_id) group by all"""
+    q["export_job"] = _with(("x", EXPORT_LEDGER)) + "select * from x"
+    q["resume_run"] = q["export_job"]
+    q["ledger_snapshot"] = q["apply_updates"]
+    q["file_inventory"] = f"""
+with inv as ({INVENTORY})
+select path, length, mtime as modificationTime from inv"""
+    q["retention_plan"] = f"with inv as ({INVENTORY}), plan as ({PLAN}) select * from plan"
+    q["retention_summary"] = f"with inv as ({INVENTORY}), plan as ({PLAN}) {SUMMARY}"
+    q["empty_job_dirs"] = f"with inv as ({INVENTORY}), plan as ({PLAN}) {EMPTY_DIRS}"
+    q["retention_apply"] = f"""with inv as ({INVENTORY}), plan as ({PLAN})
+select path, length, true as deleted, cast(null as varchar) as error from plan"""
+    q["retention_job"] = f"""with inv as ({INVENTORY}), plan as ({PLAN}), s as ({SUMMARY}),
+e as ({EMPTY_DIRS}) select s.*, (select count(*) from e) as dirs_removed from s"""
+    q["total_archive_size"] = f"""with inv as ({INVENTORY})
+select job, cast(sum(length) as bigint) as zip_bytes from inv
+where lower(regexp_extract(path, '([^/]*)$', 1)) like '%.zip' group by job"""
+    q["job_report"] = _with(("inv", INVENTORY), ("a", f"""
+select (select count(*) from m) as total,
+  (select count_if(export_status = 'COMPLETED') from m) as completed,
+  (select count_if(export_status = 'FAILED') from m) as failed,
+  (select cast(coalesce(sum(length), 0) as bigint) from inv where path like '/storage/{P.REPORT_JOB}/%'
+     and lower(regexp_extract(path, '([^/]*)$', 1)) like '%.zip') as zip_bytes""")) + f"""
+select '{P.REPORT_JOB}' as job, total, completed, failed, total - completed - failed as pending, zip_bytes,
+  {format_size_sql('zip_bytes')} as zip_size,
+  rtrim('{P.BASE_URL}', '/') || '/{P.REPORT_JOB}' as link, failed > 0 as has_failures
+from a"""
+    q["audit_log"] = _with(*_pack_ctes(["slot"], False), ("nb0", NUMBERED), ("r", REJECTS), *att[:3],
+                           ("v", f"select archive_id from cur where {ELIGIBLE} and {VALID}"), recursive=True) + f"""
+select 'errors' as channel, 'parse_failed' as event, archive_id, error_log as detail from r
+union all
+select 'errors', 'fetch_failed', archive_id, {REASON} from fold
+where not fetch_ok and archive_id in (select archive_id from v)
+union all
+select 'process', 'archived', archive_id, '{P.JOB_ID}/' || printf('emails_%04d.zip', cast(off0 + k as bigint))
+from nb0"""
     return q
