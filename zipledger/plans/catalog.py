@@ -380,6 +380,59 @@ def q_audit_log(spark, sf_dir):
     return audit_events(failures=failures, archived=archived)
 
 
+# ---- streaming ----------------------------------------------------------------------
+
+def q_stream_manifest(spark, sf_dir):
+    """orders -> ledger rows -> eligible rows, as an availableNow stream into a Parquet sink."""
+    import os
+    from ..session import staging_path
+    from ..streaming.manifest_stream import run_available_now, stream_manifest
+    orders = stream_manifest(spark, os.path.join(sf_dir, "orders.parquet"),
+                             A.load_table(spark, sf_dir, "orders").schema)
+    out = staging_path(spark, "stream_manifest")
+    run_available_now(L.eligible(A.manifest_from_orders(orders)), out + "/sink", out + "/checkpoint")
+    return spark.read.parquet(out + "/sink")
+
+
+def q_stream_commit(spark, sf_dir):
+    """Completion events streamed into ledger versions with foreachBatch."""
+    import os
+    from ..session import staging_path
+    from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
+    from ..streaming.commit import commit_completions
+    from ..streaming.manifest_stream import stream_manifest
+    root = staging_path(spark, "stream_commit")
+    write_ledger_snapshot(_current(spark, sf_dir), root + "/ledger", version=1)
+    events = stream_manifest(spark, os.path.join(sf_dir, "events.parquet"),
+                             A.load_table(spark, sf_dir, "events").schema)
+    commit_completions(spark, A.completions_from_events(events), root + "/ledger", root + "/checkpoint", now=P.NOW)
+    return read_ledger_snapshot(spark, root + "/ledger")
+
+
+STREAM_FILES = 4
+
+
+def q_stream_pack(spark, sf_dir):
+    """Pack input written as claim-ordered files, streamed one file per trigger through
+    the stateful packer: archives continue across micro-batches."""
+    import os
+    from ..session import staging_path
+    from ..streaming.manifest_stream import run_available_now
+    from ..streaming.pack_state import stream_pack
+    root = staging_path(spark, "stream_pack")
+    src = root + "/input"
+    rows = _pack_input(spark, sf_dir).drop("org_id")
+    rows.repartitionByRange(STREAM_FILES, "claim_seq").sortWithinPartitions("claim_seq").write.parquet(src)
+    parts = sorted(f for f in os.listdir(src) if f.endswith(".parquet"))
+    for i, f in enumerate(parts):  # the file source takes the oldest file first
+        os.utime(os.path.join(src, f), (1_000_000 + i, 1_000_000 + i))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    run_available_now(stream_pack(stream, _CAP), root + "/sink", root + "/checkpoint")
+    return spark.read.parquet(root + "/sink")
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 FLAGSHIP = "export_job"
