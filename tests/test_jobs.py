@@ -21,10 +21,12 @@ def _inputs(spark):
     return m, c
 
 
-def test_export_invariants_and_rerun(spark):
+@pytest.mark.parametrize("rule,mode", [("hash", "slot"), ("round_robin", "slot"), ("hash", "partition"),
+                                       ("round_robin", "rotate")])
+def test_export_invariants_and_rerun(spark, rule, mode):
     m, c = _inputs(spark)
     out = tempfile.mkdtemp(prefix="zl-exp-")
-    cfg = ExportConfig(job_id="j", max_zip_mb=1, batch_size=50)
+    cfg = ExportConfig(job_id="j", max_zip_mb=1, batch_size=50, slot_rule=rule, group_mode=mode)
     res = run_export(spark, m, cfg, out, content=c, now="2026-01-01 00:00:00")
     before = {r["archive_id"]: r["export_status"] for r in m.collect()}
     after = {r["archive_id"]: (r["export_status"], r["error_log"]) for r in res.ledger.collect()}
@@ -33,11 +35,12 @@ def test_export_invariants_and_rerun(spark):
     assert all(after[k][0] == before[k] for k in before if k not in eligible)
     completed = {k for k, v in after.items() if v[0] == "COMPLETED" and k in eligible}
     seen = {}
-    for z in sorted(os.listdir(os.path.join(out, "j"))):
-        if z.endswith(".zip"):
-            with zipfile.ZipFile(os.path.join(out, "j", z)) as f:
-                for n in f.namelist():
-                    seen[n[:-4]] = seen.get(n[:-4], 0) + 1
+    for d, _, names in os.walk(os.path.join(out, "j")):
+        for z in names:
+            if z.endswith(".zip"):
+                with zipfile.ZipFile(os.path.join(d, z)) as f:
+                    for n in f.namelist():
+                        seen[n[:-4]] = seen.get(n[:-4], 0) + 1
     assert set(seen) == completed and set(seen.values()) == {1}
     docs = {r["archive_id"]: bytes(r["content"]) for r in c.collect()}
     some = sorted(completed)[0]

@@ -29,10 +29,19 @@ from .ordering import with_global_rank
 MODES = ("slot", "partition", "rotate")
 
 
-def assign_slots(claimed: DataFrame, slots: int, seq_col: str = "claim_seq") -> DataFrame:
-    """Round-robin slot by claim position: ``(seq - 1) mod slots``.
-
-    Stands in for "the worker that popped the row" - deterministic and exactly balanced."""
+def assign_slots(claimed: DataFrame, slots: int, seq_col: str = "claim_seq", rule: str = "round_robin") -> DataFrame:
+    """Slot per claimed row; stands in for "the worker that popped the row".
+
+    ``round_robin``: ``(seq - 1) mod slots`` - exactly balanced, claim-order fair.
+    ``hash``: ``pmod(murmur3(archive_id), slots)``, which is the partition id of
+    ``repartition(slots, "archive_id")``. Bodies repartitioned the same way are
+    then co-located with their slot, so a join needs no further exchange and
+    packing and writing happen where the bodies already are (``sinks.archive.pack_and_write``).
+    """
+    if rule == "hash":
+        return claimed.withColumn("slot", F.pmod(F.hash("archive_id"), F.lit(slots)).cast("int"))
+    if rule != "round_robin":
+        raise ValueError("rule must be 'round_robin' or 'hash'")
     return claimed.withColumn("slot", ((F.col(seq_col) - 1) % F.lit(slots)).cast("int"))
 
 
@@ -46,6 +55,27 @@ def pack_keys(mode: str, group_col: str | None) -> list[str]:
     return ["slot"]
 
 
+class NextFit:
+    """The packing state machine for one stream of rows sorted by (key, seq)."""
+
+    def __init__(self, cap: int, rotate: bool):
+        self.cap, self.rotate = cap, rotate
+        self.limited = cap < C.UNLIMITED_BYTES
+        self.key, self.k, self.fill, self.grp = None, 0, 0, None
+
+    def step(self, key, declared: int, actual: int, grp=None) -> tuple[int, bool]:
+        """Archive ordinal for the next row, and whether it opened a new archive."""
+        if key != self.key:
+            self.key, self.k, self.fill, self.grp = key, 0, 0, None
+        opened = False
+        if self.k == 0 or (self.rotate and grp != self.grp) or (self.limited and self.fill + declared > self.cap):
+            self.k, self.fill, opened = self.k + 1, 0, True
+            if self.rotate:
+                self.grp = grp
+        self.fill += actual
+        return self.k, opened
+
+
 def _next_fit(key_cols: list[str], seq_col: str, declared: str, actual: str, group_col: str | None,
               cap: int, rotate: bool):
     limited = cap < C.UNLIMITED_BYTES

@@ -47,18 +47,49 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def resume_start(spark: SparkSession, job_dir: str) -> int:
-    """Highest existing archive index directly in the job directory (0 if none)."""
+def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) -> int:
+    """Highest existing archive index directly in the job directory (0 if none).
+
+    With per-group archive directories (``group_mode="partition"``) their
+    direct children are scanned too, so numbering never reuses an index."""
     d = job_dir[len("file:"):] if job_dir.startswith("file:") else job_dir
     if not os.path.isdir(d):
         return 0
     names = [(e.name,) for e in os.scandir(d) if e.is_file()]
+    if group_dirs:
+        for sub in os.scandir(d):
+            if sub.is_dir() and sub.name != "ledger":
+                names += [(e.name,) for e in os.scandir(sub.path) if e.is_file()]
     if not names:
         return 0
     df = spark.createDataFrame(names, "name string")
     return int(PK.resume_index(df, depth_col=None).first()["resume_index"])
 
 
+def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, start: int, stage: str):
+    """Hash slots: bodies shuffle once into the task that packs and writes them."""
+    from ..sinks.archive import finalize_archives, pack_and_write
+    group = cfg.group_mode in ("partition", "rotate")
+    slotted = PK.assign_slots(meta, cfg.slots, rule="hash")
+    written = pack_and_write(slotted, bodies, cfg.cap_bytes, out_dir, cfg.slots, rotate=cfg.group_mode == "rotate",
+                             group_col="org_id" if group else None)
+    written = _stage(written, os.path.join(stage, "written"))      # the writes happen exactly once
+    keys = ["slot", "grp"] if cfg.group_mode == "partition" else ["slot"]
+    numbered = PK.number_archives(written, keys, start=start)
+    rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else F.concat(F.lit(cfg.job_id + "/"), F.col("grp"))
+    numbered = _stage(numbered.withColumn("archive_dir", rel), os.path.join(stage, "numbered"))
+    per_archive = numbered.groupBy("zip_idx", "temp_path", "archive_dir").agg(
+        F.count(F.lit(1)).alias("entries"), F.sum("actual").cast("long").alias("bytes"))
+    clash = per_archive.groupBy("zip_idx").count().where("count > 1").limit(1).count()
+    if clash:
+        raise RuntimeError("a slot was split across tasks; archive numbering would collide")
+    renamed = finalize_archives(per_archive, out_dir)
+    archives = _stage(renamed.join(per_archive.select("zip_idx", "entries", "bytes"), "zip_idx")
+                      .select("zip_idx", "archive_path", "entries", "bytes", "file_bytes"),
+                      os.path.join(stage, "archives"))
+    return numbered.withColumn("grp", F.col("archive_dir")), archives
+
+
 def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_dir: str, *,
                fetcher_factory=None, content: DataFrame | None = None, now=None,
                max_batches: int | None = None, sleep=time.sleep, audit_dir: str | None = None) -> ExportResult:
@@ -75,7 +106,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     stage = staging_path(spark, f"export-{cfg.job_id}")
 
     cur = _stage(L.reset_stale(ledger, now=now), os.path.join(stage, "ledger_in"))
-    start = resume_start(spark, job_dir)
+    start = resume_start(spark, job_dir, group_dirs=cfg.group_mode == "partition")
 
     claimed = _stage(L.claim_batches(cur, cfg.batch_size), os.path.join(stage, "claimed"))
     interrupted = None
@@ -91,19 +122,22 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         fetched = fetch_content(valid, fetcher_factory, cfg.max_attempts, concurrency=cfg.workers, sleep=sleep)
     fetched = _stage(fetched, os.path.join(stage, "fetched"))
 
-    ok = fetched.where("fetch_ok").select("archive_id", F.octet_length("content").cast("long").alias("actual"))
     meta = valid.select("archive_id", "claim_seq", F.col("raw_eml_size").alias("declared"),
-                        F.col("loc.org_id").alias("org_id")).join(ok, "archive_id")
-    slotted = PK.assign_slots(meta, cfg.slots)
-    packed = PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id")
+                        F.col("loc.org_id").alias("org_id"))
+    bodies = fetched.where("fetch_ok").select("archive_id", "content")
     keys = PK.pack_keys(cfg.group_mode, "org_id")
-    numbered = PK.number_archives(packed, keys, start=start)
-    grp = F.lit(cfg.job_id) if cfg.group_mode != "partition" else F.concat(F.lit(cfg.job_id + "/"), F.col("org_id"))
-    numbered = _stage(numbered.withColumn("grp", grp), os.path.join(stage, "numbered"))
-
-    bodies = numbered.select("archive_id", "zip_idx", "grp", "claim_seq").join(
-        fetched.select("archive_id", "content"), "archive_id")
-    archives = _stage(write_archives(bodies, out_dir, group_col="grp"), os.path.join(stage, "archives"))
+    job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else \
+        F.concat(F.lit(cfg.job_id + "/"), F.col("org_id"))
+    if cfg.slot_rule == "hash":
+        numbered, archives = _fused_pack_write(spark, meta, bodies, cfg, out_dir, start, stage)
+    else:
+        ok = bodies.select("archive_id", F.octet_length("content").cast("long").alias("actual"))
+        slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
+        packed = PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id")
+        numbered = PK.number_archives(packed, keys, start=start)
+        numbered = _stage(numbered.withColumn("grp", job_dir_rel), os.path.join(stage, "numbered"))
+        to_write = numbered.select("archive_id", "zip_idx", "grp", "claim_seq").join(bodies, "archive_id")
+        archives = _stage(write_archives(to_write, out_dir, group_col="grp"), os.path.join(stage, "archives"))
     entries = PK.archive_entries(numbered, F.col("grp"))
 
     failed_fetch = fetched.where(~F.col("fetch_ok"))

@@ -74,6 +74,9 @@ class ExportConfig:
     max_attempts: int = C.MAX_ATTEMPTS
     archive_base_url: str = ""
     group_mode: str = "slot"  # "slot" | "partition" | "rotate"
+    # "hash": slots co-partitioned with bodies, packing fused with writing (bodies shuffle once)
+    # "round_robin": slots by claim position, pack metadata first, then shuffle bodies to writers
+    slot_rule: str = "hash"
 
     @property
     def slots(self) -> int:

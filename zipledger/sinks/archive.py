@@ -83,3 +83,98 @@ def write_archives(rows: DataFrame, out_dir: str, group_col: str = "grp", seq_co
 
     return (src.repartition(n, "zip_idx").sortWithinPartitions("zip_idx", seq_col)
             .mapInPandas(run, ARCHIVE_ROWS))
+
+
+PACKED_WRITE = T.StructType([
+    T.StructField("archive_id", T.StringType(), False),
+    T.StructField("slot", T.IntegerType(), False),
+    T.StructField("grp", T.StringType(), True),
+    T.StructField("claim_seq", T.LongType(), False),
+    T.StructField("actual", T.LongType(), False),
+    T.StructField("k", T.LongType(), False),
+    T.StructField("temp_path", T.StringType(), False),
+])
+
+
+def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir: str, slots: int,
+                   rotate: bool = False, group_col: str | None = None,
+                   compresslevel: int | None = None) -> DataFrame:
+    """Fused next-fit packing and archive writing, one task per set of whole slots.
+
+    ``meta`` (``archive_id, slot, claim_seq, declared`` and optionally a group)
+    must use ``assign_slots(rule="hash")``; ``bodies`` is ``archive_id, content``.
+    Both sides are repartitioned by ``archive_id`` into ``slots`` partitions, so
+    the join adds no exchange, partition p holds exactly slot p, and bodies are
+    shuffled once - straight to the task that writes them. Entries go, in claim order, into hidden temporary
+    files per (slot, group, k) named by the task attempt; the returned rows
+    (one per entry) record which temporary file holds each entry.
+    Materialise the result exactly once, then ``finalize_archives``.
+    """
+    from pyspark import TaskContext
+
+    from ..operators.packing import NextFit
+
+    base = _local(out_dir)
+    cols = ["archive_id", "slot", "claim_seq", "declared"] + ([group_col] if group_col else [])
+    src = meta.select(*cols).repartition(slots, "archive_id").join(
+        bodies.select("archive_id", "content").repartition(slots, "archive_id"), "archive_id")
+    order = ["slot"] + ([group_col] if group_col and not rotate else []) + ["claim_seq"]
+    src = src.sortWithinPartitions(*order)
+    staging = os.path.join(base, ".staging")
+
+    def run(batches):
+        ctx = TaskContext.get()
+        tag = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}"
+        os.makedirs(staging, exist_ok=True)
+        fit = NextFit(cap_bytes, rotate)
+        zf, path, opened_count = None, None, 0
+        for pdf in batches:
+            out = {f.name: [] for f in PACKED_WRITE.fields}
+            slots_ = pdf["slot"].tolist()
+            grps = pdf[group_col].fillna("").tolist() if group_col else [None] * len(pdf)
+            for i, (aid, seq, dec, body) in enumerate(zip(pdf["archive_id"].tolist(), pdf["claim_seq"].tolist(),
+                                                          pdf["declared"].fillna(0).tolist(),
+                                                          pdf["content"].tolist())):
+                body = bytes(body) if body is not None else b""
+                key = slots_[i] if (rotate or not group_col) else (slots_[i], grps[i])
+                k, opened = fit.step(key, int(dec), len(body), grps[i])
+                if opened:
+                    if zf is not None:
+                        zf.close()
+                    opened_count += 1
+                    path = os.path.join(staging, f".{tag}-{opened_count}.zip.tmp")
+                    zf = zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=compresslevel)
+                zf.writestr(f"{aid}{C.ENTRY_SUFFIX}", body)
+                for name, v in (("archive_id", aid), ("slot", slots_[i]), ("grp", grps[i]), ("claim_seq", seq),
+                                ("actual", len(body)), ("k", k), ("temp_path", path)):
+                    out[name].append(v)
+            yield pd.DataFrame(out)
+        if zf is not None:
+            zf.close()
+
+    return src.mapInPandas(run, PACKED_WRITE)
+
+
+def finalize_archives(archives: DataFrame, out_dir: str, dir_col: str = "archive_dir") -> DataFrame:
+    """Rename each archive's temporary file to ``<out_dir>/<dir>/emails_NNNN.zip``.
+
+    ``archives``: one row per archive with ``zip_idx, temp_path, <dir_col>``.
+    Idempotent: a rename already done is detected by the final file existing."""
+    base = _local(out_dir)
+
+    def run(batches):
+        for pdf in batches:
+            rel, size = [], []
+            for idx, tmp, d in zip(pdf["zip_idx"].tolist(), pdf["temp_path"].tolist(), pdf[dir_col].tolist()):
+                name = C.ARCHIVE_NAME_FORMAT % idx
+                final_dir = os.path.join(base, d)
+                os.makedirs(final_dir, exist_ok=True)
+                final = os.path.join(final_dir, name)
+                if os.path.exists(tmp):
+                    os.replace(tmp, final)
+                rel.append(f"{d}/{name}")
+                size.append(os.path.getsize(final))
+            yield pd.DataFrame({"zip_idx": pdf["zip_idx"], "archive_path": rel, "file_bytes": size})
+
+    return archives.select("zip_idx", "temp_path", dir_col).mapInPandas(
+        run, "zip_idx long, archive_path string, file_bytes long")
