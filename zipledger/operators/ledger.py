@@ -95,9 +95,12 @@ def failure_updates(rows: DataFrame, reason: Column | str = "error_log", seq: Co
 def latest_updates(updates: DataFrame) -> DataFrame:
     """One winning update per id: highest seq (ties broken by status, then error text).
 
-    max(struct) is a partial aggregate, so a hot id is combined map-side."""
-    return updates.groupBy("archive_id").agg(
-        F.max(F.struct(F.col("seq"), F.col("export_status"), F.col("error_log"))).alias("_u"))
+    max(struct) is a partial aggregate, so a hot id is combined map-side. An
+    ``updated_at`` column on the updates (their commit time) travels along."""
+    fields = [F.col("seq"), F.col("export_status"), F.col("error_log")]
+    if "updated_at" in updates.columns:
+        fields.append(F.col("updated_at"))
+    return updates.groupBy("archive_id").agg(F.max(F.struct(*fields)).alias("_u"))
 
 
 def apply_updates(ledger: DataFrame, updates: DataFrame, now=None, keep_error: bool = False) -> DataFrame:
@@ -107,7 +110,7 @@ def apply_updates(ledger: DataFrame, updates: DataFrame, now=None, keep_error: b
     NULL error overwrites), and updated_at becomes ``now``."""
     u = latest_updates(updates)
     hit = F.col("_u").isNotNull()
-    ts = as_timestamp(now)
+    ts = F.col("_u.updated_at") if "updated_at" in updates.columns else as_timestamp(now)
     cols = []
     for c in ledger.columns:
         if c == "export_status":

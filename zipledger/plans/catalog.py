@@ -395,18 +395,18 @@ def q_stream_manifest(spark, sf_dir):
 
 
 def q_stream_commit(spark, sf_dir):
-    """Completion events streamed into ledger versions with foreachBatch."""
+    """Completion events streamed into an update log (merge-on-read), then compacted."""
     import os
     from ..session import staging_path
     from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
-    from ..streaming.commit import commit_completions
+    from ..streaming.commit import commit_completions, compact
     from ..streaming.manifest_stream import stream_manifest
     root = staging_path(spark, "stream_commit")
     write_ledger_snapshot(_current(spark, sf_dir), root + "/ledger", version=1)
     events = stream_manifest(spark, os.path.join(sf_dir, "events.parquet"),
                              A.load_table(spark, sf_dir, "events").schema)
-    commit_completions(spark, A.completions_from_events(events), root + "/ledger", root + "/checkpoint", now=P.NOW)
-    return read_ledger_snapshot(spark, root + "/ledger")
+    commit_completions(spark, A.completions_from_events(events), root + "/log", root + "/checkpoint", now=P.NOW)
+    return read_ledger_snapshot(spark, root + "/ledger", compact(spark, root + "/ledger", root + "/log"))
 
 
 STREAM_FILES = 4

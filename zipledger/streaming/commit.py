@@ -1,27 +1,43 @@
-"""Streaming status commits: each micro-batch of completions becomes a new ledger version."""
+"""Streaming status commits as merge-on-read: a ledger base plus an update log.
+
+Each micro-batch appends only its own update rows to ``<log>/batch_id=<b>``
+(overwriting just that directory, so a replayed batch is idempotent); the
+ledger is never rewritten per batch. The current ledger is the base snapshot
+with the winning update per id applied (one aggregate + one join), and
+``compact`` folds the log into a new base version now and then.
+"""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import as_timestamp
 from ..operators.ledger import apply_updates, completion_updates
+from ..schema import UPDATES
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 
+LOG_SCHEMA = "archive_id string, export_status string, error_log string, seq long, updated_at timestamp_ntz"
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
+
 
-def commit_completions(spark: SparkSession, completions: DataFrame, ledger_root: str, checkpoint: str,
+def commit_completions(spark: SparkSession, completions: DataFrame, log_root: str, checkpoint: str,
                        now=None, available_now: bool = True, timeout_seconds: float | None = None) -> StreamingQuery:
-    """``completions`` (a stream of archive_id) -> keyed COMPLETED updates per micro-batch.
+    """``completions`` (a stream with ``archive_id``) -> COMPLETED rows in the update log.
 
-    Batch ``b`` reads ledger version ``b + 1`` and writes version ``b + 2``
-    (version 1 is the starting ledger), so a replayed batch rewrites the same
-    version from the same input: the sink is idempotent per batch id.
-    """
+    Within the log, later batches win (``seq`` = batch id); each row carries
+    its commit time as ``updated_at``."""
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        base = read_ledger_snapshot(spark, ledger_root, batch_id + 1)
-        new = apply_updates(base, completion_updates(batch.select("archive_id")), now=now)
-        write_ledger_snapshot(new, ledger_root, version=batch_id + 2)
+        ups = completion_updates(batch.select("archive_id"), seq=F.lit(batch_id)) \
+            .withColumn("updated_at", as_timestamp(now))
+        ups.write.mode("overwrite").parquet(os.path.join(log_root, f"batch_id={batch_id}"))
 
     w = completions.writeStream.option("checkpointLocation", checkpoint).foreachBatch(commit)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -31,3 +47,45 @@ def commit_completions(spark: SparkSession, completions: DataFrame, ledger_root:
         if q.exception():
             raise q.exception()
     return q
+
+
+def _log_batches(log_root: str) -> list[int]:
+    d = _local(log_root)
+    if not os.path.isdir(d):
+        return []
+    return sorted(int(n.split("=", 1)[1]) for n in os.listdir(d) if n.startswith("batch_id="))
+
+
+def read_update_log(spark: SparkSession, log_root: str, after_batch: int = -1) -> DataFrame:
+    batches = [b for b in _log_batches(log_root) if b > after_batch]
+    if not batches:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(*[os.path.join(log_root, f"batch_id={b}") for b in batches])
+
+
+def current_ledger(spark: SparkSession, ledger_root: str, log_root: str) -> DataFrame:
+    """Base snapshot + every logged batch not yet folded into it."""
+    base_version, folded = _base(ledger_root)
+    base = read_ledger_snapshot(spark, ledger_root, base_version)
+    return apply_updates(base, read_update_log(spark, log_root, folded))
+
+
+def _base(ledger_root: str) -> tuple[int, int]:
+    from ..sinks.ledger import committed_versions
+    v = committed_versions(ledger_root)[-1]
+    marker = os.path.join(_local(ledger_root), f"_folded_{v}")
+    folded = int(open(marker).read()) if os.path.exists(marker) else -1
+    return v, folded
+
+
+def compact(spark: SparkSession, ledger_root: str, log_root: str) -> int:
+    """Fold the update log into a new base version; returns the new version."""
+    batches = _log_batches(log_root)
+    new = current_ledger(spark, ledger_root, log_root)
+    v = write_ledger_snapshot(new, ledger_root)
+    with open(os.path.join(_local(ledger_root), f"_folded_{v}"), "w") as f:
+        f.write(str(batches[-1] if batches else _base(ledger_root)[1]))
+    return v
+
+
+__all__ = ["commit_completions", "current_ledger", "compact", "read_update_log", "UPDATES"]
