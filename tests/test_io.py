@@ -117,3 +117,14 @@ def test_list_files_skips_nothing(spark):
     t = {r["path"][len(root):]: r["modificationTime"] for r in got}
     assert t["/a/b/c.zip"] == dt.datetime(2024, 1, 2)
     assert F
+
+
+def test_request_build_error_is_not_retried(spark):
+    from zipledger.operators.attempts import outcome_reason
+    from zipledger.sources.fetch import http_fetcher_factory
+    df = spark.createDataFrame([("a", "nota-url")], "archive_id string, url string")
+    slept = []
+    out = fetch_content(df, http_fetcher_factory("k"), sleep=slept.append)
+    r = outcome_reason(out).first()
+    assert (r["fetch_ok"], r["attempts_used"], r["failure_kind"]) == (False, 1, "request")
+    assert r["error_log"].startswith("Request build error: ") and slept == []

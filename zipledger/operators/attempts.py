@@ -39,6 +39,8 @@ def outcome_reason(fold: DataFrame, max_attempts: int = C.MAX_ATTEMPTS) -> DataF
     kind = (F.when(F.col("fetch_ok"), F.lit(None))
             .when(F.col("http_status").isNotNull(), F.lit("api"))
             .otherwise(F.lit("network")))
+    if "failure_kind" in fold.columns:  # fetch outcomes say what failed (e.g. a request that could not be built)
+        kind = F.when(F.col("fetch_ok"), F.lit(None)).otherwise(F.coalesce(F.col("failure_kind"), kind))
     return fold.withColumn("error_log", failure_reason(kind, "http_status", "fetch_error", max_attempts))
 
 

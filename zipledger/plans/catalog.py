@@ -227,7 +227,7 @@ def _content(spark, sf_dir):
 def q_fetch_content(spark, sf_dir):
     from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content
     out = fetch_content(_valid_claimed(spark, sf_dir), attempt_rule_fetcher_factory(), sleep=lambda s: None)
-    return out.drop("content")
+    return out.drop("content", "failure_kind")
 
 
 def q_resolve_content(spark, sf_dir):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import build_url
+from ..functions import build_url, failure_reason
 from ..operators import ledger as L
 from ..operators import packing as PK
 from ..operators.report import audit_events, job_report
@@ -74,6 +74,9 @@ def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, star
     written = pack_and_write(slotted, bodies, cfg.cap_bytes, out_dir, cfg.slots, rotate=cfg.group_mode == "rotate",
                              group_col="org_id" if group else None)
     written = _stage(written, os.path.join(stage, "written"))      # the writes happen exactly once
+    zip_failed = written.where(F.col("zip_error").isNotNull()).select(
+        "archive_id", failure_reason(F.lit("zip"), detail="zip_error").alias("error_log"))
+    written = written.where(F.col("zip_error").isNull())
     keys = ["slot", "grp"] if cfg.group_mode == "partition" else ["slot"]
     numbered = PK.number_archives(written, keys, start=start)
     rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else F.concat(F.lit(cfg.job_id + "/"), F.col("grp"))
@@ -87,7 +90,7 @@ def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, star
     archives = _stage(renamed.join(per_archive.select("zip_idx", "entries", "bytes"), "zip_idx")
                       .select("zip_idx", "archive_path", "entries", "bytes", "file_bytes"),
                       os.path.join(stage, "archives"))
-    return numbered.withColumn("grp", F.col("archive_dir")), archives
+    return numbered.withColumn("grp", F.col("archive_dir")), archives, zip_failed
 
 
 def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_dir: str, *,
@@ -129,7 +132,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else \
         F.concat(F.lit(cfg.job_id + "/"), F.col("org_id"))
     if cfg.slot_rule == "hash":
-        numbered, archives = _fused_pack_write(spark, meta, bodies, cfg, out_dir, start, stage)
+        numbered, archives, zip_failed = _fused_pack_write(spark, meta, bodies, cfg, out_dir, start, stage)
     else:
         ok = bodies.select("archive_id", F.octet_length("content").cast("long").alias("actual"))
         slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
@@ -138,6 +141,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         numbered = _stage(numbered.withColumn("grp", job_dir_rel), os.path.join(stage, "numbered"))
         to_write = numbered.select("archive_id", "zip_idx", "grp", "claim_seq").join(bodies, "archive_id")
         archives = _stage(write_archives(to_write, out_dir, group_col="grp"), os.path.join(stage, "archives"))
+        zip_failed = None
     entries = PK.archive_entries(numbered, F.col("grp"))
 
     failed_fetch = fetched.where(~F.col("fetch_ok"))
@@ -145,6 +149,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     fetch_fail = L.failure_updates(outcome_reason(failed_fetch, cfg.max_attempts), seq=F.lit(2))
     done = L.completion_updates(numbered.select("archive_id"), seq=F.lit(3))
     updates = L.failure_updates(rejects, seq=F.lit(1)).unionByName(fetch_fail).unionByName(done)
+    if zip_failed is not None:
+        updates = updates.unionByName(L.failure_updates(zip_failed, seq=F.lit(2)))
     if interrupted is not None:
         updates = updates.unionByName(interrupted.select(
             "archive_id", F.lit(C.PROCESSING).alias("export_status"),

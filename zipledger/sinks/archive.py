@@ -93,6 +93,7 @@ PACKED_WRITE = T.StructType([
     T.StructField("actual", T.LongType(), False),
     T.StructField("k", T.LongType(), False),
     T.StructField("temp_path", T.StringType(), False),
+    T.StructField("zip_error", T.StringType(), True),
 ])
 
 
@@ -144,9 +145,13 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
                     opened_count += 1
                     path = os.path.join(staging, f".{tag}-{opened_count}.zip.tmp")
                     zf = zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=compresslevel)
-                zf.writestr(f"{aid}{C.ENTRY_SUFFIX}", body)
+                error = None
+                try:
+                    zf.writestr(f"{aid}{C.ENTRY_SUFFIX}", body)
+                except Exception as e:  # noqa: BLE001 - one bad entry fails that record only
+                    error = str(e) or type(e).__name__
                 for name, v in (("archive_id", aid), ("slot", slots_[i]), ("grp", grps[i]), ("claim_seq", seq),
-                                ("actual", len(body)), ("k", k), ("temp_path", path)):
+                                ("actual", len(body)), ("k", k), ("temp_path", path), ("zip_error", error)):
                     out[name].append(v)
             yield pd.DataFrame(out)
         if zf is not None:

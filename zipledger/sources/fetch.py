@@ -20,8 +20,14 @@ from pyspark.sql import types as T
 from .. import constants as C
 
 # fetcher(url, attempt) -> (http_status or None, body bytes or None, error text or None)
+# A fetcher raises RequestBuildError when no request can be built for the URL:
+# that fails the item at once, without retries.
 Fetcher = Callable[[str, int], tuple]
 
+
+class RequestBuildError(Exception):
+    pass
+
 FETCH_OUTCOME = T.StructType([
     T.StructField("archive_id", T.StringType(), False),
     T.StructField("fetch_ok", T.BooleanType(), False),
@@ -29,6 +35,7 @@ FETCH_OUTCOME = T.StructType([
     T.StructField("http_status", T.IntegerType(), True),
     T.StructField("fetch_error", T.StringType(), True),
     T.StructField("content", T.BinaryType(), True),
+    T.StructField("failure_kind", T.StringType(), True),  # api | network | request; NULL on success
 ])
 
 
@@ -40,7 +47,10 @@ def http_fetcher_factory(api_key: str, timeout: float = C.FETCH_TIMEOUT_SECONDS)
         opener = urllib.request.build_opener()
 
         def fetch(url: str, attempt: int):
-            req = urllib.request.Request(url, method="GET", headers={C.API_KEY_HEADER: api_key})
+            try:
+                req = urllib.request.Request(url, method="GET", headers={C.API_KEY_HEADER: api_key})
+            except ValueError as e:
+                raise RequestBuildError(str(e)) from e
             try:
                 with opener.open(req, timeout=timeout) as resp:
                     return resp.status, resp.read(), None
@@ -57,12 +67,17 @@ def http_fetcher_factory(api_key: str, timeout: float = C.FETCH_TIMEOUT_SECONDS)
 def _fetch_one(fetch: Fetcher, url: str, max_attempts: int, sleep: Callable[[float], None]):
     status, err = None, None
     for attempt in range(1, max_attempts + 1):
-        status, body, err = fetch(url, attempt)
+        try:
+            status, body, err = fetch(url, attempt)
+        except RequestBuildError as e:
+            return False, attempt, None, str(e), None, "request"
         if err is None and status == C.HTTP_OK:
-            return True, attempt, status, None, body if body is not None else b""
+            return True, attempt, status, None, body if body is not None else b"", None
         if attempt < max_attempts:
             sleep(float(attempt * attempt))
-    return False, max_attempts, status, (None if status is not None else (err or "")), None
+    if status is not None:
+        return False, max_attempts, status, None, None, "api"
+    return False, max_attempts, None, err or "", None, "network"
 
 
 def fetch_content(df: DataFrame, fetcher_factory: Callable[[], Fetcher], max_attempts: int = C.MAX_ATTEMPTS,
@@ -92,6 +107,7 @@ def fetch_content(df: DataFrame, fetcher_factory: Callable[[], Fetcher], max_att
                     "http_status": pd.array([r[2] for r in res], dtype="Int32"),
                     "fetch_error": [r[3] for r in res],
                     "content": [r[4] for r in res],
+                    "failure_kind": [r[5] for r in res],
                 })
 
     return rows.mapInPandas(run, FETCH_OUTCOME)
@@ -109,6 +125,7 @@ def resolve_content(df: DataFrame, content: DataFrame, max_attempts: int = C.MAX
         F.when(found, C.HTTP_OK).otherwise(404).cast("int").alias("http_status"),
         F.lit(None).cast("string").alias("fetch_error"),
         "content",
+        F.when(~found, F.lit("api")).alias("failure_kind"),
     )
 
 
