@@ -18,6 +18,8 @@ def is_eligible(status: Column | str = "export_status") -> Column:
     All-space strings sort below "!" (0x21), so the superset is exact-safe.
     """
     s = F.col(status) if isinstance(status, str) else status
-    exact = s.isNull() | (F.trim(s) == "") | (s == C.QUOTED_EMPTY) | (s == C.PENDING)
+    # NULL is handled by coalesce (not IS NULL) so the optimizer cannot factor a
+    # shared term out of both conjuncts, which would stop the pushdown.
+    exact = F.coalesce((F.trim(s) == "") | (s == C.QUOTED_EMPTY) | (s == C.PENDING), F.lit(True))
     pushable = s.isNull() | s.isin(C.QUOTED_EMPTY, C.PENDING) | (s < "!")
     return exact & pushable
