@@ -82,6 +82,7 @@ def main() -> None:
         mb = res.archives.agg(F.sum("bytes")).first()[0] or 0
         extra["export_job_archived_mb"] = round(mb / 1e6, 2)
         extra["export_job_mb_per_sec"] = round(mb / 1e6 / max(time.time() - t, 1e-9), 2)
+        extra["export_job_stage_seconds"] = res.timings
         return res.report
 
     run("export_job", export_job)

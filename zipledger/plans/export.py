@@ -1,16 +1,18 @@
 """The export job: claim -> parse -> fetch -> pack -> number -> write -> commit -> report.
 
 Stage boundaries that are written to storage (so every later step reads one
-fixed copy and a lost executor never re-runs a fetch or a delete):
-  * the recovered input ledger (the output is a new ledger version, never the input path)
-  * the fetch outcomes (nondeterministic, costly)
-  * the archive rows (the archive writes happen exactly once)
-Bodies move once: staged by the fetch, then shuffled by archive index into
-the writer. Packing shuffles only metadata.
+fixed copy and a lost executor never re-runs a fetch or an archive write):
+  * claim positions (the ordering checkpoint)
+  * the fetch outcomes and bodies, when fetched (nondeterministic, costly)
+  * the per-entry archive rows (the archive writes happen exactly once)
+The input must be a stable table (e.g. a committed snapshot); the output is
+always a new ledger version, never the input path. Bodies are shuffled once,
+into the task that packs and writes them (hash slot rule).
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 import time
 from dataclasses import dataclass
@@ -40,6 +42,7 @@ class ExportResult:
     report: DataFrame      # one-row job report
     version: int
     start_index: int
+    timings: dict
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
@@ -108,10 +111,22 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     job_dir = os.path.join(out_dir, cfg.job_id)
     stage = staging_path(spark, f"export-{cfg.job_id}")
 
-    cur = _stage(L.reset_stale(ledger, now=now), os.path.join(stage, "ledger_in"))
+    timings: dict[str, float] = {}
+    clock = [time.time()]
+
+    def lap(name):
+        t = time.time()
+        timings[name] = round(t - clock[0], 3)
+        clock[0] = t
+
+    # One fixed "now" for the whole run keeps every step deterministic, so the
+    # recovered ledger can stay a lazy view of the (stable, committed) input.
+    run_now = now if now is not None else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(" ")
+    cur = L.reset_stale(ledger, now=run_now)
     start = resume_start(spark, job_dir, group_dirs=cfg.group_mode == "partition")
 
-    claimed = _stage(L.claim_batches(cur, cfg.batch_size), os.path.join(stage, "claimed"))
+    # claim positions are pinned by the ordering checkpoint; nothing else to stage
+    claimed = L.claim_batches(cur, cfg.batch_size)
     interrupted = None
     if max_batches is not None:
         interrupted = claimed.where(F.col("batch_id") == max_batches)
@@ -120,14 +135,20 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     valid, rejects = L.split_valid(claimed)
     valid = valid.withColumn("url", build_url("loc"))
     if content is not None:
-        fetched = resolve_content(valid, content, cfg.max_attempts)
+        # outcomes from a presence join (bodies not read); bodies are read once, by the writer
+        fetched = resolve_content(valid, content.select("archive_id", F.lit(b"").alias("content")),
+                                  cfg.max_attempts).drop("content")
+        bodies = content.select("archive_id", "content")
     else:
-        fetched = fetch_content(valid, fetcher_factory, cfg.max_attempts, concurrency=cfg.workers, sleep=sleep)
-    fetched = _stage(fetched, os.path.join(stage, "fetched"))
+        # nondeterministic and costly: fetch exactly once, stage, read the copy everywhere
+        fetched = _stage(fetch_content(valid, fetcher_factory, cfg.max_attempts, concurrency=cfg.workers,
+                                       sleep=sleep), os.path.join(stage, "fetched"))
+        bodies = fetched.where("fetch_ok").select("archive_id", "content")
+    lap("claim_and_fetch")
 
     meta = valid.select("archive_id", "claim_seq", F.col("raw_eml_size").alias("declared"),
-                        F.col("loc.org_id").alias("org_id"))
-    bodies = fetched.where("fetch_ok").select("archive_id", "content")
+                        F.col("loc.org_id").alias("org_id")).join(
+        fetched.where("fetch_ok").select("archive_id"), "archive_id", "left_semi")
     keys = PK.pack_keys(cfg.group_mode, "org_id")
     job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else \
         F.concat(F.lit(cfg.job_id + "/"), F.col("org_id"))
@@ -143,6 +164,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         archives = _stage(write_archives(to_write, out_dir, group_col="grp"), os.path.join(stage, "archives"))
         zip_failed = None
     entries = PK.archive_entries(numbered, F.col("grp"))
+    lap("pack_and_write")
 
     failed_fetch = fetched.where(~F.col("fetch_ok"))
     from ..operators.attempts import outcome_reason
@@ -155,10 +177,11 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         updates = updates.unionByName(interrupted.select(
             "archive_id", F.lit(C.PROCESSING).alias("export_status"),
             F.lit(None).cast("string").alias("error_log"), F.lit(0).cast("long").alias("seq")))
-    final = L.apply_updates(cur, updates, now=now)
+    final = L.apply_updates(cur, updates, now=run_now)
     ledger_root = os.path.join(job_dir, "ledger")
     version = write_ledger_snapshot(final, ledger_root)
     final = read_ledger_snapshot(spark, ledger_root, version)
+    lap("commit")
 
     if audit_dir:
         failures = L.failure_updates(rejects).unionByName(
@@ -168,4 +191,4 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     inventory = list_files(spark, job_dir)
     report = job_report(final, inventory, cfg.job_id, job_dir[len("file:"):] if job_dir.startswith("file:")
                         else job_dir, cfg.archive_base_url)
-    return ExportResult(final, archives, entries, report, version, start)
+    return ExportResult(final, archives, entries, report, version, start, timings)
