@@ -10,10 +10,10 @@ count, so broadcasting it is safe at any data size.
 
 Range bounds come from sampling seeded by the RDD id, so two evaluations
 of the same range shuffle may cut the data differently. The positions are
-therefore pinned with a reliable ``checkpoint()`` (written to the shared
-``spark.checkpoint.dir``) before both the per-partition totals and the rows
-read them: one extra write of the ordering columns, and the numbering
-survives executor loss.
+therefore pinned by writing the ranged rows once as Parquet under the shared
+``spark.checkpoint.dir`` (one job; a reliable ``checkpoint()`` would run the
+plan twice) before both the per-partition totals and the rows read them. The
+numbering thereby also survives executor loss.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, staging_path
 
 _LOW = (1 << 33) - 1
 
@@ -48,7 +48,9 @@ def with_global_rank(df: DataFrame, order: list[Column], out_col: str, weight: C
     else:
         w = Window.partitionBy("_gr_pid").orderBy("_gr_lrn").rowsBetween(Window.unboundedPreceding, 0)
         ranged = ranged.withColumn("_gr_local", F.sum(weight.cast("long")).over(w))
-    ranged = ranged.checkpoint(eager=True)
+    path = staging_path(df.sparkSession, "positions")
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
     totals = ranged.groupBy("_gr_pid").agg(F.max("_gr_local").alias("_gr_total"))
     # one row per range partition: a single-partition window here is bounded by n
     before = Window.orderBy("_gr_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,7 +149,14 @@ def number_archives(packed: DataFrame, keys: list[str], start: int | Column = 0)
     per-key offsets are joined back on the key (AQE broadcasts them when the
     runtime size allows, otherwise it is a shuffle join)."""
     per_key = packed.groupBy(*keys).agg(F.max("k").alias("_n"))
-    ranked = with_global_rank(per_key, [F.col(c).asc_nulls_first() for c in keys], "_cum", weight=F.col("_n"))
+    order = [F.col(c).asc_nulls_first() for c in keys]
+    if keys == ["slot"]:
+        # one row per configured slot: a single-partition window is bounded by the slot count
+        ranked = per_key.withColumn("_cum", F.sum("_n").over(
+            Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        # group x slot keys grow with the data: running sum without one partition
+        ranked = with_global_rank(per_key, order, "_cum", weight=F.col("_n"))
     offsets = ranked.select(*keys, (F.col("_cum") - F.col("_n")).alias("_off"))
     base = start if isinstance(start, Column) else F.lit(start)
     return (packed.join(offsets, keys)

@@ -157,7 +157,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     else:
         ok = bodies.select("archive_id", F.octet_length("content").cast("long").alias("actual"))
         slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
-        packed = PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id")
+        packed = _stage(PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id"),
+                        os.path.join(stage, "packed"))  # the sequential packer runs once
         numbered = PK.number_archives(packed, keys, start=start)
         numbered = _stage(numbered.withColumn("grp", job_dir_rel), os.path.join(stage, "numbered"))
         to_write = numbered.select("archive_id", "zip_idx", "grp", "claim_seq").join(bodies, "archive_id")
