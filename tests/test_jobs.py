@@ -129,3 +129,17 @@ def test_stream_commit_log_is_merge_on_read(spark):
     assert key(current_ledger(spark, d + "/ledger", d + "/log")) == key(exp)
     v = compact(spark, d + "/ledger", d + "/log")
     assert v == 2 and key(current_ledger(spark, d + "/ledger", d + "/log")) == key(exp)
+
+
+def test_cli_export(spark, capsys):
+    import json
+    from zipledger.__main__ import main
+    d = tempfile.mkdtemp()
+    m, c = _inputs(spark)
+    m.write.parquet(d + "/ledger")
+    c.write.parquet(d + "/content")
+    assert main(["export", "--job-id", "cli", "--ledger", d + "/ledger", "--content", d + "/content",
+                 "--output-dir", d + "/out", "--max-zip-size-mb", "1", "--log-dir", d + "/logs"]) == 0
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rep["job"] == "cli" and rep["completed"] > 0
+    assert os.path.isdir(d + "/logs/channel=process")

@@ -79,13 +79,15 @@ def first_level(path_col: str, root: str):
                   F.concat(F.lit(r), F.substring_index(rest, "/", 1)))
 
 
-def empty_job_dirs(files: DataFrame, deleted: DataFrame, root: str, dirs: DataFrame | None = None) -> DataFrame:
+def empty_job_dirs(files: DataFrame, deleted: DataFrame, root: str, dirs: DataFrame | None = None,
+                   protect: list[str] | tuple = ()) -> DataFrame:
     """First-level directories with no entries left after deletion.
 
     A file keeps its job directory if it was not deleted or if it sits in a
     subdirectory (the subdirectory itself survives, even when emptied). With
     ``dirs`` (all first-level directories) never-populated ones are included.
-    Returns ``path`` of each directory to remove.
+    ``protect`` names first-level directories never to remove (e.g. jobs that
+    are starting right now). Returns ``path`` of each directory to remove.
     """
     f = files.select("path").withColumn("dir", first_level("path", root))
     f = f.where(F.col("dir").isNotNull())
@@ -97,7 +99,11 @@ def empty_job_dirs(files: DataFrame, deleted: DataFrame, root: str, dirs: DataFr
     candidates = f.select("dir").distinct()
     if dirs is not None:
         candidates = candidates.unionByName(dirs.select(F.col("path").alias("dir"))).distinct()
-    return candidates.join(keep, "dir", "left_anti").select(F.col("dir").alias("path"))
+    out = candidates.join(keep, "dir", "left_anti")
+    if protect:
+        r = root.rstrip("/") + "/"
+        out = out.where(~F.col("dir").isin(*[r + p for p in protect]))
+    return out.select(F.col("dir").alias("path"))
 
 
 def remove_dirs(dirs: DataFrame) -> DataFrame:

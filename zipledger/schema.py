@@ -94,3 +94,4 @@ class RetentionConfig:
     max_age_days: int = C.DEFAULT_MAX_AGE_DAYS
     dry_run: bool = False
     extensions: tuple = field(default=C.RETENTION_EXTENSIONS)
+    protect: tuple = ()  # first-level directories never removed by the empty-directory sweep
