@@ -143,3 +143,12 @@ def test_cli_export(spark, capsys):
     rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert rep["job"] == "cli" and rep["completed"] > 0
     assert os.path.isdir(d + "/logs/channel=process")
+
+
+def test_slots_grow_with_data(spark):
+    m, c = _inputs(spark)
+    cfg = ExportConfig(job_id="s", max_zip_mb=1, max_bytes_per_slot=2 * 1024 * 1024)
+    res = run_export(spark, m, cfg, tempfile.mkdtemp(), content=c, now="2026-01-01 00:00:00")
+    assert res.timings["slots"] > cfg.slots
+    per_slot = res.entries.count()
+    assert per_slot > 0 and res.archives.agg(F.sum("entries")).first()[0] == per_slot

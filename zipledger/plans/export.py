@@ -12,6 +12,7 @@ into the task that packs and writes them (hash slot rule).
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 import os
 import time
@@ -69,6 +70,15 @@ def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) ->
     return int(PK.resume_index(df, depth_col=None).first()["resume_index"])
 
 
+def scale_slots(meta: DataFrame, cfg: ExportConfig) -> ExportConfig:
+    """Raise the slot count so each slot holds at most ``max_bytes_per_slot`` declared bytes."""
+    if not cfg.max_bytes_per_slot:
+        return cfg
+    total = meta.agg(F.sum("declared")).first()[0] or 0
+    need = -(-int(total) // int(cfg.max_bytes_per_slot))
+    return dataclasses.replace(cfg, zip_slots=need) if need > cfg.slots else cfg
+
+
 def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, start: int, stage: str):
     """Hash slots: bodies shuffle once into the task that packs and writes them."""
     from ..sinks.archive import finalize_archives, pack_and_write
@@ -150,6 +160,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
                         F.col("loc.org_id").alias("org_id")).join(
         fetched.where("fetch_ok").select("archive_id"), "archive_id", "left_semi")
     keys = PK.pack_keys(cfg.group_mode, "org_id")
+    cfg = scale_slots(meta, cfg)
     job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else \
         F.concat(F.lit(cfg.job_id + "/"), F.col("org_id"))
     if cfg.slot_rule == "hash":
@@ -192,4 +203,5 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     inventory = list_files(spark, job_dir)
     report = job_report(final, inventory, cfg.job_id, job_dir[len("file:"):] if job_dir.startswith("file:")
                         else job_dir, cfg.archive_base_url)
+    timings["slots"] = cfg.slots
     return ExportResult(final, archives, entries, report, version, start, timings)

@@ -77,6 +77,9 @@ class ExportConfig:
     # "hash": slots co-partitioned with bodies, packing fused with writing (bodies shuffle once)
     # "round_robin": slots by claim position, pack metadata first, then shuffle bodies to writers
     slot_rule: str = "hash"
+    # slots grow so that no slot (one packing/writing task) gets more declared
+    # bytes than this; small runs keep the configured/derived slot count
+    max_bytes_per_slot: int | None = 16 * 1024 ** 3
 
     @property
     def slots(self) -> int:
