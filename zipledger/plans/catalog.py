@@ -75,6 +75,12 @@ def _fold(spark, sf_dir):
     return AT.fold_attempts(A.attempts_from_manifest(_manifest(spark, sf_dir)))
 
 
+def q_claim_mark_processing(spark, sf_dir):
+    """Ledger after one claim: the first batch becomes PROCESSING (error text untouched)."""
+    cur = _current(spark, sf_dir)
+    return L.mark_claimed(cur, L.claim_first_batch(cur, P.BATCH_SIZE), now=P.NOW)
+
+
 def q_parse_rejects(spark, sf_dir):
     _, rejects = L.split_valid(L.eligible(_current(spark, sf_dir)))
     return rejects

@@ -267,6 +267,12 @@ select *, cast(floor((claim_seq - 1) / {P.BATCH_SIZE}) as bigint) as batch_id fr
 select archive_id, archive_time, archive_location, raw_eml_size from c where claim_seq <= {P.BATCH_SIZE}"""
     att = [("att0", ATTEMPTS), ("att", ATTEMPTS_E), ("fold", FOLD)]
     q["parse_rejects"] = _with(("r", REJECTS)) + "select * from r"
+    q["claim_mark_processing"] = _with(("c", CLAIMED)) + f"""
+select u.archive_id, u.archive_time, u.archive_location, u.raw_eml_size,
+  case when c.claim_seq <= {P.BATCH_SIZE} then 'PROCESSING' else u.export_status end as export_status,
+  case when c.claim_seq <= {P.BATCH_SIZE} then {NOW} else u.updated_at end as updated_at,
+  u.error_log, u.retries
+from cur u left join c using (archive_id)"""
     q["fold_attempts"] = _with(*att) + "select * from fold"
     q["failure_reasons"] = _with(*att) + f"select archive_id, {REASON} as error_log from fold where not fetch_ok"
     q["backoff_seconds"] = _with(*att) + """
