@@ -152,3 +152,11 @@ def test_slots_grow_with_data(spark):
     assert res.timings["slots"] > cfg.slots
     per_slot = res.entries.count()
     assert per_slot > 0 and res.archives.agg(F.sum("entries")).first()[0] == per_slot
+
+
+def test_no_temp_files_left(spark):
+    m, c = _inputs(spark)
+    out = tempfile.mkdtemp()
+    run_export(spark, m, ExportConfig(job_id="t", max_zip_mb=1), out, content=c, now="2026-01-01 00:00:00")
+    leftovers = [f for d, _, fs in os.walk(out) for f in fs if f.endswith(".tmp")]
+    assert leftovers == []

@@ -81,11 +81,12 @@ def scale_slots(meta: DataFrame, cfg: ExportConfig) -> ExportConfig:
 
 def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, start: int, stage: str):
     """Hash slots: bodies shuffle once into the task that packs and writes them."""
-    from ..sinks.archive import finalize_archives, pack_and_write
+    from ..sinks.archive import discard_temp, finalize_archives, pack_and_write
     group = cfg.group_mode in ("partition", "rotate")
     slotted = PK.assign_slots(meta, cfg.slots, rule="hash")
+    run_id = os.path.basename(stage)
     written = pack_and_write(slotted, bodies, cfg.cap_bytes, out_dir, cfg.slots, rotate=cfg.group_mode == "rotate",
-                             group_col="org_id" if group else None)
+                             group_col="org_id" if group else None, run_id=run_id)
     written = _stage(written, os.path.join(stage, "written"))      # the writes happen exactly once
     zip_failed = written.where(F.col("zip_error").isNotNull()).select(
         "archive_id", failure_reason(F.lit("zip"), detail="zip_error").alias("error_log"))
@@ -103,6 +104,7 @@ def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, star
     archives = _stage(renamed.join(per_archive.select("zip_idx", "entries", "bytes"), "zip_idx")
                       .select("zip_idx", "archive_path", "entries", "bytes", "file_bytes"),
                       os.path.join(stage, "archives"))
+    discard_temp(out_dir, run_id)
     return numbered.withColumn("grp", F.col("archive_dir")), archives, zip_failed
 
 

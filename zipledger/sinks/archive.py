@@ -99,7 +99,7 @@ PACKED_WRITE = T.StructType([
 
 def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir: str, slots: int,
                    rotate: bool = False, group_col: str | None = None,
-                   compresslevel: int | None = None) -> DataFrame:
+                   compresslevel: int | None = None, run_id: str | None = None) -> DataFrame:
     """Fused next-fit packing and archive writing, one task per set of whole slots.
 
     ``meta`` (``archive_id, slot, claim_seq, declared`` and optionally a group)
@@ -121,7 +121,7 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
         bodies.select("archive_id", "content").repartition(slots, "archive_id"), "archive_id")
     order = ["slot"] + ([group_col] if group_col and not rotate else []) + ["claim_seq"]
     src = src.sortWithinPartitions(*order)
-    staging = os.path.join(base, ".staging")
+    staging = temp_dir(out_dir, run_id or uuid.uuid4().hex)
 
     def run(batches):
         ctx = TaskContext.get()
@@ -160,6 +160,18 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
     return src.mapInPandas(run, PACKED_WRITE)
 
 
+def temp_dir(out_dir: str, run_id: str) -> str:
+    """Where one run's unfinished archives live (hidden, removed by ``discard_temp``)."""
+    return os.path.join(_local(out_dir), ".staging", run_id)
+
+
+def discard_temp(out_dir: str, run_id: str) -> None:
+    """Drop what failed or speculative task attempts left behind, once the run's
+    archives are final (every file still here belongs to no committed archive)."""
+    import shutil
+    shutil.rmtree(temp_dir(out_dir, run_id), ignore_errors=True)
+
+
 def finalize_archives(archives: DataFrame, out_dir: str, dir_col: str = "archive_dir") -> DataFrame:
     """Rename each archive's temporary file to ``<out_dir>/<dir>/emails_NNNN.zip``.
 
