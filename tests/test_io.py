@@ -5,8 +5,6 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import functions as F
-
 from zipledger.operators.retention import apply_retention, empty_job_dirs, retention_plan, retention_summary
 from zipledger.plans.retention import run_retention
 from zipledger.schema import RetentionConfig
@@ -104,7 +102,19 @@ def test_retention_plan_operators(spark):
     assert [r["path"] for r in plan.collect()] == ["/s/j1/a.zip"]
     assert [r["path"] for r in empty_job_dirs(inv, plan, "/s").collect()] == []
     assert retention_summary(plan).first()["bytes"] == 5
-    assert apply_retention  # exercised through run_retention above
+
+
+def test_failed_delete_counts_only_as_error(spark):
+    root = tempfile.mkdtemp(prefix="zl-del-")
+    _touch(f"{root}/j/a.zip", dt.datetime(2020, 1, 1), size=3)
+    os.makedirs(f"{root}/j/dir.zip")                       # removing a directory as a file fails
+    plan = spark.createDataFrame([(f"{root}/j/a.zip", 3), (f"{root}/j/dir.zip", 9), (f"{root}/j/gone.zip", 4)],
+                                 "path string, length long")
+    res = {r["path"].rsplit("/", 1)[-1]: r for r in apply_retention(plan).collect()}
+    assert res["a.zip"]["deleted"] and res["gone.zip"]["deleted"]   # already missing = done
+    assert not res["dir.zip"]["deleted"] and res["dir.zip"]["error"]
+    s = retention_summary(spark.createDataFrame(list(res.values()))).first()
+    assert (s["files"], s["bytes"], s["errors"]) == (2, 7, 1)
 
 
 def test_list_files_skips_nothing(spark):
@@ -116,7 +126,6 @@ def test_list_files_skips_nothing(spark):
     assert paths == [("/a", True), ("/a/.hidden.zip", False), ("/a/b", True), ("/a/b/c.zip", False)]
     t = {r["path"][len(root):]: r["modificationTime"] for r in got}
     assert t["/a/b/c.zip"] == dt.datetime(2024, 1, 2)
-    assert F
 
 
 def test_request_build_error_is_not_retried(spark):
