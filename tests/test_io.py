@@ -85,13 +85,15 @@ def test_retention_tree(spark):
     _touch(f"{root}/j4/sub/x.db", old)                                   # emptied subdir keeps j4
     _touch(f"{root}/j5/only.zip", old)                                   # emptied: j5 removed
     os.makedirs(f"{root}/j6")                                            # never populated: removed
+    os.makedirs(f"{root}/j7/empty-sub")                                  # holds an empty subdirectory: kept
     _touch(f"{root}/top.db", old)                                        # file directly in root
     dry = run_retention(spark, root, RetentionConfig(dry_run=True), now=now)
     assert dry.summary.first()["files"] == 4 and os.path.exists(f"{root}/j5/only.zip")
     res = run_retention(spark, root, RetentionConfig(), now=now)
     s = res.summary.first()
     assert (s["files"], s["bytes"], s["errors"], s["gb_freed"]) == (4, 40, 0, "0.00")
-    assert sorted(os.listdir(root)) == ["j1", "j2", "j3", "j4"]
+    assert sorted(os.listdir(root)) == ["j1", "j2", "j3", "j4", "j7"]
+    assert res.removed_dirs.where("not removed").count() == 0
     assert os.listdir(f"{root}/j1") == ["a.zip"] and os.path.isdir(f"{root}/j4/sub")
 
 
