@@ -160,3 +160,22 @@ def test_no_temp_files_left(spark):
     run_export(spark, m, ExportConfig(job_id="t", max_zip_mb=1), out, content=c, now="2026-01-01 00:00:00")
     leftovers = [f for d, _, fs in os.walk(out) for f in fs if f.endswith(".tmp")]
     assert leftovers == []
+
+
+def test_export_stream_numbers_across_batches(spark):
+    from zipledger.sources.manifest import conform_ledger
+    from zipledger.streaming.export_stream import read_stream_ledger, run_export_stream
+    m, c = _inputs(spark)
+    d = tempfile.mkdtemp()
+    conform_ledger(m).repartitionByRange(3, "archive_id").write.parquet(d + "/in")
+    q = run_export_stream(spark, d + "/in", ExportConfig(job_id="s", max_zip_mb=1), d + "/out", d + "/ck",
+                          content=c, now="2026-01-01 00:00:00")
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    names = sorted(f for f in os.listdir(d + "/out/s") if f.endswith(".zip"))
+    assert names == [f"emails_{i:04d}.zip" for i in range(1, len(names) + 1)]
+    ledger = read_stream_ledger(spark, d + "/out", "s")
+    assert ledger.count() == m.count()
+    one = run_export(spark, m, ExportConfig(job_id="s", max_zip_mb=1), tempfile.mkdtemp(), content=c,
+                     now="2026-01-01 00:00:00").ledger
+    key = lambda df: sorted((r["archive_id"], r["export_status"], r["error_log"]) for r in df.collect())
+    assert key(ledger) == key(one)

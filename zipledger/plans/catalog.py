@@ -439,6 +439,19 @@ def q_stream_pack(spark, sf_dir):
     return spark.read.parquet(root + "/sink")
 
 
+def q_export_stream(spark, sf_dir):
+    """The manifest arrives as claim-ordered files; each micro-batch is exported as it lands."""
+    from ..session import staging_path
+    from ..sources.manifest import conform_ledger
+    from ..streaming.export_stream import read_stream_ledger, run_export_stream
+    root = staging_path(spark, "export_stream")
+    conform_ledger(_manifest(spark, sf_dir)).repartitionByRange(STREAM_FILES, "archive_time", "archive_id") \
+        .write.parquet(root + "/incoming")
+    run_export_stream(spark, root + "/incoming", _export_cfg(), root + "/out", root + "/checkpoint",
+                      content=_content(spark, sf_dir), now=P.NOW)
+    return read_stream_ledger(spark, root + "/out", P.JOB_ID)
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 FLAGSHIP = "export_job"

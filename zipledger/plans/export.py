@@ -110,7 +110,8 @@ def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, star
 
 def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_dir: str, *,
                fetcher_factory=None, content: DataFrame | None = None, now=None,
-               max_batches: int | None = None, sleep=time.sleep, audit_dir: str | None = None) -> ExportResult:
+               max_batches: int | None = None, sleep=time.sleep, audit_dir: str | None = None,
+               ledger_root: str | None = None) -> ExportResult:
     """Run one export over ``ledger`` into ``out_dir/<job_id>``.
 
     Bodies come from ``content`` (a table keyed by archive_id) or from
@@ -192,7 +193,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
             "archive_id", F.lit(C.PROCESSING).alias("export_status"),
             F.lit(None).cast("string").alias("error_log"), F.lit(0).cast("long").alias("seq")))
     final = L.apply_updates(cur, updates, now=run_now)
-    ledger_root = os.path.join(job_dir, "ledger")
+    ledger_root = ledger_root or os.path.join(job_dir, "ledger")
     version = write_ledger_snapshot(final, ledger_root)
     final = read_ledger_snapshot(spark, ledger_root, version)
     lap("commit")

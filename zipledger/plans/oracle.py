@@ -400,4 +400,5 @@ from nb0"""
     q["stream_manifest"] = q["eligible_records"]
     q["stream_commit"] = q["mark_completed"]
     q["stream_pack"] = q["pack_next_fit"]
+    q["export_stream"] = q["export_job"]
     return q
