@@ -248,7 +248,7 @@ SINK_CAP_MB = 1
 
 
 def q_archive_sink(spark, sf_dir):
-    """Resolved bodies packed (1 MB cap, 10 slots) and written as ZIP files under staging."""
+    """Resolved bodies packed (256 KB cap, 10 slots) and written as ZIP files under staging."""
     from ..session import staging_path
     from ..sinks.archive import write_archives
     from ..sources.fetch import resolve_content
@@ -256,7 +256,7 @@ def q_archive_sink(spark, sf_dir):
     fetched = resolve_content(valid, _content(spark, sf_dir)).where("fetch_ok")
     meta = valid.select("archive_id", "claim_seq", F.col("raw_eml_size").alias("declared")).join(
         fetched.select("archive_id", F.octet_length("content").cast("long").alias("actual")), "archive_id")
-    packed = PK.pack_next_fit(PK.assign_slots(meta, P.SLOTS), SINK_CAP_MB * 1024 * 1024, mode="slot")
+    packed = PK.pack_next_fit(PK.assign_slots(meta, P.SLOTS), P.SINK_CAP_BYTES, mode="slot")
     numbered = PK.number_archives(packed, ["slot"], start=0).withColumn("grp", F.lit(P.JOB_ID))
     bodies = numbered.select("archive_id", "zip_idx", "grp", "claim_seq").join(
         fetched.select("archive_id", "content"), "archive_id")

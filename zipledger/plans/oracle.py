@@ -356,7 +356,7 @@ select c.archive_id, d.archive_id is not null as fetch_ok,
 from c left join ({CONTENT}) d using (archive_id) where {VALID.replace('archive_location', 'c.archive_location')}"""
     sink = _pack_ctes(["slot"], False)
     sink[1] = ("packin", SINK_PACKIN)
-    sink = [(n, sql.replace(str(CAP), str(1024 * 1024))) for n, sql in sink]
+    sink = [(n, sql.replace(str(CAP), str(P.SINK_CAP_BYTES))) for n, sql in sink]
     q["archive_sink"] = _with(*sink, ("nb0", NUMBERED.replace(str(P.RESUME_START), "0")), recursive=True) + f"""
 select cast(n.off0 + n.k as bigint) as zip_idx,
   '{P.JOB_ID}/' || printf('emails_%04d.zip', cast(n.off0 + n.k as bigint)) as archive_path,

@@ -5,6 +5,7 @@ BATCH_SIZE = 500
 WORKERS = 50
 SLOTS = 10            # max(5, 50 div 5)
 PACK_CAP_MB = 4       # small enough that every slot rotates many times at sf0.01
+SINK_CAP_BYTES = 256 * 1024  # declared sizes reach ~500 KB: some rows rotate, others fit
 RESUME_START = 9990   # numbering resumes here, so names grow past four digits
 JOB_ID = "job-0001"
 BASE_URL = "https://portal.example///"
