@@ -70,13 +70,15 @@ def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) ->
     return int(PK.resume_index(df, depth_col=None).first()["resume_index"])
 
 
-def scale_slots(meta: DataFrame, cfg: ExportConfig) -> ExportConfig:
-    """Raise the slot count so each slot holds at most ``max_bytes_per_slot`` declared bytes."""
+def scale_slots(meta: DataFrame, cfg: ExportConfig) -> tuple[ExportConfig, int]:
+    """Raise the slot count so each slot holds at most ``max_bytes_per_slot``
+    declared bytes; also returns the number of items (one aggregate)."""
+    row = meta.agg(F.count(F.lit(1)).alias("n"), F.sum("declared").alias("b")).first()
+    n, total = int(row["n"]), int(row["b"] or 0)
     if not cfg.max_bytes_per_slot:
-        return cfg
-    total = meta.agg(F.sum("declared")).first()[0] or 0
-    need = -(-int(total) // int(cfg.max_bytes_per_slot))
-    return dataclasses.replace(cfg, zip_slots=need) if need > cfg.slots else cfg
+        return cfg, n
+    need = -(-total // int(cfg.max_bytes_per_slot))
+    return (dataclasses.replace(cfg, zip_slots=need) if need > cfg.slots else cfg), n
 
 
 def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, start: int, stage: str):
@@ -163,7 +165,9 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
                         F.col("loc.org_id").alias("org_id")).join(
         fetched.where("fetch_ok").select("archive_id"), "archive_id", "left_semi")
     keys = PK.pack_keys(cfg.group_mode, "org_id")
-    cfg = scale_slots(meta, cfg)
+    cfg, n_items = scale_slots(meta, cfg)
+    if content is not None and n_items <= cfg.broadcast_ids_limit:
+        bodies = bodies.join(F.broadcast(meta.select("archive_id")), "archive_id", "left_semi")
     job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else \
         F.concat(F.lit(cfg.job_id + "/"), F.col("org_id"))
     if cfg.slot_rule == "hash":

@@ -80,6 +80,9 @@ class ExportConfig:
     # slots grow so that no slot (one packing/writing task) gets more declared
     # bytes than this; small runs keep the configured/derived slot count
     max_bytes_per_slot: int | None = 16 * 1024 ** 3
+    # up to this many claimed ids, bodies are filtered map-side by a broadcast
+    # semi-join before their one shuffle (the count proves the broadcast's size)
+    broadcast_ids_limit: int = 1_000_000
 
     @property
     def slots(self) -> int:
