@@ -174,3 +174,15 @@ def test_protect_and_audit(spark):
     write_audit(audit_events(failures=fails, archived=done), d + "/audit")
     assert sorted(n for n in os.listdir(d + "/audit") if n.startswith("channel=")) == ["channel=errors",
                                                                                  "channel=process"]
+
+
+def test_http_fetcher_network_failure(spark):
+    """The real HTTP fetcher against a closed local port (nothing listens; no server is started)."""
+    from zipledger.operators.attempts import outcome_reason
+    from zipledger.sources.fetch import http_fetcher_factory
+    df = spark.createDataFrame([("a", "http://127.0.0.1:1/archive/read/o/d/2026-01-01/a")], "archive_id string, url string")
+    slept = []
+    r = outcome_reason(fetch_content(df, http_fetcher_factory("k", timeout=2), sleep=slept.append)).first()
+    assert (r["fetch_ok"], r["attempts_used"], r["http_status"], r["failure_kind"]) == (False, 3, None, "network")
+    assert r["error_log"].startswith("Network error after 3 attempts: ")
+    assert r["fetch_error"]
