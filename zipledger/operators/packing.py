@@ -141,23 +141,31 @@ def archive_table(packed: DataFrame, keys: list[str], actual: str = "actual") ->
                                           F.sum(actual).cast("long").alias("bytes"))
 
 
-def number_archives(packed: DataFrame, keys: list[str], start: int | Column = 0) -> DataFrame:
+def number_archives(packed: DataFrame, keys: list[str], start: int | Column = 0, staged: bool = False) -> DataFrame:
     """Adds ``zip_idx``: unique over all keys, numbered key-major starting after ``start``.
 
-    Needs only the archive count per key (one row per key); their running sum
-    is computed without a single-partition window (see ``ordering``), and the
-    per-key offsets are joined back on the key (AQE broadcasts them when the
-    runtime size allows, otherwise it is a shuffle join)."""
+    Needs only the archive count per key (one row per key). ``packed`` is read
+    twice (counts and rows), so unless it is already ``staged`` it is written
+    once under the checkpoint dir first - the sequential packer never runs
+    twice. With slot keys the offsets table has one row per configured slot, a
+    proven bound, so it is broadcast; group x slot keys grow with the data, so
+    their running sum avoids a single partition and the join is left to AQE.
+    """
+    if not staged:
+        from ..session import staging_path
+        path = staging_path(packed.sparkSession, "packed")
+        packed.write.parquet(path)
+        packed = packed.sparkSession.read.parquet(path)
     per_key = packed.groupBy(*keys).agg(F.max("k").alias("_n"))
     order = [F.col(c).asc_nulls_first() for c in keys]
     if keys == ["slot"]:
-        # one row per configured slot: a single-partition window is bounded by the slot count
         ranked = per_key.withColumn("_cum", F.sum("_n").over(
             Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
     else:
-        # group x slot keys grow with the data: running sum without one partition
         ranked = with_global_rank(per_key, order, "_cum", weight=F.col("_n"))
     offsets = ranked.select(*keys, (F.col("_cum") - F.col("_n")).alias("_off"))
+    if keys == ["slot"]:
+        offsets = F.broadcast(offsets)
     base = start if isinstance(start, Column) else F.lit(start)
     return (packed.join(offsets, keys)
             .withColumn("zip_idx", (base + F.col("_off") + F.col("k")).cast("long"))

@@ -94,7 +94,7 @@ def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, star
         "archive_id", failure_reason(F.lit("zip"), detail="zip_error").alias("error_log"))
     written = written.where(F.col("zip_error").isNull())
     keys = ["slot", "grp"] if cfg.group_mode == "partition" else ["slot"]
-    numbered = PK.number_archives(written, keys, start=start)
+    numbered = PK.number_archives(written, keys, start=start, staged=True)
     rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else F.concat(F.lit(cfg.job_id + "/"), F.col("grp"))
     numbered = _stage(numbered.withColumn("archive_dir", rel), os.path.join(stage, "numbered"))
     per_archive = numbered.groupBy("zip_idx", "temp_path", "archive_dir").agg(
@@ -177,7 +177,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
         packed = _stage(PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id"),
                         os.path.join(stage, "packed"))  # the sequential packer runs once
-        numbered = PK.number_archives(packed, keys, start=start)
+        numbered = PK.number_archives(packed, keys, start=start, staged=True)
         numbered = _stage(numbered.withColumn("grp", job_dir_rel), os.path.join(stage, "numbered"))
         to_write = numbered.select("archive_id", "zip_idx", "grp", "claim_seq").join(bodies, "archive_id")
         archives = _stage(write_archives(to_write, out_dir, group_col="grp"), os.path.join(stage, "archives"))
