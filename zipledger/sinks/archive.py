@@ -15,6 +15,7 @@ import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
@@ -100,62 +101,89 @@ PACKED_WRITE = T.StructType([
 def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir: str, slots: int,
                    rotate: bool = False, group_col: str | None = None,
                    compresslevel: int | None = None, run_id: str | None = None) -> DataFrame:
-    """Fused next-fit packing and archive writing, one task per set of whole slots.
-
-    ``meta`` (``archive_id, slot, claim_seq, declared`` and optionally a group)
-    must use ``assign_slots(rule="hash")``; ``bodies`` is ``archive_id, content``.
-    Both sides are repartitioned by ``archive_id`` into ``slots`` partitions, so
-    the join adds no exchange, partition p holds exactly slot p, and bodies are
-    shuffled once - straight to the task that writes them. Entries go, in claim order, into hidden temporary
-    files per (slot, group, k) named by the task attempt; the returned rows
-    (one per entry) record which temporary file holds each entry.
-    Materialise the result exactly once, then ``finalize_archives``.
+    """Fused next-fit packing and archive writing; bodies are shuffled exactly once.
+
+    ``meta``: ``archive_id, slot, claim_seq, declared`` (+ group), slots from
+    ``assign_slots(rule="hash")``; ``bodies``: ``archive_id, content``. A body's
+    slot follows from its id alone, so both inputs are tagged with the slot,
+    unioned, and repartitioned by ``slot`` - there is no join, and whatever
+    partition count Spark settles on, a slot never spans two tasks. Sorted by
+    (slot, archive_id, kind), every metadata row is directly followed by its
+    body, and the task packs and writes in one streaming pass (O(1) state per
+    slot; one open archive per group in ``partition`` mode). Entries go into
+    hidden temporary files named by task attempt; the returned rows (one per
+    written entry) record which file holds each entry. Within a slot, items
+    are packed in archive_id order. Materialise the result exactly once, then
+    ``finalize_archives``.
     """
     from pyspark import TaskContext
 
     from ..operators.packing import NextFit
 
     base = _local(out_dir)
-    cols = ["archive_id", "slot", "claim_seq", "declared"] + ([group_col] if group_col else [])
-    src = meta.select(*cols).repartition(slots, "archive_id").join(
-        bodies.select("archive_id", "content").repartition(slots, "archive_id"), "archive_id")
-    order = ["slot"] + ([group_col] if group_col and not rotate else []) + ["claim_seq"]
-    src = src.sortWithinPartitions(*order)
+    g = [group_col] if group_col else []
+    m = meta.select("archive_id", "slot", "claim_seq", "declared", *g, F.lit(0).alias("_kind"),
+                    F.lit(None).cast("binary").alias("content"))
+    b = bodies.select("archive_id", F.pmod(F.hash("archive_id"), F.lit(slots)).cast("int").alias("slot"),
+                      F.lit(None).cast("long").alias("claim_seq"), F.lit(None).cast("long").alias("declared"),
+                      *[F.lit(None).cast("string").alias(c) for c in g], F.lit(1).alias("_kind"), "content")
+    src = m.unionByName(b).repartition(slots, "slot").sortWithinPartitions("slot", "archive_id", "_kind")
     staging = temp_dir(out_dir, run_id or uuid.uuid4().hex)
+    per_group = bool(group_col) and not rotate
 
     def run(batches):
         ctx = TaskContext.get()
         tag = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}"
         os.makedirs(staging, exist_ok=True)
-        fit = NextFit(cap_bytes, rotate)
-        zf, path, opened_count = None, None, 0
+        fits: dict = {}
+        open_zip: dict = {}   # state key -> (ZipFile, path)
+        opened_count = 0
+        pending = None        # the metadata row waiting for its body
+        cur_slot = None
+
+        def close_all():
+            for zf, _ in open_zip.values():
+                zf.close()
+            open_zip.clear()
+
         for pdf in batches:
             out = {f.name: [] for f in PACKED_WRITE.fields}
-            slots_ = pdf["slot"].tolist()
-            grps = pdf[group_col].fillna("").tolist() if group_col else [None] * len(pdf)
-            for i, (aid, seq, dec, body) in enumerate(zip(pdf["archive_id"].tolist(), pdf["claim_seq"].tolist(),
-                                                          pdf["declared"].fillna(0).tolist(),
-                                                          pdf["content"].tolist())):
+            cols = [pdf[c].tolist() for c in ("archive_id", "slot", "claim_seq", "declared", "_kind", "content")]
+            grps = pdf[group_col].tolist() if group_col else [None] * len(pdf)
+            for aid, slot, seq, dec, kind, body, grp in zip(*cols, grps):
+                if slot != cur_slot:
+                    close_all()
+                    fits.clear()
+                    cur_slot, pending = slot, None
+                if kind == 0:
+                    pending = (aid, seq, dec, grp)
+                    continue
+                if pending is None or pending[0] != aid:
+                    continue  # a body nobody claimed
+                _, seq, dec, grp = pending
+                pending = None
                 body = bytes(body) if body is not None else b""
-                key = slots_[i] if (rotate or not group_col) else (slots_[i], grps[i])
-                k, opened = fit.step(key, int(dec), len(body), grps[i])
+                key = grp if per_group else None
+                fit = fits.setdefault(key, NextFit(cap_bytes, rotate))
+                k, opened = fit.step(slot, int(dec or 0), len(body), grp)
                 if opened:
-                    if zf is not None:
-                        zf.close()
+                    if key in open_zip:
+                        open_zip.pop(key)[0].close()
                     opened_count += 1
                     path = os.path.join(staging, f".{tag}-{opened_count}.zip.tmp")
-                    zf = zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=compresslevel)
+                    open_zip[key] = (zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED,
+                                                     compresslevel=compresslevel), path)
+                zf, path = open_zip[key]
                 error = None
                 try:
                     zf.writestr(f"{aid}{C.ENTRY_SUFFIX}", body)
                 except Exception as e:  # noqa: BLE001 - one bad entry fails that record only
                     error = str(e) or type(e).__name__
-                for name, v in (("archive_id", aid), ("slot", slots_[i]), ("grp", grps[i]), ("claim_seq", seq),
+                for name, v in (("archive_id", aid), ("slot", slot), ("grp", grp), ("claim_seq", seq),
                                 ("actual", len(body)), ("k", k), ("temp_path", path), ("zip_error", error)):
                     out[name].append(v)
-            yield pd.DataFrame(out)
-        if zf is not None:
-            zf.close()
+            yield pd.DataFrame(out, columns=[f.name for f in PACKED_WRITE.fields])
+        close_all()
 
     return src.mapInPandas(run, PACKED_WRITE)
 
