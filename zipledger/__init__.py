@@ -10,3 +10,18 @@ Layout:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value, so Python tasks on executors do
+    not need the package installed (mapInPandas helpers reference it)."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - older cloudpickle: ship with --py-files instead
+        pass
+
+
+_ship_by_value()

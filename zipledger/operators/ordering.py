@@ -26,19 +26,15 @@ from ..session import checkpoint_root, staging_path
 _LOW = (1 << 33) - 1
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def with_global_rank(df: DataFrame, order: list[Column], out_col: str, weight: Column | None = None,
                      num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col``: the 1-based position of each row in ``order`` (a total order),
     or, with ``weight``, the inclusive running sum of ``weight`` in that order."""
-    n = _partitions(df, num_partitions)
     checkpoint_root(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count AQE may coalesce neighbouring range partitions,
+    # which keeps the order; positions are read after that, inside the write
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = (ranged.sortWithinPartitions(*order)
               .withColumn("_gr_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_gr_pid", F.shiftright("_gr_mid", 33))
               .withColumn("_gr_lrn", F.col("_gr_mid").bitwiseAND(F.lit(_LOW)) + 1)

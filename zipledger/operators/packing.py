@@ -128,9 +128,10 @@ def pack_next_fit(df: DataFrame, cap_bytes: int, mode: str = "slot", group_col:
         cols.append(group_col)
     rows = df.select(*dict.fromkeys(cols))
     out_schema = T.StructType(rows.schema.fields + [T.StructField("k", T.LongType(), False)])
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fn = _next_fit(keys, seq_col, declared, actual, group_col, cap_bytes, mode == "rotate")
-    return (rows.repartition(n, *keys)
+    # any partition count works (a key never spans partitions), so let AQE size it
+    parts = rows.repartition(num_partitions, *keys) if num_partitions else rows.repartition(*keys)
+    return (parts
             .sortWithinPartitions(*keys, seq_col)
             .mapInPandas(fn, out_schema))
 

@@ -41,7 +41,6 @@ def write_archives(rows: DataFrame, out_dir: str, group_col: str = "grp", seq_co
     ``out_dir`` must be a filesystem path every executor sees (shared mount).
     """
     base = _local(out_dir)
-    n = num_partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = rows.select("archive_id", "zip_idx", group_col, seq_col, "content")
 
     def run(batches):
@@ -82,8 +81,8 @@ def write_archives(rows: DataFrame, out_dir: str, group_col: str = "grp", seq_co
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in ARCHIVE_ROWS.fields])
 
-    return (src.repartition(n, "zip_idx").sortWithinPartitions("zip_idx", seq_col)
-            .mapInPandas(run, ARCHIVE_ROWS))
+    parts = src.repartition(num_partitions, "zip_idx") if num_partitions else src.repartition("zip_idx")
+    return parts.sortWithinPartitions("zip_idx", seq_col).mapInPandas(run, ARCHIVE_ROWS)
 
 
 PACKED_WRITE = T.StructType([
