@@ -87,7 +87,7 @@ def main() -> None:
 
     run("export_job", export_job)
     run("archive_sink", catalog.q_archive_sink)
-    for q in ("claim_batches", "apply_updates", "pack_next_fit", "pack_rotate_on_change", "number_archives",
+    for q in ("fetch_content", "claim_batches", "apply_updates", "pack_next_fit", "pack_rotate_on_change", "number_archives",
               "fold_attempts", "flush_batches", "running_progress", "retention_plan", "retention_job",
               "total_archive_size", "job_report", "stream_commit"):
         run(q, catalog.queries()[q])
