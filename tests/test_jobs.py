@@ -179,3 +179,23 @@ def test_export_stream_numbers_across_batches(spark):
                      now="2026-01-01 00:00:00").ledger
     key = lambda df: sorted((r["archive_id"], r["export_status"], r["error_log"]) for r in df.collect())
     assert key(ledger) == key(one)
+
+
+def test_retention_cleans_an_old_export(spark):
+    """Archives and the ledger snapshots of an old export are deleted and its job dir removed."""
+    from zipledger.plans.retention import run_retention
+    from zipledger.schema import RetentionConfig
+    m, c = _inputs(spark)
+    out = tempfile.mkdtemp()
+    run_export(spark, m, ExportConfig(job_id="old", max_zip_mb=1), out, content=c, now="2026-01-01 00:00:00")
+    os.makedirs(os.path.join(out, "fresh"))
+    with open(os.path.join(out, "fresh", "new.zip"), "wb") as f:
+        f.write(b"x")
+    old = 1_500_000_000
+    for d, dirs, files in os.walk(os.path.join(out, "old")):
+        for n in files:
+            os.utime(os.path.join(d, n), (old, old))
+    res = run_retention(spark, out, RetentionConfig(max_age_days=7))
+    s = res.summary.first()
+    assert s["errors"] == 0 and s["files"] > 0
+    assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == ["fresh"]

@@ -13,15 +13,28 @@ from .. import constants as C
 from ..functions import age_days, as_timestamp, file_extension, gb_text
 
 
+def in_snapshot(path_col: str, snapshot_dirs) -> F.Column:
+    """Inside a ledger snapshot directory (``.../ledger/...``): the counterpart of the
+    single ledger-copy file the original kept in each job directory."""
+    if not snapshot_dirs:
+        return F.lit(False)
+    cond = F.lit(False)
+    for d in snapshot_dirs:
+        cond = cond | F.col(path_col).contains(f"/{d}/")
+    return cond
+
+
 def retention_plan(inventory: DataFrame, now=None, max_age_days: int = C.DEFAULT_MAX_AGE_DAYS,
-                   extensions=C.RETENTION_EXTENSIONS, mtime_col: str = "mtime") -> DataFrame:
+                   extensions=C.RETENTION_EXTENSIONS, mtime_col: str = "mtime",
+                   snapshot_dirs: tuple = ()) -> DataFrame:
     """Files whose extension (case-sensitive) is listed and whose mtime is strictly
-    before ``now - max_age_days * 24h``, at any depth."""
+    before ``now - max_age_days * 24h``, at any depth. Files inside ledger snapshot
+    directories (``snapshot_dirs``) age like the ledger copy (``.db``) they replace."""
     t = as_timestamp(now)
     cutoff = t - F.expr(f"INTERVAL {int(max_age_days) * 24} HOURS")
     files = inventory.where(~F.col("is_dir")) if "is_dir" in inventory.columns else inventory
-    return (files.where(file_extension("path").isin(*extensions) & (F.col(mtime_col) < cutoff))
-            .withColumn("age_days", age_days(mtime_col, t)))
+    kind = file_extension("path").isin(*extensions) | in_snapshot("path", snapshot_dirs)
+    return files.where(kind & (F.col(mtime_col) < cutoff)).withColumn("age_days", age_days(mtime_col, t))
 
 
 DELETE_RESULT = T.StructType([
@@ -80,21 +93,31 @@ def first_level(path_col: str, root: str):
 
 
 def empty_job_dirs(files: DataFrame, deleted: DataFrame, root: str, dirs: DataFrame | None = None,
-                   protect: list[str] | tuple = ()) -> DataFrame:
+                   protect: list[str] | tuple = (), snapshot_dirs: tuple = ()) -> DataFrame:
     """First-level directories with no entries left after deletion.
 
     A file keeps its job directory if it was not deleted or if it sits in a
     subdirectory (the subdirectory itself survives, even when emptied). With
     ``dirs`` (all first-level directories) never-populated ones are included.
     ``protect`` names first-level directories never to remove (e.g. jobs that
-    are starting right now). Returns ``path`` of each directory to remove.
+    are starting right now). Directories inside a ledger snapshot
+    (``snapshot_dirs``) do not keep a job: once their files are gone they go too.
+    Returns ``path`` of each directory to remove.
     """
-    f = files.select("path").withColumn("dir", first_level("path", root))
+    f = files.select("path", *(["is_dir"] if "is_dir" in files.columns else [])) \
+        .withColumn("dir", first_level("path", root))
     f = f.where(F.col("dir").isNotNull())
     depth_gt0 = F.instr(F.substring(F.col("path"), F.length(F.col("dir")) + 2, 1 << 30), "/") > 0
     gone = deleted.select("path", F.lit(True).alias("_gone"))
+    if "is_dir" in files.columns:
+        f = f.withColumn("_is_dir", F.coalesce(F.col("is_dir"), F.lit(False)))
+    else:
+        f = f.withColumn("_is_dir", F.lit(False))
     marked = f.join(gone, "path", "left")
-    survives = depth_gt0 | F.col("_gone").isNull()
+    snap = in_snapshot("path", snapshot_dirs) | (F.lit(bool(snapshot_dirs)) & F.col("path").rlike(
+        "/(" + "|".join(snapshot_dirs or ["-"]) + ")$"))
+    # a file survives unless deleted; a (sub)directory survives unless it belongs to a snapshot
+    survives = F.when(F.col("_is_dir"), ~snap).otherwise(F.col("_gone").isNull() | (depth_gt0 & ~snap))
     keep = marked.where(survives).select("dir").distinct()
     candidates = f.select("dir").distinct()
     if dirs is not None:
@@ -107,16 +130,20 @@ def empty_job_dirs(files: DataFrame, deleted: DataFrame, root: str, dirs: DataFr
 
 
 def remove_dirs(dirs: DataFrame) -> DataFrame:
-    """Remove the given (empty) directories; returns path, removed, error."""
+    """Remove the given directories, bottom-up with ``rmdir`` only: emptied
+    subdirectories (snapshot versions) go first, and a directory still holding a
+    file is never removed (the error is recorded). Returns path, removed, error."""
+    def remove(top: str) -> None:
+        for d, _, _ in sorted(os.walk(top, topdown=False), key=lambda w: -w[0].count("/")):
+            os.rmdir(d)
+
     def run(batches):
         for pdf in batches:
             ok, err = [], []
             for p in pdf["path"].tolist():
                 try:
-                    os.rmdir(p)
-                    ok.append(True)
-                    err.append(None)
-                except FileNotFoundError:
+                    if os.path.isdir(p):
+                        remove(p)
                     ok.append(True)
                     err.append(None)
                 except OSError as e:

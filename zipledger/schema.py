@@ -101,3 +101,5 @@ class RetentionConfig:
     dry_run: bool = False
     extensions: tuple = field(default=C.RETENTION_EXTENSIONS)
     protect: tuple = ()  # first-level directories never removed by the empty-directory sweep
+    # ledger snapshot directories written by the export job age like the ledger copy (.db)
+    snapshot_dirs: tuple = ("ledger", "ledger-stream")
