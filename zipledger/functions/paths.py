@@ -3,7 +3,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .. import constants as C
 
 
 def _c(x) -> Column:

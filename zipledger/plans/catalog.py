@@ -11,14 +11,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import build_url, cap_bytes, format_size, parse_location, portal_link, slot_count
+import os
+
+from ..functions import archive_name, build_url, cap_bytes, format_size, parse_location, portal_link, slot_count
 from ..operators import attempts as AT
 from ..operators import ledger as L
 from ..operators import packing as PK
 from ..operators import progress as PR
+from ..operators.report import audit_events, job_report, total_archive_size
+from ..operators.retention import apply_retention, empty_job_dirs, retention_plan, retention_summary
+from ..schema import ExportConfig, RetentionConfig
+from ..session import staging_path
+from ..sinks.archive import write_archives
+from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 from ..sources import adapters as A
+from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content, resolve_content
+from ..sources.inventory import list_files, snapshot
 from ..sources.manifest import conform_ledger
+from ..streaming.commit import commit_completions, compact
+from ..streaming.export_stream import read_stream_ledger, run_export_stream
+from ..streaming.manifest_stream import run_available_now, stream_manifest
+from ..streaming.pack_state import stream_pack
 from . import params as P
+from .export import run_export
+from .retention import materialize_tree, run_retention
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,7 +208,6 @@ def q_number_archives(spark, sf_dir):
 
 
 def q_archive_names(spark, sf_dir):
-    from ..functions import archive_name
     return _numbered(spark, sf_dir).select("zip_idx").distinct() \
         .select("zip_idx", archive_name("zip_idx").alias("archive_name"))
 
@@ -231,13 +246,11 @@ def _content(spark, sf_dir):
 
 
 def q_fetch_content(spark, sf_dir):
-    from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content
     out = fetch_content(_valid_claimed(spark, sf_dir), attempt_rule_fetcher_factory(), sleep=lambda s: None)
     return out.drop("content", "failure_kind")
 
 
 def q_resolve_content(spark, sf_dir):
-    from ..sources.fetch import resolve_content
     out = resolve_content(_valid_claimed(spark, sf_dir), _content(spark, sf_dir))
     return out.select("archive_id", "fetch_ok", "attempts_used", "http_status",
                       F.octet_length("content").cast("long").alias("content_bytes"),
@@ -249,9 +262,6 @@ SINK_CAP_MB = 1
 
 def q_archive_sink(spark, sf_dir):
     """Resolved bodies packed (256 KB cap, 10 slots) and written as ZIP files under staging."""
-    from ..session import staging_path
-    from ..sinks.archive import write_archives
-    from ..sources.fetch import resolve_content
     valid = _valid_claimed(spark, sf_dir)
     fetched = resolve_content(valid, _content(spark, sf_dir)).where("fetch_ok")
     meta = valid.select("archive_id", "claim_seq", F.col("raw_eml_size").alias("declared")).join(
@@ -267,14 +277,11 @@ def q_archive_sink(spark, sf_dir):
 
 
 def _export_cfg():
-    from ..schema import ExportConfig
     return ExportConfig(job_id=P.JOB_ID, workers=P.WORKERS, max_zip_mb=SINK_CAP_MB, batch_size=P.BATCH_SIZE,
                         archive_base_url=P.BASE_URL)
 
 
 def q_export_job(spark, sf_dir):
-    from ..session import staging_path
-    from .export import run_export
     res = run_export(spark, _manifest(spark, sf_dir), _export_cfg(), staging_path(spark, "export"),
                      content=_content(spark, sf_dir), now=P.NOW)
     return res.ledger
@@ -282,8 +289,6 @@ def q_export_job(spark, sf_dir):
 
 def q_resume_run(spark, sf_dir):
     """Interrupted after three claim batches (the fourth left PROCESSING), then rerun."""
-    from ..session import staging_path
-    from .export import run_export
     out = staging_path(spark, "resume")
     first = run_export(spark, _manifest(spark, sf_dir), _export_cfg(), out, content=_content(spark, sf_dir),
                        now=P.NOW, max_batches=3)
@@ -292,8 +297,6 @@ def q_resume_run(spark, sf_dir):
 
 
 def q_ledger_snapshot(spark, sf_dir):
-    from ..session import staging_path
-    from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
     root = staging_path(spark, "ledger")
     v = write_ledger_snapshot(q_apply_updates(spark, sf_dir), root)
     return read_ledger_snapshot(spark, root, v)
@@ -307,8 +310,6 @@ def _inventory(spark, sf_dir):
 
 def _tree(spark, sf_dir):
     """The inventory written out as a real (sparse) file tree; returns its root."""
-    from ..session import staging_path
-    from .retention import materialize_tree
     root = staging_path(spark, "tree")
     materialize_tree(_inventory(spark, sf_dir), root).write.parquet(root + "-created")
     return root
@@ -319,31 +320,24 @@ def _relative(df, root):
 
 
 def q_file_inventory(spark, sf_dir):
-    from ..sources.inventory import list_files
     root = _tree(spark, sf_dir)
     return _relative(list_files(spark, root), root).select("path", "length", "modificationTime")
 
 
 def q_retention_plan(spark, sf_dir):
-    from ..operators.retention import retention_plan
     return retention_plan(_inventory(spark, sf_dir), now=P.RETENTION_NOW, max_age_days=P.MAX_AGE_DAYS) \
         .select("path", "length", "mtime", "age_days")
 
 
 def q_retention_summary(spark, sf_dir):
-    from ..operators.retention import retention_summary
     return retention_summary(q_retention_plan(spark, sf_dir))
 
 
 def q_empty_job_dirs(spark, sf_dir):
-    from ..operators.retention import empty_job_dirs
     return empty_job_dirs(_inventory(spark, sf_dir), q_retention_plan(spark, sf_dir), "/storage")
 
 
 def q_retention_apply(spark, sf_dir):
-    from ..operators.retention import apply_retention, retention_plan
-    from ..session import staging_path
-    from ..sources.inventory import list_files, snapshot
     root = _tree(spark, sf_dir)
     files = snapshot(list_files(spark, root), staging_path(spark, "inventory"))
     plan = retention_plan(files, now=P.RETENTION_NOW, max_age_days=P.MAX_AGE_DAYS,
@@ -354,8 +348,6 @@ def q_retention_apply(spark, sf_dir):
 
 
 def q_retention_job(spark, sf_dir):
-    from ..schema import RetentionConfig
-    from .retention import run_retention
     root = _tree(spark, sf_dir)
     res = run_retention(spark, root + "/storage", RetentionConfig(max_age_days=P.MAX_AGE_DAYS), now=P.RETENTION_NOW)
     removed = res.removed_dirs.agg(F.count_if("removed").alias("dirs_removed"))
@@ -364,18 +356,15 @@ def q_retention_job(spark, sf_dir):
 
 
 def q_total_archive_size(spark, sf_dir):
-    from ..operators.report import total_archive_size
     return total_archive_size(_inventory(spark, sf_dir), ["job"])
 
 
 def q_job_report(spark, sf_dir):
-    from ..operators.report import job_report
     return job_report(_manifest(spark, sf_dir), _inventory(spark, sf_dir), P.REPORT_JOB,
                       "/storage/" + P.REPORT_JOB, P.BASE_URL)
 
 
 def q_audit_log(spark, sf_dir):
-    from ..operators.report import audit_events
     cur = _current(spark, sf_dir)
     _, rejects = L.split_valid(L.eligible(cur))
     valid, _ = L.split_valid(L.eligible(cur))
@@ -390,9 +379,6 @@ def q_audit_log(spark, sf_dir):
 
 def q_stream_manifest(spark, sf_dir):
     """orders -> ledger rows -> eligible rows, as an availableNow stream into a Parquet sink."""
-    import os
-    from ..session import staging_path
-    from ..streaming.manifest_stream import run_available_now, stream_manifest
     orders = stream_manifest(spark, os.path.join(sf_dir, "orders.parquet"),
                              A.load_table(spark, sf_dir, "orders").schema)
     out = staging_path(spark, "stream_manifest")
@@ -402,11 +388,6 @@ def q_stream_manifest(spark, sf_dir):
 
 def q_stream_commit(spark, sf_dir):
     """Completion events streamed into an update log (merge-on-read), then compacted."""
-    import os
-    from ..session import staging_path
-    from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
-    from ..streaming.commit import commit_completions, compact
-    from ..streaming.manifest_stream import stream_manifest
     root = staging_path(spark, "stream_commit")
     write_ledger_snapshot(_current(spark, sf_dir), root + "/ledger", version=1)
     events = stream_manifest(spark, os.path.join(sf_dir, "events.parquet"),
@@ -421,10 +402,6 @@ STREAM_FILES = 4
 def q_stream_pack(spark, sf_dir):
     """Pack input written as claim-ordered files, streamed one file per trigger through
     the stateful packer: archives continue across micro-batches."""
-    import os
-    from ..session import staging_path
-    from ..streaming.manifest_stream import run_available_now
-    from ..streaming.pack_state import stream_pack
     root = staging_path(spark, "stream_pack")
     src = root + "/input"
     rows = _pack_input(spark, sf_dir).drop("org_id")
@@ -441,9 +418,6 @@ def q_stream_pack(spark, sf_dir):
 
 def q_export_stream(spark, sf_dir):
     """The manifest arrives as claim-ordered files; each micro-batch is exported as it lands."""
-    from ..session import staging_path
-    from ..sources.manifest import conform_ledger
-    from ..streaming.export_stream import read_stream_ledger, run_export_stream
     root = staging_path(spark, "export_stream")
     conform_ledger(_manifest(spark, sf_dir)).repartitionByRange(STREAM_FILES, "archive_time", "archive_id") \
         .write.parquet(root + "/incoming")
