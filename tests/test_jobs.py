@@ -199,3 +199,20 @@ def test_retention_cleans_an_old_export(spark):
     s = res.summary.first()
     assert s["errors"] == 0 and s["files"] > 0
     assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == ["fresh"]
+
+
+def test_crashed_run_rewrites_its_own_archives(spark):
+    """A run that wrote archives but never committed is redone under the same names."""
+    import json
+    m, c = _inputs(spark)
+    out = tempfile.mkdtemp()
+    cfg = ExportConfig(job_id="c", max_zip_mb=1)
+    first = run_export(spark, m, cfg, out, content=c, now="2026-01-01 00:00:00")
+    names = sorted(f for f in os.listdir(os.path.join(out, "c")) if f.endswith(".zip"))
+    # simulate a crash before the commit of a second, identical run: the intent is still there
+    with open(os.path.join(out, "c", "_uncommitted_run.json"), "w") as f:
+        json.dump({"start": first.start_index}, f)
+    again = run_export(spark, m, cfg, out, content=c, now="2026-01-01 00:00:00")
+    assert again.start_index == first.start_index
+    assert sorted(f for f in os.listdir(os.path.join(out, "c")) if f.endswith(".zip")) == names
+    assert not os.path.exists(os.path.join(out, "c", "_uncommitted_run.json"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as _dt
+import json
 import os
 import time
 from dataclasses import dataclass
@@ -70,6 +71,38 @@ def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) ->
     return int(PK.resume_index(df, depth_col=None).first()["resume_index"])
 
 
+_INTENT = "_uncommitted_run.json"
+
+
+def _begin_run(spark: SparkSession, job_dir: str, cfg: ExportConfig) -> int:
+    """Archive numbering start for this run.
+
+    Before any archive is written the start index is recorded in the job
+    directory; it is removed once the new ledger version is committed. A run
+    restarted after a crash finds the record and reuses the start, so it
+    rewrites the same archive names (same input, same assignment) instead of
+    adding duplicates after them."""
+    d = job_dir[len("file:"):] if job_dir.startswith("file:") else job_dir
+    intent = os.path.join(d, _INTENT)
+    if os.path.exists(intent):
+        with open(intent) as f:
+            return int(json.load(f)["start"])
+    start = resume_start(spark, job_dir, group_dirs=cfg.group_mode == "partition")
+    os.makedirs(d, exist_ok=True)
+    with open(intent + ".tmp", "w") as f:
+        json.dump({"start": start}, f)
+    os.replace(intent + ".tmp", intent)
+    return start
+
+
+def _end_run(job_dir: str) -> None:
+    d = job_dir[len("file:"):] if job_dir.startswith("file:") else job_dir
+    try:
+        os.remove(os.path.join(d, _INTENT))
+    except FileNotFoundError:
+        pass
+
+
 def scale_slots(meta: DataFrame, cfg: ExportConfig) -> tuple[ExportConfig, int]:
     """Raise the slot count so each slot holds at most ``max_bytes_per_slot``
     declared bytes; also returns the number of items (one aggregate)."""
@@ -136,7 +169,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     # recovered ledger can stay a lazy view of the (stable, committed) input.
     run_now = now if now is not None else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(" ")
     cur = L.reset_stale(ledger, now=run_now)
-    start = resume_start(spark, job_dir, group_dirs=cfg.group_mode == "partition")
+    start = _begin_run(spark, job_dir, cfg)
 
     # claim positions are pinned by the ordering checkpoint; nothing else to stage
     claimed = L.claim_batches(cur, cfg.batch_size)
@@ -198,6 +231,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     ledger_root = ledger_root or os.path.join(job_dir, "ledger")
     version = write_ledger_snapshot(final, ledger_root)
     final = read_ledger_snapshot(spark, ledger_root, version)
+    _end_run(job_dir)
     lap("commit")
 
     if audit_dir:

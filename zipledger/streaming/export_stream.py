@@ -30,6 +30,8 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
     ledger_dir = os.path.join(out_dir, cfg.job_id, "ledger-stream")
 
     def export_batch(batch: DataFrame, batch_id: int) -> None:
+        if committed_versions(os.path.join(ledger_dir, f"batch_id={batch_id}")):
+            return  # replayed after its ledger was committed: already exported
         staged = staging_path(spark, f"stream-batch-{batch_id}")
         batch.write.parquet(staged)
         run_export(spark, spark.read.schema(LEDGER).parquet(staged), cfg, out_dir, content=content,
