@@ -186,3 +186,13 @@ def test_http_fetcher_network_failure(spark):
     assert (r["fetch_ok"], r["attempts_used"], r["http_status"], r["failure_kind"]) == (False, 3, None, "network")
     assert r["error_log"].startswith("Network error after 3 attempts: ")
     assert r["fetch_error"]
+
+
+def test_list_files_hadoop_matches_walk(spark):
+    from zipledger.sources.inventory import list_files_hadoop
+    root = tempfile.mkdtemp(prefix="zl-hl-")
+    _touch(f"{root}/a/x.zip", dt.datetime(2024, 1, 1, 12), size=7)
+    _touch(f"{root}/a/b/y.db", dt.datetime(2024, 1, 2, 12), size=3)
+    walk = sorted((r["path"], r["length"], r["modificationTime"]) for r in list_files(spark, root).collect())
+    hadoop = sorted((r["path"], r["length"], r["modificationTime"]) for r in list_files_hadoop(spark, root).collect())
+    assert hadoop == walk and len(walk) == 2

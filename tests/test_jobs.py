@@ -216,3 +216,24 @@ def test_crashed_run_rewrites_its_own_archives(spark):
     assert again.start_index == first.start_index
     assert sorted(f for f in os.listdir(os.path.join(out, "c")) if f.endswith(".zip")) == names
     assert not os.path.exists(os.path.join(out, "c", "_uncommitted_run.json"))
+
+
+def test_stream_pack_spans_micro_batches(spark):
+    """Slot state carries across micro-batches: same archives as one sequential pass."""
+    from zipledger.operators import packing as PK
+    from zipledger.streaming.manifest_stream import run_available_now
+    from zipledger.streaming.pack_state import stream_pack
+    rows = spark.createDataFrame([(f"r{i}", i % 3, i, (i * 37) % 500, (i * 53) % 500) for i in range(300)],
+                                 "archive_id string, slot int, claim_seq long, declared long, actual long")
+    d = tempfile.mkdtemp()
+    rows.repartitionByRange(3, "claim_seq").sortWithinPartitions("claim_seq").write.parquet(d + "/in")
+    for i, f in enumerate(sorted(x for x in os.listdir(d + "/in") if x.endswith(".parquet"))):
+        os.utime(os.path.join(d, "in", f), (1_000_000 + i, 1_000_000 + i))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    s = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(d + "/in")
+    q = run_available_now(stream_pack(s, 1000), d + "/out", d + "/ck")
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    got = {r["archive_id"]: r["k"] for r in spark.read.parquet(d + "/out").collect()}
+    exp = {r["archive_id"]: r["k"] for r in PK.pack_next_fit(rows, 1000).collect()}
+    assert got == exp
