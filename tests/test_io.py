@@ -196,3 +196,11 @@ def test_list_files_hadoop_matches_walk(spark):
     walk = sorted((r["path"], r["length"], r["modificationTime"]) for r in list_files(spark, root).collect())
     hadoop = sorted((r["path"], r["length"], r["modificationTime"]) for r in list_files_hadoop(spark, root).collect())
     assert hadoop == walk and len(walk) == 2
+
+
+def test_resolve_content_collapses_copies(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "archive_id string")
+    content = spark.createDataFrame([("a", bytearray(b"xyz"))] * 50 + [("b", bytearray(b"q"))],
+                                    "archive_id string, content binary")
+    out = resolve_content(df, content).collect()
+    assert sorted((r["archive_id"], bytes(r["content"])) for r in out) == [("a", b"xyz"), ("b", b"q")]

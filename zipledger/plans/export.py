@@ -182,8 +182,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     valid = valid.withColumn("url", build_url("loc"))
     if content is not None:
         # outcomes from a presence join (bodies not read); bodies are read once, by the writer
-        fetched = resolve_content(valid, content.select("archive_id", F.lit(b"").alias("content")),
-                                  cfg.max_attempts).drop("content")
+        present = content.select("archive_id").distinct().select("archive_id", F.lit(b"").alias("content"))
+        fetched = resolve_content(valid, present, cfg.max_attempts).drop("content")
         bodies = content.select("archive_id", "content")
     else:
         # nondeterministic and costly: fetch exactly once, stage, read the copy everywhere
