@@ -237,3 +237,10 @@ def test_stream_pack_spans_micro_batches(spark):
     got = {r["archive_id"]: r["k"] for r in spark.read.parquet(d + "/out").collect()}
     exp = {r["archive_id"]: r["k"] for r in PK.pack_next_fit(rows, 1000).collect()}
     assert got == exp
+
+
+def test_duplicate_ids_fail_the_run(spark):
+    m, c = _inputs(spark)
+    dup = m.unionByName(m.limit(1).withColumn("export_status", F.lit("PENDING")))
+    with pytest.raises(ValueError, match="appears 2 times"):
+        run_export(spark, dup, ExportConfig(job_id="d"), tempfile.mkdtemp(), content=c, now="2026-01-01 00:00:00")

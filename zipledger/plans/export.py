@@ -34,6 +34,7 @@ from ..sinks.audit import write_audit
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 from ..sources.fetch import fetch_content, resolve_content
 from ..sources.inventory import list_files
+from ..sources.manifest import duplicate_ids
 
 
 @dataclass
@@ -178,6 +179,10 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         interrupted = claimed.where(F.col("batch_id") == max_batches)
         claimed = claimed.where(F.col("batch_id") < max_batches)
 
+    if cfg.check_unique_ids:
+        dup = duplicate_ids(claimed).limit(1).collect()
+        if dup:
+            raise ValueError(f"archive_id {dup[0]['archive_id']!r} appears {dup[0]['count']} times in the ledger")
     valid, rejects = L.split_valid(claimed)
     valid = valid.withColumn("url", build_url("loc"))
     if content is not None:

@@ -83,6 +83,9 @@ class ExportConfig:
     # up to this many claimed ids, bodies are filtered map-side by a broadcast
     # semi-join before their one shuffle (the count proves the broadcast's size)
     broadcast_ids_limit: int = 1_000_000
+    # archive_id is the ledger's primary key; Spark does not enforce it, so the
+    # claimed ids are checked (one partial aggregate) and a duplicate fails the run
+    check_unique_ids: bool = True
 
     @property
     def slots(self) -> int:
