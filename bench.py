@@ -91,6 +91,9 @@ def main() -> None:
               "fold_attempts", "flush_batches", "running_progress", "retention_plan", "retention_job",
               "total_archive_size", "job_report", "stream_commit"):
         run(q, catalog.queries()[q])
+    claimed_valid = catalog.queries()["fetch_content"](spark, SF_DIR).count()
+    extra["fetch_path_rows_per_sec"] = round(claimed_valid / max(times["fetch_content"], 1e-9), 1)
+    extra["baseline_items_per_sec_incl_network_fetch"] = 250
     spark.stop()
     print(json.dumps({"metric": "headline_total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": _sf(SF_DIR), "rows": n_rows, **extra}))
