@@ -244,3 +244,16 @@ def test_duplicate_ids_fail_the_run(spark):
     dup = m.unionByName(m.limit(1).withColumn("export_status", F.lit("PENDING")))
     with pytest.raises(ValueError, match="appears 2 times"):
         run_export(spark, dup, ExportConfig(job_id="d"), tempfile.mkdtemp(), content=c, now="2026-01-01 00:00:00")
+
+
+@pytest.mark.parametrize("rule", ["hash", "round_robin"])
+def test_content_copies_archive_once(spark, rule):
+    m, c = _inputs(spark)
+    copies = c.unionByName(c).unionByName(c)
+    out = tempfile.mkdtemp()
+    cfg = ExportConfig(job_id="k", max_zip_mb=1, slot_rule=rule)
+    res = run_export(spark, m, cfg, out, content=copies, now="2026-01-01 00:00:00")
+    plain = run_export(spark, m, cfg, tempfile.mkdtemp(), content=c, now="2026-01-01 00:00:00")
+    assert res.archives.agg(F.sum("entries")).first()[0] == res.entries.count() == plain.entries.count() > 0
+    key = lambda df: sorted((r["archive_id"], r["export_status"], r["error_log"]) for r in df.collect())
+    assert key(res.ledger) == key(plain.ledger)

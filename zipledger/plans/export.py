@@ -26,6 +26,7 @@ from .. import constants as C
 from ..functions import build_url, failure_reason
 from ..operators import ledger as L
 from ..operators import packing as PK
+from ..operators.attempts import outcome_reason
 from ..operators.report import audit_events, job_report
 from ..schema import ExportConfig
 from ..session import staging_path
@@ -209,6 +210,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     if cfg.slot_rule == "hash":
         numbered, archives, zip_failed = _fused_pack_write(spark, meta, bodies, cfg, out_dir, start, stage)
     else:
+        if content is not None:  # copies of one id collapse map-side (partial aggregate)
+            bodies = bodies.groupBy("archive_id").agg(F.max("content").alias("content"))
         ok = bodies.select("archive_id", F.octet_length("content").cast("long").alias("actual"))
         slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
         packed = _stage(PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id"),
@@ -222,7 +225,6 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     lap("pack_and_write")
 
     failed_fetch = fetched.where(~F.col("fetch_ok"))
-    from ..operators.attempts import outcome_reason
     fetch_fail = L.failure_updates(outcome_reason(failed_fetch, cfg.max_attempts), seq=F.lit(2))
     done = L.completion_updates(numbered.select("archive_id"), seq=F.lit(3))
     updates = L.failure_updates(rejects, seq=F.lit(1)).unionByName(fetch_fail).unionByName(done)
