@@ -257,3 +257,14 @@ def test_content_copies_archive_once(spark, rule):
     assert res.archives.agg(F.sum("entries")).first()[0] == res.entries.count() == plain.entries.count() > 0
     key = lambda df: sorted((r["archive_id"], r["export_status"], r["error_log"]) for r in df.collect())
     assert key(res.ledger) == key(plain.ledger)
+
+
+def test_export_to_a_file_uri(spark):
+    """Archives, markers and the ledger go through URI-aware writers."""
+    m, c = _inputs(spark)
+    out = tempfile.mkdtemp()
+    res = run_export(spark, m, ExportConfig(job_id="u", max_zip_mb=1), "file://" + out, content=c,
+                     now="2026-01-01 00:00:00")
+    zips = [f for f in os.listdir(os.path.join(out, "u")) if f.endswith(".zip")]
+    assert zips and res.report.first()["zip_bytes"] > 0
+    assert os.path.exists(os.path.join(out, "u", "ledger", "_committed_1"))

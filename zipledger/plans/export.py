@@ -30,11 +30,12 @@ from ..operators.attempts import outcome_reason
 from ..operators.report import audit_events, job_report
 from ..schema import ExportConfig
 from ..session import staging_path
+from ..sinks import fs as fsx
 from ..sinks.archive import write_archives
 from ..sinks.audit import write_audit
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 from ..sources.fetch import fetch_content, resolve_content
-from ..sources.inventory import list_files
+from ..sources.inventory import list_any
 from ..sources.manifest import duplicate_ids
 
 
@@ -59,14 +60,11 @@ def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) ->
 
     With per-group archive directories (``group_mode="partition"``) their
     direct children are scanned too, so numbering never reuses an index."""
-    d = job_dir[len("file:"):] if job_dir.startswith("file:") else job_dir
-    if not os.path.isdir(d):
-        return 0
-    names = [(e.name,) for e in os.scandir(d) if e.is_file()]
+    names = [(n,) for n in fsx.list_dir(job_dir)]
     if group_dirs:
-        for sub in os.scandir(d):
-            if sub.is_dir() and sub.name != "ledger":
-                names += [(e.name,) for e in os.scandir(sub.path) if e.is_file()]
+        for sub in fsx.list_dir(job_dir, files=False, dirs=True):
+            if sub not in ("ledger", "ledger-stream"):
+                names += [(n,) for n in fsx.list_dir(fsx.join(job_dir, sub))]
     if not names:
         return 0
     df = spark.createDataFrame(names, "name string")
@@ -84,25 +82,16 @@ def _begin_run(spark: SparkSession, job_dir: str, cfg: ExportConfig) -> int:
     restarted after a crash finds the record and reuses the start, so it
     rewrites the same archive names (same input, same assignment) instead of
     adding duplicates after them."""
-    d = job_dir[len("file:"):] if job_dir.startswith("file:") else job_dir
-    intent = os.path.join(d, _INTENT)
-    if os.path.exists(intent):
-        with open(intent) as f:
-            return int(json.load(f)["start"])
+    intent = fsx.join(job_dir, _INTENT)
+    if fsx.exists(intent):
+        return int(json.loads(fsx.read_text(intent))["start"])
     start = resume_start(spark, job_dir, group_dirs=cfg.group_mode == "partition")
-    os.makedirs(d, exist_ok=True)
-    with open(intent + ".tmp", "w") as f:
-        json.dump({"start": start}, f)
-    os.replace(intent + ".tmp", intent)
+    fsx.write_text(intent, json.dumps({"start": start}))
     return start
 
 
 def _end_run(job_dir: str) -> None:
-    d = job_dir[len("file:"):] if job_dir.startswith("file:") else job_dir
-    try:
-        os.remove(os.path.join(d, _INTENT))
-    except FileNotFoundError:
-        pass
+    fsx.remove(fsx.join(job_dir, _INTENT))
 
 
 def scale_slots(meta: DataFrame, cfg: ExportConfig) -> tuple[ExportConfig, int]:
@@ -246,8 +235,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
             L.failure_updates(outcome_reason(failed_fetch, cfg.max_attempts)))
         write_audit(audit_events(failures=failures, archived=entries), audit_dir)
 
-    inventory = list_files(spark, job_dir)
-    report = job_report(final, inventory, cfg.job_id, job_dir[len("file:"):] if job_dir.startswith("file:")
-                        else job_dir, cfg.archive_base_url)
+    inventory = list_any(spark, job_dir)
+    prefix = job_dir[len("file://"):] if job_dir.startswith("file://") else job_dir
+    report = job_report(final, inventory, cfg.job_id, prefix, cfg.archive_base_url)
     timings["slots"] = cfg.slots
     return ExportResult(final, archives, entries, report, version, start, timings)

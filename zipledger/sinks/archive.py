@@ -9,7 +9,6 @@ under the same final name, so the sink is idempotent.
 
 from __future__ import annotations
 
-import os
 import uuid
 import zipfile
 
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
+from . import fs as fsx
 
 ARCHIVE_ROWS = T.StructType([
     T.StructField("zip_idx", T.LongType(), False),
@@ -29,18 +29,14 @@ ARCHIVE_ROWS = T.StructType([
 ])
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def write_archives(rows: DataFrame, out_dir: str, group_col: str = "grp", seq_col: str = "claim_seq",
                    num_partitions: int | None = None, compresslevel: int | None = None) -> DataFrame:
     """Write archives; returns one row per archive (index, relative path, entries, bytes).
 
     ``rows`` needs ``archive_id, zip_idx, <group_col>, <seq_col>, content``.
-    ``out_dir`` must be a filesystem path every executor sees (shared mount).
+    ``out_dir``: a local/shared path or a file://, hdfs:// or s3:// URI (``sinks.fs``).
     """
-    base = _local(out_dir)
+    base = out_dir
     src = rows.select("archive_id", "zip_idx", group_col, seq_col, "content")
 
     def run(batches):
@@ -51,8 +47,9 @@ def write_archives(rows: DataFrame, out_dir: str, group_col: str = "grp", seq_co
             if state["zf"] is None:
                 return
             state["zf"].close()
-            os.replace(state["tmp"], state["final"])
-            out.append((state["idx"], state["rel"], state["n"], state["b"], os.path.getsize(state["final"])))
+            state["stream"].close()
+            fsx.move(state["tmp"], state["final"])
+            out.append((state["idx"], state["rel"], state["n"], state["b"], fsx.size(state["final"])))
             state["zf"] = None
 
         for pdf in batches:
@@ -64,11 +61,12 @@ def write_archives(rows: DataFrame, out_dir: str, group_col: str = "grp", seq_co
                 if idxs[i] != state["idx"]:
                     close()
                     name = C.ARCHIVE_NAME_FORMAT % idxs[i]
-                    d = os.path.join(base, str(grps[i]))
-                    os.makedirs(d, exist_ok=True)
-                    state.update(idx=idxs[i], final=os.path.join(d, name), rel=f"{grps[i]}/{name}", n=0, b=0,
-                                 tmp=os.path.join(d, f".{name}.{uuid.uuid4().hex}.tmp"))
-                    state["zf"] = zipfile.ZipFile(state["tmp"], "w", compression=zipfile.ZIP_DEFLATED,
+                    d = fsx.join(base, str(grps[i]))
+                    fsx.makedirs(d)
+                    state.update(idx=idxs[i], final=fsx.join(d, name), rel=f"{grps[i]}/{name}", n=0, b=0,
+                                 tmp=fsx.join(d, f".{name}.{uuid.uuid4().hex}.tmp"))
+                    state["stream"] = fsx.open_output(state["tmp"])
+                    state["zf"] = zipfile.ZipFile(state["stream"], "w", compression=zipfile.ZIP_DEFLATED,
                                                   compresslevel=compresslevel)
                 body = bodies[i] if bodies[i] is not None else b""
                 state["zf"].writestr(f"{ids[i]}{C.ENTRY_SUFFIX}", bytes(body))
@@ -119,7 +117,6 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
 
     from ..operators.packing import NextFit
 
-    base = _local(out_dir)
     g = [group_col] if group_col else []
     m = meta.select("archive_id", "slot", "claim_seq", "declared", *g, F.lit(0).alias("_kind"),
                     F.lit(None).cast("binary").alias("content"))
@@ -133,7 +130,7 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
     def run(batches):
         ctx = TaskContext.get()
         tag = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}"
-        os.makedirs(staging, exist_ok=True)
+        fsx.makedirs(staging)
         fits: dict = {}
         open_zip: dict = {}   # state key -> (ZipFile, path)
         opened_count = 0
@@ -141,8 +138,9 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
         cur_slot = None
 
         def close_all():
-            for zf, _ in open_zip.values():
+            for zf, stream, _ in open_zip.values():
                 zf.close()
+                stream.close()
             open_zip.clear()
 
         for pdf in batches:
@@ -167,12 +165,15 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
                 k, opened = fit.step(slot, int(dec or 0), len(body), grp)
                 if opened:
                     if key in open_zip:
-                        open_zip.pop(key)[0].close()
+                        zf_old, stream_old, _ = open_zip.pop(key)
+                        zf_old.close()
+                        stream_old.close()
                     opened_count += 1
-                    path = os.path.join(staging, f".{tag}-{opened_count}.zip.tmp")
-                    open_zip[key] = (zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED,
-                                                     compresslevel=compresslevel), path)
-                zf, path = open_zip[key]
+                    path = fsx.join(staging, f".{tag}-{opened_count}.zip.tmp")
+                    stream = fsx.open_output(path)
+                    open_zip[key] = (zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED,
+                                                     compresslevel=compresslevel), stream, path)
+                zf, _, path = open_zip[key]
                 error = None
                 try:
                     zf.writestr(f"{aid}{C.ENTRY_SUFFIX}", body)
@@ -189,14 +190,13 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
 
 def temp_dir(out_dir: str, run_id: str) -> str:
     """Where one run's unfinished archives live (hidden, removed by ``discard_temp``)."""
-    return os.path.join(_local(out_dir), ".staging", run_id)
+    return fsx.join(out_dir, ".staging", run_id)
 
 
 def discard_temp(out_dir: str, run_id: str) -> None:
     """Drop what failed or speculative task attempts left behind, once the run's
     archives are final (every file still here belongs to no committed archive)."""
-    import shutil
-    shutil.rmtree(temp_dir(out_dir, run_id), ignore_errors=True)
+    fsx.remove_tree(temp_dir(out_dir, run_id))
 
 
 def finalize_archives(archives: DataFrame, out_dir: str, dir_col: str = "archive_dir") -> DataFrame:
@@ -204,20 +204,20 @@ def finalize_archives(archives: DataFrame, out_dir: str, dir_col: str = "archive
 
     ``archives``: one row per archive with ``zip_idx, temp_path, <dir_col>``.
     Idempotent: a rename already done is detected by the final file existing."""
-    base = _local(out_dir)
+    base = out_dir
 
     def run(batches):
         for pdf in batches:
             rel, size = [], []
             for idx, tmp, d in zip(pdf["zip_idx"].tolist(), pdf["temp_path"].tolist(), pdf[dir_col].tolist()):
                 name = C.ARCHIVE_NAME_FORMAT % idx
-                final_dir = os.path.join(base, d)
-                os.makedirs(final_dir, exist_ok=True)
-                final = os.path.join(final_dir, name)
-                if os.path.exists(tmp):
-                    os.replace(tmp, final)
+                final_dir = fsx.join(base, d)
+                fsx.makedirs(final_dir)
+                final = fsx.join(final_dir, name)
+                if fsx.exists(tmp):
+                    fsx.move(tmp, final)
                 rel.append(f"{d}/{name}")
-                size.append(os.path.getsize(final))
+                size.append(fsx.size(final))
             yield pd.DataFrame({"zip_idx": pdf["zip_idx"], "archive_path": rel, "file_bytes": size})
 
     return archives.select("zip_idx", "temp_path", dir_col).mapInPandas(

@@ -7,23 +7,16 @@ crashed write is never visible and the previous version stays intact.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import LEDGER
-
-
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+from . import fs as fsx
 
 
 def committed_versions(root: str) -> list[int]:
-    d = _local(root)
-    if not os.path.isdir(d):
-        return []
-    return sorted(int(m.group(1)) for f in os.listdir(d) if (m := re.fullmatch(r"_committed_(\d+)", f)))
+    return sorted(int(m.group(1)) for f in fsx.list_dir(root) if (m := re.fullmatch(r"_committed_(\d+)", f)))
 
 
 def write_ledger_snapshot(ledger: DataFrame, root: str, version: int | None = None) -> int:
@@ -31,11 +24,9 @@ def write_ledger_snapshot(ledger: DataFrame, root: str, version: int | None = No
     if version is None:
         done = committed_versions(root)
         version = (done[-1] + 1) if done else 1
-    target = os.path.join(root, f"version={version}")
+    target = fsx.join(root, f"version={version}")
     ledger.write.mode("overwrite").parquet(target)
-    os.makedirs(_local(root), exist_ok=True)
-    with open(os.path.join(_local(root), f"_committed_{version}"), "w") as f:
-        f.write(target)
+    fsx.write_text(fsx.join(root, f"_committed_{version}"), target)
     return version
 
 
@@ -46,4 +37,4 @@ def read_ledger_snapshot(spark: SparkSession, root: str, version: int | None = N
     v = version if version is not None else done[-1]
     if v not in done:
         raise FileNotFoundError(f"ledger version {v} is not committed")
-    return spark.read.schema(LEDGER).parquet(os.path.join(root, f"version={v}"))
+    return spark.read.schema(LEDGER).parquet(fsx.join(root, f"version={v}"))

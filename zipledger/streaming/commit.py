@@ -9,7 +9,6 @@ with the winning update per id applied (one aggregate + one join), and
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import as_timestamp
 from ..operators.ledger import apply_updates, completion_updates
 from ..schema import UPDATES
+from ..sinks import fs as fsx
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 
 LOG_SCHEMA = "archive_id string, export_status string, error_log string, seq long, updated_at timestamp_ntz"
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def commit_completions(spark: SparkSession, completions: DataFrame, log_root: str, checkpoint: str,
                        now=None, available_now: bool = True, timeout_seconds: float | None = None) -> StreamingQuery:
     """``completions`` (a stream with ``archive_id``) -> COMPLETED rows in the update log.
@@ -37,7 +33,7 @@ def commit_completions(spark: SparkSession, completions: DataFrame, log_root: st
     def commit(batch: DataFrame, batch_id: int) -> None:
         ups = completion_updates(batch.select("archive_id"), seq=F.lit(batch_id)) \
             .withColumn("updated_at", as_timestamp(now))
-        ups.write.mode("overwrite").parquet(os.path.join(log_root, f"batch_id={batch_id}"))
+        ups.write.mode("overwrite").parquet(fsx.join(log_root, f"batch_id={batch_id}"))
 
     w = completions.writeStream.option("checkpointLocation", checkpoint).foreachBatch(commit)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -50,17 +46,15 @@ def commit_completions(spark: SparkSession, completions: DataFrame, log_root: st
 
 
 def _log_batches(log_root: str) -> list[int]:
-    d = _local(log_root)
-    if not os.path.isdir(d):
-        return []
-    return sorted(int(n.split("=", 1)[1]) for n in os.listdir(d) if n.startswith("batch_id="))
+    return sorted(int(n.split("=", 1)[1]) for n in fsx.list_dir(log_root, files=False, dirs=True)
+                  if n.startswith("batch_id="))
 
 
 def read_update_log(spark: SparkSession, log_root: str, after_batch: int = -1) -> DataFrame:
     batches = [b for b in _log_batches(log_root) if b > after_batch]
     if not batches:
         return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(*[os.path.join(log_root, f"batch_id={b}") for b in batches])
+    return spark.read.schema(LOG_SCHEMA).parquet(*[fsx.join(log_root, f"batch_id={b}") for b in batches])
 
 
 def current_ledger(spark: SparkSession, ledger_root: str, log_root: str) -> DataFrame:
@@ -73,8 +67,8 @@ def current_ledger(spark: SparkSession, ledger_root: str, log_root: str) -> Data
 def _base(ledger_root: str) -> tuple[int, int]:
     from ..sinks.ledger import committed_versions
     v = committed_versions(ledger_root)[-1]
-    marker = os.path.join(_local(ledger_root), f"_folded_{v}")
-    folded = int(open(marker).read()) if os.path.exists(marker) else -1
+    marker = fsx.join(ledger_root, f"_folded_{v}")
+    folded = int(fsx.read_text(marker)) if fsx.exists(marker) else -1
     return v, folded
 
 
@@ -82,9 +76,9 @@ def compact(spark: SparkSession, ledger_root: str, log_root: str) -> int:
     """Fold the update log into a new base version; returns the new version."""
     batches = _log_batches(log_root)
     new = current_ledger(spark, ledger_root, log_root)
+    folded = batches[-1] if batches else _base(ledger_root)[1]
     v = write_ledger_snapshot(new, ledger_root)
-    with open(os.path.join(_local(ledger_root), f"_folded_{v}"), "w") as f:
-        f.write(str(batches[-1] if batches else _base(ledger_root)[1]))
+    fsx.write_text(fsx.join(ledger_root, f"_folded_{v}"), str(folded))
     return v
 
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import LEDGER, ExportConfig
 from ..session import staging_path
+from ..sinks import fs as fsx
 from ..sinks.ledger import committed_versions, read_ledger_snapshot
 from .manifest_stream import stream_manifest
 
@@ -50,11 +51,9 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
 
 def read_stream_ledger(spark: SparkSession, out_dir: str, job_id: str) -> DataFrame:
     """Union of the committed per-batch ledgers of a continuous export."""
-    d = os.path.join(out_dir, job_id, "ledger-stream")
-    local = d[len("file:"):] if d.startswith("file:") else d
-    parts = sorted(n for n in os.listdir(local) if n.startswith("batch_id=")) if os.path.isdir(local) else []
-    frames = [read_ledger_snapshot(spark, os.path.join(d, p)) for p in parts
-              if committed_versions(os.path.join(d, p))]
+    d = fsx.join(out_dir, job_id, "ledger-stream")
+    parts = [n for n in fsx.list_dir(d, files=False, dirs=True) if n.startswith("batch_id=")]
+    frames = [read_ledger_snapshot(spark, fsx.join(d, p)) for p in parts if committed_versions(fsx.join(d, p))]
     if not frames:
         return spark.createDataFrame([], LEDGER)
     out = frames[0]
