@@ -105,3 +105,27 @@ def test_fused_pack_and_write_matches_brute_force(spark):
         with zipfile.ZipFile(grp["temp_path"].iloc[0]) as z:
             assert z.namelist() == [f"{a}.eml" for a in sorted(grp["archive_id"])]
     assert os.path.isdir(out)
+
+
+def test_fused_writer_bounds_open_archives(spark):
+    """Per-group packing with more groups than open files allowed: every entry is
+    written once, archives stay within the cap, and no archive mixes groups."""
+    import tempfile
+    import zipfile
+
+    from zipledger.sinks.archive import pack_and_write
+
+    n, cap = 400, 3000
+    meta = spark.createDataFrame([(f"g{i}", i + 1, (i * 13) % 700, f"org{i % 9}") for i in range(n)],
+                                 "archive_id string, claim_seq long, declared long, org_id string")
+    bodies = spark.createDataFrame([(f"g{i}", b"z" * ((i * 13) % 700)) for i in range(n)],
+                                   "archive_id string, content binary")
+    slotted = PK.assign_slots(meta, 2, rule="hash")
+    got = pack_and_write(slotted, bodies, cap, tempfile.mkdtemp(), 2, group_col="org_id",
+                         max_open_archives=3).toPandas()
+    assert sorted(got["archive_id"]) == sorted(f"g{i}" for i in range(n))
+    for path, grp in got.groupby("temp_path"):
+        assert grp["grp"].nunique() == 1 and (grp["actual"].sum() <= cap or len(grp) == 1)
+        with zipfile.ZipFile(path) as z:
+            assert sorted(z.namelist()) == sorted(f"{a}.eml" for a in grp["archive_id"])
+    assert got.groupby(["slot", "grp", "k"])["temp_path"].nunique().max() == 1

@@ -61,13 +61,21 @@ class NextFit:
         self.cap, self.rotate = cap, rotate
         self.limited = cap < C.UNLIMITED_BYTES
         self.key, self.k, self.fill, self.grp = None, 0, 0, None
+        self.reopen = False
+
+    def force_new(self) -> None:
+        """The open archive was closed early (e.g. to bound open files): the next
+        item opens a new one."""
+        self.fill, self.reopen = 0, True
 
     def step(self, key, declared: int, actual: int, grp=None) -> tuple[int, bool]:
         """Archive ordinal for the next row, and whether it opened a new archive."""
         if key != self.key:
             self.key, self.k, self.fill, self.grp = key, 0, 0, None
         opened = False
-        if self.k == 0 or (self.rotate and grp != self.grp) or (self.limited and self.fill + declared > self.cap):
+        reopen, self.reopen = self.reopen, False
+        if self.k == 0 or reopen or (self.rotate and grp != self.grp) or \
+                (self.limited and self.fill + declared > self.cap):
             self.k, self.fill, opened = self.k + 1, 0, True
             if self.rotate:
                 self.grp = grp
@@ -77,16 +85,10 @@ class NextFit:
 
 def _next_fit(key_cols: list[str], seq_col: str, declared: str, actual: str, group_col: str | None,
               cap: int, rotate: bool):
-    limited = cap < C.UNLIMITED_BYTES
-
     def run(batches):
-        state_key = None
-        k = 0
-        fill = 0
-        cur_grp = None
+        fit = NextFit(cap, rotate)   # state carries across Arrow batches of the partition
         for pdf in batches:
-            n = len(pdf)
-            if n == 0:
+            if len(pdf) == 0:
                 continue
             if len(key_cols) == 1:
                 keys = pdf[key_cols[0]].tolist()
@@ -94,18 +96,8 @@ def _next_fit(key_cols: list[str], seq_col: str, declared: str, actual: str, gro
                 keys = list(zip(*[pdf[c].tolist() for c in key_cols]))
             dec = pdf[declared].fillna(0).astype("int64").tolist()
             act = pdf[actual].fillna(0).astype("int64").tolist()
-            grp = pdf[group_col].fillna("").tolist() if rotate else None
-            out = [0] * n
-            for i in range(n):
-                if keys[i] != state_key:
-                    state_key, k, fill, cur_grp = keys[i], 0, 0, None
-                if k == 0 or (rotate and grp[i] != cur_grp) or (limited and fill + dec[i] > cap):
-                    k += 1
-                    fill = 0
-                    if rotate:
-                        cur_grp = grp[i]
-                fill += act[i]
-                out[i] = k
+            grp = pdf[group_col].fillna("").tolist() if rotate else [None] * len(pdf)
+            out = [fit.step(keys[i], dec[i], act[i], grp[i])[0] for i in range(len(pdf))]
             yield pdf.assign(k=np.asarray(out, dtype="int64"))
 
     return run

@@ -97,7 +97,8 @@ PACKED_WRITE = T.StructType([
 
 def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir: str, slots: int,
                    rotate: bool = False, group_col: str | None = None,
-                   compresslevel: int | None = None, run_id: str | None = None) -> DataFrame:
+                   compresslevel: int | None = None, run_id: str | None = None,
+                   max_open_archives: int = 64) -> DataFrame:
     """Fused next-fit packing and archive writing; bodies are shuffled exactly once.
 
     ``meta``: ``archive_id, slot, claim_seq, declared`` (+ group), slots from
@@ -107,7 +108,9 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
     partition count Spark settles on, a slot never spans two tasks. Sorted by
     (slot, archive_id, kind), every metadata row is directly followed by its
     body, and the task packs and writes in one streaming pass (O(1) state per
-    slot; one open archive per group in ``partition`` mode). Entries go into
+    slot; one open archive per group in ``partition`` mode, at most
+    ``max_open_archives`` at once - the least recently used is closed and its
+    group continues in a new archive). Entries go into
     hidden temporary files named by task attempt; the returned rows (one per
     written entry) record which file holds each entry. Within a slot, items
     are packed in archive_id order. Materialise the result exactly once, then
@@ -162,12 +165,21 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
                 body = bytes(body) if body is not None else b""
                 key = grp if per_group else None
                 fit = fits.setdefault(key, NextFit(cap_bytes, rotate))
+                if key not in open_zip and fit.k > 0:
+                    fit.force_new()  # its archive was closed to bound open files
+                elif key in open_zip:
+                    open_zip[key] = open_zip.pop(key)  # most recently used last
                 k, opened = fit.step(slot, int(dec or 0), len(body), grp)
                 if opened:
                     if key in open_zip:
                         zf_old, stream_old, _ = open_zip.pop(key)
                         zf_old.close()
                         stream_old.close()
+                    while len(open_zip) >= max(1, max_open_archives):
+                        lru = next(iter(open_zip))
+                        zf_old, stream_old, _ = open_zip.pop(lru)
+                        zf_old.close()
+                        stream_old.close()
                     opened_count += 1
                     path = fsx.join(staging, f".{tag}-{opened_count}.zip.tmp")
                     stream = fsx.open_output(path)

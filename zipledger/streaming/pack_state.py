@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from .. import constants as C
+from ..operators.packing import NextFit
 
 STATE = T.StructType([T.StructField("k", T.LongType()), T.StructField("fill", T.LongType())])
 OUT = T.StructType([
@@ -36,18 +36,12 @@ class NextFitProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         # one micro-batch of one slot may come in several Arrow batches
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("claim_seq", kind="stable")
-        k, fill = (0, 0)
-        if self.state.exists():
-            k, fill = self.state.get()
-        limited = self.cap < C.UNLIMITED_BYTES
-        out = []
-        for dec, act in zip(pdf["declared"].fillna(0).astype("int64").tolist(),
-                            pdf["actual"].fillna(0).astype("int64").tolist()):
-            if k == 0 or (limited and fill + dec > self.cap):
-                k, fill = k + 1, 0
-            fill += act
-            out.append(k)
-        self.state.update((k, fill))
+        fit = NextFit(self.cap, rotate=False)
+        if self.state.exists():   # continue the slot's open archive from earlier batches
+            fit.key, (fit.k, fit.fill) = key, self.state.get()
+        out = [fit.step(key, d, a)[0] for d, a in zip(pdf["declared"].fillna(0).astype("int64").tolist(),
+                                                       pdf["actual"].fillna(0).astype("int64").tolist())]
+        self.state.update((fit.k, fit.fill))
         yield pd.DataFrame({
             "archive_id": pdf["archive_id"].tolist(), "slot": pdf["slot"].astype("int32").tolist(),
             "claim_seq": pdf["claim_seq"].astype("int64").tolist(), "declared": pdf["declared"].tolist(),
