@@ -5,6 +5,8 @@ import os
 import tempfile
 import zipfile
 
+import pytest
+
 from zipledger.operators.retention import apply_retention, empty_job_dirs, retention_plan, retention_summary
 from zipledger.plans.retention import run_retention
 from zipledger.schema import RetentionConfig
@@ -73,7 +75,9 @@ def _touch(path, when, size=10):
     os.utime(path, ns=(ts, ts))
 
 
-def test_retention_tree(spark):
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_retention_tree(spark, scheme):
+    """The same tree through the POSIX walk (plain path) and through pyarrow.fs (a URI)."""
     root = tempfile.mkdtemp(prefix="zl-ret-")
     now = dt.datetime(2024, 1, 31)
     cutoff = now - dt.timedelta(days=7)
@@ -87,9 +91,9 @@ def test_retention_tree(spark):
     os.makedirs(f"{root}/j6")                                            # never populated: removed
     os.makedirs(f"{root}/j7/empty-sub")                                  # holds an empty subdirectory: kept
     _touch(f"{root}/top.db", old)                                        # file directly in root
-    dry = run_retention(spark, root, RetentionConfig(dry_run=True), now=now)
+    dry = run_retention(spark, scheme + root, RetentionConfig(dry_run=True), now=now)
     assert dry.summary.first()["files"] == 4 and os.path.exists(f"{root}/j5/only.zip")
-    res = run_retention(spark, root, RetentionConfig(), now=now)
+    res = run_retention(spark, scheme + root, RetentionConfig(), now=now)
     s = res.summary.first()
     assert (s["files"], s["bytes"], s["errors"], s["gb_freed"]) == (4, 40, 0, "0.00")
     assert sorted(os.listdir(root)) == ["j1", "j2", "j3", "j4", "j7"]

@@ -56,11 +56,16 @@ def apply_retention(plan: DataFrame, num_partitions: int | None = None) -> DataF
         rows = rows.repartition(num_partitions)
 
     def run(batches):
+        from ..sinks import fs as fsx
         for pdf in batches:
             deleted, errors = [], []
             for p in pdf["path"].tolist():
                 try:
-                    os.remove(p)
+                    if "://" in p:
+                        sfs, sp = fsx.resolve(p)
+                        sfs.delete_file(sp)
+                    else:
+                        os.remove(p)
                     deleted.append(True)
                     errors.append(None)
                 except FileNotFoundError:
@@ -137,12 +142,27 @@ def remove_dirs(dirs: DataFrame) -> DataFrame:
         for d, _, _ in sorted(os.walk(top, topdown=False), key=lambda w: -w[0].count("/")):
             os.rmdir(d)
 
+    def remove_uri(top: str) -> None:
+        import pyarrow.fs as pafs
+
+        from ..sinks import fs as fsx
+        sfs, p = fsx.resolve(top)
+        if sfs.get_file_info(p).type == pafs.FileType.NotFound:
+            return
+        left = [i.path for i in sfs.get_file_info(pafs.FileSelector(p, recursive=True))
+                if i.type != pafs.FileType.Directory]
+        if left:
+            raise OSError(f"directory not empty: {left[0]}")
+        sfs.delete_dir(p)
+
     def run(batches):
         for pdf in batches:
             ok, err = [], []
             for p in pdf["path"].tolist():
                 try:
-                    if os.path.isdir(p):
+                    if "://" in p:
+                        remove_uri(p)
+                    elif os.path.isdir(p):
                         remove(p)
                     ok.append(True)
                     err.append(None)
