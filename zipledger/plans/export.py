@@ -235,8 +235,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
             L.failure_updates(outcome_reason(failed_fetch, cfg.max_attempts)))
         write_audit(audit_events(failures=failures, archived=entries), audit_dir)
 
-    inventory = list_any(spark, job_dir)
-    prefix = job_dir[len("file://"):] if job_dir.startswith("file://") else job_dir
-    report = job_report(final, inventory, cfg.job_id, prefix, cfg.archive_base_url)
+    inventory = list_any(spark, job_dir)   # paths keep the job dir's form (plain path or URI)
+    report = job_report(final, inventory, cfg.job_id, job_dir, cfg.archive_base_url)
     timings["slots"] = cfg.slots
     return ExportResult(final, archives, entries, report, version, start, timings)
