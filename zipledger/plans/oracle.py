@@ -259,8 +259,8 @@ select archive_id, 'http://' || split_part(archive_location, ':', 1) || ':8686/a
 from p where valid"""
     q["reset_stale"] = _with() + "select * from cur"
     q["progress_stats"] = _with() + """
-select count_if(export_status = 'COMPLETED') as completed, count_if(export_status = 'FAILED') as failed,
-  count(*) as total from m"""
+select cast(count_if(export_status = 'COMPLETED') as bigint) as completed,
+  cast(count_if(export_status = 'FAILED') as bigint) as failed, count(*) as total from m"""
     q["claim_batches"] = _with(("c", CLAIMED)) + f"""
 select *, cast(floor((claim_seq - 1) / {P.BATCH_SIZE}) as bigint) as batch_id from c"""
     q["claim_first_batch"] = _with(("c", CLAIMED)) + f"""
@@ -380,8 +380,8 @@ select job, cast(sum(length) as bigint) as zip_bytes from inv
 where lower(regexp_extract(path, '([^/]*)$', 1)) like '%.zip' group by job"""
     q["job_report"] = _with(("inv", INVENTORY), ("a", f"""
 select (select count(*) from m) as total,
-  (select count_if(export_status = 'COMPLETED') from m) as completed,
-  (select count_if(export_status = 'FAILED') from m) as failed,
+  (select cast(count_if(export_status = 'COMPLETED') as bigint) from m) as completed,
+  (select cast(count_if(export_status = 'FAILED') as bigint) from m) as failed,
   (select cast(coalesce(sum(length), 0) as bigint) from inv where path like '/storage/{P.REPORT_JOB}/%'
      and lower(regexp_extract(path, '([^/]*)$', 1)) like '%.zip') as zip_bytes""")) + f"""
 select '{P.REPORT_JOB}' as job, total, completed, failed, total - completed - failed as pending, zip_bytes,
