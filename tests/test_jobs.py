@@ -94,12 +94,13 @@ def test_stream_restart_reads_nothing_new(spark):
 @pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").oracle_sql()))
 def test_oracle_sf0001(spark, name):
     import __spark_entry__ as E
-    from tools.check_oracle import TABLES, digest
+    from tools.check_oracle import TABLES, digest, type_diff
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     sdf = E.queries()[name](spark, SF_SMALL)
     res = con.execute(E.oracle_sql()[name])
+    assert type_diff(sdf, res) == {}
     assert digest(sdf.columns, [tuple(r) for r in sdf.collect()]) == \
         digest([d[0] for d in res.description], res.fetchall())
 
