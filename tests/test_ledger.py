@@ -64,3 +64,14 @@ def test_global_rank_with_a_hot_key(spark):
     w = with_global_rank(df, order, "cum", weight=F.col("w"), num_partitions=6).toPandas()
     w = w.sort_values(["k", "id"])
     assert list(w["cum"]) == list(w["w"].cumsum())
+
+
+def test_eligibility_filter_reaches_the_scan(spark, tmp_path):
+    """On a stored ledger the eligibility superset is pushed to Parquet and only claim columns are read."""
+    from zipledger.sources.manifest import read_manifest
+    led = _ledger(spark, [("a", 0, "x", None, None), ("b", 1, "x", "COMPLETED", None)])
+    led.write.parquet(str(tmp_path / "ledger"))
+    plan = L.eligible(read_manifest(spark, str(tmp_path / "ledger")))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(Or(IsNull(export_status),In(export_status" in plan
+    assert "LessThan(export_status,!)" in plan
+    assert "error_log" not in plan.split("ReadSchema:")[1].split("\n")[0]
