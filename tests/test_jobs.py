@@ -269,3 +269,29 @@ def test_export_to_a_file_uri(spark):
     zips = [f for f in os.listdir(os.path.join(out, "u")) if f.endswith(".zip")]
     assert zips and res.report.first()["zip_bytes"] > 0
     assert os.path.exists(os.path.join(out, "u", "ledger", "_committed_1"))
+
+
+def test_cli_export_from_sqlite(spark, capsys):
+    """An SQLite ledger exported through the command line gives the same statuses as the table path."""
+    import json
+    import sqlite3
+    from zipledger.__main__ import main
+    m, c = _inputs(spark)
+    d = tempfile.mkdtemp()
+    rows = m.collect()
+    con = sqlite3.connect(d + "/sql.db")
+    con.execute("""CREATE TABLE email_archive (archive_id TEXT PRIMARY KEY, archive_time DATETIME,
+        archive_location TEXT, raw_eml_size INTEGER, export_status TEXT, updated_at DATETIME,
+        error_log TEXT, retries INTEGER)""")
+    con.executemany("insert into email_archive values (?,?,?,?,?,?,?,?)",
+                    [(r["archive_id"], str(r["archive_time"]), r["archive_location"], r["raw_eml_size"],
+                      r["export_status"], str(r["updated_at"]), r["error_log"], r["retries"]) for r in rows])
+    con.commit()
+    con.close()
+    c.write.parquet(d + "/content")
+    assert main(["export", "--job-id", "sq", "--sqlite-path", d + "/sql.db", "--content", d + "/content",
+                 "--output-dir", d + "/out", "--max-zip-size-mb", "1"]) == 0
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    table = run_export(spark, m, ExportConfig(job_id="sq", max_zip_mb=1), tempfile.mkdtemp(), content=c)
+    t = table.report.first()
+    assert (rep["total"], rep["completed"], rep["failed"]) == (t["total"], t["completed"], t["failed"])
