@@ -4,7 +4,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 

@@ -1,10 +1,13 @@
-"""Archive sink: one ZIP file per archive index, entries ``{archive_id}.eml`` (Deflate).
+"""Archive sinks: ZIP files of entries ``{archive_id}.eml`` (Deflate).
 
-Plan: ``repartition(n, zip_idx)`` + ``sortWithinPartitions(zip_idx, seq)`` +
-``mapInPandas(writer)``. Each archive is written by exactly one task, entries
-in claim order, to a hidden temporary name that is atomically renamed when
-the archive is complete. A retried or speculative task rewrites the same bytes
-under the same final name, so the sink is idempotent.
+``write_archives`` writes already numbered archives: ``repartition(zip_idx)`` +
+``sortWithinPartitions(zip_idx, seq)`` + ``mapInPandas(writer)``; each archive
+is written by exactly one task, entries in claim order, to a hidden temporary
+name that is atomically renamed when complete, so a retried or speculative task
+rewrites the same bytes under the same final name.
+
+``pack_and_write`` fuses packing and writing for hash slots (bodies shuffled
+once); ``finalize_archives`` renames its temporary files to numbered names.
 """
 
 from __future__ import annotations
