@@ -144,6 +144,11 @@ def test_cli_export(spark, capsys):
     rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert rep["job"] == "cli" and rep["completed"] > 0
     assert os.path.isdir(d + "/logs/channel=process")
+    logs = spark.read.json(d + "/logs/channel=process").collect()
+    before = m.where("export_status = 'COMPLETED'").count()
+    counts = sorted(int(r["progress"].split("/")[0]) for r in logs)
+    assert counts == list(range(before + 1, before + len(logs) + 1))
+    assert {r["progress"].split("/")[1] for r in logs} == {str(m.count())}
 
 
 def test_slots_grow_with_data(spark):

@@ -63,8 +63,9 @@ def audit_events(failures: DataFrame | None = None, archived: DataFrame | None =
                                      .otherwise("fetch_failed").alias("event"),
                                      "archive_id", F.col("error_log").alias("detail")))
     if archived is not None:
+        extra = ["progress"] if "progress" in archived.columns else []
         parts.append(archived.select(F.lit(C.CHANNEL_PROCESS).alias("channel"), F.lit("archived").alias("event"),
-                                     "archive_id", F.col("archive_path").alias("detail")))
+                                     "archive_id", F.col("archive_path").alias("detail"), *extra))
     if general is not None:
         parts.append(general.select(F.lit(C.CHANNEL_GENERAL).alias("channel"), "event",
                                     F.lit(None).cast("string").alias("archive_id"), "detail"))

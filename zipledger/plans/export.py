@@ -27,6 +27,7 @@ from ..functions import build_url, failure_reason
 from ..operators import ledger as L
 from ..operators import packing as PK
 from ..operators.attempts import outcome_reason
+from ..operators.progress import running_progress
 from ..operators.report import audit_events, job_report
 from ..schema import ExportConfig
 from ..session import staging_path
@@ -233,7 +234,12 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     if audit_dir:
         failures = L.failure_updates(rejects).unionByName(
             L.failure_updates(outcome_reason(failed_fetch, cfg.max_attempts)))
-        write_audit(audit_events(failures=failures, archived=entries), audit_dir)
+        # per-record "current/total", counting from what was already completed (claim order)
+        before = L.progress_stats(cur).first()
+        order = numbered.select("archive_id", F.col("claim_seq").alias("ts"))
+        progress = running_progress(order, before["completed"], before["total"]).select("archive_id", "progress")
+        archived = entries.join(progress, "archive_id")
+        write_audit(audit_events(failures=failures, archived=archived), audit_dir)
 
     inventory = list_any(spark, job_dir)   # paths keep the job dir's form (plain path or URI)
     report = job_report(final, inventory, cfg.job_id, job_dir, cfg.archive_base_url)
