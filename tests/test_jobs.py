@@ -149,6 +149,8 @@ def test_cli_export(spark, capsys):
     counts = sorted(int(r["progress"].split("/")[0]) for r in logs)
     assert counts == list(range(before + 1, before + len(logs) + 1))
     assert {r["progress"].split("/")[1] for r in logs} == {str(m.count())}
+    general = {r["event"] for r in spark.read.json(d + "/logs/channel=general").collect()}
+    assert general == {"job_started", "ledger_scanned", "resume_index", "job_finished"}
 
 
 def test_slots_grow_with_data(spark):
