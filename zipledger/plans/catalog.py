@@ -287,6 +287,17 @@ def q_export_job(spark, sf_dir):
     return res.ledger
 
 
+def _no_sleep(seconds):
+    return None
+
+
+def q_export_job_fetch(spark, sf_dir):
+    """The export job with the fetch path: retries decided by the rule-based fetcher."""
+    res = run_export(spark, _manifest(spark, sf_dir), _export_cfg(), staging_path(spark, "export_fetch"),
+                     fetcher_factory=attempt_rule_fetcher_factory(), sleep=_no_sleep, now=P.NOW)
+    return res.ledger
+
+
 def q_resume_run(spark, sf_dir):
     """Interrupted after three claim batches (the fourth left PROCESSING), then rerun."""
     out = staging_path(spark, "resume")

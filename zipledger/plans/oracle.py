@@ -364,6 +364,16 @@ select cast(n.off0 + n.k as bigint) as zip_idx,
 from nb0 n join packin p using (archive_id) group by all"""
     q["export_job"] = _with(("x", EXPORT_LEDGER)) + "select * from x"
     q["resume_run"] = q["export_job"]
+    q["export_job_fetch"] = _with(*att, ("e", f"select archive_id, {VALID} as valid from cur where {ELIGIBLE}"),
+                                  ("o", f"select archive_id, fetch_ok, {REASON} as reason from fold")) + f"""
+select c.archive_id, c.archive_time, c.archive_location, c.raw_eml_size,
+  case when e.archive_id is null then c.export_status when not e.valid then 'FAILED'
+       when o.fetch_ok then 'COMPLETED' else 'FAILED' end as export_status,
+  case when e.archive_id is null then c.updated_at else {NOW} end as updated_at,
+  case when e.archive_id is null then c.error_log when not e.valid then 'Parse error: invalid archive location format'
+       when o.fetch_ok then null else o.reason end as error_log,
+  c.retries
+from cur c left join e using (archive_id) left join o using (archive_id)"""
     q["ledger_snapshot"] = q["apply_updates"]
     q["file_inventory"] = f"""
 with inv as ({INVENTORY})
