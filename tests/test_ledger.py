@@ -75,3 +75,28 @@ def test_eligibility_filter_reaches_the_scan(spark, tmp_path):
     assert "PushedFilters: [Or(Or(IsNull(export_status),In(export_status" in plan
     assert "LessThan(export_status,!)" in plan
     assert "error_log" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_flush_batches_with_a_burst_tick(spark):
+    """A third of all completions land in one tick; batches still follow the flusher model."""
+    from zipledger.operators.progress import flush_batches
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(900):
+        if i % 3 == 0:   # the burst: all within the first 10 s tick
+            ts = t0 + dt.timedelta(microseconds=i)
+        else:
+            ts = t0 + dt.timedelta(seconds=10 + i * 7)
+        rows.append((f"c{i:04d}", ts))
+    df = spark.createDataFrame(rows, "archive_id string, ts timestamp_ntz")
+    got = {r["archive_id"]: (r["tick"], r["flush_batch"]) for r in flush_batches(df, "2024-01-01 00:00:00", 50, 10).collect()}
+    # model: walk in time order; a batch closes at N ids or when the tick ends
+    exp, cur_tick, n = {}, None, 0
+    for aid, ts in sorted(rows, key=lambda r: (r[1], r[0])):
+        tick = int((ts - t0).total_seconds() // 10)
+        if tick != cur_tick:
+            cur_tick, n = tick, 0
+        exp[aid] = (tick, n // 50)
+        n += 1
+    assert got == exp
+    assert max(b for t, b in got.values() if t == 0) == 5   # 300 ids in the burst tick -> batches 0..5
