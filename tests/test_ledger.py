@@ -100,3 +100,12 @@ def test_flush_batches_with_a_burst_tick(spark):
         n += 1
     assert got == exp
     assert max(b for t, b in got.values() if t == 0) == 5   # 300 ids in the burst tick -> batches 0..5
+
+
+def test_running_progress_with_one_timestamp(spark):
+    """Every completion at the same instant: positions follow the id, no gaps or repeats."""
+    from zipledger.operators.progress import running_progress
+    rows = [(f"p{i:04d}", dt.datetime(2024, 1, 1)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "archive_id string, ts timestamp_ntz").repartition(7)
+    got = {r["archive_id"]: r["progress"] for r in running_progress(df, done_before=10, total=5000).collect()}
+    assert got == {f"p{i:04d}": f"{11 + i}/5000" for i in range(1200)}
