@@ -51,20 +51,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: what follows neither recomputes it
     nor depends on the executors that made it."""
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_staged(df: DataFrame) -> None:
-    """Delete the staged folders ``df`` reads (only those made by :func:`stage`)."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/llm/" in folder:
-            p = jvm.org.apache.hadoop.fs.Path(folder)
-            p.getFileSystem(conf).delete(p, True)
-
-
 # -- word hashes (numpy side) ------------------------------------------------------------------
 
 class WordHash(dict):

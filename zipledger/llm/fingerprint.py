@@ -105,24 +105,28 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """Each row's fingerprint, that of its text with the last quarter replaced by the head of the next document, and
     their likeness to each other and to the next document's."""
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    keyed = texts.select("doc", _key(F.col("doc")).alias("key"), "text")
+    kind = texts.schema["doc"].dataType
+    keyed = texts.select(_key(F.col("doc")).alias("key"), "text")
     nexts = stage(successors(texts, "doc", "text"), "successors")
-    # both joins read the one exchange of the texts by key
+    # both joins read the same columns, so the one exchange of the texts by key serves them
     heads = (keyed.join(nexts.withColumnsRenamed({"key": "for_key", "next_key": "key"}), "key")
              .groupBy("for_key").agg(F.min(F.substring(F.col("text"), F.lit(1), F.col("head_chars"))).alias("head")))
     both = keyed.join(heads.withColumnRenamed("for_key", "key"), "key", "left").withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - cut).cast("int")),
                       F.substring(F.coalesce("head", F.lit("")), F.lit(1), cut))
-    done = both.select("doc", "key", "n_chars", "text", edited.alias("edited")).select(
-        "doc", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), order_minhash(F.col("text")).alias("fingerprint"),
-        order_minhash(F.col("edited")).alias("edited_fingerprint"))
-    done = stage(done, "fingerprints")
-    after = done.groupBy("key").agg(F.min("fingerprint").alias("next_fingerprint")).withColumnRenamed("key", "next_key")
-    return (done.join(nexts.select("key", "next_key").join(after, "next_key"), "key", "left")
-            .select("doc", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                    likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                    likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next")))
+    prints = both.select("key", "n_chars", "text", edited.alias("edited")).select(
+        "key", "n_chars", F.unhex(F.sha2("edited", 256)).alias("sha"), F.unhex(order_minhash(F.col("text"))).alias("print"),
+        F.unhex(order_minhash(F.col("edited"))).alias("edited_print"))
+    prints = stage(prints, "fingerprints")  # in binary: half the bytes to store and to move
+    after = prints.groupBy("key").agg(F.min("print").alias("next_print")).withColumnRenamed("key", "next_key")
+    hexed = lambda c, name: F.lower(F.hex(c)).alias(name)
+    done = prints.join(nexts.select("key", "next_key").join(after, "next_key"), "key", "left").select(
+        F.when(F.col("key") != "null", F.substring("key", 2, 2**31 - 1)).cast(kind).alias("doc"), "n_chars", hexed("sha", "edited_sha256"),
+        hexed("print", "fingerprint"), hexed("edited_print", "edited_fingerprint"), hexed("next_print", "next_fingerprint"))
+    return done.select("doc", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                       likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                       likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
 def op1_fingerprint(spark, sf_dir: str) -> DataFrame:
