@@ -10,7 +10,7 @@ centroids are fitted on at most ``SAMPLE`` rows per language, the ones with the
 text (a documented bound); clustering runs on the executors, one group of at most ``SAMPLE`` vectors per language.
 The reject distance of a length class (powers of two of the number of letters) is the largest distance of the
 sampled training rows of that class, the class below or longer ones to their own language's centroids, times
-``SLACK`` (beyond the longest class seen, that class's); under ``MIN_LETTERS`` letters a distance says too little and rejects nothing. The
+``SLACK`` (beyond the longest class seen, that class's), and ``NEAR`` at least; under ``MIN_LETTERS`` letters a distance says too little and rejects nothing. The
 model (languages x CENTROIDS x DIMS floats) goes through the driver; its size doesn't depend on the corpus,
 given the number of languages.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import with_fields
 
-DIMS, SAMPLE, CENTROIDS, SLACK, MIN_LETTERS = 4096, 600, 4, 1.15, 32
+DIMS, SAMPLE, CENTROIDS, SLACK, NEAR, MIN_LETTERS = 4096, 600, 4, 1.15, 0.35, 32
 UNKNOWN = "und"
 _MARKS = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in bytes(range(256)).lower())
 
@@ -151,7 +151,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", names: tuple[s
                 best = int(np.argmax(cos))
                 score = float(min(1.0, max(0.0, cos[best])))
                 reach = m["reach"][min(_length_class(letters), max(m["reach"]))]
-                limit = 1.0 if letters < MIN_LETTERS else min(1.0, reach * SLACK)
+                limit = 1.0 if letters < MIN_LETTERS else min(1.0, max(NEAR, reach * SLACK))
                 out.append((m["langs"][m["owner"][best]], score, 1 - score > limit))
             cols = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *names])
