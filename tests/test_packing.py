@@ -107,25 +107,77 @@ def test_fused_pack_and_write_matches_brute_force(spark):
     assert os.path.isdir(out)
 
 
-def test_fused_writer_bounds_open_archives(spark):
-    """Per-group packing with more groups than open files allowed: every entry is
-    written once, archives stay within the cap, and no archive mixes groups."""
-    import tempfile
+def test_partition_export_packs_like_the_packer(spark, tmp_path):
+    """Per-group archives of the job: as many, with the same entries, as next-fit packing per (group, slot) makes."""
     import zipfile
 
-    from zipledger.sinks.archive import pack_and_write
+    from zipledger.plans.export import run_export
+    from zipledger.schema import ExportConfig, LEDGER
+
+    n = 160
+    rows = [(f"g{i}", f"2024-01-01 00:{i // 60:02d}:{i % 60:02d}", i % 80, 100 + i) for i in range(n)]
+    ledger = spark.createDataFrame(rows, "archive_id string, t string, org long, raw_eml_size long").selectExpr(
+        "archive_id", "cast(t as timestamp_ntz) as archive_time", "concat('10.0.0.1:org', org, ':example.com:20240101:', archive_id) as archive_location",
+        "raw_eml_size", "'PENDING' as export_status", "cast(null as timestamp_ntz) as updated_at", "cast(null as string) as error_log",
+        "cast(0 as int) as retries")
+    ledger = ledger.select(*[ledger[f.name].cast(f.dataType) for f in LEDGER.fields])
+    content = ledger.selectExpr("archive_id", "cast(repeat('z', cast(raw_eml_size as int)) as binary) as content")
+    cfg = ExportConfig(job_id="j", zip_slots=2, max_zip_mb=1, group_mode="partition")
+    res = run_export(spark, ledger, cfg, str(tmp_path), content=content, now="2026-01-01 00:00:00")
+    done = {r.archive_id for r in res.ledger.where("export_status = 'COMPLETED'").collect()}
+    assert len(done) == n
+    names = [x for p in tmp_path.glob("j/*/*.zip") for x in zipfile.ZipFile(p).namelist()]
+    assert sorted(names) == sorted(f"{a}.eml" for a in done)
+    # 80 groups of two items each, both in one slot: one archive a group, however many groups there are
+    assert len(list(tmp_path.glob("j/*/*.zip"))) == res.archives.count() == 80
+
+
+def test_record_left_after_commit_keeps_committed_archives(spark, tmp_path):
+    """A run that died after its ledger commit leaves its record; the next run must not reuse its archive numbers.
+    A run that died before the commit is redone, and nothing of it is left over."""
+    import json
+    import zipfile
 
-    n, cap = 400, 3000
-    meta = spark.createDataFrame([(f"g{i}", i + 1, (i * 13) % 700, f"org{i % 9}") for i in range(n)],
-                                 "archive_id string, claim_seq long, declared long, org_id string")
-    bodies = spark.createDataFrame([(f"g{i}", b"z" * ((i * 13) % 700)) for i in range(n)],
-                                   "archive_id string, content binary")
-    slotted = PK.assign_slots(meta, 2, rule="hash")
-    got = pack_and_write(slotted, bodies, cap, tempfile.mkdtemp(), 2, group_col="org_id",
-                         max_open_archives=3).toPandas()
-    assert sorted(got["archive_id"]) == sorted(f"g{i}" for i in range(n))
-    for path, grp in got.groupby("temp_path"):
-        assert grp["grp"].nunique() == 1 and (grp["actual"].sum() <= cap or len(grp) == 1)
-        with zipfile.ZipFile(path) as z:
-            assert sorted(z.namelist()) == sorted(f"{a}.eml" for a in grp["archive_id"])
-    assert got.groupby(["slot", "grp", "k"])["temp_path"].nunique().max() == 1
+    from zipledger.plans.export import run_export
+    from zipledger.schema import LEDGER, ExportConfig
+
+    def ledger(ids):
+        df = spark.createDataFrame([(i, 10) for i in ids], "archive_id string, raw_eml_size long").selectExpr(
+            "archive_id", "timestamp_ntz'2024-01-01 00:00:00' as archive_time", "concat('10.0.0.1:o:example.com:20240101:', archive_id) as archive_location",
+            "raw_eml_size", "'PENDING' as export_status", "cast(null as timestamp_ntz) as updated_at", "cast(null as string) as error_log",
+            "cast(0 as int) as retries")
+        return df.select(*[df[f.name].cast(f.dataType) for f in LEDGER.fields])
+
+    def run(ids):
+        rows = ledger(ids)
+        body = rows.selectExpr("archive_id", "case when archive_id = 'null-body' then null else cast(archive_id as binary) end as content")
+        return run_export(spark, rows, ExportConfig(job_id="j", zip_slots=1, max_zip_mb=1), str(tmp_path), content=body, now="2026-01-01 00:00:00")
+
+    def stored():
+        return sorted(x for p in tmp_path.glob("j/*.zip") for x in zipfile.ZipFile(p).namelist())
+
+    record = tmp_path / "j" / "_uncommitted_run.json"
+    first = run(["a", "b", "null-body"])
+    assert {r.archive_id: r.export_status for r in first.ledger.collect()}["null-body"] != "COMPLETED"
+    record.write_text(json.dumps({"start": 0, "version": first.version, "ledger": str(tmp_path / "j" / "ledger")}))
+    run(["c"])
+    assert stored() == ["a.eml", "b.eml", "c.eml"] and not record.exists()
+    # a dead, uncommitted run: its archive goes, the next one takes its number
+    with zipfile.ZipFile(tmp_path / "j" / "emails_0003.zip", "w") as z:
+        z.writestr("dead.eml", b"x")
+    record.write_text(json.dumps({"start": 2, "version": 99, "ledger": str(tmp_path / "j" / "ledger")}))
+    run(["d"])
+    assert stored() == ["a.eml", "b.eml", "c.eml", "d.eml"]
+
+
+def test_retention_leaves_strangers_in_folders_named_like_snapshots(spark):
+    import datetime as dt
+
+    from zipledger.operators.retention import retention_plan
+    old, root = dt.datetime(2020, 1, 1), "/data/ledger/store"
+    paths = ["job/notes.txt", "job/ledger/notes.txt", "ledger/notes.txt", "job/ledger/version=1/part-0.parquet", "job/ledger/_committed_1",
+             "job/ledger-stream/batch_id=3/version=1/part-0.parquet", "job/a.zip", "job/sub/ledger/version=1/x"]
+    inv = spark.createDataFrame([(f"{root}/{p}", 1, old) for p in paths], "path string, length long, mtime timestamp_ntz")
+    plan = retention_plan(inv, now="2026-01-01 00:00:00", snapshot_dirs=("ledger", "ledger-stream"), root=root)
+    assert sorted(r.path[len(root) + 1:] for r in plan.collect()) == [
+        "job/a.zip", "job/ledger-stream/batch_id=3/version=1/part-0.parquet", "job/ledger/_committed_1", "job/ledger/version=1/part-0.parquet"]

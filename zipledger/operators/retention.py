@@ -3,37 +3,45 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
 from ..functions import age_days, as_timestamp, file_extension, gb_text
+from ..sinks import fs as fsx
 
 
-def in_snapshot(path_col: str, snapshot_dirs) -> F.Column:
-    """Inside a ledger snapshot directory (``.../ledger/...``): the counterpart of the
-    single ledger-copy file the original kept in each job directory."""
+def below(path_col: str, root: str) -> F.Column:
+    """The path relative to ``root``."""
+    return F.substring(F.col(path_col), len(root.rstrip("/")) + 2, 1 << 30)
+
+
+def in_snapshot(path_col: str, snapshot_dirs, root: str, dirs: bool = False) -> F.Column:
+    """A file the ledger snapshots of a job consist of, ``<root>/<job>/<ledger>/[batch_id=N/](version=N/...|_committed_N)``
+    (with ``dirs``: one of those directories): the counterpart of the single ledger-copy file the original kept
+    in each job directory. Any other file in a folder of that name is a stranger's."""
     if not snapshot_dirs:
         return F.lit(False)
-    cond = F.lit(False)
-    for d in snapshot_dirs:
-        cond = cond | F.col(path_col).contains(f"/{d}/")
-    return cond
+    top = r"^[^/]+/(?:" + "|".join(re.escape(d) for d in snapshot_dirs) + ")"
+    tail = r"(?:/batch_id=\d+)?(?:/version=\d+)?$" if dirs else r"(?:/batch_id=\d+)?/(?:version=\d+/[^/]+|_committed_\d+|_folded_\d+)$"
+    return below(path_col, root).rlike(top + tail)
 
 
 def retention_plan(inventory: DataFrame, now=None, max_age_days: int = C.DEFAULT_MAX_AGE_DAYS,
                    extensions=C.RETENTION_EXTENSIONS, mtime_col: str = "mtime",
-                   snapshot_dirs: tuple = ()) -> DataFrame:
+                   snapshot_dirs: tuple = (), root: str = "") -> DataFrame:
     """Files whose extension (case-sensitive) is listed and whose mtime is strictly
     before ``now - max_age_days * 24h``, at any depth. Files inside ledger snapshot
     directories (``snapshot_dirs``) age like the ledger copy (``.db``) they replace."""
     t = as_timestamp(now)
     cutoff = t - F.expr(f"INTERVAL {int(max_age_days) * 24} HOURS")
     files = inventory.where(~F.col("is_dir")) if "is_dir" in inventory.columns else inventory
-    kind = file_extension("path").isin(*extensions) | in_snapshot("path", snapshot_dirs)
+    kind = file_extension("path").isin(*extensions) | in_snapshot("path", snapshot_dirs, root)
     return files.where(kind & (F.col(mtime_col) < cutoff)).withColumn("age_days", age_days(mtime_col, t))
 
 
@@ -56,7 +64,6 @@ def apply_retention(plan: DataFrame, num_partitions: int | None = None) -> DataF
         rows = rows.repartition(num_partitions)
 
     def run(batches):
-        from ..sinks import fs as fsx
         for pdf in batches:
             deleted, errors = [], []
             for p in pdf["path"].tolist():
@@ -119,8 +126,8 @@ def empty_job_dirs(files: DataFrame, deleted: DataFrame, root: str, dirs: DataFr
     else:
         f = f.withColumn("_is_dir", F.lit(False))
     marked = f.join(gone, "path", "left")
-    snap = in_snapshot("path", snapshot_dirs) | (F.lit(bool(snapshot_dirs)) & F.col("path").rlike(
-        "/(" + "|".join(snapshot_dirs or ["-"]) + ")$"))
+    snap = F.when(F.col("_is_dir"), in_snapshot("path", snapshot_dirs, root, dirs=True)).otherwise(
+        in_snapshot("path", snapshot_dirs, root))
     # a file survives unless deleted; a (sub)directory survives unless it belongs to a snapshot
     survives = F.when(F.col("_is_dir"), ~snap).otherwise(F.col("_gone").isNull() | (depth_gt0 & ~snap))
     keep = marked.where(survives).select("dir").distinct()
@@ -143,17 +150,17 @@ def remove_dirs(dirs: DataFrame) -> DataFrame:
             os.rmdir(d)
 
     def remove_uri(top: str) -> None:
-        import pyarrow.fs as pafs
-
-        from ..sinks import fs as fsx
         sfs, p = fsx.resolve(top)
         if sfs.get_file_info(p).type == pafs.FileType.NotFound:
             return
-        left = [i.path for i in sfs.get_file_info(pafs.FileSelector(p, recursive=True))
-                if i.type != pafs.FileType.Directory]
-        if left:
-            raise OSError(f"directory not empty: {left[0]}")
-        sfs.delete_dir(p)
+        if isinstance(sfs, pafs.LocalFileSystem):
+            return remove(p)
+        inside = sfs.get_file_info(pafs.FileSelector(p, recursive=True))
+        for d in [*sorted((i.path for i in inside if i.type == pafs.FileType.Directory), key=lambda x: -x.count("/")), p]:
+            left = sfs.get_file_info(pafs.FileSelector(d))  # these stores have no rmdir: look right before each deletion
+            if left:
+                raise OSError(f"directory not empty: {left[0].path}")
+            sfs.delete_dir(d)
 
     def run(batches):
         for pdf in batches:

@@ -22,7 +22,7 @@ from ..operators.report import audit_events, job_report, total_archive_size
 from ..operators.retention import apply_retention, empty_job_dirs, retention_plan, retention_summary
 from ..schema import ExportConfig, RetentionConfig
 from ..session import staging_path
-from ..sinks.archive import write_archives
+from ..sinks.archive import read_archives, write_archives
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 from ..sources import adapters as A
 from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content, resolve_content
@@ -287,6 +287,14 @@ def q_export_job(spark, sf_dir):
     return res.ledger
 
 
+def q_export_roundtrip(spark, sf_dir):
+    """What the job's archives hold, read back from the ZIP files: each exported body, in how many archives."""
+    out = staging_path(spark, "roundtrip")
+    res = run_export(spark, _manifest(spark, sf_dir), _export_cfg(), out, content=_content(spark, sf_dir), now=P.NOW)
+    return read_archives(res.archives, out).groupBy("archive_id").agg(
+        F.count("archive_path").alias("n_archives"), F.min("content_bytes").alias("content_bytes"), F.min("content_md5").alias("content_md5"))
+
+
 def _no_sleep(seconds):
     return None
 

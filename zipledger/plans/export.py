@@ -16,6 +16,7 @@ import dataclasses
 import datetime as _dt
 import json
 import os
+import re
 import time
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ from ..session import staging_path
 from ..sinks import fs as fsx
 from ..sinks.archive import write_archives
 from ..sinks.audit import write_audit
-from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
+from ..sinks.ledger import committed_versions, read_ledger_snapshot, write_ledger_snapshot
 from ..sources.fetch import fetch_content, resolve_content
 from ..sources.inventory import list_any
 from ..sources.manifest import duplicate_ids
@@ -64,7 +65,7 @@ def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) ->
     names = [(n,) for n in fsx.list_dir(job_dir)]
     if group_dirs:
         for sub in fsx.list_dir(job_dir, files=False, dirs=True):
-            if sub not in ("ledger", "ledger-stream"):
+            if sub not in _LEDGER_DIRS:
                 names += [(n,) for n in fsx.list_dir(fsx.join(job_dir, sub))]
     if not names:
         return 0
@@ -73,56 +74,78 @@ def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) ->
 
 
 _INTENT = "_uncommitted_run.json"
+_LEDGER_DIRS = ("ledger", "ledger-stream")
 
 
-def _begin_run(spark: SparkSession, job_dir: str, cfg: ExportConfig) -> int:
+def _drop_archives_after(job_dir: str, start: int, group_dirs: bool) -> None:
+    """Remove archives a dead run left above its start index (no committed ledger names them)."""
+    prefix, suffix = re.split(r"%\d*d", C.ARCHIVE_NAME_FORMAT)
+    folders = [job_dir]
+    if group_dirs:
+        folders += [fsx.join(job_dir, d) for d in fsx.list_dir(job_dir, files=False, dirs=True) if d not in _LEDGER_DIRS]
+    for folder in folders:
+        for name in fsx.list_dir(folder):
+            m = re.fullmatch(re.escape(prefix) + r"(\d+)" + re.escape(suffix), name)
+            if m and int(m.group(1)) > start:
+                fsx.remove(fsx.join(folder, name))
+
+
+def _begin_run(spark: SparkSession, job_dir: str, cfg: ExportConfig, ledger_root: str) -> int:
     """Archive numbering start for this run.
 
-    Before any archive is written the start index is recorded in the job
-    directory; it is removed once the new ledger version is committed. A run
-    restarted after a crash finds the record and reuses the start, so it
-    rewrites the same archive names (same input, same assignment) instead of
-    adding duplicates after them."""
-    intent = fsx.join(job_dir, _INTENT)
+    Before any archive is written, the start index and the ledger version the run
+    will commit are recorded in the job directory. A run that finds a record asks
+    whether that version is committed: if so, the dead run only failed to remove
+    its record, its archives stay and numbering goes on after them; if not, what it
+    wrote belongs to no ledger, is removed, and its start is used again."""
+    intent, grouped = fsx.join(job_dir, _INTENT), cfg.group_mode == "partition"
     if fsx.exists(intent):
-        return int(json.loads(fsx.read_text(intent))["start"])
-    start = resume_start(spark, job_dir, group_dirs=cfg.group_mode == "partition")
-    fsx.write_text(intent, json.dumps({"start": start}))
+        record = json.loads(fsx.read_text(intent))
+        if record.get("version") not in committed_versions(record.get("ledger", ledger_root)):
+            start = int(record["start"])
+            _drop_archives_after(job_dir, start, grouped)
+            _record_run(intent, start, ledger_root)
+            return start
+        fsx.remove(intent)
+    start = resume_start(spark, job_dir, group_dirs=grouped)
+    _record_run(intent, start, ledger_root)
     return start
 
 
+def _record_run(intent: str, start: int, ledger_root: str) -> None:
+    done = committed_versions(ledger_root)
+    fsx.write_text(intent, json.dumps({"start": start, "ledger": ledger_root, "version": done[-1] + 1 if done else 1}))
+
+
 def _end_run(job_dir: str) -> None:
     fsx.remove(fsx.join(job_dir, _INTENT))
 
 
-def scale_slots(meta: DataFrame, cfg: ExportConfig) -> tuple[ExportConfig, int]:
-    """Raise the slot count so each slot holds at most ``max_bytes_per_slot``
-    declared bytes; also returns the number of items (one aggregate)."""
-    row = meta.agg(F.count(F.lit(1)).alias("n"), F.sum("declared").alias("b")).first()
-    n, total = int(row["n"]), int(row["b"] or 0)
-    if not cfg.max_bytes_per_slot:
-        return cfg, n
+def scale_slots(meta: DataFrame, cfg: ExportConfig) -> ExportConfig:
+    """Without a slot count of the user's: enough slots that each holds at most
+    ``max_bytes_per_slot`` declared bytes (one aggregate). A given count is kept."""
+    if cfg.zip_slots > 0 or not cfg.max_bytes_per_slot:
+        return cfg
+    total = int(meta.agg(F.sum("declared").alias("b")).first()["b"] or 0)
     need = -(-total // int(cfg.max_bytes_per_slot))
-    return (dataclasses.replace(cfg, zip_slots=need) if need > cfg.slots else cfg), n
+    return dataclasses.replace(cfg, zip_slots=need) if need > cfg.slots else cfg
 
 
 def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, start: int, stage: str):
     """Hash slots: bodies shuffle once into the task that packs and writes them."""
     from ..sinks.archive import discard_temp, finalize_archives, pack_and_write
-    group = cfg.group_mode in ("partition", "rotate")
+    rotate = cfg.group_mode == "rotate"
     slotted = PK.assign_slots(meta, cfg.slots, rule="hash")
     run_id = os.path.basename(stage)
-    written = pack_and_write(slotted, bodies, cfg.cap_bytes, out_dir, cfg.slots, rotate=cfg.group_mode == "rotate",
-                             group_col="org_id" if group else None, run_id=run_id)
+    written = pack_and_write(slotted, bodies, cfg.cap_bytes, out_dir, cfg.slots, rotate=rotate,
+                             group_col="org_id" if rotate else None, run_id=run_id)
     written = _stage(written, os.path.join(stage, "written"))      # the writes happen exactly once
     zip_failed = written.where(F.col("zip_error").isNotNull()).select(
         "archive_id", failure_reason(F.lit("zip"), detail="zip_error").alias("error_log"))
     written = written.where(F.col("zip_error").isNull())
-    keys = ["slot", "grp"] if cfg.group_mode == "partition" else ["slot"]
-    numbered = PK.number_archives(written, keys, start=start, staged=True)
-    rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else F.concat(F.lit(cfg.job_id + "/"), F.col("grp"))
+    numbered = PK.number_archives(written, ["slot"], start=start, staged=True)
     # a deterministic view of the staged writes (slots never span tasks, so (slot, k) is one file)
-    numbered = numbered.withColumn("archive_dir", rel)
+    numbered = numbered.withColumn("archive_dir", F.lit(cfg.job_id))
     per_archive = numbered.groupBy("zip_idx", "temp_path", "archive_dir").agg(
         F.count(F.lit(1)).alias("entries"), F.sum("actual").cast("long").alias("bytes"))
     renamed = finalize_archives(per_archive, out_dir)
@@ -161,7 +184,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     # recovered ledger can stay a lazy view of the (stable, committed) input.
     run_now = now if now is not None else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(" ")
     cur = L.reset_stale(ledger, now=run_now)
-    start = _begin_run(spark, job_dir, cfg)
+    ledger_root = ledger_root or os.path.join(job_dir, "ledger")
+    start = _begin_run(spark, job_dir, cfg, ledger_root)
 
     # claim positions are pinned by the ordering checkpoint; nothing else to stage
     claimed = L.claim_batches(cur, cfg.batch_size)
@@ -178,6 +202,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     valid = valid.withColumn("url", build_url("loc"))
     if content is not None:
         # outcomes from a presence join (bodies not read); bodies are read once, by the writer
+        content = content.where(F.col("content").isNotNull())  # a row without a body is a miss
         present = content.select("archive_id").distinct().select("archive_id", F.lit(b"").alias("content"))
         fetched = resolve_content(valid, present, cfg.max_attempts).drop("content")
         bodies = content.select("archive_id", "content")
@@ -192,16 +217,18 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
                         F.col("loc.org_id").alias("org_id")).join(
         fetched.where("fetch_ok").select("archive_id"), "archive_id", "left_semi")
     keys = PK.pack_keys(cfg.group_mode, "org_id")
-    cfg, n_items = scale_slots(meta, cfg)
-    if content is not None and n_items <= cfg.broadcast_ids_limit:
-        bodies = bodies.join(F.broadcast(meta.select("archive_id")), "archive_id", "left_semi")
-    job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else \
-        F.concat(F.lit(cfg.job_id + "/"), F.col("org_id"))
-    if cfg.slot_rule == "hash":
+    cfg = scale_slots(meta, cfg)
+    if content is not None:
+        # claimed bodies only, copies of one id collapsed (map-side first): one plan at every size
+        bodies = bodies.join(meta.select("archive_id"), "archive_id", "left_semi").groupBy("archive_id").agg(
+            F.max("content").alias("content"))
+    org = F.url_encode(F.col("org_id"))  # a directory name of its own, whatever the ledger says
+    org = F.when(org.rlike(r"^\.*$|^ledger"), F.concat(F.lit("%"), org)).otherwise(org)
+    job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else F.concat(F.lit(cfg.job_id + "/"), org)
+    # per-group archives are packed from metadata first, then bodies go to their archive's writer
+    if cfg.slot_rule == "hash" and cfg.group_mode != "partition":
         numbered, archives, zip_failed = _fused_pack_write(spark, meta, bodies, cfg, out_dir, start, stage)
     else:
-        if content is not None:  # copies of one id collapse map-side (partial aggregate)
-            bodies = bodies.groupBy("archive_id").agg(F.max("content").alias("content"))
         ok = bodies.select("archive_id", F.octet_length("content").cast("long").alias("actual"))
         slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
         packed = _stage(PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id"),
@@ -225,7 +252,6 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
             "archive_id", F.lit(C.PROCESSING).alias("export_status"),
             F.lit(None).cast("string").alias("error_log"), F.lit(0).cast("long").alias("seq")))
     final = L.apply_updates(cur, updates, now=run_now)
-    ledger_root = ledger_root or os.path.join(job_dir, "ledger")
     version = write_ledger_snapshot(final, ledger_root)
     final = read_ledger_snapshot(spark, ledger_root, version)
     _end_run(job_dir)

@@ -77,12 +77,9 @@ class ExportConfig:
     # "hash": slots co-partitioned with bodies, packing fused with writing (bodies shuffle once)
     # "round_robin": slots by claim position, pack metadata first, then shuffle bodies to writers
     slot_rule: str = "hash"
-    # slots grow so that no slot (one packing/writing task) gets more declared
-    # bytes than this; small runs keep the configured/derived slot count
+    # without a slot count (zip_slots <= 0): slots grow so that no slot (one packing/writing
+    # task) gets more declared bytes than this
     max_bytes_per_slot: int | None = 16 * 1024 ** 3
-    # up to this many claimed ids, bodies are filtered map-side by a broadcast
-    # semi-join before their one shuffle (the count proves the broadcast's size)
-    broadcast_ids_limit: int = 1_000_000
     # archive_id is the ledger's primary key; Spark does not enforce it, so the
     # claimed ids are checked (one partial aggregate) and a duplicate fails the run
     check_unique_ids: bool = True

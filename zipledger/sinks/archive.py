@@ -12,6 +12,7 @@ once); ``finalize_archives`` renames its temporary files to numbered names.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zipfile
 
@@ -100,24 +101,21 @@ PACKED_WRITE = T.StructType([
 
 def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir: str, slots: int,
                    rotate: bool = False, group_col: str | None = None,
-                   compresslevel: int | None = None, run_id: str | None = None,
-                   max_open_archives: int = 64) -> DataFrame:
+                   compresslevel: int | None = None, run_id: str | None = None) -> DataFrame:
     """Fused next-fit packing and archive writing; bodies are shuffled exactly once.
 
     ``meta``: ``archive_id, slot, claim_seq, declared`` (+ group), slots from
     ``assign_slots(rule="hash")``; ``bodies``: ``archive_id, content``. A body's
     slot follows from its id alone, so both inputs are tagged with the slot,
-    unioned, and repartitioned by ``slot`` - there is no join, and whatever
-    partition count Spark settles on, a slot never spans two tasks. Sorted by
+    unioned, and repartitioned by the id into ``slots`` partitions: Spark's hash
+    partition of the id is the slot, so each slot has a task of its own. Sorted by
     (slot, archive_id, kind), every metadata row is directly followed by its
     body, and the task packs and writes in one streaming pass (O(1) state per
-    slot; one open archive per group in ``partition`` mode, at most
-    ``max_open_archives`` at once - the least recently used is closed and its
-    group continues in a new archive). Entries go into
-    hidden temporary files named by task attempt; the returned rows (one per
-    written entry) record which file holds each entry. Within a slot, items
-    are packed in archive_id order. Materialise the result exactly once, then
-    ``finalize_archives``.
+    slot, one open archive; ``rotate`` starts a new one when the group changes).
+    Entries go into hidden temporary files named by task attempt; the returned
+    rows (one per written entry) record which file holds each entry. Within a
+    slot, items are packed in archive_id order. Materialise the result exactly
+    once, then ``finalize_archives``.
     """
     from pyspark import TaskContext
 
@@ -129,25 +127,25 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
     b = bodies.select("archive_id", F.pmod(F.hash("archive_id"), F.lit(slots)).cast("int").alias("slot"),
                       F.lit(None).cast("long").alias("claim_seq"), F.lit(None).cast("long").alias("declared"),
                       *[F.lit(None).cast("string").alias(c) for c in g], F.lit(1).alias("_kind"), "content")
-    src = m.unionByName(b).repartition(slots, "slot").sortWithinPartitions("slot", "archive_id", "_kind")
+    src = m.unionByName(b).repartition(slots, "archive_id").sortWithinPartitions("slot", "archive_id", "_kind")
     staging = temp_dir(out_dir, run_id or uuid.uuid4().hex)
-    per_group = bool(group_col) and not rotate
 
     def run(batches):
         ctx = TaskContext.get()
-        tag = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}"
+        tag = ctx.taskAttemptId()  # unique over stage attempts too
         fsx.makedirs(staging)
-        fits: dict = {}
-        open_zip: dict = {}   # state key -> (ZipFile, path)
+        fit = NextFit(cap_bytes, rotate)
+        open_zip = None       # (ZipFile, stream, path)
         opened_count = 0
         pending = None        # the metadata row waiting for its body
         cur_slot = None
 
-        def close_all():
-            for zf, stream, _ in open_zip.values():
-                zf.close()
-                stream.close()
-            open_zip.clear()
+        def close():
+            nonlocal open_zip
+            if open_zip is not None:
+                open_zip[0].close()
+                open_zip[1].close()
+                open_zip = None
 
         for pdf in batches:
             out = {f.name: [] for f in PACKED_WRITE.fields}
@@ -155,8 +153,8 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
             grps = pdf[group_col].tolist() if group_col else [None] * len(pdf)
             for aid, slot, seq, dec, kind, body, grp in zip(*cols, grps):
                 if slot != cur_slot:
-                    close_all()
-                    fits.clear()
+                    close()
+                    fit = NextFit(cap_bytes, rotate)
                     cur_slot, pending = slot, None
                 if kind == 0:
                     pending = (aid, seq, dec, grp)
@@ -166,29 +164,15 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
                 _, seq, dec, grp = pending
                 pending = None
                 body = bytes(body) if body is not None else b""
-                key = grp if per_group else None
-                fit = fits.setdefault(key, NextFit(cap_bytes, rotate))
-                if key not in open_zip and fit.k > 0:
-                    fit.force_new()  # its archive was closed to bound open files
-                elif key in open_zip:
-                    open_zip[key] = open_zip.pop(key)  # most recently used last
                 k, opened = fit.step(slot, int(dec or 0), len(body), grp)
                 if opened:
-                    if key in open_zip:
-                        zf_old, stream_old, _ = open_zip.pop(key)
-                        zf_old.close()
-                        stream_old.close()
-                    while len(open_zip) >= max(1, max_open_archives):
-                        lru = next(iter(open_zip))
-                        zf_old, stream_old, _ = open_zip.pop(lru)
-                        zf_old.close()
-                        stream_old.close()
+                    close()
                     opened_count += 1
                     path = fsx.join(staging, f".{tag}-{opened_count}.zip.tmp")
                     stream = fsx.open_output(path)
-                    open_zip[key] = (zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED,
-                                                     compresslevel=compresslevel), stream, path)
-                zf, _, path = open_zip[key]
+                    open_zip = (zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=compresslevel),
+                                stream, path)
+                zf, _, path = open_zip
                 error = None
                 try:
                     zf.writestr(f"{aid}{C.ENTRY_SUFFIX}", body)
@@ -198,7 +182,7 @@ def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir:
                                 ("actual", len(body)), ("k", k), ("temp_path", path), ("zip_error", error)):
                     out[name].append(v)
             yield pd.DataFrame(out, columns=[f.name for f in PACKED_WRITE.fields])
-        close_all()
+        close()
 
     return src.mapInPandas(run, PACKED_WRITE)
 
@@ -237,3 +221,20 @@ def finalize_archives(archives: DataFrame, out_dir: str, dir_col: str = "archive
 
     return archives.select("zip_idx", "temp_path", dir_col).mapInPandas(
         run, "zip_idx long, archive_path string, file_bytes long")
+
+
+def read_archives(archives: DataFrame, out_dir: str) -> DataFrame:
+    """Read archives back: (archive_path, archive_id, content_bytes, content_md5) for every entry of every archive."""
+    base = out_dir
+
+    def run(batches):
+        for pdf in batches:
+            for rel in pdf["archive_path"].tolist():
+                with fsx.open_input(fsx.join(base, rel)) as stream, zipfile.ZipFile(stream) as z:
+                    rows = []
+                    for name in z.namelist():
+                        body = z.read(name)
+                        rows.append((rel, name.removesuffix(C.ENTRY_SUFFIX), len(body), hashlib.md5(body).hexdigest()))
+                yield pd.DataFrame(rows, columns=["archive_path", "archive_id", "content_bytes", "content_md5"])
+
+    return archives.select("archive_path").mapInPandas(run, "archive_path string, archive_id string, content_bytes long, content_md5 string")

@@ -64,7 +64,7 @@ def write_text(path: str, text: str) -> None:
     tmp = f"{parent}/.{uuid.uuid4().hex}.tmp"
     with fs.open_output_stream(tmp) as f:
         f.write(text.encode())
-    fs.move(tmp, p)
+    _replace(fs, tmp, p)
 
 
 def read_text(path: str) -> str:
@@ -89,6 +89,12 @@ def remove_tree(path: str) -> None:
         pass
 
 
+def open_input(path: str):
+    """A seekable stream."""
+    fs, p = resolve(path)
+    return fs.open_input_file(p)
+
+
 def open_output(path: str):
     fs, p = resolve(path)
     return fs.open_output_stream(p)
@@ -97,4 +103,15 @@ def open_output(path: str):
 def move(src: str, dst: str) -> None:
     fs, s = resolve(src)
     _, d = resolve(dst)
-    fs.move(s, d)
+    _replace(fs, s, d)
+
+
+def _replace(fs: pafs.FileSystem, src: str, dst: str) -> None:
+    """Move over what may exist: some stores refuse to rename onto an existing file."""
+    try:
+        fs.move(src, dst)
+    except OSError:
+        if fs.get_file_info(src).type == pafs.FileType.NotFound or fs.get_file_info(dst).type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(dst)
+        fs.move(src, dst)

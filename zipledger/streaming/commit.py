@@ -39,7 +39,9 @@ def commit_completions(spark: SparkSession, completions: DataFrame, log_root: st
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     q = w.start()
     if available_now:
-        q.awaitTermination(timeout_seconds)
+        if q.awaitTermination(timeout_seconds) is False:
+            q.stop()
+            raise TimeoutError(f"the stream did not finish in {timeout_seconds} seconds")
         if q.exception():
             raise q.exception()
     return q

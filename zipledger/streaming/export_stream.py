@@ -43,7 +43,9 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
     w = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(export_batch)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")).start()
     if available_now:
-        q.awaitTermination(timeout_seconds)
+        if q.awaitTermination(timeout_seconds) is False:
+            q.stop()
+            raise TimeoutError(f"the stream did not finish in {timeout_seconds} seconds")
         if q.exception():
             raise q.exception()
     return q

@@ -31,7 +31,9 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
     the same checkpoint processes only files that arrived since."""
     q = (df.writeStream.format(fmt).option("path", sink_path).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_seconds)
+    if q.awaitTermination(timeout_seconds) is False:
+        q.stop()
+        raise TimeoutError(f"the stream did not finish in {timeout_seconds} seconds")
     if q.exception():
         raise q.exception()
     return q
