@@ -10,16 +10,12 @@ from zipledger.functions import archive_index, format_size, parse_location
 
 
 def model_size(b: int) -> str:
-    """Two decimals of float64(b)/1024^k, rounded half-to-even on the exact binary value."""
-    if b < 1024:
+    """Two decimals of the value over the largest power of 1024 not above it, half to even on the float's exact value."""
+    power = max(0, b.bit_length() - 1) // 10
+    if power == 0:
         return f"{b} B"
-    div, exp, n = 1024, 0, b // 1024
-    while n >= 1024:
-        div *= 1024
-        exp += 1
-        n //= 1024
-    exact = Decimal(float(b)) / Decimal(div)          # exact: div is a power of two
-    return f"{exact.quantize(Decimal('0.01'), rounding=ROUND_HALF_EVEN)} {'KMGTPE'[exp]}B"
+    scaled = Decimal(float(b)) / (1 << 10 * power)
+    return f"{scaled.quantize(Decimal('0.01'), rounding=ROUND_HALF_EVEN)} {' KMGTPE'[power]}B"
 
 
 @settings(max_examples=1, deadline=None)
