@@ -168,16 +168,41 @@ def test_sqlite_ledger_source(spark):
 
 def test_protect_and_audit(spark):
     from zipledger.operators.report import audit_events
-    from zipledger.sinks.audit import write_audit
+    from zipledger.sinks.audit import read_audit, write_audit
     inv = spark.createDataFrame([("/s/j1/a.zip",), ("/s/j2/b.zip",)], "path string")
     gone = inv
     assert sorted(r[0] for r in empty_job_dirs(inv, gone, "/s", protect=["j2"]).collect()) == ["/s/j1"]
     fails = spark.createDataFrame([("x", "Parse error: invalid archive location format")], "archive_id string, error_log string")
     done = spark.createDataFrame([("y", "job/emails_0001.zip")], "archive_id string, archive_path string")
     d = tempfile.mkdtemp()
-    write_audit(audit_events(failures=fails, archived=done), d + "/audit")
+    events = audit_events(failures=fails, archived=done)
+    for run in ("r1", "r1", "r2"):  # a repeated run adds no rows
+        write_audit(events, d + "/audit", run)
     assert sorted(n for n in os.listdir(d + "/audit") if n.startswith("channel=")) == ["channel=errors",
                                                                                  "channel=process"]
+    got = sorted((r["run"], r["channel"], r["archive_id"]) for r in read_audit(spark, d + "/audit").collect())
+    assert got == [(run, c, i) for run in ("r1", "r2") for c, i in (("errors", "x"), ("process", "y"))]
+
+
+def test_listing_rounds(spark, monkeypatch):
+    """Wide and deep trees: every entry once, portions of a fixed size, vanished entries as error rows."""
+    import pandas as pd
+    from zipledger.sources import inventory
+    root = tempfile.mkdtemp()
+    os.makedirs(root + "/wide")
+    deep = root + "/a/b/c/d/e/f/g"
+    os.makedirs(deep)
+    for i in range(25_000):
+        open(f"{root}/wide/{i}", "w").close()
+    open(deep + "/leaf", "w").close()
+    for base in (root, "file://" + root):
+        paths = [r[0] for r in list_files(spark, base).select("path").collect()]
+        assert len(paths) == len(set(paths)) == 25_001 and base + "/a/b/c/d/e/f/g/leaf" in paths
+        assert list_files(spark, base, include_dirs=True).where("is_dir").count() == 8
+    parts = list(inventory._list_level(iter([pd.DataFrame({"path": [root + "/wide", root + "/gone"]})])))
+    assert max(map(len, parts)) <= 10_000 and sum(map(len, parts)) == 25_001
+    last = parts[-1].iloc[-1]
+    assert last["path"] == root + "/gone" and last["error"]
 
 
 def test_http_fetcher_network_failure(spark):

@@ -130,6 +130,11 @@ def test_stream_commit_log_is_merge_on_read(spark):
     assert key(current_ledger(spark, d + "/ledger", d + "/log")) == key(exp)
     v = compact(spark, d + "/ledger", d + "/log")
     assert v == 2 and key(current_ledger(spark, d + "/ledger", d + "/log")) == key(exp)
+    # a version written by another job on top keeps what is folded: the log isn't applied over newer statuses
+    from pyspark.sql import functions as F
+    newer = exp.withColumn("export_status", F.lit("FAILED"))
+    assert write_ledger_snapshot(newer, d + "/ledger") == 3
+    assert key(current_ledger(spark, d + "/ledger", d + "/log")) == key(newer)
 
 
 def test_cli_export(spark, capsys):
@@ -172,17 +177,25 @@ def test_no_temp_files_left(spark):
 
 def test_export_stream_numbers_across_batches(spark):
     from zipledger.sources.manifest import conform_ledger
-    from zipledger.streaming.export_stream import read_stream_ledger, run_export_stream
+    from zipledger.sinks.audit import read_audit
+    from zipledger.streaming.export_stream import read_stream_ledger, run_export_stream, stream_report
     m, c = _inputs(spark)
     d = tempfile.mkdtemp()
     conform_ledger(m).repartitionByRange(3, "archive_id").write.parquet(d + "/in")
-    q = run_export_stream(spark, d + "/in", ExportConfig(job_id="s", max_zip_mb=1), d + "/out", d + "/ck",
-                          content=c, now="2026-01-01 00:00:00")
+    cfg = ExportConfig(job_id="s", max_zip_mb=1)
+    q = run_export_stream(spark, d + "/in", cfg, d + "/out", d + "/ck", content=c, now="2026-01-01 00:00:00",
+                          audit_dir=d + "/audit")
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     names = sorted(f for f in os.listdir(d + "/out/s") if f.endswith(".zip"))
     assert names == [f"emails_{i:04d}.zip" for i in range(1, len(names) + 1)]
     ledger = read_stream_ledger(spark, d + "/out", "s")
     assert ledger.count() == m.count()
+    done = ledger.where("export_status = 'COMPLETED'").count()
+    report = stream_report(spark, d + "/out", cfg).first()
+    assert (report["total"], report["completed"]) == (ledger.count(), done) and report["zip_bytes"] > 0
+    audit = read_audit(spark, d + "/audit")
+    assert audit.where("channel = 'process'").count() == done - m.where("export_status = 'COMPLETED'").count()
+    assert audit.select("run").distinct().count() == 3
     one = run_export(spark, m, ExportConfig(job_id="s", max_zip_mb=1), tempfile.mkdtemp(), content=c,
                      now="2026-01-01 00:00:00").ledger
     key = lambda df: sorted((r["archive_id"], r["export_status"], r["error_log"]) for r in df.collect())

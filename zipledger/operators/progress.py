@@ -32,13 +32,13 @@ def flush_batches(completions: DataFrame, start, batch_size: int, interval_secon
 
     Position in tick = global position - first global position of the tick, so a
     burst (one tick holding a third of all ids) is still spread over range
-    partitions instead of one window partition.
+    partitions instead of one window partition. Ids without a time share tick NULL.
     """
     t0 = as_timestamp(start)
     tick = F.floor(F.timestamp_diff("MICROSECOND", t0, F.col("ts")) / F.lit(interval_seconds * 1_000_000))
     ranked = with_global_rank(completions.withColumn("tick", tick.cast("long")), _order(), "_g")
-    first = ranked.groupBy("tick").agg(F.min("_g").alias("_g0"))
+    first = ranked.groupBy(F.col("tick").alias("_tick")).agg(F.min("_g").alias("_g0"))
     pos = F.col("_g") - F.col("_g0")
-    return (ranked.join(first, "tick")
+    return (ranked.join(first, F.col("tick").eqNullSafe(F.col("_tick")))
             .select("archive_id", "ts", "tick",
                     F.floor(pos / F.lit(batch_size)).cast("long").alias("flush_batch")))

@@ -28,7 +28,7 @@ def in_snapshot(path_col: str, snapshot_dirs, root: str, dirs: bool = False) ->
     if not snapshot_dirs:
         return F.lit(False)
     top = r"^[^/]+/(?:" + "|".join(re.escape(d) for d in snapshot_dirs) + ")"
-    tail = r"(?:/batch_id=\d+)?(?:/version=\d+)?$" if dirs else r"(?:/batch_id=\d+)?/(?:version=\d+/[^/]+|_committed_\d+|_folded_\d+)$"
+    tail = r"(?:/batch_id=\d+)?(?:/version=\d+)?$" if dirs else r"(?:/batch_id=\d+)?/(?:version=\d+/[^/]+|_committed_\d+)$"
     return below(path_col, root).rlike(top + tail)
 
 

@@ -23,6 +23,7 @@ from ..operators.retention import apply_retention, empty_job_dirs, retention_pla
 from ..schema import ExportConfig, RetentionConfig
 from ..session import staging_path
 from ..sinks.archive import read_archives, write_archives
+from ..sinks.audit import read_audit, write_audit
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 from ..sources import adapters as A
 from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content, resolve_content
@@ -394,8 +395,19 @@ def q_audit_log(spark, sf_dir):
     return audit_events(failures=failures, archived=archived)
 
 
+def q_audit_sink(spark, sf_dir):
+    """The audit log written as one run, written again as a retry would, and read back."""
+    root = staging_path(spark, "audit")
+    for _ in range(2):
+        write_audit(q_audit_log(spark, sf_dir), root, run=P.JOB_ID)
+    return read_audit(spark, root).select("channel", "event", "archive_id", "detail")
+
+
 # ---- streaming ----------------------------------------------------------------------
 
+STREAM_FILES = 4
+
+
 def q_stream_manifest(spark, sf_dir):
     """orders -> ledger rows -> eligible rows, as an availableNow stream into a Parquet sink."""
     orders = stream_manifest(spark, os.path.join(sf_dir, "orders.parquet"),
@@ -409,15 +421,13 @@ def q_stream_commit(spark, sf_dir):
     """Completion events streamed into an update log (merge-on-read), then compacted."""
     root = staging_path(spark, "stream_commit")
     write_ledger_snapshot(_current(spark, sf_dir), root + "/ledger", version=1)
-    events = stream_manifest(spark, os.path.join(sf_dir, "events.parquet"),
-                             A.load_table(spark, sf_dir, "events").schema)
+    events = A.load_table(spark, sf_dir, "events")
+    events.repartition(STREAM_FILES).write.parquet(root + "/input")
+    events = stream_manifest(spark, root + "/input", events.schema)  # a batch for every file
     commit_completions(spark, A.completions_from_events(events), root + "/log", root + "/checkpoint", now=P.NOW)
     return read_ledger_snapshot(spark, root + "/ledger", compact(spark, root + "/ledger", root + "/log"))
 
 
-STREAM_FILES = 4
-
-
 def q_stream_pack(spark, sf_dir):
     """Pack input written as claim-ordered files, streamed one file per trigger through
     the stateful packer: archives continue across micro-batches."""

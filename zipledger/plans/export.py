@@ -159,7 +159,7 @@ def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, star
 def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_dir: str, *,
                fetcher_factory=None, content: DataFrame | None = None, now=None,
                max_batches: int | None = None, sleep=time.sleep, audit_dir: str | None = None,
-               ledger_root: str | None = None) -> ExportResult:
+               ledger_root: str | None = None, audit_run: str | None = None) -> ExportResult:
     """Run one export over ``ledger`` into ``out_dir/<job_id>``.
 
     Bodies come from ``content`` (a table keyed by archive_id) or from
@@ -252,12 +252,9 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
             "archive_id", F.lit(C.PROCESSING).alias("export_status"),
             F.lit(None).cast("string").alias("error_log"), F.lit(0).cast("long").alias("seq")))
     final = L.apply_updates(cur, updates, now=run_now)
-    version = write_ledger_snapshot(final, ledger_root)
-    final = read_ledger_snapshot(spark, ledger_root, version)
-    _end_run(job_dir)
-    lap("commit")
-
-    if audit_dir:
+    done_versions = committed_versions(ledger_root)
+    version = done_versions[-1] + 1 if done_versions else 1
+    if audit_dir:  # before the commit and under the version to come: a rerun replaces these rows
         failures = L.failure_updates(rejects).unionByName(
             L.failure_updates(outcome_reason(failed_fetch, cfg.max_attempts)))
         # per-record "current/total", counting from what was already completed (claim order)
@@ -272,7 +269,14 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
             ("resume_index", f"start={start}"),
             ("job_finished", f"archives={n_archives} ledger_version={version}"),
         ], "event string, detail string")   # a fixed handful of job-level rows
-        write_audit(audit_events(failures=failures, archived=archived, general=general), audit_dir)
+        write_audit(audit_events(failures=failures, archived=archived, general=general), audit_dir,
+                    audit_run or f"{cfg.job_id}-{version}")
+    write_ledger_snapshot(final, ledger_root, version)
+    final = read_ledger_snapshot(spark, ledger_root, version)
+    _end_run(job_dir)
+    if content is None:
+        fsx.remove_tree(os.path.join(stage, "fetched"))  # the bodies are in archives now
+    lap("commit")
 
     inventory = list_any(spark, job_dir)   # paths keep the job dir's form (plain path or URI)
     report = job_report(final, inventory, cfg.job_id, job_dir, cfg.archive_base_url)

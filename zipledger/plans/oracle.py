@@ -410,6 +410,7 @@ where not fetch_ok and archive_id in (select archive_id from v)
 union all
 select 'process', 'archived', archive_id, '{P.JOB_ID}/' || printf('emails_%04d.zip', cast(off0 + k as bigint))
 from nb0"""
+    q["audit_sink"] = q["audit_log"]
     q["stream_manifest"] = q["eligible_records"]
     q["stream_commit"] = q["mark_completed"]
     q["stream_pack"] = q["pack_next_fit"]

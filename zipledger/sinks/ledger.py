@@ -1,12 +1,14 @@
 """Ledger snapshots: versioned, never written over the input path.
 
 Layout: ``<root>/version=<n>/`` Parquet, plus ``<root>/_committed_<n>`` marker
-written after the data. Readers take the newest committed version, so a
+written after the data; the marker also names the last update-log batch folded
+into the version, so version and fold are committed together. Readers take the newest committed version, so a
 crashed write is never visible and the previous version stays intact.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,14 +21,23 @@ def committed_versions(root: str) -> list[int]:
     return sorted(int(m.group(1)) for f in fsx.list_dir(root) if (m := re.fullmatch(r"_committed_(\d+)", f)))
 
 
-def write_ledger_snapshot(ledger: DataFrame, root: str, version: int | None = None) -> int:
-    """Write ``ledger`` as the next (or given) version and mark it committed."""
+def folded_batch(root: str, version: int) -> int:
+    """The last update-log batch that a committed version contains (-1: none)."""
+    return json.loads(fsx.read_text(fsx.join(root, f"_committed_{version}")))["folded"]
+
+
+def write_ledger_snapshot(ledger: DataFrame, root: str, version: int | None = None, folded: int | None = None) -> int:
+    """Write ``ledger`` as the next (or given) version and mark it committed. Without ``folded``
+    the version contains the update-log batches that its predecessor contains."""
+    done = committed_versions(root)
     if version is None:
-        done = committed_versions(root)
         version = (done[-1] + 1) if done else 1
+    if folded is None:
+        before = [v for v in done if v < version]
+        folded = folded_batch(root, before[-1]) if before else -1
     target = fsx.join(root, f"version={version}")
     ledger.write.mode("overwrite").parquet(target)
-    fsx.write_text(fsx.join(root, f"_committed_{version}"), target)
+    fsx.write_text(fsx.join(root, f"_committed_{version}"), json.dumps({"path": target, "folded": folded}))
     return version
 
 

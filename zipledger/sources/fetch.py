@@ -85,14 +85,15 @@ def fetch_content(df: DataFrame, fetcher_factory: Callable[[], Fetcher], max_att
                   sleep: Callable[[float], None] = time.sleep, url_col: str = "url") -> DataFrame:
     """Fetch every row's URL with up to ``max_attempts`` tries (sleep attempt**2 s between).
 
-    ``concurrency`` partitions x ``threads_per_task`` bounds the requests in
-    flight (the rate-limit knob). One fetcher (connection pool) per task.
+    ``concurrency`` bounds the requests in flight (the rate-limit knob): it is split into
+    partitions of up to ``threads_per_task`` threads. One fetcher per task.
     The result is nondeterministic and costly: stage it (``stage``) once and
     read the staged copy everywhere downstream.
     """
     rows = df.select("archive_id", url_col)
     if concurrency:
-        rows = rows.repartition(concurrency)
+        threads_per_task = max(1, min(threads_per_task, concurrency))
+        rows = rows.repartition(max(1, concurrency // threads_per_task))
 
     def run(batches):
         fetch = fetcher_factory()

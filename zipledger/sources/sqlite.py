@@ -44,8 +44,8 @@ def read_sqlite_ledger(spark: SparkSession, path: str, table: str = DEFAULT_TABL
         try:
             for pdf in batches:
                 for a, b in zip(pdf["lo"].tolist(), pdf["hi"].tolist()):
-                    rows = con.execute(f"select {cols} from {table} where rowid between ? and ?", (a, b)).fetchall()
-                    if rows:
+                    found = con.execute(f"select {cols} from {table} where rowid between ? and ?", (a, b))
+                    while rows := found.fetchmany(10_000):
                         df = pd.DataFrame(rows, columns=LEDGER_COLUMNS)
                         for c in ("archive_time", "updated_at", "archive_id", "archive_location",
                                   "export_status", "error_log"):

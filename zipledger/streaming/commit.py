@@ -9,7 +9,6 @@ with the winning update per id applied (one aggregate + one join), and
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +17,7 @@ from ..functions import as_timestamp
 from ..operators.ledger import apply_updates, completion_updates
 from ..schema import UPDATES
 from ..sinks import fs as fsx
-from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
+from ..sinks.ledger import committed_versions, folded_batch, read_ledger_snapshot, write_ledger_snapshot
 
 LOG_SCHEMA = "archive_id string, export_status string, error_log string, seq long, updated_at timestamp_ntz"
 
@@ -52,8 +51,9 @@ def _log_batches(log_root: str) -> list[int]:
                   if n.startswith("batch_id="))
 
 
-def read_update_log(spark: SparkSession, log_root: str, after_batch: int = -1) -> DataFrame:
-    batches = [b for b in _log_batches(log_root) if b > after_batch]
+def read_update_log(spark: SparkSession, log_root: str, after_batch: int = -1,
+                    last_batch: int | None = None) -> DataFrame:
+    batches = [b for b in _log_batches(log_root) if b > after_batch and (last_batch is None or b <= last_batch)]
     if not batches:
         return spark.createDataFrame([], LOG_SCHEMA)
     return spark.read.schema(LOG_SCHEMA).parquet(*[fsx.join(log_root, f"batch_id={b}") for b in batches])
@@ -67,21 +67,18 @@ def current_ledger(spark: SparkSession, ledger_root: str, log_root: str) -> Data
 
 
 def _base(ledger_root: str) -> tuple[int, int]:
-    from ..sinks.ledger import committed_versions
-    v = committed_versions(ledger_root)[-1]
-    marker = fsx.join(ledger_root, f"_folded_{v}")
-    folded = int(fsx.read_text(marker)) if fsx.exists(marker) else -1
-    return v, folded
+    version = committed_versions(ledger_root)[-1]
+    return version, folded_batch(ledger_root, version)
 
 
 def compact(spark: SparkSession, ledger_root: str, log_root: str) -> int:
-    """Fold the update log into a new base version; returns the new version."""
-    batches = _log_batches(log_root)
-    new = current_ledger(spark, ledger_root, log_root)
-    folded = batches[-1] if batches else _base(ledger_root)[1]
-    v = write_ledger_snapshot(new, ledger_root)
-    fsx.write_text(fsx.join(ledger_root, f"_folded_{v}"), str(folded))
-    return v
+    """Fold the update log into a new base version; returns the new version. The commit marker
+    names the last folded batch, and later batches are not read, so none is applied twice or lost."""
+    base_version, folded = _base(ledger_root)
+    last = max([folded, *_log_batches(log_root)])
+    new = apply_updates(read_ledger_snapshot(spark, ledger_root, base_version),
+                        read_update_log(spark, log_root, folded, last))
+    return write_ledger_snapshot(new, ledger_root, folded=last)
 
 
 __all__ = ["commit_completions", "current_ledger", "compact", "read_update_log", "UPDATES"]

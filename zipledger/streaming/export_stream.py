@@ -15,17 +15,19 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.report import job_report
 from ..schema import LEDGER, ExportConfig
 from ..session import staging_path
 from ..sinks import fs as fsx
-from ..sinks.ledger import committed_versions, read_ledger_snapshot
+from ..sinks.ledger import committed_versions
+from ..sources.inventory import list_any
 from .manifest_stream import stream_manifest
 
 
 def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_dir: str, checkpoint: str, *,
                       content: DataFrame | None = None, fetcher_factory=None, now=None,
                       max_files_per_trigger: int = 1, available_now: bool = True,
-                      timeout_seconds: float | None = None) -> StreamingQuery:
+                      timeout_seconds: float | None = None, audit_dir: str | None = None) -> StreamingQuery:
     from ..plans.export import run_export
 
     ledger_dir = os.path.join(out_dir, cfg.job_id, "ledger-stream")
@@ -37,7 +39,8 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
         batch.write.parquet(staged)
         run_export(spark, spark.read.schema(LEDGER).parquet(staged), cfg, out_dir, content=content,
                    fetcher_factory=fetcher_factory, now=now,
-                   ledger_root=os.path.join(ledger_dir, f"batch_id={batch_id}"))
+                   ledger_root=os.path.join(ledger_dir, f"batch_id={batch_id}"),
+                   audit_dir=audit_dir, audit_run=f"{cfg.job_id}-batch-{batch_id}")
 
     rows = stream_manifest(spark, source, LEDGER, max_files_per_trigger)
     w = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(export_batch)
@@ -54,11 +57,13 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
 def read_stream_ledger(spark: SparkSession, out_dir: str, job_id: str) -> DataFrame:
     """Union of the committed per-batch ledgers of a continuous export."""
     d = fsx.join(out_dir, job_id, "ledger-stream")
-    parts = [n for n in fsx.list_dir(d, files=False, dirs=True) if n.startswith("batch_id=")]
-    frames = [read_ledger_snapshot(spark, fsx.join(d, p)) for p in parts if committed_versions(fsx.join(d, p))]
-    if not frames:
-        return spark.createDataFrame([], LEDGER)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    roots = [fsx.join(d, n) for n in fsx.list_dir(d, files=False, dirs=True) if n.startswith("batch_id=")]
+    paths = [fsx.join(r, f"version={done[-1]}") for r in roots if (done := committed_versions(r))]
+    return spark.read.schema(LEDGER).parquet(*paths) if paths else spark.createDataFrame([], LEDGER)
+
+
+def stream_report(spark: SparkSession, out_dir: str, cfg: ExportConfig) -> DataFrame:
+    """The one-row job report of a continuous export: its committed ledgers and its archives so far."""
+    job_dir = fsx.join(out_dir, cfg.job_id)
+    return job_report(read_stream_ledger(spark, out_dir, cfg.job_id), list_any(spark, job_dir), cfg.job_id,
+                      job_dir, cfg.archive_base_url)
