@@ -141,6 +141,21 @@ def test_token_counts(docs, empty):
 
 # -- 3 ------------------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("seed", range(20))
+def test_suffix_automaton(seed):
+    rng = random.Random(seed)
+    texts = [rng.choices(range(rng.choice([1, 2, 5])), k=rng.randint(0, 30)) for _ in range(12)]
+    automaton = substring_dedup.SuffixAutomaton()
+    for owner, text in enumerate(texts):
+        automaton.add(text, owner)
+    for window in (1, 3, 7):
+        has = [{tuple(t[i:i + window]) for i in range(len(t) - window + 1)} for t in texts]
+        for text in [*texts, rng.choices(range(3), k=40)]:
+            spans = [tuple(text[i:i + window]) for i in range(len(text) - window + 1)]
+            want = [next(o for o, h in enumerate(has) if s in h) for s in spans if any(s in h for h in has)]
+            assert automaton.first_owners(text, window) == want
+
+
 def test_substring_dedup(docs, empty):
     rows, first = _rows(docs), {}
     key = lambda i: -1 if i is None else i
@@ -154,9 +169,10 @@ def test_substring_dedup(docs, empty):
         ws = _words(t)
         gone = {s + j for s in range(len(ws) - 12) if first[tuple(ws[s:s + 13])] < key(i) for j in range(13)}
         want.append((i, len(ws), len(gone), b" ".join(w for j, w in enumerate(ws) if j not in gone).decode()))
-    got = substring_dedup.dedup_substrings(docs).collect()
-    assert sorted(map(repr, want)) == sorted(repr((r.doc, r.n_words, r.n_removed, r.kept_text)) for r in got)
-    assert all(sum(s.end - s.start for s in r.removed) == r.n_removed for r in got)
+    for crowd in (substring_dedup.CROWD, 2):  # 2: frequent anchors send single windows
+        got = substring_dedup.dedup_substrings(docs, crowd=crowd).collect()
+        assert sorted(map(repr, want)) == sorted(repr((r.doc, r.n_words, r.n_removed, r.kept_text)) for r in got)
+        assert all(sum(s.end - s.start for s in r.removed) == r.n_removed for r in got)
     assert substring_dedup.dedup_substrings(empty).count() == 0
 
 
