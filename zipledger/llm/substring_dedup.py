@@ -164,15 +164,8 @@ class _Bucket:
             out = mix(out * _MUL + np.uint64(j)) + self.words[starts + j]
         return mix(out)
 
-    def pick(self, answers: pd.DataFrame, shards: int) -> None:
+    def pick(self, seen: np.ndarray, crowded: np.ndarray, shards: int) -> None:
         """Segments with an anchor of several documents; crowded anchors' segments as single windows; the distinct ones."""
-        seen, crowded = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
-        at = by_shard(shard_of(self.keys, shards), shards)
-        told = answers[answers["kind"] == SEEN]
-        for s, data in zip(told["shard"], told["data"], strict=True):
-            n = int(at[s + 1] - at[s])
-            bits = np.unpackbits(np.frombuffer(data, np.uint8), count=2 * n)
-            seen[at[s]:at[s + 1]], crowded[at[s]:at[s + 1]] = bits[:n], bits[n:]
         split = crowded[self.inverse]
         whole = seen[self.inverse] & ~split
         singles = _ranges(self.starts[split], self.sizes[split])
@@ -211,19 +204,30 @@ def _known(pdf: pd.DataFrame, crowd: int) -> pd.DataFrame:
     seen = senders[index] > 1
     crowded = seen & (places[index] > crowd)
     data = [np.packbits(np.concatenate(x)).tobytes() for x in zip(np.split(seen, ends[:-1]), np.split(crowded, ends[:-1]), strict=True)]
-    return pd.DataFrame({"bucket": pdf["bucket"], "kind": SEEN, "shard": pdf["shard"], "data": data})
+    return pd.DataFrame({"bucket": pdf["bucket"], "shard": pdf["shard"], "data": data})
+
+
+def _bits(data: bytes, n: int) -> np.ndarray:
+    """Two rows of ``n`` flags: seen, crowded."""
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=2 * n).astype(bool).reshape(2, n)
 
 
 def _segments(docs: pd.DataFrame, answers: pd.DataFrame, window: int, shards: int) -> pd.DataFrame:
+    """The bucket's segments for each shard, and one row with its anchors' bits, which comes back with the answers."""
     b, out = _Bucket(docs, window), []
-    b.pick(answers, shards)
+    flags, at = np.zeros((2, len(b.keys)), bool), by_shard(shard_of(b.keys, shards), shards)
+    for s, data in zip(answers["shard"], answers["data"], strict=True):
+        flags[:, at[s]:at[s + 1]] = _bits(data, int(at[s + 1] - at[s]))
+    b.pick(*flags, shards)
     parts = (shard_of(b.key, shards * PARTS) % np.uint64(PARTS)).astype(np.uint8)
     for s in np.flatnonzero(np.diff(b.borders)):
         cut = slice(b.borders[s], b.borders[s + 1])
         text = b.words[_ranges(b.u_at[cut], b.u_long[cut] + window - 1)]
         out.append((int(s), int(docs["bucket"].iloc[0]), b.u_long[cut].astype(np.uint8).tobytes(), parts[cut].tobytes(),
-                    _encode(b.ids[b.first[cut]]), _encode(text)))
-    return pd.DataFrame(out, columns=["shard", "bucket", "sizes", "parts", "owners", "words"])
+                    _encode(b.ids[b.first[cut]]), _encode(text), None))
+    bucket, none = int(docs["bucket"].iloc[0]), _encode(np.zeros(0, np.uint64))
+    out.append((bucket % shards, bucket, b"", b"", none, none, np.packbits(flags).tobytes()))
+    return pd.DataFrame(out, columns=["shard", "bucket", "sizes", "parts", "owners", "words", "flags"])
 
 
 def _match(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
@@ -251,13 +255,14 @@ def _match(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
             found = automaton.first_owners(np.frombuffer(piece, np.uint32).tolist(), window)
             for i in same:
                 first[filled[i]:filled[i] + sizes[i]] = found
-    data = [_encode(x) for x in np.split(first, rows[:-1])]
-    return pd.DataFrame({"bucket": pdf["bucket"], "kind": MATCHED, "shard": pdf["shard"], "data": data})
+    data = [_encode(x) if f is None else f for x, f in zip(np.split(first, rows[:-1]), pdf["flags"], strict=True)]
+    kind = [MATCHED if f is None else SEEN for f in pdf["flags"]]
+    return pd.DataFrame({"bucket": pdf["bucket"], "kind": kind, "shard": pdf["shard"], "data": data})
 
 
 def _cut(docs: pd.DataFrame, answers: pd.DataFrame, window: int, shards: int) -> pd.DataFrame:
     b, out = _Bucket(docs, window), []
-    b.pick(answers, shards)
+    b.pick(*_bits(answers.loc[answers["kind"] == SEEN, "data"].iloc[0], len(b.keys)), shards)
     told = answers[answers["kind"] == MATCHED].sort_values("shard")
     first = np.concatenate([np.zeros(0, np.uint64), *map(_decode, told["data"])])
     starts = _ranges(b.at, b.long)
@@ -286,13 +291,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = docs.select(id_column(id_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc", "text"), F.lit(n)).cast("int"))
     by_bucket = rows.groupBy("bucket")
-    answer = "bucket int, kind int, shard int, data binary"
     asked = by_bucket.applyInPandas(lambda pdf: _seeds(pdf, window, n), "shard int, bucket int, keys binary, counts binary")
-    known = asked.groupBy("shard").applyInPandas(lambda pdf: _known(pdf, crowd), answer)
+    known = asked.groupBy("shard").applyInPandas(lambda pdf: _known(pdf, crowd), "bucket int, shard int, data binary")
     sent = by_bucket.cogroup(known.groupBy("bucket")).applyInPandas(
-        lambda d, a: _segments(d, a, window, n), "shard int, bucket int, sizes binary, parts binary, owners binary, words binary")
-    told = sent.groupBy("shard").applyInPandas(lambda pdf: _match(pdf, window), answer)
-    done = by_bucket.cogroup(known.unionByName(told).groupBy("bucket")).applyInPandas(
+        lambda d, a: _segments(d, a, window, n), "shard int, bucket int, sizes binary, parts binary, owners binary, words binary, flags binary")
+    told = sent.groupBy("shard").applyInPandas(lambda pdf: _match(pdf, window), "bucket int, kind int, shard int, data binary")
+    done = by_bucket.cogroup(told.groupBy("bucket")).applyInPandas(
         lambda d, a: _cut(d, a, window, n), "doc long, n_words long, n_removed long, removed array<struct<start:int,end:int>>, kept_text string")
     return done.withColumn("doc", F.when(F.col("doc") != NULL_ID, F.col("doc")))
 
