@@ -145,27 +145,6 @@ def test_request_build_error_is_not_retried(spark):
     assert r["error_log"].startswith("Request build error: ") and slept == []
 
 
-def test_sqlite_ledger_source(spark):
-    import sqlite3
-    from zipledger.sources.sqlite import read_sqlite_ledger
-    path = os.path.join(tempfile.mkdtemp(), "ledger.db")
-    con = sqlite3.connect(path)
-    con.execute("""CREATE TABLE email_archive (archive_id TEXT PRIMARY KEY, archive_time DATETIME,
-        archive_location TEXT, raw_eml_size INTEGER, export_status TEXT, updated_at DATETIME,
-        error_log TEXT, retries INTEGER)""")
-    rows = [(f"id{i}", f"2024-01-{1 + i % 28:02d} 10:00:00", f"1.2.3.4:o:d:2024-01-01:{i}", i * 10,
-             [None, "", "PENDING", "COMPLETED"][i % 4], "2024-02-01T00:00:00", None, 0) for i in range(1000)]
-    con.executemany("insert into email_archive values (?,?,?,?,?,?,?,?)", rows)
-    con.commit()
-    con.close()
-    df = read_sqlite_ledger(spark, path, num_slices=7)
-    got = {r["archive_id"]: r for r in df.collect()}
-    assert len(got) == 1000
-    r = got["id5"]
-    assert r["archive_time"] == dt.datetime(2024, 1, 6, 10) and r["updated_at"] == dt.datetime(2024, 2, 1)
-    assert (r["raw_eml_size"], r["export_status"], r["retries"]) == (50, "", 0)
-
-
 def test_protect_and_audit(spark):
     from zipledger.operators.report import audit_events
     from zipledger.sinks.audit import read_audit, write_audit

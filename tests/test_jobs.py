@@ -137,6 +137,19 @@ def test_stream_commit_log_is_merge_on_read(spark):
     assert key(current_ledger(spark, d + "/ledger", d + "/log")) == key(newer)
 
 
+def test_paths_without_a_scheme_follow_spark(spark):
+    from zipledger.session import qualified
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    default = conf.get("fs.defaultFS")
+    assert qualified(spark, "/a/b") == "/a/b"
+    try:
+        conf.set("fs.defaultFS", "hdfs://store/")
+        assert qualified(spark, "/a/b") == "hdfs://store/a/b"
+        assert qualified(spark, "file:///a") == "file:///a" and qualified(spark, "s3a://x/a") == "s3a://x/a"
+    finally:
+        conf.set("fs.defaultFS", default)
+
+
 def test_cli_export(spark, capsys):
     import json
     from zipledger.__main__ import main
@@ -291,25 +304,15 @@ def test_export_to_a_file_uri(spark):
     assert os.path.exists(os.path.join(out, "u", "ledger", "_committed_1"))
 
 
-def test_cli_export_from_sqlite(spark, capsys):
-    """An SQLite ledger exported through the command line gives the same statuses as the table path."""
+def test_cli_export(spark, capsys):
+    """A ledger exported through the command line gives the same statuses as the call."""
     import json
-    import sqlite3
     from zipledger.__main__ import main
     m, c = _inputs(spark)
     d = tempfile.mkdtemp()
-    rows = m.collect()
-    con = sqlite3.connect(d + "/sql.db")
-    con.execute("""CREATE TABLE email_archive (archive_id TEXT PRIMARY KEY, archive_time DATETIME,
-        archive_location TEXT, raw_eml_size INTEGER, export_status TEXT, updated_at DATETIME,
-        error_log TEXT, retries INTEGER)""")
-    con.executemany("insert into email_archive values (?,?,?,?,?,?,?,?)",
-                    [(r["archive_id"], str(r["archive_time"]), r["archive_location"], r["raw_eml_size"],
-                      r["export_status"], str(r["updated_at"]), r["error_log"], r["retries"]) for r in rows])
-    con.commit()
-    con.close()
+    m.write.parquet(d + "/ledger")
     c.write.parquet(d + "/content")
-    assert main(["export", "--job-id", "sq", "--sqlite-path", d + "/sql.db", "--content", d + "/content",
+    assert main(["export", "--job-id", "sq", "--ledger", d + "/ledger", "--content", d + "/content",
                  "--output-dir", d + "/out", "--max-zip-size-mb", "1"]) == 0
     rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     table = run_export(spark, m, ExportConfig(job_id="sq", max_zip_mb=1), tempfile.mkdtemp(), content=c)

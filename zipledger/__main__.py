@@ -1,7 +1,6 @@
 """Command line: ``python -m zipledger export ...`` and ``python -m zipledger cleanup ...``.
 
-The options mirror the original tool's flags; the ledger can be a Parquet
-table (``--ledger``) or an SQLite file (``--sqlite-path``).
+The options mirror the original tool's flags; the ledger is a Parquet table.
 """
 
 from __future__ import annotations
@@ -19,9 +18,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
     e = sub.add_parser("export", help="export the ledger's pending items into ZIP archives")
     e.add_argument("--job-id", required=True)
-    src = e.add_mutually_exclusive_group(required=True)
-    src.add_argument("--ledger", help="ledger table path (Parquet)")
-    src.add_argument("--sqlite-path", help="ledger kept in an SQLite file")
+    e.add_argument("--ledger", required=True, help="ledger table path (Parquet)")
     body = e.add_mutually_exclusive_group(required=True)
     body.add_argument("--api-key-env", help="name of the environment variable holding the API key")
     body.add_argument("--content", help="content table path (Parquet: archive_id, content)")
@@ -51,8 +48,7 @@ def main(argv=None) -> int:
         from .schema import ExportConfig
         from .sources.fetch import http_fetcher_factory
         from .sources.manifest import read_manifest
-        from .sources.sqlite import read_sqlite_ledger
-        ledger = read_sqlite_ledger(spark, args.sqlite_path) if args.sqlite_path else read_manifest(spark, args.ledger)
+        ledger = read_manifest(spark, args.ledger)
         cfg = ExportConfig(job_id=args.job_id, workers=args.workers, zip_slots=args.zip_slots,
                            max_zip_mb=args.max_zip_size_mb, batch_size=args.batch_size,
                            flush_batch=args.flush_batch, archive_base_url=args.archive_base_url)

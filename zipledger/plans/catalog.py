@@ -434,10 +434,10 @@ def q_stream_pack(spark, sf_dir):
     root = staging_path(spark, "stream_pack")
     src = root + "/input"
     rows = _pack_input(spark, sf_dir).drop("org_id")
-    rows.repartitionByRange(STREAM_FILES, "claim_seq").sortWithinPartitions("claim_seq").write.parquet(src)
-    parts = sorted(f for f in os.listdir(src) if f.endswith(".parquet"))
-    for i, f in enumerate(parts):  # the file source takes the oldest file first
-        os.utime(os.path.join(src, f), (1_000_000 + i, 1_000_000 + i))
+    rows.repartitionByRange(STREAM_FILES, "claim_seq").withColumn("part", F.spark_partition_id()).write.parquet(root + "/parts")
+    parts = spark.read.parquet(root + "/parts")
+    for i in range(STREAM_FILES):  # the file source takes the oldest file first
+        parts.where(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(src)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)

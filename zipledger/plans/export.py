@@ -31,7 +31,7 @@ from ..operators.attempts import outcome_reason
 from ..operators.progress import running_progress
 from ..operators.report import audit_events, job_report
 from ..schema import ExportConfig
-from ..session import staging_path
+from ..session import qualified, staging_path
 from ..sinks import fs as fsx
 from ..sinks.archive import write_archives
 from ..sinks.audit import write_audit
@@ -169,6 +169,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     """
     if (content is None) == (fetcher_factory is None):
         raise ValueError("give exactly one of content / fetcher_factory")
+    out_dir = qualified(spark, out_dir)
     job_dir = os.path.join(out_dir, cfg.job_id)
     stage = staging_path(spark, f"export-{cfg.job_id}")
 

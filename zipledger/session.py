@@ -48,6 +48,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark resolves it: without a scheme it lies on the default file system."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    default = conf.get("fs.defaultFS") or "file:///"
+    if default.startswith("file:"):
+        return path
+    if path.startswith("/"):
+        return default.rstrip("/") + path
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(conf).makeQualified(where).toString()
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint root."""
     root = checkpoint_root(spark)

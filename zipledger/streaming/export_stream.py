@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.report import job_report
 from ..schema import LEDGER, ExportConfig
-from ..session import staging_path
+from ..session import qualified, staging_path
 from ..sinks import fs as fsx
 from ..sinks.ledger import committed_versions
 from ..sources.inventory import list_any
@@ -30,6 +30,7 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
                       timeout_seconds: float | None = None, audit_dir: str | None = None) -> StreamingQuery:
     from ..plans.export import run_export
 
+    out_dir = qualified(spark, out_dir)
     ledger_dir = os.path.join(out_dir, cfg.job_id, "ledger-stream")
 
     def export_batch(batch: DataFrame, batch_id: int) -> None:
@@ -56,7 +57,7 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
 
 def read_stream_ledger(spark: SparkSession, out_dir: str, job_id: str) -> DataFrame:
     """Union of the committed per-batch ledgers of a continuous export."""
-    d = fsx.join(out_dir, job_id, "ledger-stream")
+    d = fsx.join(qualified(spark, out_dir), job_id, "ledger-stream")
     roots = [fsx.join(d, n) for n in fsx.list_dir(d, files=False, dirs=True) if n.startswith("batch_id=")]
     paths = [fsx.join(r, f"version={done[-1]}") for r in roots if (done := committed_versions(r))]
     return spark.read.schema(LEDGER).parquet(*paths) if paths else spark.createDataFrame([], LEDGER)
@@ -64,6 +65,6 @@ def read_stream_ledger(spark: SparkSession, out_dir: str, job_id: str) -> DataFr
 
 def stream_report(spark: SparkSession, out_dir: str, cfg: ExportConfig) -> DataFrame:
     """The one-row job report of a continuous export: its committed ledgers and its archives so far."""
-    job_dir = fsx.join(out_dir, cfg.job_id)
+    job_dir = fsx.join(qualified(spark, out_dir), cfg.job_id)
     return job_report(read_stream_ledger(spark, out_dir, cfg.job_id), list_any(spark, job_dir), cfg.job_id,
                       job_dir, cfg.archive_base_url)

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def stream_source_path(path: str) -> str:
+def stream_source_path(spark: SparkSession, path: str) -> str:
     """File streams need a directory or a glob; turn a single file into a one-file glob."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.isfile(local):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(where) and files.getFileStatus(where).isFile():
         return path[:-1] + "[" + path[-1] + "]"
     return path
 
@@ -22,7 +21,7 @@ def stream_manifest(spark: SparkSession, path: str, schema: StructType, max_file
     """A streaming read of ledger files; each trigger takes at most N new files."""
     return (spark.readStream.format(fmt).schema(schema)
             .option("maxFilesPerTrigger", max_files_per_trigger)
-            .load(stream_source_path(path)))
+            .load(stream_source_path(spark, path)))
 
 
 def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
