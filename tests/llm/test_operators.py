@@ -383,3 +383,27 @@ def test_jaccard_edge_cases(docs, empty):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for (i, _), w in zip(rows, want, strict=True) if rows[w][0] == i}
     assert jaccard_join.similar_components(empty).count() == 0
+
+
+@pytest.mark.parametrize(("tile", "k", "percent"), [(4096, 4, 40), (3, 1, 80)])
+def test_jaccard_keeps_every_link(spark, tile, k, percent):
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(300)]
+    texts = []
+    for copies in (1, 2, 5, 9, 30):  # small and large groups
+        base = rng.choices(vocab, k=60)
+        for c in range(copies):
+            copy = list(base)
+            copy[rng.randrange(60)] = copy[rng.randrange(60)] = f"new{copies}x{c}"
+            texts += [" ".join(copy)] * (3 if c == 1 else 1)
+    table = spark.createDataFrame([*enumerate(texts), (500, None)], "doc_id long, text string").repartition(4)
+    sets = [frozenset(_shingle_set(t, k)) for t in texts]
+    links = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets) if i != j and 100 * len(a & b) >= percent * len(a | b)}
+    got = {r.doc: r.n_links for r in jaccard_join.similar_components(table, k=k, percent=percent, tile=tile).collect()}
+    assert got == {i: sum(x == i for x, _ in links) for i in range(len(texts))} | {500: 0}
+    first = {s: i for i, s in reversed(list(enumerate(sets)))}
+    many = Counter(sets)
+    want = {(i, many[sets[i]], j, many[sets[j]], len(sets[i] & sets[j])) for i, j in links if i < j
+            and sets[i] != sets[j] and first[sets[i]] == i and first[sets[j]] == j}
+    rows = jaccard_join.similar_pairs(table, k=k, percent=percent, tile=tile).collect()
+    assert sorted((r.a_doc, r.a_n_docs, r.b_doc, r.b_n_docs, r.n_shared) for r in rows) == sorted(want) and len(want) > 300

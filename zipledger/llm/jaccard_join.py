@@ -11,13 +11,16 @@ Method: set relations are used to skip work that an index join would repeat.
    of the first n - ceil(t n) + 1 positions. Shingles of frequency 1 fill the first positions of an
    edited copy and shorten its list entries further. Lists of one entry are skipped.
 4. Derived answers: all lists led by the same set (the smallest member) form one group, so sets that are
-   in many lists together are compared once, not once a list. In a group, sets go by ascending size, sizes
-   beyond the bound end a scan, and a set that is connected already takes its component's answer: pairs inside
-   a component are not verified. What is left is verified by exact intersection of whole sets.
-5. Links form components (min-label propagation with pointer jumping on the links, on Spark).
+   in many lists together are compared once, not once a list. In a group, sets go by ascending size and sizes
+   beyond the bound end a scan. Every pair is verified by exact intersection of whole sets; a pair that is in
+   several groups is the smallest common leader's, so each link is found once and nothing has to drop repeats.
+5. Each set's links are counted where they are found, weighted by the documents of the other set, and every group
+   hands on a spanning forest of its links: these form components (min-label propagation with pointer jumping, on
+   Spark). ``similar_pairs`` hands on the links themselves.
 
 Skew: a group larger than ``tile`` members is cut into tiles and every pair of tiles is a group of its
-own, so one hot shingle's list never sits in one task; only spanning links leave a group, never all pairs.
+own, so one hot shingle's list never sits in one task; only counts and spanning links leave a group, all pairs only
+for ``similar_pairs``.
 Shards hold hash ranges; a shingle in a third of all sets has one 8-byte entry per set. Nothing is broadcast and
 nothing is collected.
 
@@ -34,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -132,47 +135,37 @@ def _candidates(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["sig", "n", "shared", "prefix"])
 
 
-class _Union:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-
-def _group_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, side: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning links of one group's similarity graph. Members come by ascending size; ``side`` 1 and 2 mark two
-    different tiles, whose inner pairs are another group's."""
-    union, links, m = _Union(len(sets)), [], len(sets)
-    two = bool((side == 1).any() and (side == 2).any())
-
-    def linked(i: int, j: int, inter: int) -> bool:
-        return 100 * inter >= percent * (int(sizes[i]) + int(sizes[j]) - inter)
-
-    def join(i: int, j: int) -> None:
-        a, b = union.find(i), union.find(j)
-        union.up[max(a, b)] = min(a, b)
-        links.append((i, j))
-
+def _group_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, side: np.ndarray, across: bool,
+                 leaders: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(j, the members before j that link to it, the overlaps): each link of one group. Members come by ascending size.
+    ``across``: the group is a pair of different tiles, sides 1 and 2, whose inner pairs are another group's. ``leaders``
+    are each member's leaders before this group's: a pair that shares one of them is that leader's."""
+    m = len(sets)
     if m <= 12:
         for j in range(1, m):
+            near, inter = [], []
             for i in range(j - 1, -1, -1):
                 if 100 * int(sizes[i]) < percent * int(sizes[j]):
                     break  # sizes only fall from here: the rest of the block is out of reach
-                if (two and side[i] == side[j]) or union.find(i) == union.find(j):
+                if (across and side[i] == side[j]) or len(np.intersect1d(leaders[i], leaders[j], assume_unique=True)):
                     continue
-                inter = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if linked(i, j, inter):
-                    join(i, j)
-        return links
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (int(sizes[i]) + int(sizes[j]) - both):
+                    near.append(i)
+                    inter.append(both)
+            if near:
+                yield j, np.array(near), np.array(inter)
+        return
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(m), [len(s) for s in sets])
     tokens, index = np.unique(flat, return_inverse=True)
     order = np.lexsort((owner, index))
     lists, ends = owner[order], np.searchsorted(index[order], np.arange(len(tokens) + 1))
+    led: dict[int, list[int]] = {}
+    for j, before in enumerate(leaders):
+        for x in before.tolist():
+            led.setdefault(x, []).append(j)
+    theirs = {x: np.array(js) for x, js in led.items()}
     at = 0
     for j in range(m):
         mine = index[at:at + len(sets[j])]
@@ -180,29 +173,53 @@ def _group_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, side:
         begin, stop = ends[mine], ends[mine + 1]
         count = stop - begin
         spread = np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        over = np.bincount(lists[spread], minlength=m)[:j]
-        ok = 100 * over >= percent * (sizes[:j] + sizes[j] - over)
-        if two:
-            ok &= side[:j] != side[j]
-        for i in np.flatnonzero(ok)[::-1]:
-            if union.find(int(i)) != union.find(j):
-                join(int(i), j)
-    return links
-
-
-def _verify(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links of all groups of one shard; groups come one after another."""
+        over = np.bincount(lists[spread], minlength=m)
+        ok = 100 * over >= percent * (sizes + sizes[j] - over)
+        ok[j:] = False
+        if across:
+            ok &= side != side[j]
+        for x in leaders[j].tolist():
+            ok[theirs[x]] = False
+        near = np.flatnonzero(ok)
+        if len(near):
+            yield j, near, over[near]
+
+
+def _verify(pdf: pd.DataFrame, percent: int, pairs: bool) -> pd.DataFrame:
+    """All groups of one shard, one after another. ``pairs``: each link (a, b) with its overlap n. Else what grows with the
+    sets only: links (a, b) that span each group's components, and for each set a (b null) its links here, n documents."""
     pdf = pdf.sort_values(["leader", "i", "j", "n", "sig"], kind="stable")
     codes = pdf[["leader", "i", "j"]].to_numpy()
     new = np.concatenate([[True], (codes[1:] != codes[:-1]).any(axis=1)]) if len(pdf) else np.zeros(0, bool)
     starts = np.flatnonzero(new)
-    sigs, sizes, side, blobs = pdf["sig"].to_numpy(), pdf["n"].to_numpy(), pdf["side"].to_numpy(), pdf["shared"].tolist()
-    out: set[tuple[int, int]] = set()
+    sigs, sizes, side, docs = (pdf[c].to_numpy().astype(np.int64) for c in ("sig", "n", "side", "n_docs"))
+    blobs, led = pdf["shared"].tolist(), pdf["leaders"].tolist()
+    out_a, out_b, out_n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    counted, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in zip(starts, np.append(starts[1:], len(pdf)), strict=True):
-        if b - a > 1:
-            for i, j in _group_links([np.frombuffer(x, np.uint64) for x in blobs[a:b]], sizes[a:b], percent, side[a:b]):
-                out.add((int(min(sigs[a + i], sigs[a + j])), int(max(sigs[a + i], sigs[a + j]))))
-    return pd.DataFrame(sorted(out), columns=["a", "b"])
+        if b - a < 2:
+            continue
+        sig, n_docs, links, label = sigs[a:b], docs[a:b], np.zeros(b - a, np.int64), np.arange(b - a)
+        leaders = [np.asarray(x, np.int64) for x in led[a:b]]
+        found = _group_links([np.frombuffer(x, np.uint64) for x in blobs[a:b]], sizes[a:b], percent, side[a:b],
+                             bool(codes[a, 1] != codes[a, 2]), [x[x < codes[a, 0]] for x in leaders])
+        for j, near, inter in found:
+            links[j] += n_docs[near].sum()
+            links[near] += n_docs[j]
+            if not pairs:
+                met, first = np.unique(label[near], return_index=True)  # one link to each component so far
+                label[np.isin(label, met)] = j
+                near, inter = near[first], inter[first]
+            out_a.append(np.minimum(sig[near], sig[j]))
+            out_b.append(np.maximum(sig[near], sig[j]))
+            out_n.append(inter)
+        counted.append(sig[links > 0])
+        counts.append(links[links > 0])
+    out = pd.DataFrame({"a": np.concatenate(out_a), "b": pd.array(np.concatenate(out_b), "Int64"), "n": np.concatenate(out_n)})
+    if pairs:
+        return out
+    return pd.concat([out, pd.DataFrame({"a": np.concatenate(counted), "b": pd.array([None] * sum(map(len, counted)), "Int64"),
+                                         "n": np.concatenate(counts)})], ignore_index=True)
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -226,12 +243,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return label
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
-    """(doc, text_key, n_shingles, component, n_docs) for each distinct (id, text): ``component`` is the smallest id
-    reachable by links and ``n_docs`` the number of documents with exactly this set."""
+def _links(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, tile: int, pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(each distinct (id, text) with its set, the sets with ``n_docs`` and their first document, the rows of ``_verify``)."""
     spark = docs.sparkSession
     n = 2 * partitions(spark)
     rows = docs.select(id_column(id_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    meta = stage(rows.mapInArrow(lambda it: _meta(it, k), "doc long, text_key long, n_shingles long, sig long").distinct(), "sets")
+    classes = meta.where("n_shingles > 0").groupBy("sig").agg(F.min(F.struct("doc", "text_key")).alias("first"), F.count("doc").alias("n_docs"))
 
     sent = rows.select("text").mapInArrow(lambda it: _send(it, k, n), "shard int, keys binary, sigs binary, sizes binary, index binary")
     shared = sent.groupBy("shard").applyInPandas(lambda pdf: _shared(pdf, n), "bucket int, sigs binary, sizes binary, counts binary, keys binary, freq binary")
@@ -239,29 +257,51 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         lambda pdf: _candidates(pdf, percent), "sig long, n int, shared binary, prefix array<long>"), "candidates")
 
     entries = cand.select("sig", F.explode("prefix").alias("token"))
-    leaders = entries.groupBy("token").agg(F.min("sig").alias("leader"), F.count("sig").alias("m")).where("m > 1").select("token", "leader")
-    members = stage(entries.join(leaders, "token").select("leader", "sig").distinct(), "members")
+    heads = entries.groupBy("token").agg(F.min("sig").alias("leader"), F.count("sig").alias("m")).where("m > 1").select("token", "leader")
+    members = stage(entries.join(heads, "token").select("leader", "sig").distinct(), "members")
     sizes = members.groupBy("leader").agg(F.count("sig").alias("m")).where("m > 1").select(
         "leader", F.ceil(F.col("m") / tile).cast("int").alias("tiles"))
     tiled = (members.join(sizes, "leader").withColumn("s", F.pmod(F.xxhash64("sig"), "tiles").cast("int"))
              .select("leader", "sig", "s", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
              .select("leader", "sig", F.least("s", "o").alias("i"), F.greatest("s", "o").alias("j"),
                      F.when(F.col("s") <= F.col("o"), 1).otherwise(2).alias("side")))
-    grouped = (tiled.join(cand.select("sig", "n", "shared"), "sig")
+    leaders = members.groupBy("sig").agg(F.collect_list("leader").alias("leaders"))  # no longer than the set's prefix
+    grouped = (tiled.join(cand.select("sig", "n", "shared"), "sig").join(leaders, "sig").join(classes.select("sig", "n_docs"), "sig")
                .withColumn("part", F.pmod(F.xxhash64("leader", "i", "j"), F.lit(4 * n)).cast("int")))
-    links = stage(grouped.groupBy("part").applyInPandas(lambda pdf: _verify(pdf, percent), "a long, b long").distinct(), "links")
-    labels = components(links)
+    found = grouped.groupBy("part").applyInPandas(lambda pdf: _verify(pdf, percent, pairs), "a long, b long, n long")
+    return meta, classes, stage(found, "links")
 
-    meta = stage(rows.mapInArrow(lambda it: _meta(it, k), "doc long, text_key long, n_shingles long, sig long").distinct(), "sets")
-    full = meta.where("n_shingles > 0")
-    classes = full.groupBy("sig").agg(F.min("doc").alias("first_doc"), F.count("doc").alias("n_docs"))
-    classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    first = classes.groupBy("label").agg(F.min("first_doc").alias("component"))
-    named = classes.join(first, "label").select("sig", "component", "n_docs")
-    out = full.join(named, "sig").select("doc", "text_key", "n_shingles", "component", "n_docs").union(
-        meta.where("n_shingles = 0").select("doc", "text_key", "n_shingles", F.col("doc").alias("component"), F.lit(1).cast("long").alias("n_docs")))
-    back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
-    return out.select(back("doc"), "text_key", "n_shingles", back("component"), "n_docs")
+
+def _id_back(c: str) -> Column:
+    return F.when(F.col(c) != NULL_ID, F.col(c)).alias(c.replace(".", "_"))
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
+    """(doc, text_key, n_shingles, component, n_docs, n_links) for each distinct (id, text): ``component`` is the smallest
+    id reachable by links, ``n_docs`` the number of documents with exactly this set and ``n_links`` the number of other
+    documents that link to this one (equal sets included)."""
+    meta, classes, found = _links(docs, id_col, text_col, k, percent, tile, pairs=False)
+    labels = components(found.where("b IS NOT NULL"))
+    counts = found.where("b IS NULL").groupBy(F.col("a").alias("sig")).agg(F.sum("n").alias("linked"))
+    classes = (classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").join(counts, "sig", "left")
+               .withColumn("label", F.coalesce("label", "sig")).withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("n_docs") - 1))
+    first = classes.groupBy("label").agg(F.min("first.doc").alias("component"))
+    named = classes.join(first, "label").select("sig", "component", "n_docs", "n_links")
+    out = meta.where("n_shingles > 0").join(named, "sig").select("doc", "text_key", "n_shingles", "component", "n_docs", "n_links").union(
+        meta.where("n_shingles = 0").select("doc", "text_key", "n_shingles", F.col("doc").alias("component"), F.lit(1).cast("long").alias("n_docs"),
+                                            F.lit(0).cast("long").alias("n_links")))
+    return out.select(_id_back("doc"), "text_key", "n_shingles", _id_back("component"), "n_docs", "n_links")
+
+
+def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
+    """(a_doc, a_text_key, a_n_docs, b_doc, b_text_key, b_n_docs, n_shared): every link between different sets, once. A
+    set is named by its first document and stands for ``n_docs`` of them. The rows are as many as the links."""
+    _, classes, found = _links(docs, id_col, text_col, k, percent, tile, pairs=True)
+    end = lambda c: classes.select(F.col("sig").alias(c), F.struct("first.doc", "first.text_key", "n_docs").alias(f"{c}_set"))
+    both = found.join(end("a"), "a").join(end("b"), "b").select(
+        F.least("a_set", "b_set").alias("a"), F.greatest("a_set", "b_set").alias("b"), F.col("n").alias("n_shared"))
+    return both.select(*[x for s in "ab" for x in (_id_back(f"{s}.doc"), F.col(f"{s}.text_key").alias(f"{s}_text_key"),
+                                                   F.col(f"{s}.n_docs").alias(f"{s}_n_docs"))], "n_shared")
 
 
 def _meta(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
