@@ -253,6 +253,12 @@ def test_budgets_fill_siblings_before_ancestors(spark):
     assert {r.domain for r in zero} == {"b"}
 
 
+def test_weight_zero_adds_no_capacity_to_its_ancestors(spark):
+    leaves = spark.createDataFrame([("a", "x", 1000), ("a", "y", 10), ("b", "y", 1000)], "domain string, lang string, tokens long")
+    plan = mixing.budgets(leaves, ["domain", "lang"], {"lang": {"x": 0}}, 400, 1).collect()
+    assert {(r.domain, r.lang): r.alloc for r in plan} == {("a", "y"): 10, ("b", "y"): 390}
+
+
 def test_mix_takes_prefixes_of_epochs(docs, empty):
     got = mixing.corpus_mix(docs).collect()
     total = sum(len(_words(t)) for t in {r[0]: r[1] for r in _rows(docs)}.values())

@@ -13,8 +13,8 @@ running totals (no window over a leaf), so a source with a third of all rows is
 partitions like any other rows; only ids, token counts and levels are sorted.
 
 Defined results: a token is a word (run of ``[^\\x20\\x09-\\x0D]``); documents without one are never selected; a null
-level value is the node ``(none)``; a weight not given is 1, a weight of 0 or less selects nothing; shares are
-rounded down to whole tokens. A null id is an id like any other. Repeated rows (same id, text, levels) count once and
+level value is the node ``(none)``; a weight not given is 1, a weight of 0 or less selects nothing and adds
+no capacity to its ancestors; shares are rounded down to whole tokens. A null id is an id like any other. Repeated rows (same id, text, levels) count once and
 each come back.
 """
 
@@ -62,7 +62,10 @@ def _share(children: DataFrame, parent: list[str]) -> DataFrame:
 
 def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], budget: Column | int, max_epochs: int) -> DataFrame:
     """leaves: level columns and ``tokens``. Adds ``alloc``: the tokens each leaf is to give."""
-    caps = leaves.withColumn("cap", (F.col("tokens") * max_epochs).cast("long"))
+    chosen = F.lit(True)
+    for level in levels:
+        chosen &= _weight(F.col(level), weights.get(level, {})) > 0
+    caps = leaves.withColumn("cap", F.when(chosen, F.col("tokens") * max_epochs).otherwise(0).cast("long"))
     total = caps.agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens")).withColumn("root", F.lit(0))
     wanted = budget if isinstance(budget, Column) else F.lit(int(budget)).cast("long")
     parents = total.select("root", F.least(F.coalesce(wanted, F.lit(0)), F.coalesce("cap", F.lit(0))).cast("long").alias("budget"))
