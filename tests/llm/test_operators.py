@@ -413,3 +413,17 @@ def test_jaccard_keeps_every_link(spark, tile, k, percent):
             and sets[i] != sets[j] and first[sets[i]] == i and first[sets[j]] == j}
     rows = jaccard_join.similar_pairs(table, k=k, percent=percent, tile=tile).collect()
     assert sorted((r.a_doc, r.a_n_docs, r.b_doc, r.b_n_docs, r.n_shared) for r in rows) == sorted(want) and len(want) > 300
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(300)]
+    a, b, c = (" ".join(rng.choices(vocab, k=60)) for _ in range(3))
+    rows = [(None, a, "s"), (None, a, "s"), (None, a + " more", "s"), (None, b, "s"), (4, b, "s"), (5, c, "s"), (5, c, "s"), (5, c, "t"),
+            (6, c + " more", "s"), (7, None, "s"), (7, None, "s"), (None, "", "s"), (7, b + " other", "s")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = jaccard_join.keep_first(table)
+    assert kept.columns == table.columns
+    got = sorted(((r.doc_id, r.text, r.source) for r in kept.collect()), key=repr)
+    one = next(t for _, t, _ in got if t and t.startswith(a))  # the smaller text key decides between texts without an id
+    assert got == sorted([(None, one, "s"), (None, b, "s"), (5, c, "s"), (7, None, "s"), (None, "", "s")], key=repr)

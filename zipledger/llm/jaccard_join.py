@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -247,7 +247,7 @@ def _links(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, ti
     """(each distinct (id, text) with its set, the sets with ``n_docs`` and their first document, the rows of ``_verify``)."""
     spark = docs.sparkSession
     n = 2 * partitions(spark)
-    rows = docs.select(id_column(id_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(id_column(id_col).alias("doc"), F.col(f"`{text_col}`").alias("text")).withColumn("text_key", F.xxhash64("text"))
     meta = stage(rows.mapInArrow(lambda it: _meta(it, k), "doc long, text_key long, n_shingles long, sig long").distinct(), "sets")
     classes = meta.where("n_shingles > 0").groupBy("sig").agg(F.min(F.struct("doc", "text_key")).alias("first"), F.count("doc").alias("n_docs"))
 
@@ -277,20 +277,20 @@ def _id_back(c: str) -> Column:
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
-    """(doc, text_key, n_shingles, component, n_docs, n_links) for each distinct (id, text): ``component`` is the smallest
-    id reachable by links, ``n_docs`` the number of documents with exactly this set and ``n_links`` the number of other
+    """(doc, text_key, n_shingles, component, component_key, n_docs, n_links) for each distinct (id, text): ``component`` is
+    the smallest id reachable by links, ``component_key`` the smallest text key there, ``n_docs`` the number of documents with exactly this set and ``n_links`` the number of other
     documents that link to this one (equal sets included)."""
     meta, classes, found = _links(docs, id_col, text_col, k, percent, tile, pairs=False)
     labels = components(found.where("b IS NOT NULL"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("sig")).agg(F.sum("n").alias("linked"))
     classes = (classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").join(counts, "sig", "left")
                .withColumn("label", F.coalesce("label", "sig")).withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("n_docs") - 1))
-    first = classes.groupBy("label").agg(F.min("first.doc").alias("component"))
-    named = classes.join(first, "label").select("sig", "component", "n_docs", "n_links")
-    out = meta.where("n_shingles > 0").join(named, "sig").select("doc", "text_key", "n_shingles", "component", "n_docs", "n_links").union(
-        meta.where("n_shingles = 0").select("doc", "text_key", "n_shingles", F.col("doc").alias("component"), F.lit(1).cast("long").alias("n_docs"),
-                                            F.lit(0).cast("long").alias("n_links")))
-    return out.select(_id_back("doc"), "text_key", "n_shingles", _id_back("component"), "n_docs", "n_links")
+    first = classes.groupBy("label").agg(F.min("first").alias("c"))
+    named = classes.join(first, "label").select("sig", F.col("c.doc").alias("component"), F.col("c.text_key").alias("component_key"), "n_docs", "n_links")
+    cols = ["doc", "text_key", "n_shingles", "component", "component_key", "n_docs", "n_links"]
+    out = meta.where("n_shingles > 0").join(named, "sig").select(*cols).union(
+        meta.where("n_shingles = 0").select("doc", "text_key", "n_shingles", "doc", "text_key", F.lit(1).cast("long"), F.lit(0).cast("long")).toDF(*cols))
+    return out.select(*[_id_back(c) if c in ("doc", "component") else c for c in cols])
 
 
 def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
@@ -307,25 +307,25 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _meta(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     cache = WordHash()
     for batch in batches:
-        keys, counts, sigs = [], [], []
+        counts, sigs = [], []
         for text in batch.column("text"):
-            t = text.as_py()
-            s = shingle_set(word_hashes(t, cache, lower=True), k)
-            keys.append(int(np.uint64(xxh3_64_intdigest("\x00" if t is None else "t" + t)).astype(np.int64)))
+            s = shingle_set(word_hashes(text.as_py(), cache, lower=True), k)
             counts.append(len(s))
             sigs.append(_signature(s))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(sigs, pa.int64())],
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(sigs, pa.int64())],
                                          names=["doc", "text_key", "n_shingles", "sig"])
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; columns unchanged. Rows of one id are one
-    document: they stay or go together, and go if any of their texts links to a smaller id. Documents without a
-    shingle stay."""
+    """One row of each component stays, the one with the smallest id and, of those, the smallest text key; columns
+    unchanged. An (id, text) is one document: of its repeated rows one stays, also without a shingle or an id."""
     found = similar_components(docs, id_col, text_col, **how)
-    gone = found.where(~F.col("doc").eqNullSafe(F.col("component"))).select("doc").distinct().alias("g")
-    kept = docs.alias("d").join(gone, F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.doc")), "left_anti")
-    return kept
+    gone = (found.where(~(F.col("doc").eqNullSafe(F.col("component")) & (F.col("text_key") == F.col("component_key"))))
+            .select(id_column("doc").alias("_doc"), F.col("text_key").alias("_key")))
+    rows = docs.withColumns({"_doc": id_column(id_col), "_key": F.xxhash64(F.col(f"`{text_col}`"))}).join(gone, ["_doc", "_key"], "left_anti")
+    others = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    same = Window.partitionBy("_doc", "_key").orderBy(*(others or [F.col("_key")]))
+    return rows.withColumn("_i", F.row_number().over(same)).where("_i = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:
