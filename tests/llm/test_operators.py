@@ -293,6 +293,19 @@ def test_decontaminate(spark, docs, empty):
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == docs.count()
 
 
+def test_short_items_are_found_in_long_texts(spark):
+    long = "here is one Longer text that holds a few short items and ends so"
+    table = spark.createDataFrame([(1, long), (2, "few short"), (3, "short few items are not in that order here"), (4, "so"), (5, None), (6, "a few short items")],
+                                  "doc_id long, text string")
+    items = spark.createDataFrame([(1, "few short"), (2, "SO"), (3, "a few  short items"), (4, "one longer text that holds a"), (5, "absent"), (6, "")],
+                                  "item_id long, text string")
+    want = {(1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (4, 2), (6, 1), (6, 3)}
+    for rows in (10**6, 0):
+        got = decontaminate.contained_items(table, items, broadcast_rows=rows).collect()
+        assert sorted((r.doc, r.item) for r in got) == sorted(want)
+    assert {r.doc_id for r in decontaminate.drop_contaminated(table, items).collect()} == {3, 5}
+
+
 # -- 9 ------------------------------------------------------------------------------------------
 
 def test_elias_fano():

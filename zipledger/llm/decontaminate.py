@@ -14,12 +14,15 @@ else the same join shuffles. A passage in a third of all documents makes pairs k
 group grows with it.
 
 Defined results: words are runs of ``[^\\x20\\x09-\\x0D]`` of the lower-cased text; fewer words than a
-shingle: the whole sequence is the only shingle, on both sides; null, empty or blank texts have none and match
+shingle: the whole sequence is the only shingle, on both sides, and such an item is also looked for as a run of its own
+length in longer texts (op8 leaves this out, as its SQL does); null, empty or blank texts have none and match
 nothing. Repeated rows give each (document, item) pair once, with its largest count; ids may be null.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,30 +41,53 @@ def _shingles(text: Column, k: int) -> Column:
     return F.array_distinct(let(words(F.lower(text)), grams))
 
 
+def _runs(text: Column, width: int, each: Callable[[Column], Column], kind: str) -> Column:
+    """``each`` of the runs of ``width`` words; none if there are fewer words."""
+    return let(words(F.lower(text)), lambda ws: F.when(F.size(ws) >= width, F.transform(
+        F.sequence(F.lit(1), F.size(ws) - width + 1), lambda i: each(F.slice(ws, i, width)))).otherwise(F.array().cast(f"array<{kind}>")))
+
+
+def _run_hashes(text: Column, width: int, bound: int) -> Column:
+    """As an item of so few words is hashed: absent words leave xxhash64 unchanged."""
+    found = _runs(text, width, lambda r: F.xxhash64(*[F.get(r, F.lit(j)) for j in range(width)]), "bigint")
+    return F.filter(found, lambda h: h <= F.lit(bound))
+
+
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                    item_text_col: str = "text", k: int = 5, percent: int = 80, broadcast_rows: int = 2_000_000) -> DataFrame:
+                    item_text_col: str = "text", k: int = 5, percent: int = 80, broadcast_rows: int = 2_000_000,
+                    short: bool = True) -> DataFrame:
     """(doc, text_key, item, n_item_shingles, n_shared) for every document text that holds at least ``percent`` per
-    cent of an item's distinct ``k``-word shingles; ``text_key`` tells texts of one id apart."""
+    cent of an item's distinct ``k``-word shingles; ``text_key`` tells texts of one id apart. ``short``: items of fewer than
+    ``k`` words are also found inside longer texts, as runs of their own length."""
     its = (items.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").alias("item_text")).distinct()
            .withColumn("item_key", F.xxhash64("item", "item_text"))
-           .withColumn("hashes", F.sort_array(F.array_distinct(_shingle_hashes(F.col("item_text"), k)))).where(F.size("hashes") > 0))
+           .withColumn("hashes", F.sort_array(F.array_distinct(_shingle_hashes(F.col("item_text"), k)))).where(F.size("hashes") > 0)
+           .withColumn("width", F.least(F.size(words(F.lower("item_text"))), F.lit(k))))
     n = F.size("hashes")
     need = F.ceil(n * percent / 100)
-    sketch = its.select("item_key", F.floor(F.log2(n)).alias("part"), F.explode(F.slice(
+    sketch = its.select("item_key", "width", F.floor(F.log2(n)).alias("part"), F.explode(F.slice(
         "hashes", F.lit(1), (n - need + 1).cast("int"))).alias("h"))
-    bounds = sketch.groupBy("part").agg(F.max("h").alias("bound"), F.count("h").alias("n")).collect()  # one row per power of two
+    bounds = sketch.groupBy("width", "part").agg(F.max("h").alias("bound"), F.count("h").alias("n")).collect()  # widths by powers of two
     small = sum(r["n"] for r in bounds) <= broadcast_rows
     bound = max((r["bound"] for r in bounds), default=-(2**63))
+    widths = {r["width"]: r["bound"] for r in bounds if short and r["width"] < k}  # a short item is its one shingle
+    if widths:
+        bound = max((r["bound"] for r in bounds if r["width"] == k), default=-(2**63))
     hint = F.broadcast if small else (lambda df: df)
 
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text")).withColumn("text_key", F.xxhash64("text"))
-    low = texts.select("doc", "text_key", F.explode(F.filter(_shingle_hashes(F.col("text"), k), lambda h: h <= F.lit(bound))).alias("h"))
+    hashes = [F.filter(_shingle_hashes(F.col("text"), k), lambda h: h <= F.lit(bound)),
+              *[_run_hashes(F.col("text"), w, top) for w, top in sorted(widths.items())]]
+    low = texts.select("doc", "text_key", F.explode(F.array_distinct(F.concat(*hashes)) if widths else hashes[0]).alias("h"))
     pairs = low.join(hint(sketch.select("h", "item_key")), "h").select("doc", "text_key", "item_key").distinct()
     cand = pairs.groupBy("doc", "text_key").agg(F.collect_set("item_key").alias("item_keys"))  # at most the items, per document
 
     c, t = cand.alias("c"), texts.alias("t")
+    doc_shingles = _shingles(F.col("t.text"), k)
+    for w in sorted(widths):
+        doc_shingles = F.array_union(doc_shingles, _runs(F.col("t.text"), w, lambda r: F.array_join(r, " "), "string"))
     found = (t.join(c, F.col("t.doc").eqNullSafe(F.col("c.doc")) & (F.col("t.text_key") == F.col("c.text_key")))
-             .select("t.doc", "t.text_key", _shingles(F.col("t.text"), k).alias("doc_shingles"), "item_keys")
+             .select("t.doc", "t.text_key", doc_shingles.alias("doc_shingles"), "item_keys")
              .withColumn("item_key", F.explode("item_keys")).drop("item_keys"))
     exact = its.select("item_key", "item", _shingles(F.col("item_text"), k).alias("shingles"))
     return (found.join(hint(exact), "item_key")
@@ -80,7 +106,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    pairs = contained_items(docs, items).groupBy("doc", "item").agg(F.max(F.struct("n_shared", "n_item_shingles")).alias("m"))
+    pairs = contained_items(docs, items, short=False).groupBy("doc", "item").agg(F.max(F.struct("n_shared", "n_item_shingles")).alias("m"))
     return pairs.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("m.n_item_shingles").alias("n_item_shingles"),
                         F.col("m.n_shared").alias("n_shared"), (F.col("m.n_shared") / F.col("m.n_item_shingles")).alias("containment"))
 
