@@ -194,6 +194,18 @@ def test_language_id(spark, empty):
     assert language_id.predict(empty, model).count() == 0
 
 
+def test_short_foreign_texts_are_rejected(spark):
+    rng = random.Random(6)
+    vocab = {"aa": ["abra", "cada", "bana", "kara", "da"], "zz": ["zuzu", "xoxo", "wuxo", "zoxu", "ux"]}
+    rows = [(i, " ".join(rng.choices(vocab[lang], k=rng.randint(8, 40))), lang) for i in range(120) for lang in vocab]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    clean = [" ".join(rng.choices(vocab[lang], k=n)) for lang in vocab for n in (1, 2, 3, 5, 7) for _ in range(10)]
+    foreign = ["日本語の文章です。短い", "".join(rng.choices("efghijlmnpqstvy", k=29)), "qqq", "где мы"]
+    probes = spark.createDataFrame([(t,) for t in clean + foreign], "text string")
+    got = {r.text: r.rejected for r in language_id.predict(probes, model).collect()}
+    assert got == dict.fromkeys(clean, False) | dict.fromkeys(foreign, True)
+
+
 # -- 5 ------------------------------------------------------------------------------------------
 
 def _line_key(line):

@@ -10,7 +10,8 @@ centroids are fitted on at most ``SAMPLE`` rows per language, the ones with the
 text (a documented bound); clustering runs on the executors, one group of at most ``SAMPLE`` vectors per language.
 The reject distance of a length class (powers of two of the number of letters) is the largest distance of the
 sampled training rows of that class, the class below or longer ones to their own language's centroids, times
-``SLACK`` (beyond the longest class seen, that class's), and ``NEAR`` at least; under ``MIN_LETTERS`` letters a distance says too little and rejects nothing. The
+``SLACK`` (beyond the longest class seen, that class's), ``NEAR`` at least and ``FAR`` at most. The classes under ``MIN_LETTERS``
+letters also count pieces of the sampled rows cut to that length, as short texts are farther from every centroid. The
 model (languages x CENTROIDS x DIMS floats) goes through the driver; its size doesn't depend on the corpus,
 given the number of languages.
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import with_fields
 
-DIMS, SAMPLE, CENTROIDS, SLACK, NEAR, MIN_LETTERS = 4096, 600, 4, 1.15, 0.35, 32
+DIMS, SAMPLE, CENTROIDS, SLACK, NEAR, FAR, MIN_LETTERS = 4096, 600, 4, 1.15, 0.35, 0.97, 32
 UNKNOWN = "und"
 _MARKS = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in bytes(range(256)).lower())
 
@@ -55,6 +56,21 @@ def _length_class(letters: int) -> int:
     return max(0, int(letters)).bit_length()
 
 
+def _pieces(text: str) -> list[str]:
+    """The start of a text cut to 2, 4, 8, .. letters' bytes under ``MIN_LETTERS`` or so: whole words, one at least."""
+    out, found = [], text[:4 * MIN_LETTERS].split()
+    for bits in range(1, MIN_LETTERS.bit_length()):
+        taken, room = [], 2 ** bits - 1
+        for word in found:
+            size = len(word.encode("utf-8", "surrogatepass"))
+            if taken and size > room:
+                break
+            taken.append(word)
+            room -= size
+        out.append(" ".join(taken))
+    return out
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
@@ -116,16 +132,20 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
         found = [features(t) for t in pdf["text"]]
         vectors = _unit(np.array([tf * idf for tf, _ in found], np.float32))
         centres = _clusters(vectors, CENTROIDS)
+        short = [f for t in pdf["text"] for f in map(features, _pieces(t)) if 0 < f[1] < MIN_LETTERS]
+        if short:
+            found += short
+            vectors = np.concatenate([vectors, _unit(np.array([tf * idf for tf, _ in short], np.float32))])
         best = (vectors @ centres.T).max(1)
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "centres": [centres.tobytes()],
                              "classes": [[_length_class(n) for _, n in found]], "distances": [(1 - best).astype(float).tolist()]})
 
     fitted = sorted(sample.groupBy("lang").applyInPandas(cluster, "lang string, centres binary, classes array<int>, distances array<double>").collect(),
-                    key=lambda r: r["lang"])  # one row per language, at most SAMPLE distances each
+                    key=lambda r: r["lang"])  # one row per language, a bounded number of distances each
     reach: dict[int, float] = {}
     for r in fitted:
         for c, d in zip(r["classes"], r["distances"], strict=True):
-            for shorter in range(c + 2):
+            for shorter in range(c + 2 if c >= MIN_LETTERS.bit_length() else c + 1):
                 reach[shorter] = max(reach.get(shorter, 0.0), d)
     centres = [np.frombuffer(r["centres"], np.float32).reshape(-1, DIMS) for r in fitted]
     return {"langs": [r["lang"] for r in fitted], "idf": idf, "centres": np.concatenate(centres),
@@ -151,7 +171,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", names: tuple[s
                 best = int(np.argmax(cos))
                 score = float(min(1.0, max(0.0, cos[best])))
                 reach = m["reach"][min(_length_class(letters), max(m["reach"]))]
-                limit = 1.0 if letters < MIN_LETTERS else min(1.0, max(NEAR, reach * SLACK))
+                limit = min(FAR, max(NEAR, reach * SLACK))
                 out.append((m["langs"][m["owner"][best]], score, 1 - score > limit))
             cols = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *names])
