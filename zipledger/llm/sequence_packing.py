@@ -9,7 +9,7 @@ sequences whose lengths are powers of two, which need no padding.
 
 Tokenizer: a public tokenizer file (its path is a parameter) loaded in each task. Its pre-tokenizer never joins characters
 across white space, so ids of a text are those of its words, one after another, and each distinct word is encoded
-once a task. For that a word's ASCII letters are lower-cased and closing ``.,;:!?`` after an ASCII letter are split off, as the
+once a task. For that ASCII letters are lower-cased and words are cut between an ASCII letter and one of ``.,;:!?``, as the
 tokenizer does itself; a file that doesn't work so (``word_pieces``) encodes whole texts.
 
 Scale: the number of groups grows with the input's bytes (``group_bytes`` each), pieces of one long document go to
@@ -44,11 +44,11 @@ PACKED = (("start", "long"), ("length", "long"), ("doc_tokens", "long"), ("seque
 # -- tokens --------------------------------------------------------------------------------------
 
 class WordIds(dict):
-    """word (bytes without white space) -> its ids as little-endian bytes; encoded on first sight, in one call for all the
-    new words of a batch, refilled from empty when it has grown to ``limit``."""
+    """word (bytes without white space) -> its ids as little-endian bytes; encoded on first sight, all the new words of some
+    texts in one call, refilled from empty when it has grown to ``limit``."""
 
     limit = 600_000
-    tail = re.compile(rb"(.*[A-Za-z])([.,;:!?]+)", re.S)
+    mark = re.compile(rb"[.,;:!?](?<=[a-z].)")  # a mark after an ASCII letter: the pre-tokenizer cuts before it
 
     def __init__(self, tokenizer, dtype: np.dtype):
         super().__init__()
@@ -56,27 +56,23 @@ class WordIds(dict):
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.added = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def words(self, text: str) -> list[bytes]:
+        """Words whose ids, one after another, are the text's."""
+        low = text.encode().lower()
+        if any(token in low for token in self.added):  # letter case tells an added token's string from others
+            return text.encode().split()
+        return self.mark.sub(rb" \g<0>", low).split()
 
     def learn(self, words: set[bytes]) -> None:
         """Make every word of ``words`` known."""
-        new = [w for w in words if w not in self]
+        new = words - self.keys()
         if len(self) + len(new) > self.limit:
             self.clear()
-            new = list(words)
-        split = {w: self.parts(w) for w in new}
-        base = {p for parts in split.values() for p in parts} - self.keys()
-        known = dict(zip(base, self.encode(list(base)), strict=True))
-        for w, parts in split.items():
-            self[w] = b"".join(known[p] if p in known else self[p] for p in parts)
-        self.update(known)
-
-    def parts(self, word: bytes) -> list[bytes]:
-        """The words whose ids make up this word's: closing marks split off, ASCII letters lower-cased."""
-        if any(mark in word.lower() for mark in self.added):
-            return [word]  # an added token's own string: as it stands
-        found = self.tail.fullmatch(word)
-        return [found[1].lower(), found[2]] if found else [word.lower()]
+            new = words
+        new = list(new)
+        self.update(zip(new, self.encode(new), strict=True))
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         # a word of letters is one pre-token, whose last piece alone bears the end mark: all of these in one call
@@ -128,7 +124,7 @@ def encoder(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.dtype]:
     cache = WordIds(tokenizer, dtype)
 
     def encode(texts: list[str]) -> list[bytes]:
-        found = [text.encode().split() for text in texts]
+        found = [cache.words(text) for text in texts]
         cache.learn(set().union(*found))
         return [b"".join(map(cache.__getitem__, words)) for words in found]
 
