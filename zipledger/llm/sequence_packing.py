@@ -9,7 +9,7 @@ sequences whose lengths are powers of two, which need no padding.
 
 Tokenizer: a public tokenizer file (its path is a parameter) loaded in each task. Its pre-tokenizer never joins characters
 across white space, so ids of a text are those of its words, one after another, and each distinct word is encoded
-once a task. For that ASCII letters are lower-cased and words are cut between an ASCII letter and one of ``.,;:!?``, as the
+once a batch at most. For that ASCII letters are lower-cased and words are cut between an ASCII letter and one of ``.,;:!?``, as the
 tokenizer does itself; a file that doesn't work so (``word_pieces``) encodes whole texts.
 
 Scale: the number of groups grows with the input's bytes (``group_bytes`` each), pieces of one long document go to
@@ -22,7 +22,6 @@ empty text is the end id alone; repeated rows are documents of their own; ids ma
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import mix, with_fields
 
 GROUP_BYTES = 4 << 20
-CHUNK_BYTES = 2 << 20
+CHUNK_WORDS = 500_000
 SEED = 12
 PIECES = "doc_id long, start long, length long, doc_tokens long, grp long, ids binary"
 PACKED = (("start", "long"), ("length", "long"), ("doc_tokens", "long"), ("sequence_id", "long"), ("offset", "long"), ("ids", "binary"))
@@ -44,11 +43,10 @@ PACKED = (("start", "long"), ("length", "long"), ("doc_tokens", "long"), ("seque
 # -- tokens --------------------------------------------------------------------------------------
 
 class WordIds(dict):
-    """word (bytes without white space) -> its ids as little-endian bytes; encoded on first sight, all the new words of some
-    texts in one call, refilled from empty when it has grown to ``limit``."""
+    """word (no white space) -> its ids as little-endian bytes; encoded on first sight, all the new words of some texts in one
+    call, refilled from empty when it has grown to ``limit``."""
 
     limit = 600_000
-    mark = re.compile(rb"[.,;:!?](?<=[a-z].)")  # a mark after an ASCII letter: the pre-tokenizer cuts before it
 
     def __init__(self, tokenizer, dtype: np.dtype):
         super().__init__()
@@ -56,40 +54,42 @@ class WordIds(dict):
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.added = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
-
-    def words(self, text: str) -> list[bytes]:
-        """Words whose ids, one after another, are the text's."""
-        low = text.encode().lower()
-        if any(token in low for token in self.added):  # letter case tells an added token's string from others
-            return text.encode().split()
-        return self.mark.sub(rb" \g<0>", low).split()
-
-    def learn(self, words: set[bytes]) -> None:
-        """Make every word of ``words`` known."""
-        new = words - self.keys()
+        self.added = [t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def words(self, texts: pa.StringArray) -> pa.ListArray:
+        """Words whose ids, one after another, are those of each text."""
+        low = pc.ascii_lower(texts)
+        cut = pc.replace_substring_regex(low, pattern="([a-z])([.,;:!?])", replacement=r"\1 \2")
+        for token in self.added:  # letter case tells an added token's string from others: such a text stays as it is
+            cut = pc.if_else(pc.match_substring(low, token), texts, cut)
+        return pc.ascii_split_whitespace(cut)
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
+        new = [w for w in words if w not in self]
         if len(self) + len(new) > self.limit:
             self.clear()
             new = words
-        new = list(new)
         self.update(zip(new, self.encode(new), strict=True))
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        # a word of letters is one pre-token, whose last piece alone bears the end mark: all of these in one call
-        text = [w.decode() for w in words]
-        plain = [i for i, w in enumerate(text) if w.isalpha()]
-        out: list[bytes] = [b""] * len(words)
-        ids = np.array(self.tokenizer.encode(" ".join([text[i] for i in plain]), add_special_tokens=False).ids, self.dtype)
+        found = list(map(self.__getitem__, words))
+        return np.frombuffer(b"".join(found), self.dtype), np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        # a word of letters is one pre-token, whose last piece alone bears the end mark: many of these in one text
+        plain = [i for i, w in enumerate(words) if w.isalpha()]
+        some = [" ".join([words[i] for i in plain[at:at + 500]]) for at in range(0, len(plain), 500)]
+        ids = np.concatenate([np.zeros(0, self.dtype), *[np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]])
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(plain):  # a letter that turns into several pre-tokens, as a dotted capital I does
             plain, stops = [], stops[:0]
+        out: list[bytes] = [b""] * len(words)
         blob, width, at = ids.tobytes(), self.dtype.itemsize, 0
-        for i, stop in zip(plain, stops.tolist(), strict=True):
-            out[i] = blob[at * width:stop * width]
+        for i, stop in zip(plain, (stops * width).tolist(), strict=True):
+            out[i] = blob[at:stop]
             at = stop
         plain = set(plain)
         rest = [i for i in range(len(words)) if i not in plain]
-        for i, found in zip(rest, self.tokenizer.encode_batch([text[i] for i in rest], add_special_tokens=False), strict=True):
+        for i, found in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = np.array(found.ids, self.dtype).tobytes()
         return out
 
@@ -108,8 +108,8 @@ def word_pieces(tokenizer_json: str) -> bool:
             and not spec.get("post_processor") and not any(t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"]))
 
 
-def encoder(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.dtype]:
-    """texts -> ids of each as little-endian integers of the returned type."""
+def encoder(path: str) -> tuple[Callable[[pa.Array | list[str]], list[bytes]], np.dtype]:
+    """texts (none null) -> ids of each as little-endian integers of the returned type."""
     import os
 
     from tokenizers import Tokenizer
@@ -119,14 +119,32 @@ def encoder(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.dtype]:
     dtype = np.dtype("<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
     with open(path, encoding="utf-8") as f:
         by_word = word_pieces(f.read())
-    if not by_word:
-        return (lambda texts: [np.array(e.ids, dtype).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]), dtype
-    cache = WordIds(tokenizer, dtype)
+    cache = WordIds(tokenizer, dtype) if by_word else None
+
+    def encode_words(texts: pa.Array) -> Iterator[bytes]:
+        words = cache.words(texts)
+        found = words.flatten().dictionary_encode()
+        ids, lengths = cache.ids(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        starts = np.cumsum(lengths) - lengths
+        index = found.indices.to_numpy()
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
+        at = 0
+        while at < len(texts):  # some words at a time, one text at least
+            stop = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK_WORDS)) - 1)
+            mine = index[bounds[at]:bounds[stop]]
+            n = lengths[mine]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            flat = ids[np.repeat(starts[mine] - ends[:-1], n) + np.arange(ends[-1])]
+            edges = ends[bounds[at:stop + 1] - bounds[at]].tolist()
+            for a, b in zip(edges, edges[1:]):
+                yield flat[a:b].tobytes()
+            at = stop
 
-    def encode(texts: list[str]) -> list[bytes]:
-        found = [cache.words(text) for text in texts]
-        cache.learn(set().union(*found))
-        return [b"".join(map(cache.__getitem__, words)) for words in found]
+    def encode(texts: pa.Array | list[str]) -> list[bytes]:
+        if by_word:
+            return list(encode_words(pa.array(texts, pa.string()) if isinstance(texts, list) else texts))
+        found = tokenizer.encode_batch_fast(texts if isinstance(texts, list) else texts.to_pylist(), add_special_tokens=False)
+        return [np.array(e.ids, dtype).tobytes() for e in found]
 
     return encode, dtype
 
@@ -142,18 +160,12 @@ def cut_pieces(docs: DataFrame, path: str, end_id: int, length: int, groups: int
         place = np.uint64(TaskContext.get().partitionId()) << np.uint64(36)  # a piece's number in its task: the deal's only input
         for batch in batches:
             rows = [[] for _ in range(5)]
-            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-            at = 0
-            while at < len(docs):  # some megabytes of text at a time, one row at least
-                stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHUNK_BYTES)))
-                for doc, ids in zip(docs[at:stop], encode([t or "" for t in texts.slice(at, stop - at).to_pylist()]), strict=True):
-                    ids += end
-                    n = len(ids) // width
-                    for start in range(0, n, length):
-                        for column, value in zip(rows, (doc, start, min(length, n - start), n, ids[start * width:(start + length) * width]), strict=True):
-                            column.append(value)
-                at = stop
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(pc.fill_null(batch.column("text"), "")), strict=True):
+                ids += end
+                n = len(ids) // width
+                for start in range(0, n, length):
+                    for column, value in zip(rows, (doc, start, min(length, n - start), n, ids[start * width:(start + length) * width]), strict=True):
+                        column.append(value)
             deal = mix(mix((np.arange(seen, seen + len(rows[0]), dtype=np.uint64) + place) ^ mix(np.array([seed], np.uint64))))
             seen += len(rows[0])
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in rows[:4]], pa.array((deal % np.uint64(groups)).astype(np.int64)),
