@@ -6,6 +6,7 @@ Every query reads the generated tables through the adapters in
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..operators.report import audit_events, job_report, total_archive_size
 from ..operators.retention import apply_retention, empty_job_dirs, retention_plan, retention_summary
 from ..schema import ExportConfig, RetentionConfig
 from ..session import staging_path
+from ..sinks import bucketed as B
 from ..sinks.archive import read_archives, write_archives
 from ..sinks.audit import read_audit, write_audit
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
@@ -36,6 +38,7 @@ from ..streaming.pack_state import stream_pack
 from . import params as P
 from .export import run_export
 from .retention import materialize_tree, run_retention
+from .shared_export import run_shared_export
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -322,6 +325,54 @@ def q_ledger_snapshot(spark, sf_dir):
     return read_ledger_snapshot(spark, root, v)
 
 
+# ---- one ledger, many runs ---------------------------------------------------------------
+
+def q_ledger_upsert(spark, sf_dir):
+    """The run's updates as one commit of a bucketed ledger, then one id more: how many buckets the last commit
+    rewrote, and how many files it shares with the version before."""
+    root = staging_path(spark, "bucketed")
+    cur, ups = _run_updates(spark, sf_dir)
+    B.create(cur, root, P.LEDGER_BUCKETS)
+    ups.write.parquet(root + "/updates")
+    first = B.upsert(spark, root, spark.read.schema(B.UPDATE_ROWS).parquet(root + "/updates"), now=P.NOW)
+    one = B.read(spark, first.snapshot).agg(F.max("archive_id").alias("archive_id"))
+    one.select("archive_id", F.lit("FAILED").alias("export_status"), F.lit("late").alias("error_log"), F.lit(0).cast("long").alias("seq")) \
+        .write.parquet(root + "/one")
+    last = B.upsert(spark, root, spark.read.schema(B.UPDATE_ROWS).parquet(root + "/one"), now=P.NOW)
+    shared = set(first.snapshot.paths()) & set(last.snapshot.paths())
+    return B.read(spark, last.snapshot).withColumn("rewritten", F.lit(len(last.rewritten)).cast("long")) \
+        .withColumn("shared", F.lit(len(shared)).cast("long"))
+
+
+def q_claim_two_runs(spark, sf_dir):
+    """Two runs that start each round from the same version claim at once, and commit their claims' outcome from it too:
+    the ledger in the end, with the run that got each row."""
+    root = staging_path(spark, "two_runs")
+    B.create(_current(spark, sf_dir), root, P.LEDGER_BUCKETS)
+    got = []
+    for _ in range(2):
+        base = B.snapshot(root)
+        a, b = (B.claim(spark, root, run, P.BATCH_SIZE, now=P.NOW, base=base) for run in "AB")
+        for run, mine in (("B", b), ("A", a)):  # B's claim knows A's; A's outcome meets B's commit
+            B.finish(spark, root, run, mine, L.completion_updates(mine.rows), now=P.NOW)
+            got.append(mine.rows.select("archive_id", F.lit(run).alias("claimed_by")))
+    owners = got[0]
+    for more in got[1:]:
+        owners = owners.unionByName(more)
+    return B.read(spark, B.snapshot(root)).join(owners, "archive_id", "left")
+
+
+def q_export_two_runs(spark, sf_dir):
+    """Two runs export one ledger, the first stopping after one claim: the shared ledger in the end."""
+    root, out = staging_path(spark, "shared"), staging_path(spark, "shared_out")
+    B.create(_current(spark, sf_dir), root, P.LEDGER_BUCKETS)
+    for run, claims in (("run-1", 1), ("run-2", None)):
+        cfg = dataclasses.replace(_export_cfg(), job_id=run)
+        run_shared_export(spark, root, cfg, out, run, claim_rows=P.CLAIM_ROWS if claims else None, max_claims=claims, now=P.NOW,
+                          content=_content(spark, sf_dir))
+    return B.read(spark, B.snapshot(root))
+
+
 # ---- inventory, retention and report ---------------------------------------------------
 
 def _inventory(spark, sf_dir):

@@ -378,6 +378,20 @@ select c.archive_id, c.archive_time, c.archive_location, c.raw_eml_size,
   c.retries
 from cur c left join e using (archive_id) left join o using (archive_id)"""
     q["ledger_snapshot"] = q["apply_updates"]
+    q["ledger_upsert"] = f"""
+select * exclude (late) replace (case when late then 'FAILED' else export_status end as export_status,
+                  case when late then {NOW} else updated_at end as updated_at,
+                  case when late then 'late' else error_log end as error_log),
+  cast(1 as bigint) as rewritten, cast({P.LEDGER_BUCKETS - 1} as bigint) as shared
+from (select *, archive_id = max(archive_id) over () as late from ({q["apply_updates"]}))"""
+    q["claim_two_runs"] = _with(("c", CLAIMED)) + f"""
+select u.archive_id, u.archive_time, u.archive_location, u.raw_eml_size,
+  case when claim_seq <= {4 * P.BATCH_SIZE} then 'COMPLETED' else u.export_status end as export_status,
+  case when claim_seq <= {4 * P.BATCH_SIZE} then {NOW} else u.updated_at end as updated_at,
+  u.error_log, u.retries,
+  case when claim_seq <= {4 * P.BATCH_SIZE} then ['A', 'B'][cast((claim_seq - 1) // {P.BATCH_SIZE} % 2 + 1 as int)] end as claimed_by
+from cur u left join c using (archive_id)"""
+    q["export_two_runs"] = q["export_job"]
     q["file_inventory"] = f"""
 with inv as ({INVENTORY})
 select path, length, mtime as modificationTime from inv"""

@@ -15,3 +15,5 @@ FLUSH_BATCH = 200
 FLUSH_INTERVAL_SECONDS = 86400  # events are sparse (days apart), so tick daily
 FLUSH_START = "2024-01-01 00:00:00"
 REPORT_JOB = "job7"
+LEDGER_BUCKETS = 16
+CLAIM_ROWS = 3000

@@ -67,6 +67,41 @@ def write_text(path: str, text: str) -> None:
     _replace(fs, tmp, p)
 
 
+def create_exclusive(path: str, text: str) -> bool:
+    """Create a small file with all its text in one atomic step, or return False if it exists.
+
+    Of any number of writers exactly one gets True. Needs a store that can refuse a name in use: local and shared
+    mounts (hard link), hdfs (rename never replaces a file)."""
+    fs, p = resolve(path)
+    parent = p.rsplit("/", 1)[0]
+    fs.create_dir(parent, recursive=True)
+    tmp = f"{parent}/.{uuid.uuid4().hex}.tmp"
+    if fs.type_name == "local":
+        with open(tmp, "w", encoding="utf-8") as f:
+            f.write(text)
+            f.flush()
+            os.fsync(f.fileno())
+        try:
+            os.link(tmp, p)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.remove(tmp)
+    if fs.type_name != "hdfs":
+        raise NotImplementedError(f"no exclusive create on {fs.type_name}: keep the ledger on a mount or hdfs")
+    with fs.open_output_stream(tmp) as f:
+        f.write(text.encode())
+    try:
+        fs.move(tmp, p)
+        return True
+    except OSError:
+        if fs.get_file_info(p).type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(tmp)
+        return False
+
+
 def read_text(path: str) -> str:
     fs, p = resolve(path)
     with fs.open_input_stream(p) as f:
