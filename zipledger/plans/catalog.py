@@ -27,7 +27,9 @@ from ..sinks import bucketed as B
 from ..sinks.archive import read_archives, write_archives
 from ..sinks.audit import read_audit, write_audit
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
+from ..sinks.zip_source import committed_archives, committed_entries, route_chunks, write_chunked_archives
 from ..sources import adapters as A
+from ..sources.chunks import chunk_bodies
 from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content, resolve_content
 from ..sources.inventory import list_files, snapshot
 from ..sources.manifest import conform_ledger
@@ -280,6 +282,31 @@ def q_archive_sink(spark, sf_dir):
     return spark.read.parquet(out + "/_rows").select("zip_idx", "archive_path", "entries", "bytes")
 
 
+def _chunk_meta(spark, sf_dir):
+    """Valid claimed rows with their slot, and the stored bodies as chunks of at most 1 KB."""
+    meta = PK.assign_slots(_valid_claimed(spark, sf_dir), P.SLOTS).select(
+        "archive_id", "slot", "claim_seq", F.col("raw_eml_size").alias("declared"))
+    return meta, chunk_bodies(_content(spark, sf_dir), P.CHUNK_BYTES)
+
+
+def q_archive_commit(spark, sf_dir):
+    """The archives of ``archive_sink``, written by the data source: numbers come from the tasks' commit messages."""
+    out = staging_path(spark, "archive_commit")
+    run = write_chunked_archives(route_chunks(*_chunk_meta(spark, sf_dir), P.SLOTS), out, P.JOB_ID, P.SINK_CAP_BYTES)
+    return committed_archives(spark, out, run).select("zip_idx", "archive_path", "entries", "bytes")
+
+
+def q_archive_chunks(spark, sf_dir):
+    """Bodies written chunk by chunk (hash slots: exchanged once) and read back from the archives, in how many entries."""
+    out = staging_path(spark, "archive_chunks")
+    run = write_chunked_archives(route_chunks(*_chunk_meta(spark, sf_dir), P.SLOTS, by_hash=True), out, P.JOB_ID, P.SINK_CAP_BYTES)
+    back = read_archives(committed_archives(spark, out, run).repartition("archive_path"), out)
+    listed = committed_entries(spark, out, run).select("archive_id", "archive_path", F.col("bytes").alias("listed_bytes"))
+    return back.join(listed, ["archive_id", "archive_path"]).groupBy("archive_id").agg(
+        F.count("archive_path").alias("n_archives"), F.min("content_bytes").alias("content_bytes"), F.min("listed_bytes").alias("listed_bytes"),
+        F.min("content_md5").alias("content_md5"))
+
+
 def _export_cfg():
     return ExportConfig(job_id=P.JOB_ID, workers=P.WORKERS, max_zip_mb=SINK_CAP_MB, batch_size=P.BATCH_SIZE,
                         archive_base_url=P.BASE_URL)

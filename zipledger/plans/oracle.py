@@ -366,6 +366,8 @@ from nb0 n join packin p using (archive_id) group by all"""
     q["export_roundtrip"] = _with(("c", CLAIMED)) + f"""
 select c.archive_id, cast(1 as bigint) as n_archives, cast(strlen(d.text) as bigint) as content_bytes, md5(d.text) as content_md5
 from c join ({CONTENT}) d using (archive_id) where {VALID.replace('archive_location', 'c.archive_location')}"""
+    q["archive_commit"] = q["archive_sink"]
+    q["archive_chunks"] = f"select *, content_bytes as listed_bytes from ({q['export_roundtrip']})"
     q["resume_run"] = q["export_job"]
     q["export_job_fetch"] = _with(*att, ("e", f"select archive_id, {VALID} as valid from cur where {ELIGIBLE}"),
                                   ("o", f"select archive_id, fetch_ok, {REASON} as reason from fold")) + f"""

@@ -17,3 +17,4 @@ FLUSH_START = "2024-01-01 00:00:00"
 REPORT_JOB = "job7"
 LEDGER_BUCKETS = 16
 CLAIM_ROWS = 3000
+CHUNK_BYTES = 1024    # most bodies take several chunks

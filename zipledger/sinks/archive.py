@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from .. import constants as C
 from . import fs as fsx
 
+READ_BLOCK, READ_ROWS = 1 << 20, 10_000
 ARCHIVE_ROWS = T.StructType([
     T.StructField("zip_idx", T.LongType(), False),
     T.StructField("archive_path", T.StringType(), False),
@@ -224,17 +225,27 @@ def finalize_archives(archives: DataFrame, out_dir: str, dir_col: str = "archive
 
 
 def read_archives(archives: DataFrame, out_dir: str) -> DataFrame:
-    """Read archives back: (archive_path, archive_id, content_bytes, content_md5) for every entry of every archive."""
+    """Read archives back: (archive_path, archive_id, content_bytes, content_md5) for every entry of every archive. Bodies
+    stream through their digest block by block, and rows are handed on in portions."""
     base = out_dir
+    names = ["archive_path", "archive_id", "content_bytes", "content_md5"]
 
     def run(batches):
         for pdf in batches:
             for rel in pdf["archive_path"].tolist():
+                rows = []
                 with fsx.open_input(fsx.join(base, rel)) as stream, zipfile.ZipFile(stream) as z:
-                    rows = []
-                    for name in z.namelist():
-                        body = z.read(name)
-                        rows.append((rel, name.removesuffix(C.ENTRY_SUFFIX), len(body), hashlib.md5(body).hexdigest()))
-                yield pd.DataFrame(rows, columns=["archive_path", "archive_id", "content_bytes", "content_md5"])
+                    for info in z.infolist():
+                        size, digest = 0, hashlib.md5()
+                        with z.open(info) as entry:
+                            while block := entry.read(READ_BLOCK):
+                                size += len(block)
+                                digest.update(block)
+                        rows.append((rel, info.filename.removesuffix(C.ENTRY_SUFFIX), size, digest.hexdigest()))
+                        if len(rows) >= READ_ROWS:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
 
     return archives.select("archive_path").mapInPandas(run, "archive_path string, archive_id string, content_bytes long, content_md5 string")
