@@ -31,6 +31,10 @@ def _back(spark, out, run):
     return {r.archive_id: (r.content_bytes, r.content_md5) for r in found}, len(found)
 
 
+def _copy(spark, body):
+    return spark.createDataFrame([("i", body)], CONTENT).select(F.xxhash64("content")).first()[0]
+
+
 def _want(bodies):
     return {i: (len(b), hashlib.md5(b).hexdigest()) for i, b in bodies}
 
@@ -40,23 +44,25 @@ def test_chunks_rejoin_to_the_bodies(spark):
               ("g", b"one"), ("g", b"other"), (None, b"nobody's")]
     rows = CH.chunk_bodies(spark.createDataFrame(bodies, CONTENT), 7).collect()
     found = {}
-    for r in sorted(rows, key=lambda r: (r.archive_id or "", r.chunk_no)):
+    for r in sorted(rows, key=lambda r: (r.archive_id or "", r.copy, r.chunk_no)):
         found.setdefault(r.archive_id, []).append((r.chunk_no, bytes(r.chunk)))
     assert found["a"] == [(0, b"")] and "b" not in found and found["c"] == [(0, b"0123456")]
     assert found["d"] == [(0, b"0123456"), (1, b"7")] and found["f"] == [(0, b"x")] * 2
     assert b"".join(c for _, c in found["e"]) == bodies[4][1] and len(found["e"]) == 15
-    winner = max((b"one", b"other"), key=lambda b: hashlib.sha256(b).hexdigest())
-    assert found["g"] == [(0, winner)]
+    assert sorted(found["g"]) == [(0, b"one"), (0, b"other")]
     assert CH.chunk_bodies(spark.createDataFrame([], CONTENT)).count() == 0
 
 
 def test_written_bodies_read_back(spark, tmp_path):
     out = str(tmp_path / "o")
     bodies = [(f"id{i}", os.urandom(i * 37 % 400)) for i in range(60)] + [("big", os.urandom(3 << 20))]
-    rows = _routed(spark, [*bodies, bodies[5], ("missing", None), ("unclaimed", b"zz")], chunk=1000)
+    two = sorted((os.urandom(2500), os.urandom(3100)), key=lambda b: _copy(spark, b))      # the smaller hash counts
+    bodies.append(("two", two[0]))
+    rows = _routed(spark, [*bodies, bodies[5], bodies[60], ("two", two[1]), ("x" * 70000, b"no ZIP name"), ("missing", None), ("unclaimed", b"zz")], chunk=1000)
     run = Z.write_chunked_archives(rows, out, "job", cap=4000)
     found, entries = _back(spark, out, run)
-    assert found == _want(bodies) and entries == 61
+    assert found == _want(bodies) and entries == 62
+    assert [len(r.archive_id) for r in Z.failed_entries(spark, out, run).collect()] == [70000]
     listed = {r.archive_id: (r.bytes, r.archive_path) for r in Z.committed_entries(spark, out, run).collect()}
     assert {i: b for i, (b, _) in listed.items()} == {i: len(b) for i, b in bodies}
     for rel in {p for _, p in listed.values()}:
@@ -84,11 +90,11 @@ def test_bodies_over_the_arrow_batch_bound(spark, tmp_path):
 
 def test_writer_memory_is_flat(tmp_path):
     packer = Z._Packer(str(tmp_path / "s"), 1 << 60, False, 1)
-    packer.row(0, "huge", -1, None, 1, None)
+    packer.row(0, "huge", None, -1, None, 1, None)
     chunk = os.urandom(1 << 20)
     tracemalloc.start()
     for i in range(200):
-        packer.row(0, "huge", i, None, None, chunk)
+        packer.row(0, "huge", 7, i, None, None, chunk)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert packer.close().archives[0][3:] == (1, 200 << 20) and peak < 16 << 20
@@ -131,15 +137,15 @@ def test_failed_job_leaves_nothing(spark, tmp_path):
 
 
 def _batch(rows):
-    names = ("slot", "ord", "archive_id", "chunk_no", "grp", "declared", "chunk")
-    types = (pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.binary())
+    names = ("slot", "ord", "archive_id", "copy", "chunk_no", "grp", "declared", "chunk")
+    types = (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=list(names))
 
 
 def test_dead_attempts_and_dead_drivers(spark, tmp_path, monkeypatch):
     out = str(tmp_path / "o")
     w = Z._Writer({"path": out, "folder": "job", "run": "r1", "cap": "100"})
-    rows = [(0, 0, "a", -1, None, 1, None), (0, 0, "a", 0, None, None, b"body")]
+    rows = [(0, 0, "a", None, -1, None, 1, None), (0, 0, "a", 5, 0, None, None, b"body")]
     w.write(iter([_batch(rows)]))                                        # an attempt whose message never came
     message = w.write(iter([_batch(rows)]))
     give = Z._give_names
@@ -192,7 +198,7 @@ def test_fetch_keeps_only_the_whole_attempt(spark, tmp_path):
     chunks = {}
     for r in CH.fetched_chunks(staged).collect():
         chunks.setdefault(int(r.archive_id), {})[r.chunk_no] = bytes(r.chunk)
-    assert len(outcomes) == 140
+    assert len(outcomes) == 140 and set(CH.fetched_chunks(staged).columns) == {"archive_id", "copy", "chunk_no", "chunk"}
     for i, r in outcomes.items():
         kind, parts = i % 7, i % 5
         if kind < 4:
@@ -247,3 +253,34 @@ def test_connections_are_kept_for_each_host():
     for bad in ("ftp://x/1", "http:///1", "http://h:99999999/1"):
         with pytest.raises(RequestBuildError):
             fetch(bad, 1)
+
+
+def test_export_by_chunks_and_numbers_from_the_record(spark, tmp_path, monkeypatch):
+    """The job with a streamer and with a content table too big to prune by its ids; a second job lists no names."""
+    from zipledger.plans import export as X
+    from zipledger.schema import LEDGER, ExportConfig
+
+    def ledger(lo, hi):
+        rows = spark.range(lo, hi).selectExpr(
+            "cast(id as string) as archive_id", "timestamp_ntz'2024-01-01' as archive_time", "concat('h:o', id % 2, ':d:2024:', id) as archive_location",
+            "10L as raw_eml_size", "'PENDING' as export_status", "cast(null as timestamp_ntz) as updated_at", "cast(null as string) as error_log",
+            "0 as retries")
+        return spark.createDataFrame(rows.rdd, LEDGER)
+
+    cfg, out = ExportConfig(job_id="j", workers=4, zip_slots=2), str(tmp_path)
+    first = X.run_export(spark, ledger(0, 70), cfg, out, streamer_factory=lambda: _streamer(), sleep=lambda s: None, now="2026-01-01 00:00:00")
+    state = {int(r.archive_id): (r.export_status, r.error_log) for r in first.ledger.collect()}
+    for i, (status, reason) in state.items():
+        want = {4: "Network error after 3 attempts: timeout", 5: "API returned status 503 after 3 attempts", 6: "Request build error: no request"}.get(i % 7)
+        assert (status, reason) == (("FAILED", want) if want else ("COMPLETED", None))
+    n = first.archives.count()
+    monkeypatch.setattr(X, "PRUNE_BYTES", -1)
+    monkeypatch.setattr(X.fsx, "list_dir", lambda path, **k: (_ for _ in ()).throw(AssertionError(path)) if path.endswith("/j") else _LIST(path, **k))
+    body = spark.range(1000).selectExpr("cast(id as string) as archive_id", "cast(repeat('b', cast(id as int)) as binary) as content")
+    again = X.run_export(spark, ledger(500, 560), cfg, out, content=body, now="2026-01-01 00:00:00")
+    assert again.start_index == n and again.report.first().completed == 60
+    found = read_archives(again.archives, out).collect()
+    assert {int(r.archive_id): r.content_bytes for r in found} == {i: i for i in range(500, 560)}
+
+
+_LIST = fsx.list_dir

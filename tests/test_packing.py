@@ -76,37 +76,6 @@ def test_resume_index(spark):
     assert PK.resume_index(empty, depth_col=None).first()["resume_index"] == 0
 
 
-def test_fused_pack_and_write_matches_brute_force(spark):
-    """Hash slots: the writer packs where the bodies land; assignment = sequential next-fit per slot."""
-    import os
-    import tempfile
-    import zipfile
-
-    from zipledger.sinks.archive import pack_and_write
-
-    rnd = random.Random(11)
-    n, slots, cap = 600, 4, 4000
-    meta = spark.createDataFrame([(f"m{i}", i + 1, rnd.randint(0, 1500)) for i in range(n)],
-                                 "archive_id string, claim_seq long, declared long")
-    bodies = spark.createDataFrame([(f"m{i}", bytes([65 + i % 26]) * rnd.randint(0, 1500)) for i in range(n)],
-                                   "archive_id string, content binary")
-    slotted = PK.assign_slots(meta, slots, rule="hash")
-    out = tempfile.mkdtemp()
-    got = pack_and_write(slotted, bodies, cap, out, slots).toPandas()
-    assert len(got) == n
-    sizes = {r["archive_id"]: len(r["content"]) for r in bodies.collect()}
-    # within a slot the fused writer packs in archive_id order
-    rows = [(r["archive_id"], r["slot"], r["archive_id"], r["declared"], sizes[r["archive_id"]], "o")
-            for r in slotted.collect()]
-    assert dict(zip(got["archive_id"], got["k"])) == brute(rows, cap)
-    # every (slot, k) archive is one file holding its entries in packing order
-    for (slot, k), grp in got.groupby(["slot", "k"]):
-        assert grp["temp_path"].nunique() == 1
-        with zipfile.ZipFile(grp["temp_path"].iloc[0]) as z:
-            assert z.namelist() == [f"{a}.eml" for a in sorted(grp["archive_id"])]
-    assert os.path.isdir(out)
-
-
 def test_partition_export_packs_like_the_packer(spark, tmp_path):
     """Per-group archives of the job: as many, with the same entries, as next-fit packing per (group, slot) makes."""
     import zipfile

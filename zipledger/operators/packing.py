@@ -35,7 +35,7 @@ def assign_slots(claimed: DataFrame, slots: int, seq_col: str = "claim_seq", rul
     ``hash``: ``pmod(murmur3(archive_id), slots)``, which is the partition id of
     ``repartition(slots, "archive_id")``. Bodies repartitioned the same way are
     then co-located with their slot, so a join needs no further exchange and
-    packing and writing happen where the bodies already are (``sinks.archive.pack_and_write``).
+    packing and writing happen where the bodies already are (``sinks.zip_source.route_chunks``).
     """
     if rule == "hash":
         return claimed.withColumn("slot", F.pmod(F.hash("archive_id"), F.lit(slots)).cast("int"))

@@ -4,7 +4,7 @@ Stage boundaries that are written to storage (so every later step reads one
 fixed copy and a lost executor never re-runs a fetch or an archive write):
   * claim positions (the ordering checkpoint)
   * the fetch outcomes and bodies, when fetched (nondeterministic, costly)
-  * the per-entry archive rows (the archive writes happen exactly once)
+  * the per-entry archive lists (written by the tasks that wrote the archives, valid by the job's commit)
 The input must be a stable table (e.g. a committed snapshot); the output is
 always a new ledger version, never the input path. Bodies are shuffled once,
 into the task that packs and writes them (hash slot rule).
@@ -35,7 +35,9 @@ from ..session import qualified, staging_path
 from ..sinks import fs as fsx
 from ..sinks.archive import write_archives
 from ..sinks.audit import write_audit
-from ..sinks.ledger import committed_versions, read_ledger_snapshot, write_ledger_snapshot
+from ..sinks.zip_source import committed_archives, committed_entries, failed_entries, route_chunks, write_chunked_archives
+from ..sources.chunks import chunk_bodies, fetch_chunks, fetched_chunks, fetched_outcomes
+from ..sinks.ledger import committed_versions, last_archive, read_ledger_snapshot, write_ledger_snapshot
 from ..sources.fetch import fetch_content, resolve_content
 from ..sources.inventory import list_any
 from ..sources.manifest import duplicate_ids
@@ -57,11 +59,18 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False) -> int:
+PRUNE_BYTES = 64 << 20  # claimed ids up to this size are broadcast to prune a content table
+
+
+def resume_start(spark: SparkSession, job_dir: str, group_dirs: bool = False, ledger_root: str | None = None) -> int:
     """Highest existing archive index directly in the job directory (0 if none).
 
-    With per-group archive directories (``group_mode="partition"``) their
+    The job's last commit records it; names are listed only where there is no such record, or where an archive
+    that the record doesn't know follows it. With per-group archive directories (``group_mode="partition"``) their
     direct children are scanned too, so numbering never reuses an index."""
+    known = last_archive(ledger_root) if ledger_root and not group_dirs else None
+    if known is not None and not fsx.exists(fsx.join(job_dir, C.ARCHIVE_NAME_FORMAT % (known + 1))):
+        return known
     names = [(n,) for n in fsx.list_dir(job_dir)]
     if group_dirs:
         for sub in fsx.list_dir(job_dir, files=False, dirs=True):
@@ -107,7 +116,7 @@ def _begin_run(spark: SparkSession, job_dir: str, cfg: ExportConfig, ledger_root
             _record_run(intent, start, ledger_root)
             return start
         fsx.remove(intent)
-    start = resume_start(spark, job_dir, group_dirs=grouped)
+    start = resume_start(spark, job_dir, group_dirs=grouped, ledger_root=ledger_root)
     _record_run(intent, start, ledger_root)
     return start
 
@@ -121,54 +130,44 @@ def _end_run(job_dir: str) -> None:
     fsx.remove(fsx.join(job_dir, _INTENT))
 
 
-def scale_slots(meta: DataFrame, cfg: ExportConfig) -> ExportConfig:
+def scale_slots(total: int, cfg: ExportConfig) -> ExportConfig:
     """Without a slot count of the user's: enough slots that each holds at most
-    ``max_bytes_per_slot`` declared bytes (one aggregate). A given count is kept."""
+    ``max_bytes_per_slot`` of the ``total`` declared bytes. A given count is kept."""
     if cfg.zip_slots > 0 or not cfg.max_bytes_per_slot:
         return cfg
-    total = int(meta.agg(F.sum("declared").alias("b")).first()["b"] or 0)
     need = -(-total // int(cfg.max_bytes_per_slot))
     return dataclasses.replace(cfg, zip_slots=need) if need > cfg.slots else cfg
 
 
-def _fused_pack_write(spark, meta, bodies, cfg: ExportConfig, out_dir: str, start: int, stage: str):
-    """Hash slots: bodies shuffle once into the task that packs and writes them."""
-    from ..sinks.archive import discard_temp, finalize_archives, pack_and_write
-    rotate = cfg.group_mode == "rotate"
-    slotted = PK.assign_slots(meta, cfg.slots, rule="hash")
-    run_id = os.path.basename(stage)
-    written = pack_and_write(slotted, bodies, cfg.cap_bytes, out_dir, cfg.slots, rotate=rotate,
-                             group_col="org_id" if rotate else None, run_id=run_id)
-    written = _stage(written, os.path.join(stage, "written"))      # the writes happen exactly once
-    zip_failed = written.where(F.col("zip_error").isNotNull()).select(
-        "archive_id", failure_reason(F.lit("zip"), detail="zip_error").alias("error_log"))
-    written = written.where(F.col("zip_error").isNull())
-    numbered = PK.number_archives(written, ["slot"], start=start, staged=True)
-    # a deterministic view of the staged writes (slots never span tasks, so (slot, k) is one file)
-    numbered = numbered.withColumn("archive_dir", F.lit(cfg.job_id))
-    per_archive = numbered.groupBy("zip_idx", "temp_path", "archive_dir").agg(
-        F.count(F.lit(1)).alias("entries"), F.sum("actual").cast("long").alias("bytes"))
-    renamed = finalize_archives(per_archive, out_dir)
-    archives = _stage(renamed.join(per_archive.select("zip_idx", "entries", "bytes"), "zip_idx")
-                      .select("zip_idx", "archive_path", "entries", "bytes", "file_bytes"),
-                      os.path.join(stage, "archives"))
-    discard_temp(out_dir, run_id)
-    return numbered.withColumn("grp", F.col("archive_dir")), archives, zip_failed
+def _chunked_pack_write(spark, meta, chunks, cfg: ExportConfig, out_dir: str, start: int, stage: str):
+    """Hash slots: chunks of bodies go once to the task that packs and writes their slot; archives are numbered from the
+    tasks' commit messages."""
+    run, at = os.path.basename(stage), os.path.join(stage, "commit")
+    heads = meta.select("archive_id", "declared", F.col("org_id").alias("grp"))
+    write_chunked_archives(route_chunks(heads, chunks, cfg.slots, by_hash=True), out_dir, cfg.job_id, cfg.cap_bytes, run=run, start=start,
+                           rotate=cfg.group_mode == "rotate", at=at)
+    archives = committed_archives(spark, out_dir, run, at).select("zip_idx", "archive_path", "entries", "bytes", "file_bytes")
+    numbered = committed_entries(spark, out_dir, run, at).select("archive_id", "zip_idx", F.lit(cfg.job_id).alias("grp"))
+    zip_failed = failed_entries(spark, out_dir, run, at).select("archive_id", failure_reason(F.lit("zip"), detail="error").alias("error_log"))
+    return numbered, archives, zip_failed
 
 
 def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_dir: str, *,
-               fetcher_factory=None, content: DataFrame | None = None, now=None,
+               fetcher_factory=None, streamer_factory=None, content: DataFrame | None = None, now=None,
                max_batches: int | None = None, sleep=time.sleep, audit_dir: str | None = None,
                ledger_root: str | None = None, audit_run: str | None = None) -> ExportResult:
     """Run one export over ``ledger`` into ``out_dir/<job_id>``.
 
-    Bodies come from ``content`` (a table keyed by archive_id) or from
-    ``fetcher_factory`` (see ``sources.fetch``). ``max_batches`` processes only
+    Bodies come from ``content`` (a table keyed by archive_id), from ``streamer_factory`` (``sources.chunks``: block by block,
+    connections kept) or from ``fetcher_factory`` (``sources.fetch``: whole responses). ``max_batches`` processes only
     that many claim batches and leaves the next one claimed (PROCESSING), as an
     interrupted run would; a later run resets it and continues.
     """
-    if (content is None) == (fetcher_factory is None):
-        raise ValueError("give exactly one of content / fetcher_factory")
+    if sum(x is not None for x in (content, fetcher_factory, streamer_factory)) != 1:
+        raise ValueError("give exactly one of content / fetcher_factory / streamer_factory")
+    by_chunks = cfg.slot_rule == "hash" and cfg.group_mode != "partition"
+    if streamer_factory is not None and not by_chunks:
+        raise ValueError("a streamer needs the hash slot rule and no archives per group")
     out_dir = qualified(spark, out_dir)
     job_dir = os.path.join(out_dir, cfg.job_id)
     stage = staging_path(spark, f"export-{cfg.job_id}")
@@ -207,6 +206,10 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         present = content.select("archive_id").distinct().select("archive_id", F.lit(b"").alias("content"))
         fetched = resolve_content(valid, present, cfg.max_attempts).drop("content")
         bodies = content.select("archive_id", "content")
+    elif streamer_factory is not None:
+        blocks = _stage(fetch_chunks(valid, streamer_factory, cfg.max_attempts, concurrency=cfg.workers, sleep=sleep),
+                        os.path.join(stage, "fetched"))
+        fetched, bodies = fetched_outcomes(blocks), None
     else:
         # nondeterministic and costly: fetch exactly once, stage, read the copy everywhere
         fetched = _stage(fetch_content(valid, fetcher_factory, cfg.max_attempts, concurrency=cfg.workers,
@@ -218,8 +221,13 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
                         F.col("loc.org_id").alias("org_id")).join(
         fetched.where("fetch_ok").select("archive_id"), "archive_id", "left_semi")
     keys = PK.pack_keys(cfg.group_mode, "org_id")
-    cfg = scale_slots(meta, cfg)
-    if content is not None:
+    size = meta.agg(F.count(F.lit(1)).alias("n"), F.sum("declared").alias("b"), F.sum(F.octet_length("archive_id")).alias("ids")).first()
+    cfg = scale_slots(int(size["b"] or 0), cfg)
+    if content is not None and by_chunks:
+        # ids whose size is known to be small prune the bodies before they move; else unclaimed ones end at the writer
+        if int(size["ids"] or 0) + 64 * size["n"] <= PRUNE_BYTES:
+            bodies = bodies.join(F.broadcast(meta.select("archive_id")), "archive_id", "left_semi")
+    elif content is not None:
         # claimed bodies only, copies of one id collapsed (map-side first): one plan at every size
         bodies = bodies.join(meta.select("archive_id"), "archive_id", "left_semi").groupBy("archive_id").agg(
             F.max("content").alias("content"))
@@ -227,8 +235,9 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
     org = F.when(org.rlike(r"^\.*$|^ledger"), F.concat(F.lit("%"), org)).otherwise(org)
     job_dir_rel = F.lit(cfg.job_id) if cfg.group_mode != "partition" else F.concat(F.lit(cfg.job_id + "/"), org)
     # per-group archives are packed from metadata first, then bodies go to their archive's writer
-    if cfg.slot_rule == "hash" and cfg.group_mode != "partition":
-        numbered, archives, zip_failed = _fused_pack_write(spark, meta, bodies, cfg, out_dir, start, stage)
+    if by_chunks:
+        chunks = fetched_chunks(blocks) if streamer_factory is not None else chunk_bodies(bodies)
+        numbered, archives, zip_failed = _chunked_pack_write(spark, meta, chunks, cfg, out_dir, start, stage)
     else:
         ok = bodies.select("archive_id", F.octet_length("content").cast("long").alias("actual"))
         slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
@@ -260,7 +269,7 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
             L.failure_updates(outcome_reason(failed_fetch, cfg.max_attempts)))
         # per-record "current/total", counting from what was already completed (claim order)
         before = L.progress_stats(cur).first()
-        order = numbered.select("archive_id", F.col("claim_seq").alias("ts"))
+        order = numbered.select("archive_id").join(meta.select("archive_id", F.col("claim_seq").alias("ts")), "archive_id")
         progress = running_progress(order, before["completed"], before["total"]).select("archive_id", "progress")
         archived = entries.join(progress, "archive_id")
         n_archives = archives.count()
@@ -272,7 +281,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         ], "event string, detail string")   # a fixed handful of job-level rows
         write_audit(audit_events(failures=failures, archived=archived, general=general), audit_dir,
                     audit_run or f"{cfg.job_id}-{version}")
-    write_ledger_snapshot(final, ledger_root, version)
+    highest = archives.agg(F.max("zip_idx")).first()[0] or start
+    write_ledger_snapshot(final, ledger_root, version, last_archive=highest)
     final = read_ledger_snapshot(spark, ledger_root, version)
     _end_run(job_dir)
     if content is None:

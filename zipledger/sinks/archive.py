@@ -6,8 +6,7 @@ is written by exactly one task, entries in claim order, to a hidden temporary
 name that is atomically renamed when complete, so a retried or speculative task
 rewrites the same bytes under the same final name.
 
-``pack_and_write`` fuses packing and writing for hash slots (bodies shuffled
-once); ``finalize_archives`` renames its temporary files to numbered names.
+``sinks.zip_source`` packs and writes in one go, chunk by chunk, and numbers archives at the job's commit.
 """
 
 from __future__ import annotations
@@ -88,142 +87,11 @@ def write_archives(rows: DataFrame, out_dir: str, group_col: str = "grp", seq_co
     return parts.sortWithinPartitions("zip_idx", seq_col).mapInPandas(run, ARCHIVE_ROWS)
 
 
-PACKED_WRITE = T.StructType([
-    T.StructField("archive_id", T.StringType(), False),
-    T.StructField("slot", T.IntegerType(), False),
-    T.StructField("grp", T.StringType(), True),
-    T.StructField("claim_seq", T.LongType(), False),
-    T.StructField("actual", T.LongType(), False),
-    T.StructField("k", T.LongType(), False),
-    T.StructField("temp_path", T.StringType(), False),
-    T.StructField("zip_error", T.StringType(), True),
-])
-
-
-def pack_and_write(meta: DataFrame, bodies: DataFrame, cap_bytes: int, out_dir: str, slots: int,
-                   rotate: bool = False, group_col: str | None = None,
-                   compresslevel: int | None = None, run_id: str | None = None) -> DataFrame:
-    """Fused next-fit packing and archive writing; bodies are shuffled exactly once.
-
-    ``meta``: ``archive_id, slot, claim_seq, declared`` (+ group), slots from
-    ``assign_slots(rule="hash")``; ``bodies``: ``archive_id, content``. A body's
-    slot follows from its id alone, so both inputs are tagged with the slot,
-    unioned, and repartitioned by the id into ``slots`` partitions: Spark's hash
-    partition of the id is the slot, so each slot has a task of its own. Sorted by
-    (slot, archive_id, kind), every metadata row is directly followed by its
-    body, and the task packs and writes in one streaming pass (O(1) state per
-    slot, one open archive; ``rotate`` starts a new one when the group changes).
-    Entries go into hidden temporary files named by task attempt; the returned
-    rows (one per written entry) record which file holds each entry. Within a
-    slot, items are packed in archive_id order. Materialise the result exactly
-    once, then ``finalize_archives``.
-    """
-    from pyspark import TaskContext
-
-    from ..operators.packing import NextFit
-
-    g = [group_col] if group_col else []
-    m = meta.select("archive_id", "slot", "claim_seq", "declared", *g, F.lit(0).alias("_kind"),
-                    F.lit(None).cast("binary").alias("content"))
-    b = bodies.select("archive_id", F.pmod(F.hash("archive_id"), F.lit(slots)).cast("int").alias("slot"),
-                      F.lit(None).cast("long").alias("claim_seq"), F.lit(None).cast("long").alias("declared"),
-                      *[F.lit(None).cast("string").alias(c) for c in g], F.lit(1).alias("_kind"), "content")
-    src = m.unionByName(b).repartition(slots, "archive_id").sortWithinPartitions("slot", "archive_id", "_kind")
-    staging = temp_dir(out_dir, run_id or uuid.uuid4().hex)
-
-    def run(batches):
-        ctx = TaskContext.get()
-        tag = ctx.taskAttemptId()  # unique over stage attempts too
-        fsx.makedirs(staging)
-        fit = NextFit(cap_bytes, rotate)
-        open_zip = None       # (ZipFile, stream, path)
-        opened_count = 0
-        pending = None        # the metadata row waiting for its body
-        cur_slot = None
-
-        def close():
-            nonlocal open_zip
-            if open_zip is not None:
-                open_zip[0].close()
-                open_zip[1].close()
-                open_zip = None
-
-        for pdf in batches:
-            out = {f.name: [] for f in PACKED_WRITE.fields}
-            cols = [pdf[c].tolist() for c in ("archive_id", "slot", "claim_seq", "declared", "_kind", "content")]
-            grps = pdf[group_col].tolist() if group_col else [None] * len(pdf)
-            for aid, slot, seq, dec, kind, body, grp in zip(*cols, grps):
-                if slot != cur_slot:
-                    close()
-                    fit = NextFit(cap_bytes, rotate)
-                    cur_slot, pending = slot, None
-                if kind == 0:
-                    pending = (aid, seq, dec, grp)
-                    continue
-                if pending is None or pending[0] != aid:
-                    continue  # a body nobody claimed
-                _, seq, dec, grp = pending
-                pending = None
-                body = bytes(body) if body is not None else b""
-                k, opened = fit.step(slot, int(dec or 0), len(body), grp)
-                if opened:
-                    close()
-                    opened_count += 1
-                    path = fsx.join(staging, f".{tag}-{opened_count}.zip.tmp")
-                    stream = fsx.open_output(path)
-                    open_zip = (zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=compresslevel),
-                                stream, path)
-                zf, _, path = open_zip
-                error = None
-                try:
-                    zf.writestr(f"{aid}{C.ENTRY_SUFFIX}", body)
-                except Exception as e:  # noqa: BLE001 - one bad entry fails that record only
-                    error = str(e) or type(e).__name__
-                for name, v in (("archive_id", aid), ("slot", slot), ("grp", grp), ("claim_seq", seq),
-                                ("actual", len(body)), ("k", k), ("temp_path", path), ("zip_error", error)):
-                    out[name].append(v)
-            yield pd.DataFrame(out, columns=[f.name for f in PACKED_WRITE.fields])
-        close()
-
-    return src.mapInPandas(run, PACKED_WRITE)
-
-
 def temp_dir(out_dir: str, run_id: str) -> str:
-    """Where one run's unfinished archives live (hidden, removed by ``discard_temp``)."""
+    """Where one run's unfinished archives live (hidden; removed by the job's commit or abort, ``zip_source``)."""
     return fsx.join(out_dir, ".staging", run_id)
 
 
-def discard_temp(out_dir: str, run_id: str) -> None:
-    """Drop what failed or speculative task attempts left behind, once the run's
-    archives are final (every file still here belongs to no committed archive)."""
-    fsx.remove_tree(temp_dir(out_dir, run_id))
-
-
-def finalize_archives(archives: DataFrame, out_dir: str, dir_col: str = "archive_dir") -> DataFrame:
-    """Rename each archive's temporary file to ``<out_dir>/<dir>/emails_NNNN.zip``.
-
-    ``archives``: one row per archive with ``zip_idx, temp_path, <dir_col>``.
-    Idempotent: a rename already done is detected by the final file existing."""
-    base = out_dir
-
-    def run(batches):
-        for pdf in batches:
-            rel, size = [], []
-            for idx, tmp, d in zip(pdf["zip_idx"].tolist(), pdf["temp_path"].tolist(), pdf[dir_col].tolist()):
-                name = C.ARCHIVE_NAME_FORMAT % idx
-                final_dir = fsx.join(base, d)
-                fsx.makedirs(final_dir)
-                final = fsx.join(final_dir, name)
-                if fsx.exists(tmp):
-                    fsx.move(tmp, final)
-                rel.append(f"{d}/{name}")
-                size.append(fsx.size(final))
-            yield pd.DataFrame({"zip_idx": pdf["zip_idx"], "archive_path": rel, "file_bytes": size})
-
-    return archives.select("zip_idx", "temp_path", dir_col).mapInPandas(
-        run, "zip_idx long, archive_path string, file_bytes long")
-
-
 def read_archives(archives: DataFrame, out_dir: str) -> DataFrame:
     """Read archives back: (archive_path, archive_id, content_bytes, content_md5) for every entry of every archive. Bodies
     stream through their digest block by block, and rows are handed on in portions."""

@@ -26,7 +26,14 @@ def folded_batch(root: str, version: int) -> int:
     return json.loads(fsx.read_text(fsx.join(root, f"_committed_{version}")))["folded"]
 
 
-def write_ledger_snapshot(ledger: DataFrame, root: str, version: int | None = None, folded: int | None = None) -> int:
+def last_archive(root: str) -> int | None:
+    """The highest archive index that the newest committed version's run knew of (None: not recorded)."""
+    done = committed_versions(root)
+    return json.loads(fsx.read_text(fsx.join(root, f"_committed_{done[-1]}"))).get("last_archive") if done else None
+
+
+def write_ledger_snapshot(ledger: DataFrame, root: str, version: int | None = None, folded: int | None = None,
+                          last_archive: int | None = None) -> int:
     """Write ``ledger`` as the next (or given) version and mark it committed. Without ``folded``
     the version contains the update-log batches that its predecessor contains."""
     done = committed_versions(root)
@@ -37,7 +44,8 @@ def write_ledger_snapshot(ledger: DataFrame, root: str, version: int | None = No
         folded = folded_batch(root, before[-1]) if before else -1
     target = fsx.join(root, f"version={version}")
     ledger.write.mode("overwrite").parquet(target)
-    fsx.write_text(fsx.join(root, f"_committed_{version}"), json.dumps({"path": target, "folded": folded}))
+    fsx.write_text(fsx.join(root, f"_committed_{version}"), json.dumps(
+        {"path": target, "folded": folded, "last_archive": last_archive}))
     return version
 
 

@@ -1,12 +1,12 @@
 """ZIP archives as a Spark data source: ``df.write.format("zip_archives")``.
 
 Rows are headers (``chunk_no`` -1: an item's declared size and group) and chunks of bodies, sorted by ``slot, ord,
-archive_id, chunk_no`` with each slot in one task (``route_chunks``). A task packs next-fit and appends every chunk to the
+archive_id, copy, chunk_no`` with each slot in one task (``route_chunks``). A task packs next-fit and appends every chunk to the
 open entry as it comes, so it holds one chunk at a time, whatever the size of a body. It writes to files of its own
 under ``.staging/<run>`` and hands the driver one commit message: its archives (slot, ordinal, entries, bytes), never its rows.
 
-The job's commit numbers all archives slot by slot from the messages, writes the run's manifest ``_archives/<run>.json`` in
-one atomic step, gives the files their names and drops the staging folder, and with it whatever killed or repeated task
+The job's commit numbers all archives slot by slot from the messages, writes the run's manifest ``_archives/<run>.json`` (or
+another folder's, option ``manifests``) in one atomic step, gives the files their names and drops the staging folder, and with it whatever killed or repeated task
 attempts have left. The manifest is the commit: before it nothing is visible, after it ``finish_commits`` can give
 the names again. An aborted job leaves nothing. The driver holds one short record per archive (100 TB in 1 GB archives: 100,000).
 
@@ -16,6 +16,7 @@ Which entry lies where is written by the tasks as Parquet beside the archives an
 from __future__ import annotations
 
 import json
+import struct
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -32,8 +33,8 @@ from .. import constants as C
 from . import fs as fsx
 from .archive import ARCHIVE_ROWS, temp_dir
 
-CHUNK_ROWS = "slot int, ord long, archive_id string, chunk_no int, grp string, declared long, chunk binary"
-ENTRY_ROWS = "slot int, k long, archive_id string, bytes long"
+CHUNK_ROWS = "slot int, ord long, archive_id string, copy long, chunk_no int, grp string, declared long, chunk binary"
+ENTRY_ROWS = "slot int, k long, archive_id string, bytes long, error string"
 ENTRY_BATCH = 50_000
 
 
@@ -52,19 +53,20 @@ def route_chunks(meta: DataFrame, chunks: DataFrame, slots: int, by_hash: bool =
     if by_hash:
         slot = F.pmod(F.hash("archive_id"), F.lit(slots)).cast("int")
         meta = meta.select("archive_id", slot.alias("slot"), F.lit(0).cast("long").alias("ord"), grp.alias("grp"), "declared")
-        chunks = chunks.select("archive_id", "chunk_no", "chunk", slot.alias("slot"), F.lit(0).cast("long").alias("ord"))
+        chunks = chunks.select("archive_id", "copy", "chunk_no", "chunk", slot.alias("slot"), F.lit(0).cast("long").alias("ord"))
     else:
         meta = meta.select("archive_id", "slot", F.col("claim_seq").alias("ord"), grp.alias("grp"), "declared")
         chunks = chunks.join(meta.select("archive_id", "slot", "ord"), "archive_id")
-    heads = meta.select("slot", "ord", "archive_id", F.lit(-1).alias("chunk_no"), "grp", "declared", F.lit(None).cast("binary").alias("chunk"))
-    rows = heads.unionByName(chunks.select("slot", "ord", "archive_id", "chunk_no", F.lit(None).cast("string").alias("grp"),
+    heads = meta.select("slot", "ord", "archive_id", F.lit(None).cast("long").alias("copy"), F.lit(-1).alias("chunk_no"), "grp", "declared", F.lit(None).cast("binary").alias("chunk"))
+    rows = heads.unionByName(chunks.select("slot", "ord", "archive_id", "copy", "chunk_no", F.lit(None).cast("string").alias("grp"),
                                            F.lit(None).cast("long").alias("declared"), "chunk"))
     rows = rows.repartition(slots, "archive_id") if by_hash else rows.repartition(slots, "slot")
-    return rows.sortWithinPartitions("slot", "ord", "archive_id", "chunk_no")
+    return rows.sortWithinPartitions("slot", "ord", "archive_id", "copy", "chunk_no")
 
 
 class _Packer:
-    """Next-fit over headers and chunks; an item without a chunk gets no entry, a chunk without a header or a repeated one is skipped."""
+    """Next-fit over headers and chunks; an item without a chunk gets no entry, a chunk without a header, of a further copy or a repeated one is
+    skipped. An entry that can't be opened fails its item only; a failing write fails the task."""
 
     def __init__(self, staging: str, cap: int, rotate: bool, level: int | None):
         from ..operators.packing import NextFit
@@ -79,7 +81,7 @@ class _Packer:
         self.list_path, self.list_writer = None, None
         fsx.makedirs(staging)
 
-    def row(self, slot: int, archive_id: str, chunk_no: int, grp, declared, chunk) -> None:
+    def row(self, slot: int, archive_id: str, copy: int | None, chunk_no: int, grp, declared, chunk) -> None:
         if chunk_no < 0:
             if self.head is None or self.head[:2] != (slot, archive_id):
                 self.end_entry()
@@ -88,24 +90,33 @@ class _Packer:
         if self.head is None or self.head[:2] != (slot, archive_id) or chunk_no != self.next:
             return
         if chunk_no == 0:
-            self.begin_entry()
+            self.copy = copy
+            if not self.begin_entry():
+                self.next = -1  # no chunk of this item has that number
+                return
+        elif copy != self.copy:
+            return
         self.entry.write(chunk)
         self.fit.fill += len(chunk)
         self.size += len(chunk)
         self.next += 1
 
-    def begin_entry(self) -> None:
+    def begin_entry(self) -> bool:
         slot, archive_id, grp, declared = self.head
         k, opened = self.fit.step(slot, declared, 0, grp)
         if opened:
             self.end_archive()
-            self.path = fsx.join(self.staging, f"{self.tag}-{len(self.archives)}.zip")
+            self.path = fsx.join(self.staging, f"{self.tag}-{slot}-{k}.zip")
             self.key = (slot, k)
             self.stream = fsx.open_output(self.path)
             self.zip = zipfile.ZipFile(self.stream, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=self.level)
         info = zipfile.ZipInfo(f"{archive_id}{C.ENTRY_SUFFIX}")
         info.compress_type = zipfile.ZIP_DEFLATED
-        self.entry, self.size = self.zip.open(info, "w", force_zip64=True), 0
+        try:
+            self.entry, self.size = self.zip.open(info, "w", force_zip64=True), 0
+        except (ValueError, struct.error) as e:  # a name that ZIP can't hold
+            self.listed.append((*self.key, archive_id, None, str(e) or type(e).__name__))
+        return self.entry is not None
 
     def end_entry(self) -> None:
         if self.entry is None:
@@ -114,7 +125,7 @@ class _Packer:
         self.entry = None
         self.entries += 1
         self.bytes += self.size
-        self.listed.append((*self.key, self.head[1], self.size))
+        self.listed.append((*self.key, self.head[1], self.size, None))
         if len(self.listed) >= ENTRY_BATCH:
             self.write_list()
 
@@ -123,13 +134,16 @@ class _Packer:
         if self.zip is not None:
             self.zip.close()
             self.stream.close()
-            self.archives.append((*self.key, self.path, self.entries, self.bytes))
+            if self.entries:
+                self.archives.append((*self.key, self.path, self.entries, self.bytes))
+            else:
+                fsx.remove(self.path)
             self.zip = None
             self.entries = self.bytes = 0
 
     def write_list(self) -> None:
-        table = pa.table(dict(zip(("slot", "k", "archive_id", "bytes"), (
-            pa.array(c, t) for c, t in zip(zip(*self.listed, strict=True), (pa.int32(), pa.int64(), pa.string(), pa.int64()), strict=True)), strict=True)))
+        table = pa.table(dict(zip(("slot", "k", "archive_id", "bytes", "error"), (
+            pa.array(c, t) for c, t in zip(zip(*self.listed, strict=True), (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)), strict=True)))
         if self.list_writer is None:
             self.list_path = fsx.join(self.staging, f"{self.tag}.parquet")
             self.list_file = fsx.open_output(self.list_path)
@@ -159,12 +173,13 @@ class _Writer(DataSourceArrowWriter):
         self.cap, self.start = int(options["cap"]), int(options.get("start", 0))
         self.rotate = str(options.get("rotate", "false")).lower() == "true"
         self.level = int(options["level"]) if options.get("level") else None
+        self.at = options.get("manifests") or manifests(self.out)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         packer = _Packer(temp_dir(self.out, self.run), self.cap, self.rotate, self.level)
         try:
             for batch in iterator:
-                columns = [batch.column(c) for c in ("slot", "archive_id", "chunk_no", "grp", "declared", "chunk")]
+                columns = [batch.column(c) for c in ("slot", "archive_id", "copy", "chunk_no", "grp", "declared", "chunk")]
                 for i in range(len(batch)):
                     packer.row(*[c[i].as_py() for c in columns])
             return packer.close()
@@ -179,16 +194,17 @@ class _Writer(DataSourceArrowWriter):
                      "archive_path": f"{self.folder}/{C.ARCHIVE_NAME_FORMAT % (self.start + i)}", "file_bytes": fsx.size(temp)}
                     for i, (slot, k, temp, n, size) in enumerate(found, 1)]
         lists = [m.entries for m in made if m.entries]
-        if not fsx.create_exclusive(_manifest(self.out, self.run), json.dumps({"archives": archives, "lists": lists})):
+        if not fsx.create_exclusive(_manifest(self.at, self.run), json.dumps({"archives": archives, "lists": lists})):
             raise FileExistsError(f"run {self.run} is committed")
-        _give_names(self.out, self.run)
+        _give_names(self.out, self.run, self.at)
 
     def abort(self, messages) -> None:
         fsx.remove_tree(temp_dir(self.out, self.run))
 
 
 class ZipArchives(DataSource):
-    """Options: ``path``, ``folder`` (below it), ``run`` (unique), ``cap`` (bytes), ``start`` (the highest index in use), ``rotate``, ``level``."""
+    """Options: ``path``, ``folder`` (below it), ``run`` (unique), ``cap`` (bytes), ``start`` (the highest index in use), ``rotate``,
+    ``level``, ``manifests`` (folder)."""
 
     @classmethod
     def name(cls) -> str:
@@ -205,19 +221,23 @@ class ZipArchives(DataSource):
 
 # -- commits -------------------------------------------------------------------------------------
 
-def _manifest(out: str, run: str) -> str:
-    return fsx.join(out, "_archives", f"{run}.json")
+def manifests(out: str) -> str:
+    return fsx.join(out, "_archives")
+
+
+def _manifest(at: str, run: str) -> str:
+    return fsx.join(at, f"{run}.json")
 
 
-def _lists(out: str, run: str) -> str:
-    return fsx.join(out, "_archives", f"{run}-entries")
+def _lists(at: str, run: str) -> str:
+    return fsx.join(at, f"{run}-entries")
 
 
-def _give_names(out: str, run: str) -> None:
+def _give_names(out: str, run: str, at: str) -> None:
     """Move a committed run's files to their names; what is moved already is left."""
-    made = json.loads(fsx.read_text(_manifest(out, run)))
+    made = json.loads(fsx.read_text(_manifest(at, run)))
     moves = [(a["temp"], fsx.join(out, a["archive_path"])) for a in made["archives"]]
-    moves += [(p, fsx.join(_lists(out, run), p.rsplit("/", 1)[1])) for p in made["lists"]]
+    moves += [(p, fsx.join(_lists(at, run), p.rsplit("/", 1)[1])) for p in made["lists"]]
     for folder in {dst.rsplit("/", 1)[0] for _, dst in moves}:
         fsx.makedirs(folder)
 
@@ -231,7 +251,7 @@ def _give_names(out: str, run: str) -> None:
 
 
 def committed_runs(out: str) -> list[str]:
-    return [n.removesuffix(".json") for n in fsx.list_dir(fsx.join(out, "_archives")) if n.endswith(".json") and not n.startswith(".")]
+    return [n.removesuffix(".json") for n in fsx.list_dir(manifests(out)) if n.endswith(".json") and not n.startswith(".")]
 
 
 def finish_commits(out: str) -> list[str]:
@@ -240,7 +260,7 @@ def finish_commits(out: str) -> list[str]:
     left = fsx.list_dir(fsx.join(out, ".staging"), files=False, dirs=True)
     for run in left:
         if run in done:
-            _give_names(out, run)
+            _give_names(out, run, manifests(out))
         else:
             fsx.remove_tree(temp_dir(out, run))
     return [run for run in left if run in done]
@@ -248,34 +268,44 @@ def finish_commits(out: str) -> list[str]:
 
 def last_index(out: str, folder: str) -> int:
     """The highest archive index that committed runs gave in a folder: read from the manifests, no directory is listed."""
-    found = [a["zip_idx"] for run in committed_runs(out) for a in json.loads(fsx.read_text(_manifest(out, run)))["archives"][-1:]
+    found = [a["zip_idx"] for run in committed_runs(out) for a in json.loads(fsx.read_text(_manifest(manifests(out), run)))["archives"][-1:]
              if a["archive_path"].startswith(f"{folder}/")]
     return max(found, default=0)
 
 
 def write_chunked_archives(rows: DataFrame, out: str, folder: str, cap: int, run: str | None = None, start: int | None = None,
-                           rotate: bool = False, level: int | None = None) -> str:
+                           rotate: bool = False, level: int | None = None, at: str | None = None) -> str:
     """Write routed rows (``route_chunks``) as archives; returns the committed run's name."""
     run = run or uuid.uuid4().hex
     rows.sparkSession.dataSource.register(ZipArchives)
     w = rows.write.format("zip_archives").mode("append").option("path", out).option("folder", folder).option("run", run)
     w = w.option("cap", str(cap)).option("start", str(last_index(out, folder) if start is None else start)).option("rotate", str(rotate))
-    (w.option("level", str(level)) if level is not None else w).save()
+    for name, value in (("level", level), ("manifests", at)):
+        w = w.option(name, str(value)) if value is not None else w
+    w.save()
     return run
 
 
-def committed_archives(spark: SparkSession, out: str, run: str) -> DataFrame:
+def committed_archives(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
     """One row per archive of a committed run (also its slot and ordinal there)."""
-    made = json.loads(fsx.read_text(_manifest(out, run)))["archives"]
+    made = json.loads(fsx.read_text(_manifest(at or manifests(out), run)))["archives"]
     rows = [(a["zip_idx"], a["archive_path"], a["entries"], a["bytes"], a["file_bytes"], a["slot"], a["k"]) for a in made]
     return spark.createDataFrame(rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARCHIVE_ROWS) + ", slot int, k long")
 
 
-def committed_entries(spark: SparkSession, out: str, run: str) -> DataFrame:
+def _listed(spark: SparkSession, out: str, run: str, at: str | None) -> DataFrame:
+    at = at or manifests(out)
+    if not json.loads(fsx.read_text(_manifest(at, run)))["lists"]:
+        return spark.createDataFrame([], ENTRY_ROWS)
+    return spark.read.schema(ENTRY_ROWS).parquet(_lists(at, run))
+
+
+def committed_entries(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
     """(archive_id, bytes, zip_idx, archive_path) of every entry of a committed run."""
-    made = json.loads(fsx.read_text(_manifest(out, run)))
-    if not made["lists"]:
-        return spark.createDataFrame([], "archive_id string, bytes long, zip_idx long, archive_path string")
-    listed = spark.read.schema(ENTRY_ROWS).parquet(_lists(out, run))
-    at = committed_archives(spark, out, run).select("slot", "k", "zip_idx", "archive_path")
-    return listed.join(at, ["slot", "k"]).select("archive_id", "bytes", "zip_idx", "archive_path")
+    where = committed_archives(spark, out, run, at).select("slot", "k", "zip_idx", "archive_path")
+    return _listed(spark, out, run, at).where("error IS NULL").join(where, ["slot", "k"]).select("archive_id", "bytes", "zip_idx", "archive_path")
+
+
+def failed_entries(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
+    """(archive_id, error) of the items whose entry couldn't be made."""
+    return _listed(spark, out, run, at).where("error IS NOT NULL").select("archive_id", "error")

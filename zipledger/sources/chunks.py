@@ -1,4 +1,4 @@
-"""Bodies as chunk rows ``(archive_id, chunk_no, chunk)``, so that no body sits whole in Arrow or Python.
+"""Bodies as chunk rows ``(archive_id, copy, chunk_no, chunk)``, so that no body sits whole in Arrow or Python.
 
 ``chunk_bodies`` cuts the bodies of a content table inside Spark; ``fetch_chunks`` streams responses block by block
 from a server. Both go, staged, into ``sinks.zip_source``, which appends chunks to an open archive entry.
@@ -21,7 +21,6 @@ from .. import constants as C
 from .fetch import RequestBuildError
 
 CHUNK_BYTES = 4 << 20
-CHUNKS = "archive_id string, chunk_no int, chunk binary"
 FETCHED = ("archive_id string, attempt int, chunk_no int, chunk binary, fetch_ok boolean, attempts_used int, http_status int, "
            "fetch_error string, failure_kind string")
 
@@ -31,15 +30,12 @@ Streamer = Callable[[str, int], tuple]
 
 
 def chunk_bodies(content: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Chunk rows of a content table. A null body has none (a miss), an empty one has one empty chunk. Copies of one id come
-    out as copies of its chunks if they are equal; of different bodies for one id the one with the largest digest counts."""
-    rows = content.where(F.col("content").isNotNull()).select("archive_id", "content", F.sha2("content", 256).alias("digest"))
-    ids = rows.groupBy("archive_id").agg(F.max("digest").alias("digest"), F.min("digest").alias("other")) \
-        .where("digest <> other").select("archive_id", F.col("digest").alias("winner"))  # no body moves; differing copies are rare
-    rows = rows.join(ids, "archive_id", "left").where(F.col("winner").isNull() | (F.col("winner") == F.col("digest")))
+    """Chunk rows of a content table, cut in one pass. A null body has none (a miss), an empty one has one empty chunk. ``copy``
+    is the body's hash: of several bodies for one id the writer takes the one with the smallest and skips the rest."""
+    rows = content.where(F.col("content").isNotNull()).select("archive_id", "content", F.xxhash64("content").alias("copy"))
     last = F.greatest(F.ceil(F.octet_length("content") / F.lit(chunk_bytes)).cast("int"), F.lit(1)) - 1
-    cut = rows.select("archive_id", "content", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
-    return cut.select("archive_id", "chunk_no", F.substring(F.col("content"), F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("chunk"))
+    cut = rows.select("archive_id", "copy", "content", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
+    return cut.select("archive_id", "copy", "chunk_no", F.substring(F.col("content"), F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("chunk"))
 
 
 # -- streaming fetch -----------------------------------------------------------------------------
@@ -203,4 +199,5 @@ def fetched_outcomes(staged: DataFrame) -> DataFrame:
 def fetched_chunks(staged: DataFrame) -> DataFrame:
     """Chunk rows of the attempt that succeeded; what failed attempts left goes."""
     won = staged.where("chunk_no = -1 AND fetch_ok").select("archive_id", F.col("attempts_used").alias("attempt"))
-    return staged.where("chunk_no >= 0").join(won, ["archive_id", "attempt"], "left_semi").select("archive_id", "chunk_no", "chunk")
+    return staged.where("chunk_no >= 0").join(won, ["archive_id", "attempt"], "left_semi").select(
+        "archive_id", F.lit(0).cast("long").alias("copy"), "chunk_no", "chunk")
