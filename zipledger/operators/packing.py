@@ -44,6 +44,20 @@ def assign_slots(claimed: DataFrame, slots: int, seq_col: str = "claim_seq", rul
     return claimed.withColumn("slot", ((F.col(seq_col) - 1) % F.lit(slots)).cast("int"))
 
 
+def assign_slots_by_bytes(claimed: DataFrame, slots: int, seq_col: str = "claim_seq", declared: str = "declared") -> DataFrame:
+    """Slots as consecutive stretches of the claim order with equal shares of the declared bytes: no slot holds more than the
+    mean and one item. Stands in for workers that pull the next item whenever they are free, where ``round_robin`` gives every
+    slot as many items, however large. An item's slot follows from the bytes before it (a distributed running sum)."""
+    size = F.greatest(F.coalesce(F.col(declared), F.lit(0)), F.lit(0)).cast("long")
+    summed = with_global_rank(claimed, [F.col(seq_col)], "_upto", weight=size)
+    total = summed.agg(F.max("_upto").alias("t")).first()["t"] or 0
+    if not total:
+        return summed.drop("_upto").withColumn("slot", F.lit(0).cast("int"))
+    before = (F.col("_upto") - size).cast("decimal(38,0)")
+    slot = F.least(F.floor(before * F.lit(slots) / F.lit(total).cast("decimal(20,0)")), F.lit(slots - 1))
+    return summed.withColumn("slot", slot.cast("int")).drop("_upto")
+
+
 def pack_keys(mode: str, group_col: str | None) -> list[str]:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")

@@ -14,16 +14,19 @@ from pyspark.sql import functions as F
 
 import os
 
+from .. import constants as C
 from ..functions import archive_name, build_url, cap_bytes, format_size, parse_location, portal_link, slot_count
 from ..operators import attempts as AT
 from ..operators import ledger as L
 from ..operators import packing as PK
 from ..operators import progress as PR
+from ..operators.reconcile import archive_listing, reconcile
 from ..operators.report import audit_events, job_report, total_archive_size
 from ..operators.retention import apply_retention, empty_job_dirs, retention_plan, retention_summary
 from ..schema import ExportConfig, RetentionConfig
 from ..session import staging_path
 from ..sinks import bucketed as B
+from ..sinks import fs as fsx
 from ..sinks.archive import read_archives, write_archives
 from ..sinks.audit import read_audit, write_audit
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
@@ -35,6 +38,7 @@ from ..sources.inventory import list_files, snapshot
 from ..sources.manifest import conform_ledger
 from ..streaming.commit import commit_completions, compact
 from ..streaming.export_stream import read_stream_ledger, run_export_stream
+from ..streaming.ledger_changes import stream_ledger_changes
 from ..streaming.manifest_stream import run_available_now, stream_manifest
 from ..streaming.pack_state import stream_pack
 from . import params as P
@@ -192,6 +196,11 @@ def q_slot_assignment(spark, sf_dir):
     return PK.assign_slots(_claimed(spark, sf_dir), P.SLOTS).select("archive_id", "claim_seq", "slot")
 
 
+def q_slots_by_bytes(spark, sf_dir):
+    claimed = _claimed(spark, sf_dir).withColumn("declared", F.col("raw_eml_size"))
+    return PK.assign_slots_by_bytes(claimed, P.SLOTS).select("archive_id", "claim_seq", "slot")
+
+
 def q_pack_next_fit(spark, sf_dir):
     return PK.pack_next_fit(_pack_input(spark, sf_dir), _CAP, mode="slot")
 
@@ -400,6 +409,39 @@ def q_export_two_runs(spark, sf_dir):
     return B.read(spark, B.snapshot(root))
 
 
+def q_stream_ledger_changes(spark, sf_dir):
+    """A stream over four ledger versions, read at the first, third and fourth: how often each row became eligible. The versions: a
+    claim, then some failed rows requeued, then the claim given back."""
+    root = staging_path(spark, "changes")
+    B.create(_current(spark, sf_dir), root + "/ledger", P.LEDGER_BUCKETS)
+
+    def read():
+        run_available_now(stream_ledger_changes(spark, root + "/ledger").select("archive_id"), root + "/sink", root + "/checkpoint")
+
+    read()
+    B.claim(spark, root + "/ledger", "run", P.BATCH_SIZE, now=P.NOW)
+    failed = _manifest(spark, sf_dir).where("export_status = 'FAILED' AND cast(archive_id AS long) % 4 = 1")
+    B.upsert(spark, root + "/ledger", L.failure_updates(failed, status="PENDING"), now=P.NOW)
+    read()
+    B.release(spark, root + "/ledger", "run", now=P.NOW)
+    read()
+    return spark.read.parquet(root + "/sink").groupBy("archive_id").agg(F.count(F.lit(1)).alias("n_times"))
+
+
+def q_reconcile_archives(spark, sf_dir):
+    """A job's archives and ledger after damage: one archive lost, one copied, the rows of a third set back."""
+    out = staging_path(spark, "reconcile")
+    run = write_chunked_archives(route_chunks(*_chunk_meta(spark, sf_dir), P.SLOTS), out, P.JOB_ID, P.SINK_CAP_BYTES)
+    entries = committed_entries(spark, out, run)
+    done = L.completion_updates(entries.where(F.col("zip_idx") != P.SET_BACK))
+    at = lambda i: os.path.join(out, P.JOB_ID, C.ARCHIVE_NAME_FORMAT % i)
+    fsx.copy(at(P.COPIED), at(P.COPIED + 9000))
+    fsx.remove(at(P.LOST))
+    files = list_files(spark, os.path.join(out, P.JOB_ID)).where("path LIKE '%.zip'")
+    ledger = L.apply_updates(_current(spark, sf_dir).withColumn("export_status", F.lit("PENDING")), done, now=P.NOW)
+    return reconcile(ledger, archive_listing(files.repartition("path")))
+
+
 # ---- inventory, retention and report ---------------------------------------------------
 
 def _inventory(spark, sf_dir):

@@ -240,7 +240,8 @@ def run_export(spark: SparkSession, ledger: DataFrame, cfg: ExportConfig, out_di
         numbered, archives, zip_failed = _chunked_pack_write(spark, meta, chunks, cfg, out_dir, start, stage)
     else:
         ok = bodies.select("archive_id", F.octet_length("content").cast("long").alias("actual"))
-        slotted = PK.assign_slots(meta.join(ok, "archive_id"), cfg.slots)
+        items = meta.join(ok, "archive_id")
+        slotted = PK.assign_slots_by_bytes(items, cfg.slots) if cfg.slot_rule == "bytes" else PK.assign_slots(items, cfg.slots)
         packed = _stage(PK.pack_next_fit(slotted, cfg.cap_bytes, mode=cfg.group_mode, group_col="org_id"),
                         os.path.join(stage, "packed"))  # the sequential packer runs once
         numbered = PK.number_archives(packed, keys, start=start, staged=True)

@@ -367,6 +367,18 @@ from nb0 n join packin p using (archive_id) group by all"""
 select c.archive_id, cast(1 as bigint) as n_archives, cast(strlen(d.text) as bigint) as content_bytes, md5(d.text) as content_md5
 from c join ({CONTENT}) d using (archive_id) where {VALID.replace('archive_location', 'c.archive_location')}"""
     q["archive_commit"] = q["archive_sink"]
+    q["slots_by_bytes"] = _with(("c", CLAIMED)) + f"""
+select archive_id, claim_seq, cast(least((upto - raw_eml_size) * {P.SLOTS} // total, {P.SLOTS - 1}) as int) as slot
+from (select *, sum(raw_eml_size) over (order by claim_seq) as upto, sum(raw_eml_size) over () as total from c)"""
+    q["stream_ledger_changes"] = _with(("c", CLAIMED)) + f"""
+select u.archive_id, cast(count(claim_seq) + count(*) filter (claim_seq <= {P.BATCH_SIZE})
+  + count(*) filter (export_status = 'FAILED' and cast(u.archive_id as bigint) % 4 = 1) as bigint) as n_times
+from cur u left join c using (archive_id) group by u.archive_id having n_times > 0"""
+    q["reconcile_archives"] = _with(*sink, ("nb0", NUMBERED.replace(str(P.RESUME_START), "0")), recursive=True) + f"""
+select archive_id, case when idx = {P.SET_BACK} then 'PENDING' else 'COMPLETED' end as export_status,
+  cast(case idx when {P.LOST} then 0 when {P.COPIED} then 2 else 1 end as bigint) as n_archives,
+  case idx when {P.LOST} then 'missing' when {P.COPIED} then 'duplicate' when {P.SET_BACK} then 'orphan' else 'ok' end as finding
+from (select archive_id, off0 + k as idx from nb0)"""
     q["archive_chunks"] = f"select *, content_bytes as listed_bytes from ({q['export_roundtrip']})"
     q["resume_run"] = q["export_job"]
     q["export_job_fetch"] = _with(*att, ("e", f"select archive_id, {VALID} as valid from cur where {ELIGIBLE}"),

@@ -18,3 +18,4 @@ REPORT_JOB = "job7"
 LEDGER_BUCKETS = 16
 CLAIM_ROWS = 3000
 CHUNK_BYTES = 1024    # most bodies take several chunks
+LOST, COPIED, SET_BACK = 3, 5, 7  # archives of the reconciliation query

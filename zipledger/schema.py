@@ -76,6 +76,7 @@ class ExportConfig:
     group_mode: str = "slot"  # "slot" | "partition" | "rotate"
     # "hash": slots co-partitioned with bodies, packing fused with writing (bodies shuffle once)
     # "round_robin": slots by claim position, pack metadata first, then shuffle bodies to writers
+    # "bytes": slots as stretches of the claim order with equal declared bytes, packed like round_robin
     slot_rule: str = "hash"
     # without a slot count (zip_slots <= 0): slots grow so that no slot (one packing/writing
     # task) gets more declared bytes than this

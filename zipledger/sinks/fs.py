@@ -4,6 +4,7 @@ s3:// (s3a:// is mapped to s3://) through ``pyarrow.fs``."""
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
 
@@ -124,10 +125,42 @@ def remove_tree(path: str) -> None:
         pass
 
 
+class _Input(io.RawIOBase):
+    """A store's file as Python's own kind of stream: a seek before its start is an OSError, as ``zipfile`` expects."""
+
+    def __init__(self, file):
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self._file.read(len(buffer))
+        buffer[:len(data)] = data
+        return len(data)
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self._file.seek(offset, whence)
+        except ValueError as e:
+            raise OSError(str(e)) from e
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def close(self) -> None:
+        if not self.closed:
+            self._file.close()
+        super().close()
+
+
 def open_input(path: str):
-    """A seekable stream."""
+    """A seekable buffered stream."""
     fs, p = resolve(path)
-    return fs.open_input_file(p)
+    return io.BufferedReader(_Input(fs.open_input_file(p)), 64 << 10)
 
 
 def open_output(path: str):
@@ -135,6 +168,12 @@ def open_output(path: str):
     return fs.open_output_stream(p)
 
 
+def copy(src: str, dst: str) -> None:
+    fs, s = resolve(src)
+    _, d = resolve(dst)
+    fs.copy_file(s, d)
+
+
 def move(src: str, dst: str) -> None:
     fs, s = resolve(src)
     _, d = resolve(dst)
