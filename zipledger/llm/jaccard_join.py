@@ -322,10 +322,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = similar_components(docs, id_col, text_col, **how)
     gone = (found.where(~(F.col("doc").eqNullSafe(F.col("component")) & (F.col("text_key") == F.col("component_key"))))
             .select(id_column("doc").alias("_doc"), F.col("text_key").alias("_key")))
-    rows = docs.withColumns({"_doc": id_column(id_col), "_key": F.xxhash64(F.col(f"`{text_col}`"))}).join(gone, ["_doc", "_key"], "left_anti")
-    others = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_column(id_col).alias("_doc"),
+                       F.xxhash64(F.col(f"`{text_col}`")).alias("_key")).join(gone, ["_doc", "_key"], "left_anti")
+    others = [F.col("row").getField(f.name) for f in docs.schema if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
     same = Window.partitionBy("_doc", "_key").orderBy(*(others or [F.col("_key")]))
-    return rows.withColumn("_i", F.row_number().over(same)).where("_i = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.withColumn("_i", F.row_number().over(same)).where("_i = 1").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:

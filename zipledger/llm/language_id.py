@@ -122,9 +122,10 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
         return {"langs": [], "idf": None, "centres": None, "owner": None, "reach": {}}
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
     # a bounded sample per language: first the hash range that holds a little more than SAMPLE rows, then the cut
-    counts = rows.groupBy("lang").agg(F.count("lang").alias("n"))
+    # of distinct (id, text), so that repeated rows neither narrow the range nor fill the sample
+    counts = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("h").alias("n"))
     part = rows.join(F.broadcast(counts), "lang").where(  # one row per language
-        (F.col("h").bitwiseAND(F.lit((1 << 40) - 1))) <= (F.lit(float(1 << 40)) * F.least(F.lit(1.0), F.lit(SAMPLE * 1.3 + 100) / F.col("n"))))
+        (F.col("h").bitwiseAND(F.lit((1 << 40) - 1))) <= (F.lit(float(1 << 40)) * F.least(F.lit(1.0), F.lit(SAMPLE * 1.3 + 100) / F.col("n")))).dropDuplicates(["lang", "h"])
     in_lang = Window.partitionBy("lang").orderBy(F.col("h").bitwiseAND(F.lit((1 << 40) - 1)), "h", "text")
     sample = part.withColumn("i", F.row_number().over(in_lang)).where(F.col("i") <= SAMPLE).select("lang", "text")
 

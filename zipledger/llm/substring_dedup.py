@@ -223,16 +223,21 @@ def _segments(docs: pd.DataFrame, answers: pd.DataFrame, window: int, shards: in
     for s in np.flatnonzero(np.diff(b.borders)):
         cut = slice(b.borders[s], b.borders[s + 1])
         text = b.words[_ranges(b.u_at[cut], b.u_long[cut] + window - 1)]
-        out.append((int(s), int(docs["bucket"].iloc[0]), b.u_long[cut].astype(np.uint8).tobytes(), parts[cut].tobytes(),
+        out.append((int(s), int(docs["bucket"].iloc[0]), b.u_long[cut].astype(_size_type(window)).tobytes(), parts[cut].tobytes(),
                     _encode(b.ids[b.first[cut]]), _encode(text), None))
     bucket, none = int(docs["bucket"].iloc[0]), _encode(np.zeros(0, np.uint64))
     out.append((bucket % shards, bucket, b"", b"", none, none, np.packbits(flags).tobytes()))
     return pd.DataFrame(out, columns=["shard", "bucket", "sizes", "parts", "owners", "words", "flags"])
 
 
+def _size_type(window: int) -> np.dtype:
+    """The least unsigned type for a segment's number of windows, which is less than ``window``."""
+    return np.min_scalar_type(window)
+
+
 def _match(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     """For each window of each segment sent: the first document that has it, from the shard's automata."""
-    sizes = [np.frombuffer(x, np.uint8).astype(np.int64) for x in pdf["sizes"]]
+    sizes = [np.frombuffer(x, _size_type(window)).astype(np.int64) for x in pdf["sizes"]]
     rows = np.cumsum([s.sum() for s in sizes])
     sizes = np.concatenate(sizes)
     parts = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["parts"]])
