@@ -1,7 +1,11 @@
 """A training corpus from raw documents: language ID, line dedup, near-duplicate removal, decontamination, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in the shared
-folder and reads it back as the next stage's input. All stages but the last return the columns of ``docs``.
+folder and reads it back as the next stage's input. All stages but the last return the columns of ``docs``, whatever their names.
+
+Nulls: a null text has no language (the first stage rejects it), no line, no shingle and no token; a null id is an id like any
+other; null lang is filled in, null source is a source of its own. Repeated rows: one of an (id, text) is left by
+``near_duplicates``, the other stages treat them alike. Empty tables pass through every stage.
 """
 
 from __future__ import annotations
@@ -17,9 +21,17 @@ from zipledger.llm.line_dedup import dedup_lines
 from zipledger.llm.mixing import corpus_mix
 
 
+def _free(docs: DataFrame, name: str, prefix: str = "_") -> str:
+    """``name``, with ``prefix`` before it as often as it takes to meet no column of ``docs`` (in any letter case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = prefix + name
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go; a missing label is filled with the prediction."""
-    names = ("_lang_pred", "_lang_score", "_lang_rejected")
+    names = tuple(_free(docs, c) for c in ("_lang_pred", "_lang_score", "_lang_rejected"))
     found = predict(docs, fit(docs), names=names).where(f"not {names[2]}")
     return found.withColumn("lang", F.coalesce("lang", names[0])).select(docs.columns)
 
@@ -43,11 +55,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by target weights: one row per document and epoch, with ``domain``, ``n_tokens`` and ``epoch`` added."""
-    mix = corpus_mix(docs).select(F.col("doc").alias("_doc"), F.col("text_key").alias("_key"), "domain", "n_tokens", "epoch").alias("m")
-    rows = docs.drop("domain", "n_tokens", "epoch").alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("m._doc")) & (F.xxhash64("d.text") == F.col("m._key"))
-    return rows.join(mix, same).drop("_doc", "_key")
+    """Documents by target weights: one row per document and epoch, with ``domain``, ``n_tokens`` and ``epoch`` added (under names
+    with ``mix_`` before them where ``docs`` has such a column)."""
+    new = ("domain", "n_tokens", "epoch")
+    mix = corpus_mix(docs).select("doc", "text_key", *new).alias("m")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key")).alias("d")
+    same = F.col("d.id").eqNullSafe(F.col("m.doc")) & (F.col("d.key") == F.col("m.text_key"))
+    return rows.join(mix, same).select(*[F.col("d.row").getField(c).alias(c) for c in docs.columns], *[F.col(f"m.{c}").alias(_free(docs, c, "mix_")) for c in new])
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
