@@ -335,6 +335,16 @@ def q_export_roundtrip(spark, sf_dir):
         F.count("archive_path").alias("n_archives"), F.min("content_bytes").alias("content_bytes"), F.min("content_md5").alias("content_md5"))
 
 
+def q_export_by_org(spark, sf_dir):
+    """The job with a folder of archives per organisation, read back: where each exported body lies."""
+    out = staging_path(spark, "by_org")
+    res = run_export(spark, _manifest(spark, sf_dir), dataclasses.replace(_export_cfg(), group_mode="partition"), out,
+                     content=_content(spark, sf_dir), now=P.NOW)
+    back = read_archives(res.archives.repartition("archive_path"), out)
+    return back.withColumn("folder", F.regexp_extract("archive_path", "^(.*)/[^/]*$", 1)).groupBy("archive_id", "folder").agg(
+        F.count("archive_path").alias("n_archives"), F.min("content_bytes").alias("content_bytes"), F.min("content_md5").alias("content_md5"))
+
+
 def _no_sleep(seconds):
     return None
 

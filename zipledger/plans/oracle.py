@@ -366,6 +366,9 @@ from nb0 n join packin p using (archive_id) group by all"""
     q["export_roundtrip"] = _with(("c", CLAIMED)) + f"""
 select c.archive_id, cast(1 as bigint) as n_archives, cast(strlen(d.text) as bigint) as content_bytes, md5(d.text) as content_md5
 from c join ({CONTENT}) d using (archive_id) where {VALID.replace('archive_location', 'c.archive_location')}"""
+    q["export_by_org"] = _with(("c", CLAIMED)) + f"""
+select x.*, '{P.JOB_ID}/' || split_part(archive_location, ':', 2) as folder
+from ({q['export_roundtrip']}) x join c using (archive_id)"""
     q["archive_commit"] = q["archive_sink"]
     q["slots_by_bytes"] = _with(("c", CLAIMED)) + f"""
 select archive_id, claim_seq, cast(least((upto - raw_eml_size) * {P.SLOTS} // total, {P.SLOTS - 1}) as int) as slot
