@@ -400,6 +400,8 @@ def q_claim_two_runs(spark, sf_dir):
         base = B.snapshot(root)
         a, b = (B.claim(spark, root, run, P.BATCH_SIZE, now=P.NOW, base=base) for run in "AB")
         for run, mine in (("B", b), ("A", a)):  # B's claim knows A's; A's outcome meets B's commit
+            if not mine.path:
+                continue  # nothing was left for this run
             B.finish(spark, root, run, mine, L.completion_updates(mine.rows), now=P.NOW)
             got.append(mine.rows.select("archive_id", F.lit(run).alias("claimed_by")))
     owners = got[0]
