@@ -20,6 +20,7 @@ from ..operators import attempts as AT
 from ..operators import ledger as L
 from ..operators import packing as PK
 from ..operators import progress as PR
+from ..operators.block_packing import pack_next_fit_blocks
 from ..operators.reconcile import archive_listing, reconcile
 from ..operators.report import audit_events, job_report, total_archive_size
 from ..operators.retention import apply_retention, empty_job_dirs, retention_plan, retention_summary
@@ -205,6 +206,12 @@ def q_pack_next_fit(spark, sf_dir):
     return PK.pack_next_fit(_pack_input(spark, sf_dir), _CAP, mode="slot")
 
 
+def q_pack_one_slot(spark, sf_dir):
+    """All claimed rows in one slot, packed by blocks of the claim order."""
+    rows = _pack_input(spark, sf_dir).withColumn("slot", F.lit(0))
+    return pack_next_fit_blocks(rows, _CAP, block_rows=P.BLOCK_ROWS, fan_in=P.FAN_IN)
+
+
 def q_pack_by_org(spark, sf_dir):
     return PK.pack_next_fit(_pack_input(spark, sf_dir), _CAP, mode="partition", group_col="org_id")
 

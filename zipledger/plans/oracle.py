@@ -312,6 +312,9 @@ select archive_id, 'COMPLETED', null, 3 from d""")) + _apply("u")
     q["slot_assignment"] = _with(("c", CLAIMED)) + f"""
 select archive_id, claim_seq, cast((claim_seq - 1) % {P.SLOTS} as int) as slot from c"""
     q["pack_next_fit"] = _with(*_pack_ctes(["slot"], False), recursive=True) + PACKED_SELECT.format(extra="")
+    one = _pack_ctes(["slot"], False)
+    one[1] = ("packin", PACKIN.replace(f"(c.claim_seq - 1) % {P.SLOTS}", "0"))
+    q["pack_one_slot"] = _with(*one, recursive=True) + PACKED_SELECT.format(extra="")
     q["pack_by_org"] = _with(*_pack_ctes(["org_id", "slot"], False), recursive=True) \
         + PACKED_SELECT.format(extra=", p.org_id")
     q["pack_rotate_on_change"] = _with(*_pack_ctes(["slot"], True), recursive=True) \
