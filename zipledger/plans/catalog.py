@@ -42,6 +42,7 @@ from ..streaming.export_stream import read_stream_ledger, run_export_stream
 from ..streaming.ledger_changes import stream_ledger_changes
 from ..streaming.manifest_stream import run_available_now, stream_manifest
 from ..streaming.pack_state import stream_pack
+from ..streaming.timed_commit import commit_timed, drain, progress_now, stream_progress
 from . import params as P
 from .export import run_export
 from .retention import materialize_tree, run_retention
@@ -567,6 +568,33 @@ def q_stream_commit(spark, sf_dir):
     return read_ledger_snapshot(spark, root + "/ledger", compact(spark, root + "/ledger", root + "/log"))
 
 
+def _event_stream(spark, sf_dir, root):
+    """The completion events as a stream: a micro-batch for each of a few files."""
+    events = A.load_table(spark, sf_dir, "events")
+    events.repartition(STREAM_FILES).write.parquet(root + "/input")
+    return A.completions_from_events(stream_manifest(spark, root + "/input", events.schema))
+
+
+def q_stream_commit_timed(spark, sf_dir):
+    """Completion events committed in lots bounded by size and waiting time, then compacted."""
+    root = staging_path(spark, "stream_commit_timed")
+    write_ledger_snapshot(_current(spark, sf_dir), root + "/ledger", version=1)
+    q = commit_timed(spark, _event_stream(spark, sf_dir, root), root + "/log", root + "/checkpoint", now=P.NOW,
+                     batch_size=P.FLUSH_BATCH, interval_seconds=P.COMMIT_SECONDS, lanes=P.LANES)
+    drain(q, P.COMMIT_SECONDS)
+    return read_ledger_snapshot(spark, root + "/ledger", compact(spark, root + "/ledger", root + "/log"))
+
+
+def q_stream_progress(spark, sf_dir):
+    """Counts kept up from the update log while completion events are committed; the counts in the end."""
+    root = staging_path(spark, "stream_progress")
+    write_ledger_snapshot(_current(spark, sf_dir), root + "/ledger", version=1)
+    commit_completions(spark, _event_stream(spark, sf_dir, root), root + "/log", root + "/checkpoint-log", now=P.NOW)
+    stream_progress(spark, read_ledger_snapshot(spark, root + "/ledger", 1), root + "/log", root + "/progress",
+                    root + "/checkpoint", groups=P.LANES)
+    return progress_now(spark, root + "/progress")
+
+
 def q_stream_pack(spark, sf_dir):
     """Pack input written as claim-ordered files, streamed one file per trigger through
     the stateful packer: archives continue across micro-batches."""

@@ -447,6 +447,9 @@ from nb0"""
     q["audit_sink"] = q["audit_log"]
     q["stream_manifest"] = q["eligible_records"]
     q["stream_commit"] = q["mark_completed"]
+    q["stream_commit_timed"] = q["mark_completed"]
+    q["stream_progress"] = f"""select cast(count_if(export_status = 'COMPLETED') as bigint) as completed,
+  cast(count_if(export_status = 'FAILED') as bigint) as failed, cast(count(*) as bigint) as total from ({q["mark_completed"]})"""
     q["stream_pack"] = q["pack_next_fit"]
     q["export_stream"] = q["export_job"]
     return q

@@ -21,3 +21,5 @@ CHUNK_BYTES = 1024    # most bodies take several chunks
 LOST, COPIED, SET_BACK = 3, 5, 7  # archives of the reconciliation query
 BLOCK_ROWS = 500      # several blocks and rounds of the one-slot packer at sf0.01
 FAN_IN = 4
+LANES = 16            # of the timed commits and the status counts
+COMMIT_SECONDS = 3
