@@ -331,6 +331,19 @@ def test_elias_fano():
         assert (at == np.searchsorted(values, probes)).all()
 
 
+def test_contexts_are_told_apart_by_64_bits():
+    # contexts that share their low 32 bits keep their own successors
+    contexts = np.array([7, 7 + (1 << 32), 7 + (5 << 40)], np.uint64)
+    keys = np.array([0 << 32 | 3, 0 << 32 | 9, 1 << 32 | 3, 2 << 32 | 1], np.uint64)
+    level = ngram_lm.Level(ngram_lm.build_level(contexts, keys, np.array([2, 1, 5, 1])))
+    prob, backoff = level.query(np.array([7, 8, 7 + (1 << 32), 7 + (5 << 40)], np.uint64), np.array([3, 1, 2, 1]),
+                                np.array([3, 4, 9, 3, 3, 9, 3], np.uint32))
+    p = [(2 - .75) / 3, 0, .25 / 3, 0, (5 - .75) / 5, 0, 0]
+    assert prob.tolist() == ngram_lm.encode_prob(np.array(p)).tolist()
+    b = [2 * .75 / 3] * 3 + [1] + [.75 / 5] * 2 + [.75]
+    assert backoff.tolist() == ngram_lm.encode_prob(np.array(b)).tolist()
+
+
 def test_lm_scores(docs, empty):
     rows = _rows(docs)
     tokens = [[*_words(t, lower=True), None] for _, t in rows]
