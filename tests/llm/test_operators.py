@@ -279,6 +279,15 @@ def test_mix_takes_prefixes_of_epochs(docs, empty):
     assert mixing.corpus_mix(empty).count() == 0
 
 
+def test_mix_of_many_leaves_is_the_same(docs):
+    """Leaves beyond the broadcast bound: rows are dealt by salt, and the choice stays."""
+    levels = {"lang": F.col("lang"), "salt": F.col("source")}
+    few, many = (mixing.select_mix(docs, levels, {"lang": mixing.LANGUAGE_WEIGHTS}, F.expr("tokens * 3 div 5"), broadcast_leaves=n)
+                 for n in (mixing.BROADCAST_LEAVES, 0))
+    assert few.columns == many.columns and few.count() > 0
+    assert Counter(map(tuple, few.collect())) == Counter(map(tuple, many.collect()))
+
+
 # -- 8 ------------------------------------------------------------------------------------------
 
 def test_decontaminate(spark, docs, empty):

@@ -10,7 +10,9 @@ the md5 of (seed, epoch, id).
 
 Scale: the tree has one row per leaf. Documents are ordered by one distributed sort over all leaves with
 running totals (no window over a leaf), so a source with a third of all rows is spread over range
-partitions like any other rows; only ids, token counts and levels are sorted.
+partitions like any other rows; only ids, token counts and levels are sorted. Tables with one row a leaf are broadcast while
+their counted rows are at most ``broadcast_leaves``; beyond that each leaf's rows are dealt over ``SALTS`` tasks, so a hot leaf is
+split either way.
 
 Defined results: a token is a word (run of ``[^\\x20\\x09-\\x0D]``); documents without one are never selected; a null
 level value is the node ``(none)``; a weight not given is 1, a weight of 0 or less selects nothing and adds
@@ -79,8 +81,23 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, i
     return caps.join(parents, path).select(*levels, "tokens", F.col("budget").alias("alloc"))
 
 
+BROADCAST_LEAVES = 100_000
+SALTS = 64
+
+
+def _with_leaf(rows: DataFrame, leaf: DataFrame, names: list[str], few: bool) -> DataFrame:
+    """``rows`` with the columns of ``leaf`` (one row a leaf); ``few``: its size is known to be within the broadcast bound."""
+    if few:
+        return rows.join(F.broadcast(leaf), names)
+    salt = "salt"
+    while salt in rows.columns + leaf.columns:
+        salt += "_"
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64("doc", "text_key"), F.lit(SALTS)).cast("int"))
+    return dealt.join(leaf.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*names, salt]).drop(salt)
+
+
 def select_mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], budget: Column | int, max_epochs: int = 2,
-               seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               seed: int = 7, id_col: str = "doc_id", text_col: str = "text", broadcast_leaves: int = BROADCAST_LEAVES) -> DataFrame:
     """(doc, text_key, <levels>, n_tokens, epoch): one row per document and epoch that takes it. ``budget`` is a number of
     tokens or a Column over ``tokens`` (all tokens there are)."""
     names = list(levels)
@@ -90,14 +107,15 @@ def select_mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, di
     leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
     plan = stage(budgets(leaves, names, weights, budget, max_epochs).where("alloc > 0").select(
         *names, F.expr("alloc div tokens").cast("int").alias("full"), (F.col("alloc") % F.col("tokens")).alias("rest")), "mix-plan")
-    planned = rows.join(plan, names)
+    few = plan.count() <= broadcast_leaves
+    planned = _with_leaf(rows, plan, names, few)
     cols = ["doc", "text_key", *names, "n_tokens"]
     whole = planned.where("full > 0").select(*cols, F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("epoch"))
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("full"), F.coalesce(F.col("doc").cast("string"), F.lit("null"))))
     part = planned.where("rest > 0").select(*cols, "full", "rest", key.alias("order_key"))
     part = with_global_rank(part, [F.col(c) for c in (*names, "order_key", "doc", "n_tokens", "text_key")], "running", weight=F.col("n_tokens"))
     base = part.groupBy(*names).agg(F.min(F.col("running") - F.col("n_tokens")).alias("base"))
-    prefix = part.join(base, names).where(F.col("running") - F.col("base") <= F.col("rest")).select(*cols, F.col("full").alias("epoch"))
+    prefix = _with_leaf(part, base, names, few).where(F.col("running") - F.col("base") <= F.col("rest")).select(*cols, F.col("full").alias("epoch"))
     return whole.union(prefix)
 
 
