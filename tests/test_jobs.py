@@ -215,6 +215,21 @@ def test_export_stream_numbers_across_batches(spark):
     assert key(ledger) == key(one)
 
 
+def test_export_stream_in_a_session_that_wrote_no_archive_before(spark, monkeypatch):
+    """The ZIP format is known to the stream's session although nothing registered its name earlier."""
+    from zipledger.sinks.zip_source import ZipArchives
+    from zipledger.sources.manifest import conform_ledger
+    from zipledger.streaming.export_stream import read_stream_ledger, run_export_stream
+    monkeypatch.setattr(ZipArchives, "name", classmethod(lambda cls: "zip_archives_not_registered_yet"))
+    m, c = _inputs(spark)
+    d = tempfile.mkdtemp()
+    conform_ledger(m).coalesce(1).write.parquet(d + "/in")
+    run_export_stream(spark, d + "/in", ExportConfig(job_id="s", max_zip_mb=1), d + "/out", d + "/ck", content=c,
+                      now="2026-01-01 00:00:00")
+    assert read_stream_ledger(spark, d + "/out", "s").count() == m.count()
+    assert any(f.endswith(".zip") for f in os.listdir(d + "/out/s"))
+
+
 def test_retention_cleans_an_old_export(spark):
     """Archives and the ledger snapshots of an old export are deleted and its job dir removed."""
     from zipledger.plans.retention import run_retention

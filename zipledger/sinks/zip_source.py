@@ -278,7 +278,7 @@ def write_chunked_archives(rows: DataFrame, out: str, folder: str, cap: int, run
     """Write routed rows (``route_chunks``) as archives; returns the committed run's name."""
     run = run or uuid.uuid4().hex
     rows.sparkSession.dataSource.register(ZipArchives)
-    w = rows.write.format("zip_archives").mode("append").option("path", out).option("folder", folder).option("run", run)
+    w = rows.write.format(ZipArchives.name()).mode("append").option("path", out).option("folder", folder).option("run", run)
     w = w.option("cap", str(cap)).option("start", str(last_index(out, folder) if start is None else start)).option("rotate", str(rotate))
     for name, value in (("level", level), ("manifests", at)):
         w = w.option(name, str(value)) if value is not None else w

@@ -20,6 +20,7 @@ from ..schema import LEDGER, ExportConfig
 from ..session import qualified, staging_path
 from ..sinks import fs as fsx
 from ..sinks.ledger import committed_versions
+from ..sinks.zip_source import ZipArchives
 from ..sources.inventory import list_any
 from .manifest_stream import stream_manifest
 
@@ -43,6 +44,8 @@ def run_export_stream(spark: SparkSession, source: str, cfg: ExportConfig, out_d
                    ledger_root=os.path.join(ledger_dir, f"batch_id={batch_id}"),
                    audit_dir=audit_dir, audit_run=f"{cfg.job_id}-batch-{batch_id}")
 
+    # a stream runs in a copy of the session made at its start, and Spark looks formats up in that copy
+    spark.dataSource.register(ZipArchives)
     rows = stream_manifest(spark, source, LEDGER, max_files_per_trigger)
     w = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(export_batch)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")).start()
