@@ -284,3 +284,34 @@ def test_export_by_chunks_and_numbers_from_the_record(spark, tmp_path, monkeypat
 
 
 _LIST = fsx.list_dir
+
+
+def test_reading_back_is_dealt_over_tasks(spark, tmp_path):
+    """A short list of names doesn't put all archives into one task."""
+    names = [(f"a{i}.zip",) for i in range(40)]
+    for (n,) in names:
+        with zipfile.ZipFile(tmp_path / n, "w") as z:
+            z.writestr(n + ".eml", n)
+    back = read_archives(spark.createDataFrame(names, "archive_path string").repartition("archive_path"), str(tmp_path))
+    back = back.select("archive_path", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.archive_path for r in back) == sorted(n for n, in names)
+    assert len({r.task for r in back}) > 1
+
+
+def test_names_are_given_once_and_a_missing_folder_is_an_error(tmp_path):
+    (tmp_path / "a").write_text("a")
+    pairs = [(str(tmp_path / "a"), str(tmp_path / "b")), (str(tmp_path / "moved"), str(tmp_path / "c"))]
+    fsx.move_left(pairs)
+    fsx.move_left(pairs)
+    assert (tmp_path / "b").read_text() == "a" and not (tmp_path / "c").exists()
+    with pytest.raises(FileNotFoundError):
+        fsx.move_left([(str(tmp_path / "b"), str(tmp_path / "none" / "b"))])
+
+
+def test_sizes_of_archives_come_from_the_tasks(tmp_path):
+    packer = Z._Packer(str(tmp_path), 1 << 20, False, None)
+    packer.row(0, "1", None, -1, None, 5, None)
+    packer.row(0, "1", 7, 0, None, None, b"hello")
+    written = packer.close()
+    (slot, k, path, n, size), = written.archives
+    assert (n, size, written.sizes) == (1, 5, [os.path.getsize(path)])

@@ -94,7 +94,8 @@ def temp_dir(out_dir: str, run_id: str) -> str:
 
 def read_archives(archives: DataFrame, out_dir: str) -> DataFrame:
     """Read archives back: (archive_path, archive_id, content_bytes, content_md5) for every entry of every archive. Bodies
-    stream through their digest block by block, and rows are handed on in portions."""
+    stream through their digest block by block, and rows are handed on in portions. The archives are dealt over
+    ``spark.sql.shuffle.partitions`` tasks: a list of names is small, whatever the archives weigh."""
     base = out_dir
     names = ["archive_path", "archive_id", "content_bytes", "content_md5"]
 
@@ -116,4 +117,6 @@ def read_archives(archives: DataFrame, out_dir: str) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    return archives.select("archive_path").mapInPandas(run, "archive_path string, archive_id string, content_bytes long, content_md5 string")
+    spark = archives.sparkSession
+    dealt = archives.select("archive_path").repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "archive_path")
+    return dealt.mapInPandas(run, "archive_path string, archive_id string, content_bytes long, content_md5 string")

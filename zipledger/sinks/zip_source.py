@@ -36,12 +36,14 @@ from .archive import ARCHIVE_ROWS, temp_dir
 CHUNK_ROWS = "slot int, ord long, archive_id string, copy long, chunk_no int, grp string, declared long, chunk binary"
 ENTRY_ROWS = "slot int, k long, archive_id string, bytes long, error string"
 ENTRY_BATCH = 50_000
+MOVES = 64     # files that a thread of the commit names in one go
 
 
 @dataclass
 class Written(WriterCommitMessage):
     archives: list[tuple]      # (slot, k, temporary path, entries, bytes)
     entries: str | None        # the task's entry list
+    sizes: list[int]           # of the archives' files
 
 
 def route_chunks(meta: DataFrame, chunks: DataFrame, slots: int, by_hash: bool = False) -> DataFrame:
@@ -74,6 +76,7 @@ class _Packer:
         self.staging, self.tag, self.level = staging, uuid.uuid4().hex, level
         self.fit = NextFit(cap, rotate)
         self.archives: list[tuple] = []
+        self.sizes: list[int] = []
         self.zip = self.stream = self.entry = self.path = self.head = None
         self.entries = self.bytes = self.size = 0
         self.next = 0
@@ -133,9 +136,11 @@ class _Packer:
         self.end_entry()
         if self.zip is not None:
             self.zip.close()
+            file_bytes = self.stream.tell()
             self.stream.close()
             if self.entries:
                 self.archives.append((*self.key, self.path, self.entries, self.bytes))
+                self.sizes.append(file_bytes)
             else:
                 fsx.remove(self.path)
             self.zip = None
@@ -164,7 +169,7 @@ class _Packer:
         if self.list_writer is not None:
             self.list_writer.close()
             self.list_file.close()
-        return Written(self.archives, self.list_path)
+        return Written(self.archives, self.list_path, self.sizes)
 
 
 class _Writer(DataSourceArrowWriter):
@@ -179,9 +184,10 @@ class _Writer(DataSourceArrowWriter):
         packer = _Packer(temp_dir(self.out, self.run), self.cap, self.rotate, self.level)
         try:
             for batch in iterator:
-                columns = [batch.column(c) for c in ("slot", "archive_id", "copy", "chunk_no", "grp", "declared", "chunk")]
-                for i in range(len(batch)):
-                    packer.row(*[c[i].as_py() for c in columns])
+                narrow = [batch.column(c).to_pylist() for c in ("slot", "archive_id", "copy", "chunk_no", "grp", "declared")]
+                chunks = batch.column("chunk")   # one at a time
+                for i, row in enumerate(zip(*narrow, strict=True)):
+                    packer.row(*row, chunks[i].as_py() if row[3] >= 0 else None)
             return packer.close()
         except BaseException:  # also when the job is aborted under a task that still runs
             packer.discard()
@@ -189,10 +195,10 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         made = [m for m in messages if m is not None]
-        found = sorted(a for m in made for a in m.archives)
+        found = sorted((*a, size) for m in made for a, size in zip(m.archives, m.sizes, strict=True))
         archives = [{"zip_idx": self.start + i, "slot": slot, "k": k, "temp": temp, "entries": n, "bytes": size,
-                     "archive_path": f"{self.folder}/{C.ARCHIVE_NAME_FORMAT % (self.start + i)}", "file_bytes": fsx.size(temp)}
-                    for i, (slot, k, temp, n, size) in enumerate(found, 1)]
+                     "archive_path": f"{self.folder}/{C.ARCHIVE_NAME_FORMAT % (self.start + i)}", "file_bytes": file_bytes}
+                    for i, (slot, k, temp, n, size, file_bytes) in enumerate(found, 1)]
         lists = [m.entries for m in made if m.entries]
         if not fsx.create_exclusive(_manifest(self.at, self.run), json.dumps({"archives": archives, "lists": lists})):
             raise FileExistsError(f"run {self.run} is committed")
@@ -241,12 +247,9 @@ def _give_names(out: str, run: str, at: str) -> None:
     for folder in {dst.rsplit("/", 1)[0] for _, dst in moves}:
         fsx.makedirs(folder)
 
-    def move(pair: tuple[str, str]) -> None:
-        if fsx.exists(pair[0]):
-            fsx.move(*pair)
-
+    lots = [moves[i:i + MOVES] for i in range(0, len(moves), MOVES)]
     with ThreadPoolExecutor(32) as pool:
-        list(pool.map(move, moves))
+        list(pool.map(fsx.move_left, lots))
     fsx.remove_tree(temp_dir(out, run))
 
 
@@ -289,8 +292,12 @@ def write_chunked_archives(rows: DataFrame, out: str, folder: str, cap: int, run
 def committed_archives(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
     """One row per archive of a committed run (also its slot and ordinal there)."""
     made = json.loads(fsx.read_text(_manifest(at or manifests(out), run)))["archives"]
-    rows = [(a["zip_idx"], a["archive_path"], a["entries"], a["bytes"], a["file_bytes"], a["slot"], a["k"]) for a in made]
-    return spark.createDataFrame(rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARCHIVE_ROWS) + ", slot int, k long")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARCHIVE_ROWS) + ", slot int, k long"
+    if not made:
+        return spark.createDataFrame([], schema)
+    names = ("zip_idx", "archive_path", "entries", "bytes", "file_bytes", "slot", "k")
+    types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+    return spark.createDataFrame(pa.table({n: pa.array([a[n] for a in made], t) for n, t in zip(names, types, strict=True)}), schema)
 
 
 def _listed(spark: SparkSession, out: str, run: str, at: str | None) -> DataFrame:
