@@ -92,3 +92,18 @@ def test_progress_equals_ledger_after_every_batch(spark, tmp_path):
         assert TC.progress_now(spark, root).first() == want
         assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [sizes[b]]   # its own rows only
     assert json.loads((tmp_path / "progress" / "start").read_text()) == L.progress_stats(base).first().asDict()
+
+
+def test_groups_grow_with_the_ledger(spark, tmp_path, monkeypatch):
+    """No group holds more than some ids, whatever ``groups`` says, and a later start keeps the number."""
+    monkeypatch.setattr(TC, "GROUP_IDS", 10)
+    log, root, at = (str(tmp_path / x) for x in ("log", "progress", "cp"))
+    base = spark.createDataFrame([(f"i{i}", None, "l", 1, "PENDING", None, None, 0) for i in range(400)], LEDGER)
+    for b, given in enumerate((2, 3)):
+        ups = [(f"i{i}", "COMPLETED", None, b, None) for i in range(b * 100, b * 100 + 150)]
+        spark.createDataFrame(ups, LOG_SCHEMA).coalesce(1).write.parquet(f"{log}/batch_id={b}")
+        q = TC.stream_progress(spark, base, log, root, at, groups=given)
+        assert TC.progress_now(spark, root).first() == (150 + 100 * b, 0, 400)
+        assert json.loads((tmp_path / "progress" / "groups").read_text()) == 40
+    held = sum(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress[-1:])
+    assert held > 2 * 2   # one value a group; with the two groups asked for there would be two

@@ -153,6 +153,7 @@ def drain(query: StreamingQuery, interval_seconds: float, timeout_seconds: float
 
 # ---- progress while running --------------------------------------------------------------
 
+GROUP_IDS = 2_000   # ids that a group has on average, at most
 _STATUSES = T.StructType([T.StructField("statuses", T.StringType())])
 _CHANGE = T.StructType([T.StructField("completed", T.LongType()), T.StructField("failed", T.LongType())])
 
@@ -193,14 +194,19 @@ class StatusCounts(StatefulProcessor):
 def stream_progress(spark: SparkSession, base: DataFrame, log_root: str, progress_root: str, checkpoint: str,
                     groups: int = 1024, available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Follow the update log and keep (completed, failed, total) under ``progress_root``: one small record a micro-batch, the
-    counts after it. ``base`` is the ledger the log started from; it is read once, when the checkpoint is new. ``groups`` is a
-    constant of a checkpoint: choose it so that a group has some thousand ids at most. Ids must be there; updates of ids
+    counts after it. ``base`` is the ledger the log started from; it is read once, when the checkpoint is new. There are
+    ``groups`` groups of ids, or more where the ledger has more than ``GROUP_IDS`` ids for each: their number is settled
+    when the checkpoint is new and recorded beside the counts. Ids must be there; updates of ids
     that the ledger doesn't have count nothing; of one id's updates the highest (seq, status) counts, as in ``apply_updates``."""
     _state_store(spark)
-    group = F.pmod(F.xxhash64("archive_id"), F.lit(groups)).alias("lane")
     if not fsx.exists(fsx.join(progress_root, "start")):
         fsx.makedirs(progress_root)
-        fsx.write_text(fsx.join(progress_root, "start"), json.dumps(progress_stats(base).first().asDict()))
+        counts = progress_stats(base).first().asDict()
+        fsx.write_text(fsx.join(progress_root, "groups"), json.dumps(max(groups, -(-counts["total"] // GROUP_IDS))))
+        fsx.write_text(fsx.join(progress_root, "start"), json.dumps(counts))
+    if fsx.exists(fsx.join(progress_root, "groups")):   # else a checkpoint from before it was recorded
+        groups = json.loads(fsx.read_text(fsx.join(progress_root, "groups")))
+    group = F.pmod(F.xxhash64("archive_id"), F.lit(groups)).alias("lane")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         change = batch.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("completed", "failed")]).first()
