@@ -212,3 +212,22 @@ def test_resolve_content_collapses_copies(spark):
                                     "archive_id string, content binary")
     out = resolve_content(df, content).collect()
     assert sorted((r["archive_id"], bytes(r["content"])) for r in out) == [("a", b"xyz"), ("b", b"q")]
+
+
+def test_tree_writer_makes_a_folder_once(tmp_path, monkeypatch):
+    import pandas as pd
+
+    from zipledger.plans import retention
+    calls, make = [], os.makedirs
+    monkeypatch.setattr(os, "makedirs", lambda d, exist_ok=False: (calls.append(d), make(d, exist_ok=exist_ok)))
+    paths = [f"/j{i % 2}/f{i}" for i in range(20)]
+    naive = pd.DataFrame({"path": paths, "length": [i if i else None for i in range(20)], "mtime": pd.Timestamp("2024-01-02 03:04:05.000007")})
+    aware = naive.assign(path=naive["path"] + "x", mtime=pd.Timestamp("2024-01-02 05:04:05.000007", tz="Europe/Helsinki"))
+    got = [p for frame in retention.tree_writer(str(tmp_path), "mtime")(iter([naive, aware])) for p in frame["path"]]
+    assert got == [str(tmp_path) + p for p in paths] + [str(tmp_path) + p + "x" for p in paths]
+    assert sorted(calls) == [str(tmp_path / "j0"), str(tmp_path / "j1")]
+    at = pd.Timestamp("2024-01-02 03:04:05.000007").value
+    for i, p in enumerate(paths):
+        for q in (p, p + "x"):
+            st = os.stat(str(tmp_path) + q)
+            assert (st.st_size, st.st_mtime_ns) == (i, at)
