@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+import mmap
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -384,6 +386,94 @@ def test_lm_scores(docs, empty):
     assert {r.train_tokens for r in alone} == {0} and {r.n_known for r in alone} == {0}
 
 
+def test_packed_level_equals_sorted_search():
+    # low bits take their width, nothing is unpacked on opening, and a mapped level answers as its buffers do
+    rng = np.random.default_rng(5)
+    for n, universe in ((3000, 1 << 40), (3000, 3100), (3000, 1 << 64), (2, 1 << 64)):
+        values = np.unique(rng.integers(0, universe - 1, n, dtype=np.uint64, endpoint=True))
+        coded = ngram_lm.EliasFano.encode(values, universe)
+        _, width, low, high, _ = coded
+        assert len(low) <= len(values) * width / 8 + 16 and len(high) <= len(values) * 3 / 8 + 16
+        ef = ngram_lm.EliasFano(*coded)
+        assert (ef.get(np.arange(len(values))) == values).all()
+        probes = np.concatenate([values, rng.integers(0, universe - 1, 500, dtype=np.uint64, endpoint=True)])
+        at, same = ef.locate(probes)
+        assert (at == np.searchsorted(values, probes)).all() and (same == np.isin(probes, values)).all()
+    contexts = np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64))
+    grams = [(r, int(w)) for r in range(len(contexts)) for w in sorted({*rng.integers(0, 1 << 32, r % 7 + 1).tolist()})]
+    counts = rng.integers(1, 9, len(grams))
+    built = ngram_lm.build_level(contexts, np.array([r << 32 | w for r, w in grams], np.uint64), counts)
+    mapped = ngram_lm.map_level(built)
+    assert isinstance(mapped["successors"][2], memoryview) and isinstance(mapped["successors"][2].obj, mmap.mmap)
+    fan, words = np.full(len(contexts), 2), np.array([x for r in range(len(contexts)) for x in (next(w for c, w in grams if c == r), 5)], np.uint64)
+    total, size = Counter(), Counter()
+    for (r, _), c in zip(grams, counts.tolist(), strict=True):
+        total[r] += c
+        size[r] += 1
+    first = {r: c for (r, _), c in reversed(list(zip(grams, counts.tolist(), strict=True)))}
+    prob = [x for r in range(len(contexts)) for x in ((first[r] - .75) / total[r], 0)]
+    for level in (built, mapped):
+        got = ngram_lm.Level(level).query(contexts, fan, words)
+        assert got[0].tolist() == ngram_lm.encode_prob(np.array(prob)).tolist()
+        assert got[1][::2].tolist() == ngram_lm.encode_prob(np.array([.75 * size[r] / total[r] for r in range(len(contexts))])).tolist()
+
+
+@pytest.mark.parametrize("bucket_tokens", [1, 60, 10**6])
+def test_lm_trigram_scores(spark, docs, bucket_tokens):
+    # exact model over trigrams that one bucket has alone, that several share, and that only held-out texts have
+    more = [(100 + i, " ".join(t)) for i, t in enumerate(itertools.product(["a", "b", "The"], ["x", "y"], ["a", "z"], ["x"]))]
+    more += [(200, "a x a x a x a x"), (201, "alone in the world"), (202, "alone in the world"), (203, "a x new"), (204, "a"), (205, "")]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")).repartition(3).localCheckpoint()
+    rows = _rows(table)
+    learn = [zlib.crc32(str("null" if i is None else i).encode()) % 7 != 2 for i, _ in rows]
+    grams = [Counter(), Counter(), Counter()]
+    texts = [[*_words(t, lower=True), None] for _, t in rows]
+
+    def contexts(ws, k):
+        return [tuple([b"<s>", *ws][k + 1 - j:k + 1]) for j in range(min(3, k + 2))]
+
+    for ws, ok in zip(texts, learn, strict=True):
+        for k, w in enumerate(ws):
+            for j, c in enumerate(contexts(ws, k)):
+                grams[j][c, w] += ok
+    grams = [+g for g in grams]
+    n, v = sum(grams[0].values()), len(grams[0])
+    total, fan = Counter(), Counter()
+    for g in grams[1:]:
+        for (c, _), m in g.items():
+            total[c] += m
+            fan[c] += 1
+    want = []
+    for (i, _), ws in zip(rows, texts, strict=True):
+        score = 0.0
+        for k, w in enumerate(ws):
+            p = (grams[0][(), w] + 1) / (n + v + 1)
+            for j, c in enumerate(contexts(ws, k)):
+                if total[c]:
+                    p = (max(grams[j][c, w] - 0.75, 0) + 0.75 * fan[c] * p) / total[c]
+            score += math.log10(p)
+        want.append((i, len(ws), score))
+    train = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) % 7 != 2
+    got = [(r.doc, r.n_tokens, r.score) for r in ngram_lm.score_texts(table, train, order=3, bucket_tokens=bucket_tokens).collect()]
+    order = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
+        assert g[:2] == w[:2] and w[2] - 0.15 * w[1] - 1e-9 <= g[2] <= w[2] + 1e-9  # two codes a level, rounded down
+    whole = [(r.doc, r.n_tokens, r.score) for r in ngram_lm.score_texts(table, train, order=3).collect()]
+    for g, w in zip(sorted(got, key=order), sorted(whole, key=order), strict=True):
+        assert g[2] == pytest.approx(w[2], abs=1e-9)                 # the buckets don't show
+    assert {r.doc for r in ngram_lm.score_texts(table, F.lit(False), order=3).collect()} == {i for i, _ in rows}
+
+
+def test_lm_query_uses_trigrams(spark, tmp_path):
+    # after "b", only the word before it tells "x" from "y"
+    held, other = [i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    table = [(i, "a b x" if i % 2 else "c b y") for i in range(40)] + [(held, "a b x"), (other, "a b y")]
+    spark.createDataFrame(table, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.score for r in ngram_lm.op9_lm_score(spark, str(tmp_path)).collect()}
+    assert got[held] - got[other] > 1
+
+
 # -- 10 -----------------------------------------------------------------------------------------
 
 def _components(sets, percent):

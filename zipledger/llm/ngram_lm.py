@@ -1,18 +1,21 @@
 """LM scoring with an n-gram trie in Elias-Fano form.
 
-Model: interpolated bigrams with absolute discounting, P(w|c) = max(n(cw) - D, 0) / n(c) + D N1+(c.) / n(c) * P1(w), where
-P1 adds one: P1(w) = (n(w) + 1) / (N + V + 1); an unseen context leaves P1.
-
-Method: the trie is cut by hash range of the context into shards, each built where its n-grams meet. A shard's
-first level is its sorted contexts with Elias-Fano coded monotone pointers to their successors; the second
-level holds the successors as one Elias-Fano sequence, made monotone by the context's rank and searched by successor
-within the context's range; probabilities and back-off weights are 8-bit codes on a log scale, rounded down
-(so they still sum to at most one). Levels are plain buffers that queries map without copying (numpy views).
-Documents don't pull the model in: a bucket of documents sends each distinct n-gram once to its shard, with its
-training count, and gets codes back in the order it sent them.
-
-Scale: the model is never in one place and grows with the corpus by adding shards; what a bucket sends is collapsed to
-distinct n-grams first, so a frequent word costs one entry per bucket. Nothing is broadcast; totals N and V are one row.
+Model: interpolated n-grams (``order`` 2 or 3) with absolute discounting, P(w|c) = max(n(cw) - D, 0) / n(c) + D N1+(c.) / n(c) * P'(w),
+where P' is the model of the next shorter context and P1 adds one: P1(w) = (n(w) + 1) / (N + V + 1); an unseen context
+leaves P'. The first token of a text has the start as its context, the second the start and the first.
+
+Method: a trie level (bigrams, trigrams) is cut by hash range of the context into shards, each built where its
+n-grams meet: its sorted contexts, monotone pointers to their successors, and the successors made monotone by the context's
+rank, each as an Elias-Fano sequence: low bits packed at their width, high bits in unary with a sample of the zeros before
+each word of 64. Probabilities and back-off weights are 8-bit codes on a log scale, rounded down (so they still sum to
+at most one). A level is written to an unnamed local file and mapped; queries read the packed bits where they need them.
+Documents don't pull the model in: each text is read once into a bucket of texts as ranks in the bucket's words. A bucket
+sends each distinct n-gram once to its shard, with its training count, and gets codes back in the order it sent them. The
+words' counts are those of the bigrams' contexts. A trigram context that no other bucket has (or training doesn't
+have) is complete where it is and isn't sent.
+
+Scale: the model is never in one place and grows with the corpus by adding shards; a bucket ends with the text that fills it, and what
+it sends is collapsed to distinct n-grams first, so a frequent word costs one entry per bucket. No broadcast is asked for.
 
 Defined results: A-Z lower-cased; tokens are runs of ``[^\\x20\\x09-\\x0D]`` and one end token per text, which is
 counted as a token; null, empty or blank text has the end token alone. The start is a context only. Without
@@ -22,17 +25,29 @@ one context by 32 bits.
 
 from __future__ import annotations
 
+import mmap
+import struct
+import tempfile
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, StructType
+from xxhash import xxh3_64_intdigest
 
-from .common import WordHash, by_shard, mix, pack_keys, partitions, shard_of, unpack_keys, word_hashes
+from .common import by_shard, mix, partitions, shard_of, word_hashes
 
 DISCOUNT = 0.75
+BUCKET_TOKENS = 1_500_000
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _DECADES = 10.0  # codes 1..255 cover probabilities from 1 down to 10^-10; code 0 is zero
-_LOW32 = np.uint64(0xFFFFFFFF)
+_LOW32, _32 = np.uint64(0xFFFFFFFF), np.uint64(32)
+_MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 def encode_prob(p: np.ndarray) -> np.ndarray:
@@ -48,228 +63,452 @@ def decode_prob(code: np.ndarray) -> np.ndarray:
     return _TABLE[code]
 
 
+# -- Elias-Fano levels -------------------------------------------------------------------------
+
+_BYTE = np.array([[next((i for i in range(8) if b >> i & 1 and bin(b & (1 << i) - 1).count("1") == k), 0) for k in range(8)]
+                  for b in range(256)], np.int64).reshape(-1)  # place of a byte's k-th one
+
+
+def _select(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th one (from 0) in each 64-bit word."""
+    at = np.zeros(len(k), np.int64)
+    for half in (32, 16, 8):
+        ones = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.int64)
+        up = k >= ones
+        k = k - ones * up
+        at += half * up
+        words = words >> (half * up).astype(np.uint64)
+    return at + _BYTE[((words & np.uint64(255)).astype(np.int64) << 3) + k]
+
+
+def _pack(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` (0 to 63) bits of each value, one after the other in 64-bit words, and a word after them."""
+    out = np.zeros(len(values) * width // 64 + 2, np.uint64)
+    if width and len(values):
+        values = values & np.uint64((1 << width) - 1)
+        at = np.arange(len(values), dtype=np.int64) * width
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        first = np.flatnonzero(np.diff(word, prepend=-1))    # a value begins in every word, up to the last one's
+        out[:len(first)] = np.add.reduceat(values << shift, first)
+        over = np.flatnonzero((at & 63) + width > 64)
+        out[word[over] + 1] |= values[over] >> (np.uint64(64) - shift[over])
+    return out
+
+
 class EliasFano:
-    """A monotone sequence of integers below ``universe``: low bits as they are, high bits in unary."""
+    """A monotone sequence of integers below ``universe``: low bits packed at their width, high bits in unary. Both stay as they
+    are for queries; ``zeros`` has the zeros before each word of the high bits."""
 
-    def __init__(self, n: int, width: int, low: bytes, high: bytes):
+    def __init__(self, n: int, width: int, low: bytes, high: bytes, zeros: bytes):
         self.n, self.width = n, width
-        self.low = np.frombuffer(low, np.uint32)
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(high, np.uint8)))[:n]
-        self.high = ones - np.arange(n)  # the i-th one stands after as many zeros as its high part
+        self.low, self.high, self.zeros = np.frombuffer(low, np.uint64), np.frombuffer(high, np.uint64), np.frombuffer(zeros, np.int64)
 
     @staticmethod
-    def encode(values: np.ndarray, universe: int) -> tuple[int, int, bytes, bytes]:
+    def encode(values: np.ndarray, universe: int) -> tuple[int, int, bytes, bytes, bytes]:
         n = len(values)
-        width = min(32, max(0, (max(universe, 1) // max(n, 1)).bit_length() - 1))
+        width = min(63, max(0, (max(universe, 1) // max(n, 1)).bit_length() - 1))
+        values = values.astype(np.uint64)
         high = (values >> np.uint64(width)).astype(np.int64)
-        bits = np.zeros(n + (int(high[-1]) + 1 if n else 0), np.uint8)
+        bits = np.zeros((n + (int(high[-1]) if n else 0) + 64) // 64 * 64, np.uint8)  # a zero at least after the last one
         bits[high + np.arange(n)] = 1
-        return n, width, (values & np.uint64((1 << width) - 1)).astype(np.uint32).tobytes(), np.packbits(bits).tobytes()
+        words = np.packbits(bits, bitorder="little").view(np.uint64)
+        zeros = np.cumsum(64 - np.bitwise_count(words).astype(np.int64))
+        return n, width, _pack(values, width).tobytes(), words.tobytes(), np.append(0, zeros).tobytes()
+
+    def _lows(self, i: np.ndarray) -> np.ndarray:
+        at = i * self.width
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        over = (self.low[word + 1] << np.uint64(1)) << (np.uint64(63) - shift)
+        return (self.low[word] >> shift | over) & np.uint64((1 << self.width) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        return (self.high[i].astype(np.uint64) << np.uint64(self.width)) | self.low[i]
+        i = np.asarray(i, np.int64)
+        ones = np.arange(len(self.zeros)) * 64 - self.zeros          # before each word
+        word = np.searchsorted(ones, i, "right") - 1
+        high = (word << 6) + _select(self.high[word], i - ones[word]) - i
+        return high.astype(np.uint64) << np.uint64(self.width) | self._lows(i)
+
+    def _before(self, high: np.ndarray) -> np.ndarray:
+        """Elements whose high part is less than ``high``: the ones before as many zeros."""
+        at = np.zeros(len(high), np.int64)
+        k = high - 1
+        beyond = k >= self.zeros[-1]
+        i = np.flatnonzero((k >= 0) & ~beyond)
+        word = np.searchsorted(self.zeros, k[i], "right") - 1
+        at[i] = (word << 6) + _select(~self.high[word], k[i] - self.zeros[word]) - k[i]
+        at[beyond] = self.n
+        return at
+
+    def locate(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each value the index of the first element >= it, and whether that equals it: the elements with its high part
+        lie between two zeros, their low parts ascend."""
+        high, want = (value >> np.uint64(self.width)).astype(np.int64), value & np.uint64((1 << self.width) - 1)
+        lo, end = self._before(high), self._before(high + 1)
+        hi = end.copy()
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            mid = (lo[open_] + hi[open_]) >> 1
+            less = self._lows(mid) < want[open_]
+            lo[open_[less]], hi[open_[~less]] = mid[less] + 1, mid[~less]
+            open_ = open_[lo[open_] < hi[open_]]
+        same = lo < end
+        same[same] = self._lows(lo[same]) == want[same]
+        return lo, same
 
     def successor(self, value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Index of the first element >= value within [begin, end), for many queries at once (binary search)."""
-        lo, hi = begin.copy(), end.copy()
-        while (open_ := lo < hi).any():
-            mid = (lo + hi) >> 1
-            less = np.zeros(len(lo), bool)
-            less[open_] = self.get(mid[open_]) < value[open_]
-            lo = np.where(open_ & less, mid + 1, lo)
-            hi = np.where(open_ & ~less, mid, hi)
-        return lo
+        """Index of the first element >= value within [begin, end), for many queries at once."""
+        return np.clip(self.locate(value)[0], begin, end)
 
 
 def build_level(contexts: np.ndarray, keys: np.ndarray, counts: np.ndarray, discount: float = DISCOUNT) -> dict:
     """One shard: its sorted contexts, sorted (context's rank << 32 | successor) keys and their counts -> the trie's levels as
     buffers. Each context has a key."""
-    rank = keys >> np.uint64(32)
+    rank = keys >> _32
     starts = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if len(keys) else np.zeros(0, np.int64)
     pointers = np.append(starts, len(keys)).astype(np.uint64)
     fan = np.diff(pointers).astype(np.int64)
     total = np.add.reduceat(counts, starts) if len(keys) else counts
-    return {"contexts": contexts.astype(np.uint64).tobytes(), "pointers": EliasFano.encode(pointers, len(keys) + 1),
+    contexts = contexts.astype(np.uint64)
+    first = int(contexts[0]) if len(contexts) else 0
+    return {"first": first,
+            "contexts": EliasFano.encode(contexts - np.uint64(first), int(contexts[-1]) - first + 1 if len(contexts) else 1),
+            "pointers": EliasFano.encode(pointers, len(keys) + 1),
             "successors": EliasFano.encode(keys, max(len(contexts), 1) << 32),
             "probs": encode_prob((counts - discount) / np.repeat(total, fan)).tobytes(),
             "backoff": encode_prob(discount * fan / total).tobytes()}
 
 
+def map_level(level: dict) -> dict:
+    """The same level with its buffers in a local file that has no name (it goes with its last reader), mapped for reading."""
+    parts = {k: list(v) if isinstance(v, tuple) else [v] for k, v in level.items()}
+    with tempfile.TemporaryFile() as f:
+        places = []
+        for part in parts.values():
+            for i, buffer in enumerate(part):
+                if isinstance(buffer, bytes):
+                    places.append((part, i, f.tell(), len(buffer)))
+                    f.write(buffer + b"\0" * (8 + -len(buffer) % 8))
+        f.flush()
+        view = memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+    for part, i, at, size in places:
+        part[i] = view[at:at + size]
+    return {k: tuple(parts[k]) if isinstance(v, tuple) else parts[k][0] for k, v in level.items()}
+
+
 class Level:
-    """A level opened for queries: its sequences are read from the buffers once, whoever asks how often."""
+    """A level opened for queries, on the buffers as they are."""
 
     def __init__(self, level: dict):
-        self.contexts = np.frombuffer(level["contexts"], np.uint64)
+        self.first = np.uint64(level["first"])
         self.probs, self.backoffs = np.frombuffer(level["probs"], np.uint8), np.frombuffer(level["backoff"], np.uint8)
-        self.pointers, self.successors = EliasFano(*level["pointers"]), EliasFano(*level["successors"])
+        self.contexts, self.pointers, self.successors = (EliasFano(*level[k]) for k in ("contexts", "pointers", "successors"))
+
+    def find(self, contexts: np.ndarray, fan: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct contexts, how many words are asked of each, and these: (rank of each context, place of each word after
+        its context); unseen: -1."""
+        rank, place = np.full(len(contexts), -1), np.full(len(words), -1)
+        inside = np.flatnonzero(contexts >= self.first) if self.contexts.n else np.zeros(0, np.int64)
+        at, same = self.contexts.locate(contexts[inside] - self.first)
+        rank[inside[same]] = at[same]
+        asked = np.repeat(rank, fan)
+        known = np.flatnonzero(asked >= 0)
+        if len(known):
+            seen = np.maximum(rank, 0)
+            begin, end = (np.repeat(self.pointers.get(seen + i).astype(np.int64), fan)[known] for i in (0, 1))
+            at, same = self.successors.locate(asked[known].astype(np.uint64) << _32 | words[known])
+            hit = np.flatnonzero(same & (at >= begin) & (at < end))
+            place[known[hit]] = at[hit]
+        return rank, place
+
+    def codes(self, rank: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What ``find`` found -> (back-off code of each context, probability code of each word); unseen: 1 and 0."""
+        backoff, prob = np.ones(len(rank), np.uint8), np.zeros(len(place), np.uint8)
+        backoff[rank >= 0] = self.backoffs[rank[rank >= 0]]
+        prob[place >= 0] = self.probs[place[place >= 0]]
+        return backoff, prob
 
     def query(self, contexts: np.ndarray, fan: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct contexts, how many words are asked of each, and these: (probability code, back-off code) of each word
         after its context; unseen: 0, unseen context: back-off 1."""
-        prob, backoff = np.zeros(len(words), np.uint8), np.ones(len(words), np.uint8)
-        if not len(self.contexts):
-            return prob, backoff
-        rank = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
-        seen = self.contexts[rank] == contexts
-        begin, end = self.pointers.get(rank).astype(np.int64), self.pointers.get(rank + 1).astype(np.int64)
-        asked = np.repeat(np.arange(len(contexts)), fan)
-        known = np.flatnonzero(seen[asked])
-        asked = asked[known]
-        backoff[known] = self.backoffs[rank[asked]]
-        value = rank[asked].astype(np.uint64) << np.uint64(32) | words[known]
-        end = end[asked]
-        at = self.successors.successor(value, begin[asked], end)
-        inside = np.flatnonzero(at < end)
-        hit = inside[self.successors.get(at[inside]) == value[inside]]
-        prob[known[hit]] = self.probs[at[hit]]
-        return prob, backoff
-
+        backoff, prob = self.codes(*self.find(contexts, fan, words))
+        return prob, np.repeat(backoff, fan)
 
-class _Bucket:
-    """Token and bigram keys of a bucket of documents, whose rows are in a fixed order."""
-
-    def __init__(self, pdf: pd.DataFrame, shards: int, bigrams: bool = True, words: bool = True):
-        cache, self.lengths, tokens, contexts = WordHash(), [], [], []
-        self.rows = pdf
-        for text in pdf["text"]:
-            w = word_hashes(text, cache, lower=True)
-            self.lengths.append(len(w) + 1)
-            tokens += [w, [_END]]
-            contexts += [[_START], w]
-        self.tokens = np.concatenate(tokens).astype(np.uint64)
-        self.train = np.repeat(pdf["train"].to_numpy(bool), self.lengths)
-        if words:
-            self.words, self.word_of = np.unique(self.tokens, return_inverse=True)
-            self.word_at = by_shard(shard_of(self.words, shards), shards)
-        if bigrams:
-            found, inverse = np.unique(np.concatenate(contexts).astype(np.uint64), return_inverse=True)
-            del contexts
-            found = mix(found)
-            order = np.argsort(found)     # by value, and so by shard
-            self.contexts = found[order]
-            place = np.empty(len(order), np.uint64)
-            place[order] = np.arange(len(order), dtype=np.uint64)
-            keys = place[inverse] << np.uint64(32) | (mix(self.tokens) & _LOW32)
-            self.grams, self.gram_of = np.unique(keys, return_inverse=True)
-            self.fan = np.bincount((self.grams >> np.uint64(32)).astype(np.int64), minlength=len(order))
-            self.context_at = by_shard(shard_of(self.contexts, shards), shards)
-            self.gram_at = np.concatenate([[0], np.cumsum(self.fan)])[self.context_at]
-
-
-def _ask_words(pdf: pd.DataFrame, shards: int) -> pd.DataFrame:
-    b = _Bucket(pdf, shards, bigrams=False)
-    counts = np.bincount(b.word_of, weights=b.train, minlength=len(b.words)).astype(np.uint32)
-    at = b.word_at
-    out = [(int(s), int(pdf["bucket"].iloc[0]), pack_keys(b.words[at[s]:at[s + 1]]), counts[at[s]:at[s + 1]].tobytes())
-           for s in np.flatnonzero(np.diff(at))]
-    return pd.DataFrame(out, columns=["shard", "bucket", "keys", "counts"])
+
+# -- what buckets and shards send --------------------------------------------------------------
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Unsigned integers as planes of bytes, as many as the largest needs, compressed."""
+    wide = np.ascontiguousarray(values, "<u8")
+    width = (int(wide.max()).bit_length() + 7) // 8 if len(wide) else 0
+    head = struct.pack("<BQ", width, len(wide))
+    return head + pa.compress(wide.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), "zstd", asbytes=True) if width else head
+
+
+def unsqueeze(blob: bytes) -> np.ndarray:
+    width, n = struct.unpack_from("<BQ", blob)
+    out = np.zeros((n, 8), np.uint8)
+    if width:
+        planes = pa.decompress(memoryview(blob)[9:], decompressed_size=width * n, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<u8")
+
+
+def _squeeze_sorted(keys: np.ndarray) -> bytes:
+    """Differences (modulo 2^64, so an order in parts is kept too)."""
+    return squeeze(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unsqueeze_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unsqueeze(blob), dtype=np.uint64)
+
+
+class _Numbers(dict):
+    """bytes -> number of a bucket's word, in order of appearance; the end, which no word equals, has the first."""
+
+    def __init__(self):
+        super().__init__({b"": 0})
+        self.hashes = [int(_END)]
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.hashes.append(xxh3_64_intdigest(word))
+        return number
+
+
+def _read_texts(batches: Iterator[pa.RecordBatch], doc: pa.DataType, size: int) -> Iterator[pa.RecordBatch]:
+    """Texts -> buckets, full with ``size`` tokens: ids, training flags, lengths, distinct words (most frequent first, then by
+    hash) and tokens as ranks of these. A bucket's name depends on its content: one that is read anew in another
+    order gets no answers meant for the first."""
+    part, made, n = TaskContext.get().partitionId(), 0, 0
+    numbers, held = _Numbers(), []
+
+    def bucket() -> pa.RecordBatch:
+        ids, train, tokens = zip(*held, strict=True)
+        lengths, tokens, hashes = np.array([len(t) for t in tokens]), np.concatenate(tokens), np.array(numbers.hashes, np.uint64)
+        order = np.lexsort((hashes, -np.bincount(tokens)))
+        rank = np.empty(len(order), np.uint64)
+        rank[order] = np.arange(len(order), dtype=np.uint64)
+        blobs = [np.array(train, bool).tobytes(), squeeze(lengths), _squeeze_sorted(hashes[order]), squeeze(rank[tokens])]
+        ids = pa.array([list(ids)], pa.list_(doc))
+        name = xxh3_64_intdigest(b"".join([str((part, made, ids.to_pylist())).encode("utf-8", "surrogatepass"), *blobs]))
+        return pa.RecordBatch.from_arrays([pa.array([name - (1 << 63)], pa.int64()), ids, *(pa.array([b], pa.binary()) for b in blobs)],
+                                          ["bucket", "docs", "train", "lengths", "words", "tokens"])
+
+    for batch in batches:
+        for i, text, train in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "train")), strict=True):
+            held.append((i, train, np.append(word_hashes(text, numbers, lower=True).astype(np.int32), np.int32(0))))
+            n += len(held[-1][2])
+            if n >= size:
+                yield bucket()
+                made, n, numbers = made + 1, 0, _Numbers()
+                held.clear()
+    if held:
+        yield bucket()
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts the keys, where in it each distinct key begins, and these keys."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return order, first, keys[first]
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+
+
+class _Grams:
+    """Distinct n-grams of a bucket: its contexts sorted by hash, sorted (context's rank << 32 | successor) keys, and their training
+    counts."""
+
+    def __init__(self, hashes: np.ndarray, context: np.ndarray, successor: np.ndarray, train: np.ndarray):
+        order = np.argsort(hashes)
+        self.place = np.empty(len(order), np.uint64)
+        self.place[order] = np.arange(len(order), dtype=np.uint64)
+        self.contexts = hashes[order]
+        self.order, self.first, self.keys = _distinct(self.place[context] << _32 | successor)
+        self.rank = (self.keys >> _32).astype(np.int32)
+        self.counts = _sums(train[self.order], self.first)
+
+    def key_of(self) -> np.ndarray:
+        """The key of each token."""
+        out = np.empty(len(self.order), np.int32)
+        out[self.order] = np.repeat(np.arange(len(self.keys), dtype=np.int32), np.diff(self.first, append=len(out)))
+        return out
+
+    def asks(self, bucket: int, shards: int, kept: np.ndarray) -> pa.Table:
+        """A message to every shard: the kept contexts in its range, their keys and counts."""
+        contexts, mine = self.contexts[kept], kept[self.rank]
+        keys = (np.cumsum(kept) - 1).astype(np.uint64)[self.rank[mine]] << _32 | self.keys[mine] & _LOW32
+        counts = self.counts[mine].astype(np.uint64)
+        at = by_shard(shard_of(contexts, shards), shards)
+        key_at = np.searchsorted(keys, at.astype(np.uint64) << _32)
+        cut = [(a, b, np.uint64(a) << _32, c, d) for a, b, c, d in zip(at[:-1], at[1:], key_at[:-1], key_at[1:], strict=True)]
+        return pa.table({"shard": pa.array(np.arange(shards), pa.int32()), "bucket": pa.array([bucket] * shards, pa.int64()),
+                         "contexts": pa.array([_squeeze_sorted(contexts[a:b]) for a, b, *_ in cut], pa.binary()),
+                         "keys": pa.array([_squeeze_sorted(keys[c:d] - base) for *_, base, c, d in cut], pa.binary()),
+                         "counts": pa.array([squeeze(counts[c:d]) for *_, c, d in cut], pa.binary())})
+
+
+_ASKED = "shard int, bucket long, contexts binary, keys binary, counts binary"
+_TOLD = "bucket long, shard int, n long, v long, probs binary, backoffs binary, totals binary, shared binary"
+
+
+def _joined(answers: pa.Table | pa.StructArray, shards: int) -> dict:
+    """A bucket's answers in the order of the shards."""
+    rows = sorted(answers.to_pylist(), key=lambda r: r["shard"])
+    if [r["shard"] for r in rows] != list(range(shards)):
+        raise RuntimeError("a bucket of texts was read anew in another order and has no answers; the input has to be repeatable")
+    return {c: np.concatenate([unsqueeze(r[c]) for r in rows]) for c in ("probs", "backoffs", "totals", "shared")} | {
+        c: sum(r[c] for r in rows) for c in ("n", "v")}
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys that occur in training, with their summed counts."""
-    found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(found)).astype(np.int64)
-    return found[total > 0], total[total > 0]
+class _Bucket:
+    """Tokens and bigrams of a bucket of texts, and, where the bigrams' answers are there, its trigrams."""
+
+    def __init__(self, row: pa.Table, shards: int):
+        self.docs = row.column("docs").combine_chunks().flatten()
+        self.name, train, lengths, words, tokens = (row.column(c)[0].as_py() for c in ("bucket", "train", "lengths", "words", "tokens"))
+        self.doc_train, self.lengths = np.frombuffer(train, bool), unsqueeze(lengths).astype(np.int64)
+        self.words, self.tokens = _unsqueeze_sorted(words), unsqueeze(tokens).astype(np.int32)
+        self.train = np.repeat(self.doc_train, self.lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.end = int(self.tokens[-1])                              # its context stands for the start
+        before = np.roll(self.tokens, 1)
+        before[self.starts] = self.end
+        self.hashes = np.where(np.arange(len(self.words)) == self.end, mix(np.array([_START]))[0], mix(self.words))
+        self.successors = mix(self.words) & _LOW32
+        self.two = _Grams(self.hashes, before, self.successors[self.tokens], self.train)
+
+    def trigrams(self, shared: np.ndarray) -> None:
+        """``shared``: of each bigram, whether training has it and other buckets have it too."""
+        two = self.two
+        last, key_of = self.tokens[two.order[two.first]], two.key_of()
+        hashes = mix(two.contexts[two.rank] * _MUL + self.words[last])
+        self.later = np.ones(len(self.tokens), bool)
+        self.later[self.starts] = False
+        used = np.flatnonzero(last != self.end)                      # no text goes on after its end
+        number = np.zeros(len(two.keys), np.int32)
+        number[used] = np.arange(len(used))
+        later = np.flatnonzero(self.later)
+        self.three = _Grams(hashes[used], number[key_of[later - 1]], self.successors[self.tokens[later]], self.train[later])
+        self.asked = np.zeros(len(used), bool)
+        self.asked[self.three.place] = shared[used]
+
+    def trigram_codes(self, answers: pa.Table, shards: int, discount: float) -> tuple[np.ndarray, np.ndarray]:
+        """(probability code of each trigram, back-off code of each of its contexts): from the shards, or from this bucket's counts."""
+        three, told = self.three, _joined(answers, shards)
+        total = np.bincount(three.rank, weights=three.counts, minlength=len(three.contexts))
+        fan = np.bincount(three.rank[three.counts > 0], minlength=len(three.contexts))
+        backoff, seen = np.ones(len(total), np.uint8), total > 0
+        backoff[seen] = encode_prob(discount * fan[seen] / total[seen])
+        prob, some = np.zeros(len(three.keys), np.uint8), three.counts > 0
+        prob[some] = encode_prob((three.counts[some] - discount) / total[three.rank[some]])
+        backoff[self.asked], prob[self.asked[three.rank]] = told["backoffs"], told["probs"]
+        return prob, backoff
 
 
-def _word_keys(pdf: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    return [unpack_keys(k) for k in pdf["keys"]], [np.frombuffer(c, np.uint32) for c in pdf["counts"]]
+def _ask_bigrams(row: pa.Table, shards: int) -> pa.Table:
+    b = _Bucket(row, shards)
+    return b.two.asks(b.name, shards, np.ones(len(b.two.contexts), bool))
 
 
-def _word_totals(pdf: pd.DataFrame) -> pd.DataFrame:
-    found, total = _merge(*_word_keys(pdf))
-    return pd.DataFrame({"v": [len(found)], "n": [int(total.sum())]})
+def _level_two(row: pa.Table, shards: int) -> dict:
+    return _joined(row.column("two").combine_chunks().flatten(), shards)
 
 
-def _word_answers(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys, counts = _word_keys(pdf)
-    found, total = _merge(keys, counts)
-    told = []
-    for k in keys:
-        i = np.searchsorted(found, k)
-        ok = i < len(found)
-        ok[ok] = found[i[ok]] == k[ok]
-        c = np.zeros(len(k), np.int64)
-        c[ok] = total[i[ok]]
-        told.append(c.tobytes() if len(c) and c.max() >= 1 << 32 else c.astype(np.uint32).tobytes())
-    return pd.DataFrame({"bucket": pdf["bucket"], "kind": 1, "shard": pdf["shard"], "a": told, "b": [b""] * len(pdf)})
+def _ask_trigrams(row: pa.Table, shards: int) -> pa.Table:
+    b = _Bucket(row, shards)
+    b.trigrams(_level_two(row, shards)["shared"] > 0)
+    return b.three.asks(b.name, shards, b.asked)
 
 
-def _ask_bigrams(pdf: pd.DataFrame, shards: int) -> pd.DataFrame:
-    b, out = _Bucket(pdf, shards, words=False), []
-    counts = np.bincount(b.gram_of, weights=b.train, minlength=len(b.grams)).astype(np.uint32)
-    for s in np.flatnonzero(np.diff(b.context_at)):
-        part = counts[b.gram_at[s]:b.gram_at[s + 1]]
-        small = part.max() < 256
-        out.append((int(s), int(pdf["bucket"].iloc[0]), b.contexts[b.context_at[s]:b.context_at[s + 1]].tobytes(),
-                    b.fan[b.context_at[s]:b.context_at[s + 1]].astype(np.uint32).tobytes(),
-                    (b.grams[b.gram_at[s]:b.gram_at[s + 1]] & _LOW32).astype(np.uint32).tobytes(),
-                    (part.astype(np.uint8) if small else part).tobytes()))
-    return pd.DataFrame(out, columns=["shard", "bucket", "contexts", "fan", "words", "counts"])
+def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with their summed counts."""
+    order, first, found = _distinct(np.concatenate(keys))
+    return found, _sums(np.concatenate(counts)[order], first)
 
 
-def _bigram_answers(pdf: pd.DataFrame, discount: float) -> pd.DataFrame:
+def _answers(pdf: pd.DataFrame, discount: float, words: bool) -> pd.DataFrame:
+    """A shard's level from all buckets' n-grams, and what it says of each bucket's. ``words``: also the contexts' counts, and which trained
+    n-grams several buckets have."""
     asked, trained = [], []
-    for c, f, w, n in zip(pdf["contexts"], pdf["fan"], pdf["words"], pdf["counts"], strict=True):
-        c, f, w = np.frombuffer(c, np.uint64), np.frombuffer(f, np.uint32), np.frombuffer(w, np.uint32)
-        n = np.frombuffer(n, np.uint8 if len(n) == len(w) else np.uint32)
-        asked.append((c, f, w))
+    for c, k, n in zip(pdf["contexts"], pdf["keys"], pdf["counts"], strict=True):
+        c, k, n = _unsqueeze_sorted(c), _unsqueeze_sorted(k), unsqueeze(n).astype(np.int64)
         i = np.flatnonzero(n)
-        trained.append((np.repeat(np.arange(len(c)), f)[i], w[i], n[i]))
-    seen = [np.unique(c) for c, _, _ in trained]                     # of each sender, the contexts with training n-grams
-    contexts = np.unique(np.concatenate([a[0][i] for a, i in zip(asked, seen, strict=True)]))
-    keys = [np.searchsorted(contexts, a[0])[c].astype(np.uint64) << np.uint64(32) | w
-            for a, (c, w, _) in zip(asked, trained, strict=True)]
-    level = Level(build_level(contexts, *_merge(keys, [n for _, _, n in trained]), discount))
-    codes = [level.query(*a) for a in asked]
-    return pd.DataFrame({"bucket": pdf["bucket"], "kind": 2, "shard": pdf["shard"], "a": [p.tobytes() for p, _ in codes],
-                         "b": [q.tobytes() for _, q in codes]})
-
-
-def _score(docs: pd.DataFrame, answers: pd.DataFrame, shards: int) -> pd.DataFrame:
-    b = _Bucket(docs, shards)
-    n, v = int(answers["total_n"].iloc[0]), int(answers["total_v"].iloc[0])
-    count = np.zeros(len(b.words), np.int64)
-    prob, backoff = np.zeros(len(b.grams), np.uint8), np.ones(len(b.grams), np.uint8)
-    for kind, s, x, y in zip(answers["kind"], answers["shard"], answers["a"], answers["b"], strict=True):
-        if kind == 1:
-            size = b.word_at[s + 1] - b.word_at[s]
-            count[b.word_at[s]:b.word_at[s + 1]] = np.frombuffer(x, np.uint32 if len(x) == 4 * size else np.int64)
-        else:
-            prob[b.gram_at[s]:b.gram_at[s + 1]] = np.frombuffer(x, np.uint8)
-            backoff[b.gram_at[s]:b.gram_at[s + 1]] = np.frombuffer(y, np.uint8)
-    c = count[b.word_of]
-    single = (c + 1) / (n + 1 * (v + 1))
-    both = decode_prob(prob)[b.gram_of] + decode_prob(backoff)[b.gram_of] * single
-    at = np.concatenate([[0], np.cumsum(b.lengths)[:-1]]).astype(np.int64)
-    return pd.DataFrame({"doc": docs["doc"].to_numpy(), "train": docs["train"].to_numpy(), "n_tokens": np.array(b.lengths, np.int64),
-                         "n_known": np.add.reduceat((c > 0).astype(np.int64), at), "train_tokens": n,
-                         "base_score": np.add.reduceat(np.log10(single), at), "score": np.add.reduceat(np.log10(both), at)})
+        asked.append((c, k))
+        trained.append((k[i] >> _32, k[i] & _LOW32, n[i]))
+    contexts = np.unique(np.concatenate([c[np.unique(r).astype(np.int64)] for (c, _), (r, _, _) in zip(asked, trained, strict=True)]))
+    keys, counts = _merge([np.searchsorted(contexts, c).astype(np.uint64)[r.astype(np.int64)] << _32 | w
+                           for (c, _), (r, w, _) in zip(asked, trained, strict=True)], [n for _, _, n in trained])
+    del trained
+    totals = np.bincount((keys >> _32).astype(np.int64), weights=counts, minlength=len(contexts)).astype(np.int64)
+    level = Level(map_level(build_level(contexts, keys, counts, discount)))
+    found, senders = [], np.zeros(len(keys), np.int32)
+    for c, k in asked:
+        rank, place = level.find(c, np.bincount((k >> _32).astype(np.int64), minlength=len(c)), k & _LOW32)
+        senders[place[place >= 0]] += 1                              # a bucket asks for a key once
+        found.append((rank.astype(np.int32), place.astype(np.int32)))
+    del asked
+    out = []
+    for bucket, (rank, place) in zip(pdf["bucket"], found, strict=True):
+        backoff, prob = level.codes(rank, place)
+        count, more = np.zeros(0, np.int64), np.zeros(0, bool)
+        if words:
+            count, more = np.zeros(len(rank), np.int64), np.zeros(len(place), bool)
+            count[rank >= 0] = totals[rank[rank >= 0]]
+            more[place >= 0] = senders[place[place >= 0]] > 1
+        out.append((bucket, int(pdf["shard"].iloc[0]), int(totals.sum()), len(contexts), squeeze(prob), squeeze(backoff), squeeze(count), squeeze(more)))
+    return pd.DataFrame(out, columns=["bucket", "shard", "n", "v", "probs", "backoffs", "totals", "shared"])
 
 
-def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", discount: float = DISCOUNT) -> DataFrame:
-    """(doc, train, n_tokens, n_known, train_tokens, base_score, score) for each row; the model learns from the rows where
-    ``train`` holds. Scores are log10 probabilities of whole texts."""
+def _score(row: pa.Table, answers: pa.Table | None, shards: int, discount: float, schema: pa.Schema) -> pa.Table:
+    b, told = _Bucket(row, shards), _level_two(row, shards)
+    n, v = told["n"], told["v"]
+    c = told["totals"].astype(np.int64)[b.two.place.astype(np.int64)]     # as many ends as starts
+    single = (c + 1) / (n + 1 * (v + 1))
+    base, single, key_of = np.log10(single)[b.tokens], single[b.tokens], b.two.key_of()
+    score = decode_prob(told["probs"])[key_of] + decode_prob(told["backoffs"])[b.two.rank][key_of] * single
+    if answers is not None:
+        b.trigrams(told["shared"] > 0)
+        prob, backoff = b.trigram_codes(answers, shards, discount)
+        key_of = b.three.key_of()
+        score[b.later] = decode_prob(prob)[key_of] + decode_prob(backoff)[b.three.rank][key_of] * score[b.later]
+    sums = [_sums((c > 0)[b.tokens], b.starts), np.full(len(b.starts), n), np.add.reduceat(base, b.starts),
+            np.add.reduceat(np.log10(score), b.starts)]
+    return pa.Table.from_arrays([b.docs, pa.array(b.doc_train), pa.array(b.lengths), *map(pa.array, sums)], schema=schema)
+
+
+def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", discount: float = DISCOUNT,
+                order: int = 2, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
+    """(doc, train, n_tokens, n_known, train_tokens, base_score, score) for each row; the model (bigrams, or trigrams by ``order``) learns from the
+    rows where ``train`` holds. Scores are log10 probabilities of whole texts."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     n = 2 * partitions(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc", "text"), F.lit(n)).cast("int"))
-    by_bucket = rows.groupBy("bucket")
-    words = by_bucket.applyInPandas(lambda pdf: _ask_words(pdf, n), "shard int, bucket int, keys binary, counts binary")
-    grams = by_bucket.applyInPandas(lambda pdf: _ask_bigrams(pdf, n), "shard int, bucket int, contexts binary, fan binary, words binary, counts binary")
-    told = "bucket int, kind int, shard int, a binary, b binary"
-    answers = words.groupBy("shard").applyInPandas(_word_answers, told).unionByName(
-        grams.groupBy("shard").applyInPandas(lambda pdf: _bigram_answers(pdf, discount), told))
-    totals = words.groupBy("shard").applyInPandas(_word_totals, "v long, n long")
-    answers = answers.withColumn("total_n", totals.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()).withColumn(
-        "total_v", totals.agg(F.coalesce(F.sum("v"), F.lit(0))).scalar())
-    out = rows.schema["doc"].dataType.simpleString()
-    return by_bucket.cogroup(answers.groupBy("bucket")).applyInPandas(
-        lambda d, a: _score(d, a, n),
-        f"doc {out}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    id_type = rows.schema["doc"].dataType
+    doc = to_arrow_type(id_type)
+    out = StructType().add("doc", id_type).add("train", "boolean").add("n_tokens", "long").add("n_known", "long").add(
+        "train_tokens", "long").add("base_score", "double").add("score", "double")
+    schema = pa.schema([("doc", doc), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
+                        ("base_score", pa.float64()), ("score", pa.float64())])
+    buckets = rows.mapInArrow(lambda it: _read_texts(it, doc, bucket_tokens), StructType().add("bucket", "long").add("docs", ArrayType(id_type)).add(
+        "train", "binary").add("lengths", "binary").add("words", "binary").add("tokens", "binary")).repartition("bucket")  # once for all that follows
+    asked = buckets.groupBy("bucket").applyInArrow(lambda t: _ask_bigrams(t, n), _ASKED)
+    told = asked.groupBy("shard").applyInPandas(lambda pdf: _answers(pdf, discount, True), _TOLD)
+    two = told.groupBy("bucket").agg(F.collect_list(F.struct(*[c for c in told.columns if c != "bucket"])).alias("two"))
+    known = buckets.join(two, "bucket", "left")
+    if order == 2:
+        return known.groupBy("bucket").applyInArrow(lambda t: _score(t, None, n, discount, schema), out)
+    asked = known.groupBy("bucket").applyInArrow(lambda t: _ask_trigrams(t, n), _ASKED)
+    three = asked.groupBy("shard").applyInPandas(lambda pdf: _answers(pdf, discount, False), _TOLD)
+    return known.groupBy("bucket").cogroup(three.groupBy("bucket")).applyInArrow(lambda t, a: _score(t, a, n, discount, schema), out)
 
 
 def op9_lm_score(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) % 7 == 2
-    scored = score_texts(docs, ~held)
+    scored = score_texts(docs, ~held, order=3)
     return scored.select(F.col("doc").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
