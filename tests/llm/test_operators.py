@@ -9,8 +9,11 @@ import mmap
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -474,6 +477,56 @@ def test_lm_query_uses_trigrams(spark, tmp_path):
     assert got[held] - got[other] > 1
 
 
+def test_lm_tokens_are_those_of_bytes_split():
+    odd = ["", " ", None, "\t a  b ", "a", " a", *(f"x{chr(c)}Y" for c in (*range(1, 160), 0x1680, 0x2003, 0x2028, 0x3000)), "É\u00a0Z \x1cz"]
+    want = [[*(t or "").encode().lower().split(), None] for t in odd]
+    for at in (0, 3):                                                # a slice of a batch, too
+        lengths, words = ngram_lm._tokenised(pa.array(odd, pa.string()).slice(at))
+        assert lengths.tolist() == [len(w) for w in want[at:]]
+        assert [w.encode() for w in words.to_pylist()] == [w for ws in want[at:] for w in ws[:-1]]
+    batch = pa.record_batch({"text": pa.array([None, "a" * (9 << 20), "", "b", "c" * (8 << 20), None])})
+    assert [r.num_rows for r in ngram_lm._slices(batch)] == [1, 3, 2]
+
+
+def _asked(tables, shard):
+    return pd.DataFrame([r for t in tables for r in t.to_pylist() if r["shard"] == shard])
+
+
+def _buckets(texts, size=10**6):
+    batch = pa.record_batch({"doc": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts), "train": [True] * len(texts)})
+    return [pa.Table.from_batches([b]) for b in ngram_lm._read_texts(iter([batch]), pa.int64(), size)]
+
+
+def test_lm_shard_is_asked_once_for_each_ngram(monkeypatch):
+    # the work of a shard follows its n-grams, not the buckets that send the same ones
+    monkeypatch.setattr(ngram_lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rows = _buckets(["a b c a b", "a b c", "b c d", "a b c a b", "a b c a b"], size=1)
+    assert len(rows) == 5
+    asked, found, find = [], [], ngram_lm.Level.find
+    monkeypatch.setattr(ngram_lm.Level, "find", lambda self, c, fan, w: (found.append((c, fan, w)), find(self, c, fan, w))[1])
+    told = ngram_lm._answers(_asked([ngram_lm._ask_bigrams(r, 1) for r in rows], 0), .75, True)
+    assert len(found) == 1
+    contexts, fan, words = found[0]
+    assert len(contexts) == len({*contexts.tolist()}) == 5 and fan.sum() == len(words) == 9  # the start, a to d; a>b, b>c, b>end, ...
+    assert sorted(told["bucket"]) == sorted(r.column("bucket")[0].as_py() for r in rows) and (told["n"] == 26).all() and (told["v"] == 5).all()
+    one = {r["bucket"]: r for r in told.to_dict("records")}
+    same = [one[rows[i].column("bucket")[0].as_py()] for i in (0, 3, 4)]
+    assert len({(r["probs"], r["backoffs"], r["totals"], r["shared"]) for r in same}) == 1
+
+
+def test_lm_words_with_equal_low_bits_are_one_context(spark):
+    # successors are told apart by 32 bits, so what follows them must not depend on which of two such words a bucket meets first
+    names = [f"w{i}" for i in range(300_000)]
+    low = common.mix(np.array([ngram_lm.xxh3_64_intdigest(w.encode()) for w in names], np.uint64)) & np.uint64(0xFFFFFFFF)
+    order = np.argsort(low, kind="stable")
+    i = int(np.flatnonzero(np.diff(low[order].astype(np.int64)) == 0)[0])
+    one, other = names[order[i]], names[order[i + 1]]
+    table = spark.createDataFrame([(0, f"a {one} x a {other} y"), (1, f"a {other} y a {one} x"), (2, f"a {one} y"), (3, f"a {other} x")],
+                                  "doc_id long, text string").coalesce(1).localCheckpoint()
+    got = [sorted((r.doc, r.score) for r in ngram_lm.score_texts(table, F.lit(True), order=3, bucket_tokens=size).collect()) for size in (1, 10**6)]
+    assert [s for _, s in got[0]] == pytest.approx([s for _, s in got[1]], abs=1e-9)
+
+
 # -- 10 -----------------------------------------------------------------------------------------
 
 def _components(sets, percent):

@@ -10,8 +10,8 @@ rank, each as an Elias-Fano sequence: low bits packed at their width, high bits
 each word of 64. Probabilities and back-off weights are 8-bit codes on a log scale, rounded down (so they still sum to
 at most one). A level is written to an unnamed local file and mapped; queries read the packed bits where they need them.
 Documents don't pull the model in: each text is read once into a bucket of texts as ranks in the bucket's words. A bucket
-sends each distinct n-gram once to its shard, with its training count, and gets codes back in the order it sent them. The
-words' counts are those of the bigrams' contexts. A trigram context that no other bucket has (or training doesn't
+sends each distinct n-gram once to its shard, with its training count, and gets codes back in the order it sent them. A shard
+looks each distinct n-gram up once, whichever buckets sent it. The words' counts are those of the bigrams' contexts. A trigram context that no other bucket has (or training doesn't
 have) is complete where it is and isn't sent.
 
 Scale: the model is never in one place and grows with the corpus by adding shards; a bucket ends with the text that fills it, and what
@@ -20,11 +20,12 @@ it sends is collapsed to distinct n-grams first, so a frequent word costs one en
 Defined results: A-Z lower-cased; tokens are runs of ``[^\\x20\\x09-\\x0D]`` and one end token per text, which is
 counted as a token; null, empty or blank text has the end token alone. The start is a context only. Without
 training rows N = V = 0. Repeated rows each come back. Words and contexts are told apart by 64-bit hashes, successors in
-one context by 32 bits.
+one context by 32 bits, in a trigram's context too.
 """
 
 from __future__ import annotations
 
+import itertools
 import mmap
 import struct
 import tempfile
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, StructType
 from xxhash import xxh3_64_intdigest
 
-from .common import by_shard, mix, partitions, shard_of, word_hashes
+from .common import by_shard, mix, partitions, shard_of
 
 DISCOUNT = 0.75
 BUCKET_TOKENS = 1_500_000
@@ -48,6 +50,7 @@ _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _DECADES = 10.0  # codes 1..255 cover probabilities from 1 down to 10^-10; code 0 is zero
 _LOW32, _32 = np.uint64(0xFFFFFFFF), np.uint64(32)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+_AT_ONCE, _TEXT_AT_ONCE = 1 << 15, 8 << 20
 
 
 def encode_prob(p: np.ndarray) -> np.ndarray:
@@ -142,6 +145,9 @@ class EliasFano:
     def locate(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each value the index of the first element >= it, and whether that equals it: the elements with its high part
         lie between two zeros, their low parts ascend."""
+        if len(value) > _AT_ONCE:                                    # so that what a step leaves stays in the processor's cache
+            parts = [self.locate(value[i:i + _AT_ONCE]) for i in range(0, len(value), _AT_ONCE)]
+            return tuple(np.concatenate(part) for part in zip(*parts, strict=True))
         high, want = (value >> np.uint64(self.width)).astype(np.int64), value & np.uint64((1 << self.width) - 1)
         lo, end = self._before(high), self._before(high + 1)
         hi = end.copy()
@@ -238,19 +244,21 @@ class Level:
 
 def squeeze(values: np.ndarray) -> bytes:
     """Unsigned integers as planes of bytes, as many as the largest needs, compressed."""
-    wide = np.ascontiguousarray(values, "<u8")
+    wide = np.ascontiguousarray(values)
     width = (int(wide.max()).bit_length() + 7) // 8 if len(wide) else 0
     head = struct.pack("<BQ", width, len(wide))
-    return head + pa.compress(wide.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), "zstd", asbytes=True) if width else head
+    return head + pa.compress(wide.view(np.uint8).reshape(len(wide), -1)[:, :width].T.tobytes(), "zstd", asbytes=True) if width else head
 
 
 def unsqueeze(blob: bytes) -> np.ndarray:
+    """In the narrowest type that holds the planes."""
     width, n = struct.unpack_from("<BQ", blob)
-    out = np.zeros((n, 8), np.uint8)
+    size = next(s for s in (1, 2, 4, 8) if width <= s)
+    out = np.zeros((n, size), np.uint8)
     if width:
         planes = pa.decompress(memoryview(blob)[9:], decompressed_size=width * n, codec="zstd", asbytes=True)
         out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
-    return out.reshape(-1).view("<u8")
+    return out.reshape(-1).view(f"<u{size}")
 
 
 def _squeeze_sorted(keys: np.ndarray) -> bytes:
@@ -262,58 +270,87 @@ def _unsqueeze_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(blob), dtype=np.uint64)
 
 
-class _Numbers(dict):
-    """bytes -> number of a bucket's word, in order of appearance; the end, which no word equals, has the first."""
-
-    def __init__(self):
-        super().__init__({b"": 0})
-        self.hashes = [int(_END)]
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.hashes.append(xxh3_64_intdigest(word))
-        return number
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of its rows with about ``_TEXT_AT_ONCE`` bytes of text, or one longer text."""
+    until = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(until // _TEXT_AT_ONCE)) + 1
+    for begin, end in itertools.pairwise([0, *cuts.tolist(), len(until)]):
+        yield batch.slice(begin, end - begin)
+
+
+def _tokenised(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(tokens of each text, its end counted; the words of all texts): A-Z lower-cased and split at runs of ``[\\x20\\x09-\\x0D]``."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    found, borders = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+    borders -= borders[0]
+    some = pc.not_equal(found, "")                                   # at the ends of a text, and of a blank one
+    before = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False), dtype=np.int64))
+    return np.diff(before[borders]) + 1, found.filter(some)
+
+
+def _bucket(ids: list[pa.Array], train: list[np.ndarray], lengths: list[np.ndarray], words: list[pa.Array], doc: pa.DataType,
+            where: tuple[int, int]) -> pa.RecordBatch:
+    ids, train, lengths = pa.concat_arrays(ids), np.concatenate(train), np.concatenate(lengths)
+    coded = pa.concat_arrays(words).dictionary_encode()
+    names = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    hashes = np.append(np.fromiter(map(xxh3_64_intdigest, names), np.uint64, len(names)), _END)
+    ends = np.zeros(lengths.sum(), bool)
+    ends[np.cumsum(lengths) - 1] = True
+    tokens = np.full(len(ends), len(names), np.int32)                # no word equals the end
+    tokens[~ends] = coded.indices.to_numpy()
+    order = np.lexsort((hashes, -np.bincount(tokens)))
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(len(order), dtype=np.uint32)
+    blobs = [train.tobytes(), squeeze(lengths), _squeeze_sorted(hashes[order]), squeeze(rank[tokens])]
+    name = xxh3_64_intdigest(b"".join([str((*where, ids.to_pylist())).encode("utf-8", "surrogatepass"), *blobs]))
+    ids = pa.array([ids.to_pylist()], pa.list_(doc))
+    return pa.RecordBatch.from_arrays([pa.array([name - (1 << 63)], pa.int64()), ids, *(pa.array([b], pa.binary()) for b in blobs)],
+                                      ["bucket", "docs", "train", "lengths", "words", "tokens"])
 
 
 def _read_texts(batches: Iterator[pa.RecordBatch], doc: pa.DataType, size: int) -> Iterator[pa.RecordBatch]:
     """Texts -> buckets, full with ``size`` tokens: ids, training flags, lengths, distinct words (most frequent first, then by
     hash) and tokens as ranks of these. A bucket's name depends on its content: one that is read anew in another
     order gets no answers meant for the first."""
-    part, made, n = TaskContext.get().partitionId(), 0, 0
-    numbers, held = _Numbers(), []
-
-    def bucket() -> pa.RecordBatch:
-        ids, train, tokens = zip(*held, strict=True)
-        lengths, tokens, hashes = np.array([len(t) for t in tokens]), np.concatenate(tokens), np.array(numbers.hashes, np.uint64)
-        order = np.lexsort((hashes, -np.bincount(tokens)))
-        rank = np.empty(len(order), np.uint64)
-        rank[order] = np.arange(len(order), dtype=np.uint64)
-        blobs = [np.array(train, bool).tobytes(), squeeze(lengths), _squeeze_sorted(hashes[order]), squeeze(rank[tokens])]
-        ids = pa.array([list(ids)], pa.list_(doc))
-        name = xxh3_64_intdigest(b"".join([str((part, made, ids.to_pylist())).encode("utf-8", "surrogatepass"), *blobs]))
-        return pa.RecordBatch.from_arrays([pa.array([name - (1 << 63)], pa.int64()), ids, *(pa.array([b], pa.binary()) for b in blobs)],
-                                          ["bucket", "docs", "train", "lengths", "words", "tokens"])
-
-    for batch in batches:
-        for i, text, train in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "train")), strict=True):
-            held.append((i, train, np.append(word_hashes(text, numbers, lower=True).astype(np.int32), np.int32(0))))
-            n += len(held[-1][2])
+    part, made, n, held = TaskContext.get().partitionId(), 0, 0, []
+    for batch in itertools.chain.from_iterable(map(_slices, batches)):
+        ids, train = batch.column("doc"), batch.column("train").to_numpy(zero_copy_only=False)
+        lengths, words = _tokenised(batch.column("text"))
+        until, at = np.cumsum(lengths), 0
+        while at < len(lengths):
+            begun = int(until[at - 1]) if at else 0
+            end = int(np.searchsorted(until, begun + size - n))      # the text that fills the bucket
+            stop = min(end + 1, len(lengths))
+            last = int(until[stop - 1])
+            held.append((ids[at:stop], train[at:stop], lengths[at:stop], words[begun - at:last - stop]))
+            n, at = n + last - begun, stop
             if n >= size:
-                yield bucket()
-                made, n, numbers = made + 1, 0, _Numbers()
-                held.clear()
+                yield _bucket(*zip(*held, strict=True), doc, (part, made))
+                made, n, held = made + 1, 0, []
     if held:
-        yield bucket()
-
-
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order that sorts the keys, where in it each distinct key begins, and these keys."""
-    order = np.argsort(keys)
-    keys = keys[order]
+        yield _bucket(*zip(*held, strict=True), doc, (part, made))
+
+
+def _distinct(keys: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts the keys (below 2^``bits``), where in it each distinct key begins, and these keys."""
+    below = len(keys).bit_length()
+    if bits + below <= 64:                                           # with their places: one plain sort
+        keys = np.sort(keys << np.uint64(below) | np.arange(len(keys), dtype=np.uint64))
+        order, keys = (keys & np.uint64((1 << below) - 1)).astype(np.int64), keys >> np.uint64(below)
+    else:
+        order = np.argsort(keys)
+        keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return order, first, keys[first]
 
 
+def _place_of(order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which of the distinct keys each key is."""
+    out = np.empty(len(order), np.int32)
+    out[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(first, append=len(order)))
+    return out
+
+
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
 
@@ -322,20 +359,21 @@ class _Grams:
     """Distinct n-grams of a bucket: its contexts sorted by hash, sorted (context's rank << 32 | successor) keys, and their training
     counts."""
 
-    def __init__(self, hashes: np.ndarray, context: np.ndarray, successor: np.ndarray, train: np.ndarray):
+    def __init__(self, hashes: np.ndarray, context: np.ndarray, successor: np.ndarray, successors: np.ndarray, train: np.ndarray):
+        """``successor``: each token's place in the sorted ``successors``."""
         order = np.argsort(hashes)
         self.place = np.empty(len(order), np.uint64)
         self.place[order] = np.arange(len(order), dtype=np.uint64)
         self.contexts = hashes[order]
-        self.order, self.first, self.keys = _distinct(self.place[context] << _32 | successor)
-        self.rank = (self.keys >> _32).astype(np.int32)
+        low = np.uint64(len(successors).bit_length())                # dense, so a key and a token's place fit a word
+        self.order, self.first, keys = _distinct(self.place[context] << low | successor, len(order).bit_length() + int(low))
+        self.rank = (keys >> low).astype(np.int32)
+        self.keys = keys >> low << _32 | successors[(keys & np.uint64((1 << int(low)) - 1)).astype(np.int64)]
         self.counts = _sums(train[self.order], self.first)
 
     def key_of(self) -> np.ndarray:
         """The key of each token."""
-        out = np.empty(len(self.order), np.int32)
-        out[self.order] = np.repeat(np.arange(len(self.keys), dtype=np.int32), np.diff(self.first, append=len(out)))
-        return out
+        return _place_of(self.order, self.first)
 
     def asks(self, bucket: int, shards: int, kept: np.ndarray) -> pa.Table:
         """A message to every shard: the kept contexts in its range, their keys and counts."""
@@ -378,29 +416,29 @@ class _Bucket:
         before = np.roll(self.tokens, 1)
         before[self.starts] = self.end
         self.hashes = np.where(np.arange(len(self.words)) == self.end, mix(np.array([_START]))[0], mix(self.words))
-        self.successors = mix(self.words) & _LOW32
-        self.two = _Grams(self.hashes, before, self.successors[self.tokens], self.train)
+        order, first, self.successors = _distinct(mix(self.words) & _LOW32, 32)
+        self.successor = _place_of(order, first).astype(np.uint32)[self.tokens]
+        self.two = _Grams(self.hashes, before, self.successor, self.successors, self.train)
 
     def trigrams(self, shared: np.ndarray) -> None:
         """``shared``: of each bigram, whether training has it and other buckets have it too."""
-        two = self.two
-        last, key_of = self.tokens[two.order[two.first]], two.key_of()
-        hashes = mix(two.contexts[two.rank] * _MUL + self.words[last])
-        self.later = np.ones(len(self.tokens), bool)
-        self.later[self.starts] = False
-        used = np.flatnonzero(last != self.end)                      # no text goes on after its end
-        number = np.zeros(len(two.keys), np.int32)
-        number[used] = np.arange(len(used))
-        later = np.flatnonzero(self.later)
-        self.three = _Grams(hashes[used], number[key_of[later - 1]], self.successors[self.tokens[later]], self.train[later])
-        self.asked = np.zeros(len(used), bool)
+        two, later = self.two, np.ones(len(self.tokens), bool)
+        later[self.starts] = False
+        self.later = np.flatnonzero(later)
+        context = two.key_of()[self.later - 1]
+        used = np.zeros(len(two.keys), bool)                         # no text goes on after its end
+        used[context] = True
+        number = np.cumsum(used, dtype=np.int32) - np.int32(1)
+        hashes = mix(two.contexts[two.rank[used]] * _MUL + (two.keys[used] & _LOW32))
+        self.three = _Grams(hashes, number[context], self.successor[self.later], self.successors, self.train[self.later])
+        self.asked = np.zeros(len(hashes), bool)
         self.asked[self.three.place] = shared[used]
 
     def trigram_codes(self, answers: pa.Table, shards: int, discount: float) -> tuple[np.ndarray, np.ndarray]:
         """(probability code of each trigram, back-off code of each of its contexts): from the shards, or from this bucket's counts."""
         three, told = self.three, _joined(answers, shards)
-        total = np.bincount(three.rank, weights=three.counts, minlength=len(three.contexts))
-        fan = np.bincount(three.rank[three.counts > 0], minlength=len(three.contexts))
+        starts = np.flatnonzero(np.diff(three.rank, prepend=-1))     # each context has a key
+        total, fan = _sums(three.counts, starts), _sums(three.counts > 0, starts)
         backoff, seen = np.ones(len(total), np.uint8), total > 0
         backoff[seen] = encode_prob(discount * fan[seen] / total[seen])
         prob, some = np.zeros(len(three.keys), np.uint8), three.counts > 0
@@ -424,42 +462,37 @@ def _ask_trigrams(row: pa.Table, shards: int) -> pa.Table:
     return b.three.asks(b.name, shards, b.asked)
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys with their summed counts."""
-    order, first, found = _distinct(np.concatenate(keys))
-    return found, _sums(np.concatenate(counts)[order], first)
-
-
 def _answers(pdf: pd.DataFrame, discount: float, words: bool) -> pd.DataFrame:
     """A shard's level from all buckets' n-grams, and what it says of each bucket's. ``words``: also the contexts' counts, and which trained
-    n-grams several buckets have."""
-    asked, trained = [], []
-    for c, k, n in zip(pdf["contexts"], pdf["keys"], pdf["counts"], strict=True):
-        c, k, n = _unsqueeze_sorted(c), _unsqueeze_sorted(k), unsqueeze(n).astype(np.int64)
-        i = np.flatnonzero(n)
-        asked.append((c, k))
-        trained.append((k[i] >> _32, k[i] & _LOW32, n[i]))
-    contexts = np.unique(np.concatenate([c[np.unique(r).astype(np.int64)] for (c, _), (r, _, _) in zip(asked, trained, strict=True)]))
-    keys, counts = _merge([np.searchsorted(contexts, c).astype(np.uint64)[r.astype(np.int64)] << _32 | w
-                           for (c, _), (r, w, _) in zip(asked, trained, strict=True)], [n for _, _, n in trained])
-    del trained
-    totals = np.bincount((keys >> _32).astype(np.int64), weights=counts, minlength=len(contexts)).astype(np.int64)
-    level = Level(map_level(build_level(contexts, keys, counts, discount)))
-    found, senders = [], np.zeros(len(keys), np.int32)
-    for c, k in asked:
-        rank, place = level.find(c, np.bincount((k >> _32).astype(np.int64), minlength=len(c)), k & _LOW32)
-        senders[place[place >= 0]] += 1                              # a bucket asks for a key once
-        found.append((rank.astype(np.int32), place.astype(np.int32)))
+    n-grams several buckets have. The level is asked once for each distinct n-gram, whoever sent it."""
+    asked = [(_unsqueeze_sorted(c), _unsqueeze_sorted(k)) for c, k in zip(pdf["contexts"], pdf["keys"], strict=True)]
+    at, key_at = (np.cumsum([0, *map(len, part)]) for part in zip(*asked, strict=True))
+    keys = np.concatenate([k for _, k in asked])
+    order, first, contexts = _distinct(np.concatenate([c for c, _ in asked]))
+    context_of = _place_of(order, first)
     del asked
+    context = (keys >> _32).astype(np.int64) + np.repeat(at[:-1], np.diff(key_at))
+    order, first, keys = _distinct(context_of[context].astype(np.uint64) << _32 | keys & _LOW32)
+    del context
+    counts = _sums(np.concatenate([unsqueeze(n) for n in pdf["counts"]])[order], first)
+    senders = np.diff(first, append=len(order))                      # a bucket asks for a key once
+    key_of = _place_of(order, first)
+    del order, first
+    rank = (keys >> _32).astype(np.int64)
+    starts = np.flatnonzero(np.diff(rank, prepend=-1))               # each context has a key
+    totals, fan = _sums(counts, starts), np.diff(starts, append=len(keys))
+    seen, trained = totals > 0, counts > 0
+    level = Level(map_level(build_level(contexts[seen], (np.cumsum(seen) - 1).astype(np.uint64)[rank[trained]] << _32 | keys[trained] & _LOW32,
+                                        counts[trained], discount)))
+    found, place = level.find(contexts, fan, keys & _LOW32)
+    backoff, prob = level.codes(found, place)
+    shared = (place >= 0) & (senders > 1)
+    nothing, shard, n, v = squeeze(np.zeros(0, np.uint8)), int(pdf["shard"].iloc[0]), int(totals.sum()), int(seen.sum())
     out = []
-    for bucket, (rank, place) in zip(pdf["bucket"], found, strict=True):
-        backoff, prob = level.codes(rank, place)
-        count, more = np.zeros(0, np.int64), np.zeros(0, bool)
-        if words:
-            count, more = np.zeros(len(rank), np.int64), np.zeros(len(place), bool)
-            count[rank >= 0] = totals[rank[rank >= 0]]
-            more[place >= 0] = senders[place[place >= 0]] > 1
-        out.append((bucket, int(pdf["shard"].iloc[0]), int(totals.sum()), len(contexts), squeeze(prob), squeeze(backoff), squeeze(count), squeeze(more)))
+    for i, bucket in enumerate(pdf["bucket"]):
+        mine, my_keys = context_of[at[i]:at[i + 1]], key_of[key_at[i]:key_at[i + 1]]
+        more = (squeeze(totals[mine]), squeeze(shared[my_keys])) if words else (nothing, nothing)
+        out.append((bucket, shard, n, v, squeeze(prob[my_keys]), squeeze(backoff[mine]), *more))
     return pd.DataFrame(out, columns=["bucket", "shard", "n", "v", "probs", "backoffs", "totals", "shared"])
 
 
@@ -486,7 +519,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     rows where ``train`` holds. Scores are log10 probabilities of whole texts."""
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
-    n = 2 * partitions(docs.sparkSession)
+    n = partitions(docs.sparkSession)                                # a shard takes less memory than a bucket; each pair costs a message
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     id_type = rows.schema["doc"].dataType
     doc = to_arrow_type(id_type)
