@@ -87,3 +87,23 @@ def test_reconciliation_finds_and_mends(spark, tmp_path):
     assert after == {"i10": "ok", "i23": "duplicate", "i36": "ok", "i5": "ok", "stranger": "orphan"}
     assert reconcile(ledger.limit(0), listing.limit(0)).count() == 0
     assert archive_listing(paths.limit(0)).count() == 0
+
+
+def test_directories_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A short list of archives doesn't put all of them into one task, and a task hands on rows of many archives at once."""
+    from zipledger.operators import reconcile as R
+    for i in range(200):
+        with zipfile.ZipFile(tmp_path / f"{i}.zip", "w") as z:
+            for j in range(i % 3):
+                z.writestr(f"{i}-{j}.eml", b"x")
+    (tmp_path / "torn.zip").write_bytes(b"half")
+    paths = spark.createDataFrame([(str(tmp_path / n),) for n in os.listdir(tmp_path)], "path string").repartition("path")
+    rows = archive_listing(paths).select("archive_id", "error", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.archive_id for r in rows if r.error is None) == sorted(f"{i}-{j}" for i in range(200) for j in range(i % 3))
+    assert len(rows) == 200 and len({r.task for r in rows}) > 1
+    seen = []
+    monkeypatch.setattr(type(paths), "mapInPandas", lambda self, run, schema: seen.append(run) or self)
+    monkeypatch.setattr(R, "ENTRY_PORTION", 150)
+    archive_listing(paths)
+    frames = list(seen[0](iter([__import__("pandas").DataFrame({"path": [str(tmp_path / n) for n in os.listdir(tmp_path)]})])))
+    assert [len(f) for f in frames] == [150, 50]

@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import pickle
 import time
 import tracemalloc
 import zipfile
@@ -315,3 +316,68 @@ def test_sizes_of_archives_come_from_the_tasks(tmp_path):
     written = packer.close()
     (slot, k, path, n, size), = written.archives
     assert (n, size, written.sizes) == (1, 5, [os.path.getsize(path)])
+
+
+def _items(slot, ids, declared=200):
+    """Items that each get an archive of their own under a cap of 100."""
+    rows = []
+    for ord_, i in enumerate(ids):
+        rows += [(slot, ord_, i, None, -1, None, declared, None), (slot, ord_, i, 5, 0, None, None, b"body " + i[:9].encode())]
+    return rows
+
+
+def test_the_driver_holds_no_record_of_an_archive(spark, tmp_path):
+    """Messages and manifest are as long for a thousand archives as for ten; the archives and entries come from the tasks' lists."""
+    long = {}
+    for n in (10, 1000):
+        out = str(tmp_path / f"o{n}")
+        w = Z._Writer({"path": out, "folder": "job", "run": "r", "cap": "100"})
+        messages = [w.write(iter([_batch(_items(slot, [f"{slot}-{i}" for i in range(n)]))])) for slot in (1, 0)]
+        long[n] = [len(pickle.dumps(m)) for m in messages]
+        w.commit(messages)
+        long[n].append(len(fsx.read_text(os.path.join(out, "_archives", "r.json"))))
+        names = [f"job/emails_{i:04d}.zip" for i in range(1, 2 * n + 1)]
+        assert [(r.zip_idx, r.archive_path, r.entries) for r in Z.committed_archives(spark, out, "r").collect()] == [(i, p, 1) for i, p in enumerate(names, 1)]
+        assert sorted(os.listdir(os.path.join(out, "job"))) == sorted(p[4:] for p in names) and Z.last_index(out, "job") == 2 * n
+        assert {r.archive_id: r.zip_idx for r in Z.committed_entries(spark, out, "r").collect()} == {
+            f"{slot}-{i}": slot * n + i + 1 for slot in (0, 1) for i in range(n)}
+    assert all(b - a < 20 for a, b in zip(long[10], long[1000], strict=True))
+
+
+def test_names_cut_short_are_finished(spark, tmp_path, monkeypatch):
+    """A driver that dies among the names: those given stay, the rest are given later; an archive without an entry takes no number."""
+    out = str(tmp_path / "o")
+    w = Z._Writer({"path": out, "folder": "job", "run": "r", "cap": "100"})
+    ids = [f"a{i}" for i in range(6)] + ["x" * 70000] + [f"b{i}" for i in range(5)]
+    two = [w.write(iter([_batch(_items(0, some))])) for some in (ids, ["c0", "c1"])]     # one slot, by two tasks
+    monkeypatch.setattr(Z, "MOVES", 2)
+    move, left = fsx.move_left, [3]
+
+    def dying(pairs):
+        left[0] -= 1
+        if left[0] < 0:
+            raise KeyboardInterrupt
+        move(pairs)
+
+    monkeypatch.setattr(fsx, "move_left", dying)
+    with pytest.raises(KeyboardInterrupt):
+        w.commit(two)
+    monkeypatch.setattr(fsx, "move_left", move)
+    assert Z.finish_commits(out) == ["r"] and Z.finish_commits(out) == []
+    want = [i for i in ids if len(i) < 9] + ["c0", "c1"]
+    assert {r.archive_id: r.zip_idx for r in Z.committed_entries(spark, out, "r").collect()} == {i: n for n, i in enumerate(want, 1)}
+    for n, i in enumerate(want, 1):
+        with zipfile.ZipFile(os.path.join(out, "job", f"emails_{n:04d}.zip")) as z:
+            assert z.namelist() == [f"{i}.eml"]
+    assert len(os.listdir(os.path.join(out, "job"))) == len(want) and os.listdir(os.path.join(out, ".staging")) == []
+    assert [len(r.archive_id) for r in Z.failed_entries(spark, out, "r").collect()] == [70000]
+
+
+def test_a_discarded_attempt_leaves_no_file(tmp_path, monkeypatch):
+    monkeypatch.setattr(Z, "LIST_BATCH", 3)
+    packer = Z._Packer(str(tmp_path), 100, False, None)
+    for row in _items(0, [f"a{i}" for i in range(8)]) + _items(4, [f"b{i}" for i in range(8)]):
+        packer.row(row[0], *row[2:])
+    assert len(os.listdir(tmp_path)) == 18
+    packer.discard()
+    assert os.listdir(tmp_path) == []

@@ -15,32 +15,33 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..sinks import fs as fsx
 
-ENTRY_PORTION = 50_000
+ENTRY_PORTION = 50_000   # rows that a listing task hands on at once
 LISTED = "archive_path string, archive_id string, bytes long, crc long, error string"
 
 
 def archive_listing(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """(archive_path, archive_id, bytes, crc, error) of every entry, from the directories of ``paths``; an unreadable
-    archive is one row with its error."""
+    archive is one row with its error. The archives are dealt over ``spark.sql.shuffle.partitions`` tasks: a list of names is small,
+    however many directories it stands for, so adaptive execution would join its partitions into one task."""
 
     def run(batches):
-        names = ["archive_path", "archive_id", "bytes", "crc", "error"]
+        names, rows = ["archive_path", "archive_id", "bytes", "crc", "error"], []
         for pdf in batches:
             for path in pdf[path_col].tolist():
-                rows = []
                 try:
                     with fsx.open_input(path) as stream, zipfile.ZipFile(stream) as z:
                         for info in z.infolist():
                             rows.append((path, info.filename.removesuffix(C.ENTRY_SUFFIX), info.file_size, info.CRC, None))
                             if len(rows) >= ENTRY_PORTION:
-                                yield pd.DataFrame(rows, columns=names)
+                                yield pd.DataFrame(rows, columns=names).astype({"bytes": "Int64", "crc": "Int64"})
                                 rows = []
                 except (OSError, ValueError, zipfile.BadZipFile) as e:
                     rows.append((path, None, None, None, str(e) or type(e).__name__))
-                if rows:
-                    yield pd.DataFrame(rows, columns=names).astype({"bytes": "Int64", "crc": "Int64"})
+        if rows:  # of many archives: a frame for each would cost more than its directory
+            yield pd.DataFrame(rows, columns=names).astype({"bytes": "Int64", "crc": "Int64"})
 
-    return paths.select(path_col).mapInPandas(run, LISTED)
+    n = max(1, int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return paths.select(path_col).repartition(n, path_col).mapInPandas(run, LISTED)
 
 
 def reconcile(ledger: DataFrame, listing: DataFrame) -> DataFrame:

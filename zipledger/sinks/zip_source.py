@@ -3,14 +3,16 @@
 Rows are headers (``chunk_no`` -1: an item's declared size and group) and chunks of bodies, sorted by ``slot, ord,
 archive_id, copy, chunk_no`` with each slot in one task (``route_chunks``). A task packs next-fit and appends every chunk to the
 open entry as it comes, so it holds one chunk at a time, whatever the size of a body. It writes to files of its own
-under ``.staging/<run>`` and hands the driver one commit message: its archives (slot, ordinal, entries, bytes), never its rows.
+under ``.staging/<run>`` and hands the driver one commit message: how many archives each of its slots has, never its rows.
+Its archives, and which entry lies where, it lists as Parquet beside them.
 
 The job's commit numbers all archives slot by slot from the messages, writes the run's manifest ``_archives/<run>.json`` (or
 another folder's, option ``manifests``) in one atomic step, gives the files their names and drops the staging folder, and with it whatever killed or repeated task
 attempts have left. The manifest is the commit: before it nothing is visible, after it ``finish_commits`` can give
-the names again. An aborted job leaves nothing. The driver holds one short record per archive (100 TB in 1 GB archives: 100,000).
+the names again. An aborted job leaves nothing. The manifest holds the number before each slot's first archive; the driver passes over the
+tasks' lists in portions of ``MOVE_ROWS`` to give the names, so it holds one record per task and slot, however many archives there are.
 
-Which entry lies where is written by the tasks as Parquet beside the archives and read back with ``committed_entries``.
+The lists are read back with ``committed_archives`` and ``committed_entries``.
 """
 
 from __future__ import annotations
@@ -25,25 +27,82 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from .. import constants as C
+from ..functions import archive_name
 from . import fs as fsx
 from .archive import ARCHIVE_ROWS, temp_dir
 
 CHUNK_ROWS = "slot int, ord long, archive_id string, copy long, chunk_no int, grp string, declared long, chunk binary"
-ENTRY_ROWS = "slot int, k long, archive_id string, bytes long, error string"
-ENTRY_BATCH = 50_000
-MOVES = 64     # files that a thread of the commit names in one go
+# n: the archive's number within its task and slot, without gaps (k counts archives that got no entry, too)
+ENTRY_ROWS = "task string, slot int, n long, archive_id string, bytes long, error string"
+MADE_ROWS = "task string, slot int, n long, k long, entries long, bytes long, file_bytes long"
+_ENTRIES = pa.schema([("task", pa.string()), ("slot", pa.int32()), ("n", pa.int64()), ("archive_id", pa.string()), ("bytes", pa.int64()), ("error", pa.string())])
+_MADE = pa.schema([("task", pa.string()), ("slot", pa.int32()), *((c, pa.int64()) for c in ("n", "k", "entries", "bytes", "file_bytes"))])
+LIST_BATCH = 50_000
+MOVES = 64         # files that a thread of the commit names in one go
+MOVE_ROWS = 8192   # rows of the tasks' lists that it holds at once
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    archives: list[tuple]      # (slot, k, temporary path, entries, bytes)
-    entries: str | None        # the task's entry list
-    sizes: list[int]           # of the archives' files
+    task: str
+    counts: list[tuple]        # (slot, archives)
+    made: str | None           # the task's archive list
+    entries: str | None        # its entry list
+
+    @property
+    def archives(self) -> list[tuple]:
+        """(slot, k, temporary path, entries, bytes) of all archives, from the list."""
+        return [(r["slot"], r["k"], _temp(self.made.rsplit("/", 1)[0], r), r["entries"], r["bytes"]) for b in _batches(self.made) for r in b]
+
+    @property
+    def sizes(self) -> list[int]:
+        return [r["file_bytes"] for b in _batches(self.made) for r in b]
+
+
+def _temp(staging: str, row: dict) -> str:
+    return fsx.join(staging, f"{row['task']}-{row['slot']}-{row['k']}.zip")
+
+
+def _batches(path: str | None) -> Iterator[list[dict]]:
+    """A list's rows in portions."""
+    if path:
+        fs, p = fsx.resolve(path)
+        with fs.open_input_file(p) as f:
+            for batch in pq.ParquetFile(f).iter_batches(MOVE_ROWS):
+                yield batch.to_pylist()
+
+
+class _List:
+    """Rows of a task, written as Parquet in portions; without a row there is no file."""
+
+    def __init__(self, path: str, schema: pa.Schema):
+        self.path, self.schema, self.rows, self.writer = path, schema, [], None
+
+    def add(self, *row) -> None:
+        self.rows.append(row)
+        if len(self.rows) >= LIST_BATCH:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.writer is None:
+            self.file = fsx.open_output(self.path)
+            self.writer = pq.ParquetWriter(self.file, self.schema)
+        self.writer.write_table(pa.table([pa.array(c, t) for c, t in zip(zip(*self.rows, strict=True), self.schema.types, strict=True)], schema=self.schema))
+        self.rows.clear()
+
+    def close(self) -> str | None:
+        if self.rows:
+            self.flush()
+        if self.writer is None:
+            return None
+        self.writer.close()
+        self.file.close()
+        return self.path
 
 
 def route_chunks(meta: DataFrame, chunks: DataFrame, slots: int, by_hash: bool = False) -> DataFrame:
@@ -75,13 +134,13 @@ class _Packer:
 
         self.staging, self.tag, self.level = staging, uuid.uuid4().hex, level
         self.fit = NextFit(cap, rotate)
-        self.archives: list[tuple] = []
-        self.sizes: list[int] = []
         self.zip = self.stream = self.entry = self.path = self.head = None
         self.entries = self.bytes = self.size = 0
         self.next = 0
-        self.listed: list[tuple] = []
-        self.list_path, self.list_writer = None, None
+        self.counts: dict[int, int] = {}   # archives by slot
+        self.opened: dict[int, int] = {}   # the last k by slot
+        self.made = _List(fsx.join(staging, f"{self.tag}-archives.parquet"), _MADE)
+        self.listed = _List(fsx.join(staging, f"{self.tag}.parquet"), _ENTRIES)
         fsx.makedirs(staging)
 
     def row(self, slot: int, archive_id: str, copy: int | None, chunk_no: int, grp, declared, chunk) -> None:
@@ -109,8 +168,8 @@ class _Packer:
         k, opened = self.fit.step(slot, declared, 0, grp)
         if opened:
             self.end_archive()
-            self.path = fsx.join(self.staging, f"{self.tag}-{slot}-{k}.zip")
-            self.key = (slot, k)
+            self.path = _temp(self.staging, {"task": self.tag, "slot": slot, "k": k})
+            self.key, self.opened[slot] = (slot, k), k
             self.stream = fsx.open_output(self.path)
             self.zip = zipfile.ZipFile(self.stream, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=self.level)
         info = zipfile.ZipInfo(f"{archive_id}{C.ENTRY_SUFFIX}")
@@ -118,7 +177,7 @@ class _Packer:
         try:
             self.entry, self.size = self.zip.open(info, "w", force_zip64=True), 0
         except (ValueError, struct.error) as e:  # a name that ZIP can't hold
-            self.listed.append((*self.key, archive_id, None, str(e) or type(e).__name__))
+            self.listed.add(self.tag, slot, None, archive_id, None, str(e) or type(e).__name__)
         return self.entry is not None
 
     def end_entry(self) -> None:
@@ -128,9 +187,8 @@ class _Packer:
         self.entry = None
         self.entries += 1
         self.bytes += self.size
-        self.listed.append((*self.key, self.head[1], self.size, None))
-        if len(self.listed) >= ENTRY_BATCH:
-            self.write_list()
+        slot = self.key[0]
+        self.listed.add(self.tag, slot, self.counts.get(slot, 0) + 1, self.head[1], self.size, None)
 
     def end_archive(self) -> None:
         self.end_entry()
@@ -139,37 +197,25 @@ class _Packer:
             file_bytes = self.stream.tell()
             self.stream.close()
             if self.entries:
-                self.archives.append((*self.key, self.path, self.entries, self.bytes))
-                self.sizes.append(file_bytes)
+                slot, k = self.key
+                n = self.counts[slot] = self.counts.get(slot, 0) + 1
+                self.made.add(self.tag, slot, n, k, self.entries, self.bytes, file_bytes)
             else:
                 fsx.remove(self.path)
             self.zip = None
             self.entries = self.bytes = 0
 
-    def write_list(self) -> None:
-        table = pa.table(dict(zip(("slot", "k", "archive_id", "bytes", "error"), (
-            pa.array(c, t) for c, t in zip(zip(*self.listed, strict=True), (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)), strict=True)))
-        if self.list_writer is None:
-            self.list_path = fsx.join(self.staging, f"{self.tag}.parquet")
-            self.list_file = fsx.open_output(self.list_path)
-            self.list_writer = pq.ParquetWriter(self.list_file, table.schema)
-        self.list_writer.write_table(table)
-        self.listed.clear()
-
     def discard(self) -> None:
         """Remove what this attempt wrote."""
-        for path in [a[2] for a in self.archives] + [self.path, self.list_path]:
-            if path:
-                fsx.remove(path)
+        for slot, last in self.opened.items():
+            for k in range(1, last + 1):
+                fsx.remove(_temp(self.staging, {"task": self.tag, "slot": slot, "k": k}))
+        for listed in (self.made, self.listed):
+            fsx.remove(listed.path)
 
     def close(self) -> Written:
         self.end_archive()
-        if self.listed:
-            self.write_list()
-        if self.list_writer is not None:
-            self.list_writer.close()
-            self.list_file.close()
-        return Written(self.archives, self.list_path, self.sizes)
+        return Written(self.tag, sorted(self.counts.items()), self.made.close(), self.listed.close())
 
 
 class _Writer(DataSourceArrowWriter):
@@ -195,12 +241,13 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         made = [m for m in messages if m is not None]
-        found = sorted((*a, size) for m in made for a, size in zip(m.archives, m.sizes, strict=True))
-        archives = [{"zip_idx": self.start + i, "slot": slot, "k": k, "temp": temp, "entries": n, "bytes": size,
-                     "archive_path": f"{self.folder}/{C.ARCHIVE_NAME_FORMAT % (self.start + i)}", "file_bytes": file_bytes}
-                    for i, (slot, k, temp, n, size, file_bytes) in enumerate(found, 1)]
-        lists = [m.entries for m in made if m.entries]
-        if not fsx.create_exclusive(_manifest(self.at, self.run), json.dumps({"archives": archives, "lists": lists})):
+        slots, last = [], self.start
+        for slot, i, n in sorted((slot, i, n) for i, m in enumerate(made) for slot, n in m.counts):
+            slots.append((made[i].task, slot, last))
+            last += n
+        manifest = {"folder": self.folder, "start": self.start, "last": last, "slots": slots,
+                    "made": [m.made for m in made if m.made], "lists": [m.entries for m in made if m.entries]}
+        if not fsx.create_exclusive(_manifest(self.at, self.run), json.dumps(manifest)):
             raise FileExistsError(f"run {self.run} is committed")
         _give_names(self.out, self.run, self.at)
 
@@ -235,22 +282,33 @@ def _manifest(at: str, run: str) -> str:
     return fsx.join(at, f"{run}.json")
 
 
+def _made(at: str, run: str) -> str:
+    return fsx.join(at, f"{run}-archives")
+
+
 def _lists(at: str, run: str) -> str:
     return fsx.join(at, f"{run}-entries")
 
 
+def _committed(at: str, run: str) -> dict:
+    return json.loads(fsx.read_text(_manifest(at, run)))
+
+
 def _give_names(out: str, run: str, at: str) -> None:
-    """Move a committed run's files to their names; what is moved already is left."""
-    made = json.loads(fsx.read_text(_manifest(at, run)))
-    moves = [(a["temp"], fsx.join(out, a["archive_path"])) for a in made["archives"]]
-    moves += [(p, fsx.join(_lists(at, run), p.rsplit("/", 1)[1])) for p in made["lists"]]
-    for folder in {dst.rsplit("/", 1)[0] for _, dst in moves}:
-        fsx.makedirs(folder)
-
-    lots = [moves[i:i + MOVES] for i in range(0, len(moves), MOVES)]
+    """Move a committed run's files to their names; what is moved already is left. A list moves after its archives."""
+    made = _committed(at, run)
+    staging, folder = temp_dir(out, run), fsx.join(out, made["folder"])
+    first = {(task, slot): n for task, slot, n in made["slots"]}
+    lists = [(p, fsx.join(to, p.rsplit("/", 1)[1])) for to, paths in ((_made(at, run), made["made"]), (_lists(at, run), made["lists"])) for p in paths]
+    for made_in in {dst.rsplit("/", 1)[0] for _, dst in lists} | ({folder} if made["made"] else set()):
+        fsx.makedirs(made_in)
     with ThreadPoolExecutor(32) as pool:
-        list(pool.map(fsx.move_left, lots))
-    fsx.remove_tree(temp_dir(out, run))
+        for path in made["made"]:
+            for rows in _batches(path) if fsx.exists(path) else ():
+                moves = [(_temp(staging, r), fsx.join(folder, C.ARCHIVE_NAME_FORMAT % (first[r["task"], r["slot"]] + r["n"]))) for r in rows]
+                list(pool.map(fsx.move_left, [moves[i:i + MOVES] for i in range(0, len(moves), MOVES)]))
+    fsx.move_left(lists)
+    fsx.remove_tree(staging)
 
 
 def committed_runs(out: str) -> list[str]:
@@ -271,9 +329,8 @@ def finish_commits(out: str) -> list[str]:
 
 def last_index(out: str, folder: str) -> int:
     """The highest archive index that committed runs gave in a folder: read from the manifests, no directory is listed."""
-    found = [a["zip_idx"] for run in committed_runs(out) for a in json.loads(fsx.read_text(_manifest(manifests(out), run)))["archives"][-1:]
-             if a["archive_path"].startswith(f"{folder}/")]
-    return max(found, default=0)
+    runs = [_committed(manifests(out), run) for run in committed_runs(out)]
+    return max((m["last"] for m in runs if m["folder"] == folder and m["made"]), default=0)
 
 
 def write_chunked_archives(rows: DataFrame, out: str, folder: str, cap: int, run: str | None = None, start: int | None = None,
@@ -289,30 +346,43 @@ def write_chunked_archives(rows: DataFrame, out: str, folder: str, cap: int, run
     return run
 
 
-def committed_archives(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
-    """One row per archive of a committed run (also its slot and ordinal there)."""
-    made = json.loads(fsx.read_text(_manifest(at or manifests(out), run)))["archives"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARCHIVE_ROWS) + ", slot int, k long"
-    if not made:
-        return spark.createDataFrame([], schema)
-    names = ("zip_idx", "archive_path", "entries", "bytes", "file_bytes", "slot", "k")
-    types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-    return spark.createDataFrame(pa.table({n: pa.array([a[n] for a in made], t) for n, t in zip(names, types, strict=True)}), schema)
+def _numbered(spark: SparkSession, rows: DataFrame, slots: list) -> DataFrame:
+    """``rows`` of the tasks' lists with ``zip_idx``. The numbers before the slots' first archives are one row per task and slot."""
+    first = pa.table({c: pa.array(v, t) for c, v, t in zip(("task", "slot", "first"), zip(*slots, strict=True), (pa.string(), pa.int32(), pa.int64()), strict=True)})
+    return rows.join(F.broadcast(spark.createDataFrame(first)), ["task", "slot"]).withColumn("zip_idx", F.col("first") + F.col("n"))
+
 
+def _path(made: dict) -> Column:
+    return F.concat(F.lit(made["folder"] + "/"), archive_name("zip_idx")).alias("archive_path")
 
-def _listed(spark: SparkSession, out: str, run: str, at: str | None) -> DataFrame:
+
+def committed_archives(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
+    """One row per archive of a committed run (also its slot and ordinal there), in the order of their numbers."""
     at = at or manifests(out)
-    if not json.loads(fsx.read_text(_manifest(at, run)))["lists"]:
+    made = _committed(at, run)
+    if not made["made"]:
+        return spark.createDataFrame([], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARCHIVE_ROWS) + ", slot int, k long")
+    rows = _numbered(spark, spark.read.schema(MADE_ROWS).parquet(_made(at, run)), made["slots"])
+    return rows.select("zip_idx", _path(made), "entries", "bytes", "file_bytes", "slot", "k").orderBy("zip_idx")
+
+
+def _listed(spark: SparkSession, made: dict, run: str, at: str) -> DataFrame:
+    if not made["lists"]:
         return spark.createDataFrame([], ENTRY_ROWS)
     return spark.read.schema(ENTRY_ROWS).parquet(_lists(at, run))
 
 
 def committed_entries(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
     """(archive_id, bytes, zip_idx, archive_path) of every entry of a committed run."""
-    where = committed_archives(spark, out, run, at).select("slot", "k", "zip_idx", "archive_path")
-    return _listed(spark, out, run, at).where("error IS NULL").join(where, ["slot", "k"]).select("archive_id", "bytes", "zip_idx", "archive_path")
+    at = at or manifests(out)
+    made = _committed(at, run)
+    if not made["slots"]:
+        return spark.createDataFrame([], "archive_id string, bytes long, zip_idx long, archive_path string")
+    rows = _numbered(spark, _listed(spark, made, run, at).where("error IS NULL"), made["slots"])
+    return rows.select("archive_id", "bytes", "zip_idx", _path(made))
 
 
 def failed_entries(spark: SparkSession, out: str, run: str, at: str | None = None) -> DataFrame:
     """(archive_id, error) of the items whose entry couldn't be made."""
-    return _listed(spark, out, run, at).where("error IS NOT NULL").select("archive_id", "error")
+    at = at or manifests(out)
+    return _listed(spark, _committed(at, run), run, at).where("error IS NOT NULL").select("archive_id", "error")
